@@ -28,7 +28,7 @@ def words(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """sizes(source, source_size, n) with weight and target.
+    """sizes(source, source_size, n) with rank (by code point, from 0), weight and target.
 
     Sources that their share would take past epochs x size are clamped there and the excess is shared by weight among
     the others, until none is above. Whoever is clamped has the smaller cap for its weight, so that the fixed point is a
@@ -36,13 +36,13 @@ def targets(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     isn't above it holds. One row a source meets in the windows. A source of size 0 has target 0.
     """
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in settings.weights]), (rank % len(settings.weights) + 1).cast("int"))
-    s = sizes.withColumn("weight", weight).withColumn("cap", F.lit(float(settings.epochs)) * F.col("source_size"))
+    weight = F.get(F.array(*[F.lit(float(w)) for w in settings.weights]), F.col("rank") % len(settings.weights))
+    s = sizes.withColumn("rank", rank).withColumn("weight", weight).withColumn("cap", F.lit(float(settings.epochs)) * F.col("source_size"))
     order = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
     before, rest, whole = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
     s = s.withColumn("total", F.sum("source_size").over(whole)).withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(rest))
     s = s.withColumn("level", F.max(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(whole))
-    return s.withColumn("target", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.lit(0.0))).select("source", "source_size", "n", "weight", "target")
+    return s.withColumn("target", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.lit(0.0))).select("source", "rank", "source_size", "n", "weight", "target")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
@@ -62,9 +62,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     # Of each source only the whole repetitions and the fraction are needed from here on.
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     per = per.withColumn("_whole", F.floor(ratio)).withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size")).withColumn("_buckets", F.ceil(F.col("n") / settings.per_bucket))
-    per = per.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "_whole", "_left", "_buckets")
+    per = per.select(F.col("source").alias("_source"), F.col("rank").alias("_rank"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "_whole", "_left", "_buckets")
     d = d.join(small(per, sources), F.col(source).eqNullSafe(F.col("_source")), "left").withColumn("_u", unit(key, seed=settings.seed))
-    d = running(d, ["_source"], ["_u", "_size"], "_size", "_upto", bucket=F.floor(F.col("_u") * F.col("_buckets")))
+    d = running(d, ["_rank"], ["_u", "_size"], "_size", "_upto", bucket=F.floor(F.col("_u") * F.col("_buckets")))
     extra = F.when((F.col("_left") > 0) & (F.col("_upto") + F.col("_size") / 2 <= F.col("_left")), 1).otherwise(0)
     repeats = (F.col("_whole") + extra).cast("int")
     out = [F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), repeats.alias("repeats"), (repeats * F.col("_size")).cast("long").alias("taken")]

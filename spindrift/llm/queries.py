@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import langid, mixing, simhash, urlfilter
+from spindrift.llm import langid, mixing, packing, sharding, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -98,3 +98,26 @@ f AS (SELECT h.*, r.rule_host || r.rule_path AS rule, r.verdict, row_number() OV
     FROM h LEFT JOIN r ON (h.host = r.rule_host OR ends_with(h.host, '.' || r.rule_host)) AND starts_with(h.path, r.rule_path))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE i = 1
 """
+
+
+def tokenizer() -> str:
+    """The public vocabulary file that the packing query reads."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document, with the digest of their ids."""
+    found = packing.pack(table(spark, sf_dir, "documents", "doc_id", "source", "text"), tokenizer())
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard along the curve through language, source and size."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    docs = docs.select("doc_id", "lang", "source", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    found = sharding.shard(docs, {"lang": F.col("lang"), "source": F.col("source"), "size": F.col("size")})
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")

@@ -59,23 +59,24 @@ def unit(*cols: Column | str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def running(df: DataFrame, part: list[str], order: list[str], value: str, out: str, per_bucket: int = 20_000, bucket: Column | None = None) -> DataFrame:
-    """Adds out: the sum of value over the rows of the same part that come before, in the order of (bucket, *order).
+def running(df: DataFrame, part: list[str], order: list[str], value: str, out: str, bucket: Column, group: int = 0, depth: int = 0) -> DataFrame:
+    """Adds out: the sum of value over the rows of the same part that come before in the order of (bucket, *order).
 
-    A window over a whole part would put a hot part in one task. Here rows are dealt to buckets that hold about
-    per_bucket rows, the buckets' sums are summed over a table of one row a bucket, and only a bucket's own rows meet in
-    a window. bucket orders the buckets (an integer that never decreases along the order wanted).
+    A window over a whole part would put a hot part in one task. Here bucket, an integer that never falls along the
+    order wanted, deals the rows; the buckets' sums are summed over a table of one row a bucket (with group, by groups
+    of so many buckets first), and only a bucket's own rows meet in a window. part's columns must not be null.
     """
-    sums = df.groupBy(*part, bucket.alias("_b")).agg(F.sum(value).alias("_s"))
-    over = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(*part, "_b", F.coalesce(F.sum("_s").over(over), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy(*part, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = df.withColumn("_b", bucket).withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    keys = [within[c].eqNullSafe(base[c]) for c in [*part, "_b"]]
-    on = keys[0]
-    for k in keys[1:]:
-        on = on & k
-    return within.join(base, on).select(*[within[c] for c in df.columns], (within["_in"] + base["_base"]).alias(out))
+    b, own, base = (f"_{x}{depth}" for x in ("bucket", "own", "base"))
+    df = df.withColumn(b, bucket.cast("long"))
+    sums = df.groupBy(*part, b).agg(F.sum(value).alias(own))
+    if group:
+        sums = running(sums, part, [b], own, base, F.floor(F.col(b) / group), depth=depth + 1)
+    else:
+        over = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn(base, F.coalesce(F.sum(own).over(over), F.lit(0)))
+    inner = Window.partitionBy(*part, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = df.withColumn(own, F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    return within.join(sums.select(*part, b, base), [*part, b]).withColumn(out, F.col(own) + F.col(base)).drop(b, own, base)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
