@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import langid, mixing, packing, sharding, simhash, urlfilter
+from spindrift.llm import langid, mixing, packing, quality, sharding, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -36,6 +36,13 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's perplexity under the model of the documents labelled good, and whether its language's threshold keeps it."""
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "lang", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return quality.judged(docs, labels).select("doc_id", "lang", "perplexity", "symbols", "threshold", "keep")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionaries of the documents that aren't held out, then every whole text's language."""
