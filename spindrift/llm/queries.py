@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import langid, mixing, packing, quality, sharding, simhash, urlfilter
+from spindrift.llm import ann, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
+from spindrift.llm.shared import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -36,6 +37,41 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record a page, written and read back; a revisit's digest and length are those that it states of the full payload."""
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    found = warc.read(spark, path)
+    number = lambda c: F.regexp_extract(c, r"^<urn:x-record:(-?\d+)>$", 1).try_cast("long")
+    revisit = F.col("type") == "revisit"
+    return found.select(
+        number("record_id").alias("page_id"),
+        F.when(revisit, F.col("stated_bytes").try_cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("stated_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((c.v >> {}) & 31 AS INTEGER) + 1, 1)"
+_SQL["op1_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex FROM p),
+c AS (SELECT hex, i, CAST('0x' || substr(hex, 10 * i + 1, 10) AS BIGINT) AS v FROM (SELECT DISTINCT hex FROM h), range(4) AS r(i)),
+b AS (SELECT hex, string_agg({" || ".join(_DIGIT.format(5 * k) for k in range(7, -1, -1))}, '' ORDER BY i) AS payload_digest FROM c GROUP BY hex),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS first FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < first THEN first END AS refers_to
+FROM m JOIN b USING (hex)
+"""
+
+
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text's perplexity under the model of the documents labelled good, and whether its language's threshold keeps it."""
@@ -82,6 +118,23 @@ c AS (SELECT *, CAST(whole + CASE WHEN rest > 0 AND upto + size / 2.0 <= rest TH
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(repeats * size AS BIGINT) AS taken, repeats FROM c
 """
 
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component among the vectors of its label."""
+    return pqdedup.grouped(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+_SQL["op9_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.98),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT a, least(a, min(b)) AS c FROM r GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(m.c, e.vec_id) AS component_id, coalesce(m.c, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN m ON m.a = e.vec_id
+"""
+
 RULES = [
     urlfilter.Rule("com", "/", "allow"),
     urlfilter.Rule("example.com", "/en/", "block"),
