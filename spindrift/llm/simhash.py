@@ -13,10 +13,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, scratch, stored
+from spindrift.llm.shared import components, cut, scratch, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -236,6 +236,22 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
         keyed = large.select("wild", F.col("a").alias("id"), "fp").mapInArrow(_deeper(settings), _KEYED)
 
 
+def _first(rows: DataFrame, least: Column, settings: Settings) -> DataFrame:
+    """(_fps, first) of rows(fps, ...) in groups of several rows: first is the group's smallest value of least."""
+    nodes = stored(rows.groupBy("fps").agg(F.min(least).alias("least"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
+    distinct = nodes.select("id", "fps")
+    edges = links(distinct, settings)
+    if settings.tables > 1:  # nodes may share a fingerprint in one table and differ in another
+        each = distinct.select("id", F.posexplode("fps").alias("t", "fp"))
+        lowest = each.groupBy("t", "fp").agg(F.min("id").alias("b"), F.count("*").alias("m")).filter("m > 1").drop("m")
+        edges = edges.union(each.join(lowest, ["t", "fp"]).select(F.col("id").alias("a"), "b")).filter("a <> b").distinct()
+    joined = components(edges)
+    root = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fps", "least", "n", F.coalesce("component", "id").alias("root"), F.col("component").isNotNull().alias("linked"))
+    lowest = root.filter("linked").groupBy("root").agg(F.min("least").alias("first"))
+    found = root.filter("linked").join(lowest, "root").select("fps", "first").union(root.filter("NOT linked AND n > 1").select("fps", F.col("least").alias("first")))
+    return found.withColumnRenamed("fps", "_fps")
+
+
 def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """(key, fps, component_id) for each row: component_id is the smallest key that links reach, itself included.
 
@@ -243,17 +259,19 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", settings:
     where no key is left component_id is null. Repeated rows stay; an empty table gives an empty one.
     """
     rows = stored(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", settings), "simhash-prints")
-    nodes = stored(rows.groupBy("fps").agg(F.min("key").alias("least"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    distinct = nodes.select("id", "fps")
-    edges = links(distinct, settings)
-    if settings.tables > 1:  # nodes may share a fingerprint in one table and differ in another
-        each = distinct.select("id", F.posexplode("fps").alias("t", "fp"))
-        least = each.groupBy("t", "fp").agg(F.min("id").alias("b"), F.count("*").alias("m")).filter("m > 1").drop("m")
-        edges = edges.union(each.join(least, ["t", "fp"]).select(F.col("id").alias("a"), "b")).filter("a <> b").distinct()
-    joined = components(edges)
-    root = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fps", "least", "n", F.coalesce("component", "id").alias("root"), F.col("component").isNotNull().alias("linked"))
-    # A single row without links keeps its own key; only the others need the join.
-    least = root.filter("linked").groupBy("root").agg(F.min("least").alias("component_id"))
-    wide = root.filter("linked").join(least, "root").select("fps", "component_id").union(root.filter("NOT linked AND n > 1").select("fps", F.col("least").alias("component_id")))
-    wide = wide.withColumnRenamed("fps", "_fps")
-    return rows.join(wide, rows["fps"] == wide["_fps"], "left").select(F.col("key").alias(key), "fps", F.when(F.col("_fps").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    wide = _first(rows, F.col("key"), settings)
+    # A single row without links keeps its own key; only the others meet in the join.
+    return rows.join(wide, rows["fps"] == wide["_fps"], "left").select(F.col("key").alias(key), "fps", F.when(F.col("_fps").isNull(), F.col("key")).otherwise(F.col("first")).alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Settings = Settings(shingle=5)) -> DataFrame:
+    """The rows of docs of which none of the same group stands before them: by key, null last, then as they were read.
+
+    So one row of each group stays, of repeated rows too. Texts without words are a group.
+    """
+    rows = stored(fingerprints(docs.select(*docs.columns, F.col(text).alias("_text")), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
+    slim = rows.select(key, "_row", "fps")
+    wide = _first(slim, rank, settings)
+    gone = cut(slim.join(wide, slim["fps"] == wide["_fps"]).filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
+    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*docs.columns)
