@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import unit
+from spindrift.llm.shared import fresh, unit
 
 UNKNOWN = "und"
 
@@ -112,4 +112,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             columns = [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *columns], names=[*b.schema.names[:-1], *names])
 
-    return kept.select("*", letters(docs[text]).alias("_letters")).mapInArrow(run, schema)
+    return kept.select("*", letters(docs[text]).alias(fresh(kept, "_letters"))).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, running, small, unit
+from spindrift.llm.shared import cut, hidden, running, shown, small, unit
 
 
 @dataclass(frozen=True)
@@ -55,20 +55,21 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     interchangeable; null keys and null sources are values like others; a text without words has size 0 and is repeated
     like any other; an empty table gives an empty one.
     """
-    made = ["size", "source_size", "target", "repeats", "taken"]
-    d = docs.drop(*[c for c in made if c not in (text, source, key)]).withColumn("_size", words(F.col(text)))
+    d, names = hidden(docs)
+    key, source = names[key], names[source]
+    d = d.withColumn("_size", words(F.col(names[text])))
     per = cut(targets(d.groupBy(F.col(source).alias("source")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n")), settings))
     sources = per.count()
     # Of each source only the whole repetitions and the fraction are needed from here on.
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     per = per.withColumn("_whole", F.floor(ratio)).withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size")).withColumn("_buckets", F.ceil(F.col("n") / settings.per_bucket))
     per = per.select(F.col("source").alias("_source"), F.col("rank").alias("_rank"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "_whole", "_left", "_buckets")
-    d = d.join(small(per, sources), F.col(source).eqNullSafe(F.col("_source")), "left").withColumn("_u", unit(key, seed=settings.seed))
+    d = d.join(small(per, sources), F.col(source).eqNullSafe(F.col("_source"))).withColumn("_u", unit(key, seed=settings.seed))
     d = running(d, ["_rank"], ["_u", "_size"], "_size", "_upto", bucket=F.floor(F.col("_u") * F.col("_buckets")))
     extra = F.when((F.col("_left") > 0) & (F.col("_upto") + F.col("_size") / 2 <= F.col("_left")), 1).otherwise(0)
     repeats = (F.col("_whole") + extra).cast("int")
-    out = [F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), repeats.alias("repeats"), (repeats * F.col("_size")).cast("long").alias("taken")]
-    return d.select(*[F.col(c) for c in docs.columns if c not in made or c in (text, source, key)], *out)
+    made = {"size": F.col("_size"), "source_size": F.col("_source_size"), "target": F.col("_target"), "repeats": repeats, "taken": (repeats * F.col("_size")).cast("long")}
+    return d.select(*shown(names, [*made]), *[c.alias(name) for name, c in made.items()])
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, running, small, unit
+from spindrift.llm.shared import cut, hidden, running, shown, small, unit
 
 
 @dataclass(frozen=True)
@@ -62,25 +62,25 @@ def hilbert(cells: DataFrame, dims: list[str], bits: int, name: str) -> DataFram
     return df.select(*others, *dims, index.alias(name))
 
 
-def quantised(df: DataFrame, dims: dict[str, Column], settings: Settings) -> DataFrame:
-    """df with a column _q<i> below 2 ** bits for each dimension, in the values' order, with about equal rows in each step.
+def quantised(df: DataFrame, dims: list[str], settings: Settings) -> DataFrame:
+    """df with each column of dims made an integer below 2 ** bits, in the values' order, with about equal rows in each step.
 
     A string dimension's steps come from the counts of its values by code point, null first; a number's from its
     approximate quantiles, null and NaN below all. Equal values share a step.
     """
     steps = 1 << settings.bits
-    for i, (_, value) in enumerate(dims.items()):
-        df = df.withColumn(f"_d{i}", value)
-        if dict(df.dtypes)[f"_d{i}"] == "string":
-            per = df.groupBy(f"_d{i}").agg(F.count("*").alias("_n"))
-            upto = F.coalesce(F.sum("_n").over(Window.orderBy(F.col(f"_d{i}").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            per = cut(per.select(F.col(f"_d{i}").alias("_v"), F.floor(upto * steps / F.sum("_n").over(Window.partitionBy())).alias(f"_q{i}")))
-            df = df.join(small(per, per.count()), F.col(f"_d{i}").eqNullSafe(F.col("_v"))).drop("_v", f"_d{i}")
+    for d in dims:
+        if dict(df.dtypes)[d] == "string":
+            per = df.groupBy(d).agg(F.count("*").alias("_n"))
+            upto = F.coalesce(F.sum("_n").over(Window.orderBy(F.col(d).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            per = cut(per.select(F.col(d).alias("_v"), F.floor(upto * steps / F.sum("_n").over(Window.partitionBy())).alias("_q")))
+            df = df.join(small(per, per.count()), F.col(d).eqNullSafe(F.col("_v"))).withColumn(d, F.col("_q")).drop("_v", "_q")
         else:
-            number = F.when(F.isnan(F.col(f"_d{i}").cast("double")), F.lit(None)).otherwise(F.col(f"_d{i}"))
+            number = F.col(d).cast("double")
+            number = F.when(~F.isnan(number), number)
             cuts = df.agg(F.percentile_approx(number, [k / steps for k in range(1, steps)], round(1 / settings.error)).alias("c")).first()["c"]
-            edges = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-            df = df.withColumn(f"_q{i}", F.when(number.isNull(), F.lit(0)).otherwise(F.size(F.filter(edges, lambda e: e < number))).cast("long")).drop(f"_d{i}")
+            edges = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<double>")
+            df = df.withColumn(d, F.when(number.isNull(), F.lit(0)).otherwise(F.size(F.filter(edges, lambda e: e < number))).cast("long"))
     return df
 
 
@@ -93,20 +93,22 @@ def shard(docs: DataFrame, dims: dict[str, Column], key: str = "doc_id", setting
     """
     made = ["hilbert", "shard", "slot"]
     q = [f"_q{i}" for i in range(len(dims))]
-    d = quantised(docs.select("*"), dims, settings).drop(*made).withColumn("_u", unit(key, seed=settings.seed))
-    cells = hilbert(d.groupBy(*q).agg(F.count("*").alias("_n")), q, settings.bits, "hilbert")
+    plain, names = hidden(docs)
+    d = docs.select(*docs.columns, *dims.values()).toDF(*plain.columns, *q)
+    d = quantised(d, q, settings).withColumn("_u", unit(names[key], seed=settings.seed))
+    cells = hilbert(d.groupBy(*q).agg(F.count("*").alias("_n")), q, settings.bits, "_hilbert")
     cells = cells.withColumn("_buckets", F.ceil(F.col("_n") / settings.per_bucket))
-    on = Window.orderBy("hilbert").rowsBetween(Window.unboundedPreceding, -1)
+    on = Window.orderBy("_hilbert").rowsBetween(Window.unboundedPreceding, -1)
     # One row a cell; how many there can be is set by bits and dimensions alone.
     cells = cut(cells.withColumn("_first", F.coalesce(F.sum("_buckets").over(on), F.lit(0))).withColumn("_rows", F.sum("_n").over(Window.partitionBy())).drop("_n"))
     d = d.join(F.broadcast(cells) if settings.bits * len(dims) <= 17 else cells, q)
-    d = running(d.withColumn("_one", F.lit(1)), [], ["_u", key], "_one", "_rank", F.col("_first") + F.floor(F.col("_u") * F.col("_buckets")), group=4096)
+    d = running(d.withColumn("_one", F.lit(1)), [], ["_u", names[key]], "_one", "_rank", F.col("_first") + F.floor(F.col("_u") * F.col("_buckets")), group=4096)
     n = settings.shards
-    d = d.withColumn("shard", F.floor(F.col("_rank") * n / F.col("_rows")).cast("int"))
+    d = d.withColumn("_shard", F.floor(F.col("_rank") * n / F.col("_rows")).cast("int"))
     # The quotient of doubles may fall short at a border; whole numbers decide.
     first = lambda s: F.expr(f"({s} * _rows + {n} - 1) div {n}")
-    d = d.withColumn("shard", F.when(F.col("_rank") >= first("(shard + 1)"), F.col("shard") + 1).when(F.col("_rank") < first("shard"), F.col("shard") - 1).otherwise(F.col("shard")))
-    return d.select(*[c for c in docs.columns if c not in made], "hilbert", "shard", (F.col("_rank") - first("shard")).cast("long").alias("slot"))
+    d = d.withColumn("_shard", F.when(F.col("_rank") >= first("(_shard + 1)"), F.col("_shard") + 1).when(F.col("_rank") < first("_shard"), F.col("_shard") - 1).otherwise(F.col("_shard")))
+    return d.select(*shown(names, made), F.col("_hilbert").alias("hilbert"), F.col("_shard").alias("shard"), (F.col("_rank") - first("_shard")).cast("long").alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -59,6 +59,24 @@ def unit(*cols: Column | str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or with underscores before it one that df has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named c0, c1, ..., and these by their own names: so no column of a caller's meets one of an operator's."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), {c: f"c{i}" for i, c in enumerate(df.columns)}
+
+
+def shown(names: dict[str, str], without: list[str] = []) -> list[Column]:  # noqa: B006
+    """The columns of hidden() by their own names, some left out."""
+    return [F.col(c).alias(name) for name, c in names.items() if name not in without]
+
+
 def running(df: DataFrame, part: list[str], order: list[str], value: str, out: str, bucket: Column, group: int = 0, depth: int = 0) -> DataFrame:
     """Adds out: the sum of value over the rows of the same part that come before in the order of (bucket, *order).
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, scratch, small, stored
+from spindrift.llm.shared import components, cut, hidden, scratch, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -269,9 +269,11 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
 
     So one row of each group stays, of repeated rows too. Texts without words are a group.
     """
-    rows = stored(fingerprints(docs.select(*docs.columns, F.col(text).alias("_text")), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    plain, names = hidden(docs)
+    key = names[key]
+    rows = stored(fingerprints(plain.withColumn("_text", F.col(names[text])), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     slim = rows.select(key, "_row", "fps")
     wide = _first(slim, rank, settings)
     gone = cut(slim.join(wide, slim["fps"] == wide["_fps"]).filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
-    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*docs.columns)
+    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))

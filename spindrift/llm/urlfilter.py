@@ -11,11 +11,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from spindrift.llm.shared import shared_dir
+from spindrift.llm.shared import fresh, shared_dir
 
 
 @dataclass(frozen=True)
@@ -130,11 +130,15 @@ def published(spark: SparkSession, rules: Iterable[Rule]) -> str:
     return name
 
 
-def split_url(df: DataFrame, url: str) -> DataFrame:
-    """df with _host (A-Z lower-cased) and _path; both empty where url is null or has no ://."""
-    rest = F.regexp_extract(F.col(url), r"(?s)^.*?://(.*)$", 1)
-    host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return df.select("*", F.coalesce(host, F.lit("")).alias("_host"), F.coalesce(F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1), F.lit("")).alias("_path"))
+def host_of(url: Column) -> Column:
+    """What follows the first :// up to /, ?, # or the end, A-Z lower-cased; empty where url is null or has no ://."""
+    host = F.regexp_extract(F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1), r"(?s)^([^/?#]*)", 1)
+    return F.coalesce(F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+
+
+def path_of(url: Column) -> Column:
+    """What follows the host up to ?, # or the end; empty where url is null or has no ://."""
+    return F.coalesce(F.regexp_extract(F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1), r"(?s)^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def judged(df: DataFrame, rules: Iterable[Rule], url: str = "url", default: str = "allow") -> DataFrame:
@@ -145,9 +149,9 @@ def judged(df: DataFrame, rules: Iterable[Rule], url: str = "url", default: str
     all to default; repeated rows are judged alike. Hosts with a port or user information are taken as they stand.
     """
     name, made = published(df.sparkSession, rules), ["host", "path", "rule", "verdict"]
-    ready = split_url(df, url)
-    ready = ready.select(*[c for c in df.columns if c not in made], "_host", "_path")
-    schema = StructType([*ready.schema.fields[:-2], *[StructField(n, StringType()) for n in made]])
+    kept = df.drop(*made)
+    ready = df.select(*[df[c] for c in kept.columns], host_of(df[url]).alias(fresh(df, "_host")), path_of(df[url]).alias(fresh(df, "_path")))
+    schema = StructType([*kept.schema.fields, *[StructField(n, StringType()) for n in made]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = Array(SparkFiles.get(name))
@@ -155,6 +159,6 @@ def judged(df: DataFrame, rules: Iterable[Rule], url: str = "url", default: str
             found = array.judge(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())
             rule = pa.array([r for r, _ in found], pa.string())
             verdict = pa.array([default if r is None else "block" if x else "allow" for r, x in found], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, rule, verdict], names=[*b.schema.names[:-2], *made])
+            yield pa.RecordBatch.from_arrays([*b.columns, rule, verdict], names=schema.names)
 
     return ready.mapInArrow(run, schema)
