@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,19 +29,22 @@ class Settings:
     weights: tuple[float, ...] = ()
     end: int = 0
     seed: int = 23
-    per_bucket: int = 20_000
-    cached: int = 48 << 20
+    per_bucket: int = 5_000
+    cached: int = 96 << 20
 
 
-_CROWDED = re.compile(r"  |\s \s")
+#: Two spaces in a row, or a space between other white space; in the class are all characters that any engine takes for white space.
+_CROWDED = "  |{0} {0}".format(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
 
 class Encoder:
     """Ids of whole texts, with a cache of what stands between single spaces.
 
     The pre-tokenizer of byte-level vocabularies starts a token at every space that stands alone, and lets none reach
-    over it; so a text without two spaces in a row, or one between other white space, is encoded word by word, and a
-    word once a worker. Any other text is encoded as it is.
+    over it; so a text without two spaces in a row, or one between other white space, is the ids of its words, each
+    with the space before it. A batch's words are numbered by Arrow, and each different word is encoded once; new ones
+    go to the tokenizer in one string, whose ids are told apart by the spaces that they start with. Any other text is
+    encoded as it is.
     """
 
     def __init__(self, path: str, cached: int):
@@ -51,37 +54,68 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cached, self.held, self.words = cached, 0, {}
-
-    def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if self.held > self.cached:
-            self.words, self.held = {}, 0
-        parts: list[list[str] | None] = []
-        first: dict[str, bytes] = {}
-        whole: dict[str, bytes] = {}
-        missing: set[str] = set()
-        for t in texts:
-            t = t or ""
-            if _CROWDED.search(t):
-                whole[t] = b""
-                parts.append(None)
-                continue
-            p = t.split(" ")
-            first[p[0]] = b""
-            missing.update(w for w in p[1:] if w not in self.words)
-            parts.append(p)
-        new = list(missing)
-        for w, ids in zip(new, self.raw([" " + w for w in new]), strict=True):
-            self.words[w] = ids
-            self.held += 2 * len(w) + len(ids) + 200
-        for d in (first, whole):
-            for k, ids in zip(list(d), self.raw(list(d)), strict=True):
-                d[k] = ids
-        return [whole[t or ""] if p is None else first[p[0]] + b"".join(map(self.words.__getitem__, p[1:])) for t, p in zip(texts, parts, strict=True)]
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.tokenizer.get_vocab_size())])
+        self.cached, self.held, self.words, self.older = cached, 0, {}, {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        """Adds words, each behind a space, to the cache."""
+        joined = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        for at in range(0, len(joined), 512):
+            some = joined[at : at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(some):  # not a vocabulary of this kind after all
+                found = self.whole([" " + w for w in some])
+            else:
+                raw, cuts = ids.tobytes(), [*(starts * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
+                found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            self.words.update(zip(some, found, strict=True))
+        odd = list(set(words).difference(joined))
+        self.words.update(zip(odd, self.whole([" " + w for w in odd]), strict=True))
+        self.held += sum(3 * len(w) + 200 for w in words)
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        texts = texts.fill_null("")
+        crowded = pc.match_substring_regex(texts, _CROWDED).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        odd = np.flatnonzero(crowded).tolist()
+        for i, ids in zip(odd, self.whole([texts[i].as_py() for i in odd]), strict=True):
+            out[i] = ids
+        plain = np.flatnonzero(~crowded)
+        if len(plain):
+            for i, ids in zip(plain.tolist(), self._by_word(texts.take(pa.array(plain))), strict=True):
+                out[i] = ids
+        return out
+
+    def _by_word(self, texts: pa.Array) -> list[bytes]:
+        if self.held > self.cached // 2:  # what is used again comes over from the older half
+            self.words, self.older, self.held = {}, self.words, 0
+        split = pc.split_pattern(texts, " ")
+        starts = np.asarray(split.offsets)[:-1] - split.offsets[0].as_py()
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        # A text's first word has no space before it, and is encoded by itself.
+        number = numbered.indices.to_numpy().copy()
+        first = [words[i] for i in number[starts]]
+        number[starts] = len(words) + np.arange(len(starts))
+        missing = [w for w in words if w not in self.words]
+        if again := {w: self.older[w] for w in missing if w in self.older}:
+            self.words |= again
+            self.held += sum(3 * len(w) + 200 for w in again)
+            missing = [w for w in missing if w not in again]
+        if missing:
+            self.learn(missing)
+        found = [*map(self.words.__getitem__, words), *self.whole(first)]
+        ids = pa.array(found, pa.binary()).take(pa.array(number))
+        raw, cuts = ids.buffers()[2].to_pybytes(), np.frombuffer(ids.buffers()[1], np.int32)[[*starts.tolist(), len(ids)]].tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+#: A worker's encoders by vocabulary: the next task of the worker finds the cache as the last one left it.
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -90,11 +124,15 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Setti
     schema = docs.select(*rest).withColumns({"_row": F.lit(0).cast("long"), "_n": F.lit(0).cast("long"), "_ids": F.lit(b"")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = Encoder(tokenizer, settings.cached), TaskContext.get().partitionId() << 40
+        import spindrift.llm.packing as here
+
+        known = (tokenizer, settings.cached)
+        encoder = here._ENCODERS.get(known) or here._ENCODERS.setdefault(known, Encoder(*known))
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                s = b.slice(at, 256)
-                ids = encoder(s.column(s.num_columns - 1).to_pylist())
+            for at in range(0, b.num_rows, 2048):
+                s = b.slice(at, 2048)
+                ids = encoder(s.column(s.num_columns - 1))
                 n = np.array([len(x) // encoder.kind.itemsize + 1 for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays([*s.columns[:-1], pa.array(np.arange(row, row + len(n))), pa.array(n), pa.array(ids, pa.binary())], names=schema.names)
                 row += len(n)

@@ -88,8 +88,8 @@ def fingerprints(docs: DataFrame, text: str = "text", settings: Settings = Setti
     return kept.mapInArrow(run, schema)
 
 
-#: A key is (wild, masked): wild holds table and left-out bit of each level, eight bits a level from the lowest up, each plus one.
-_LEVEL = 8
+#: A key is (wild, masked): wild holds table and left-out bit of each level, nine bits a level from the lowest up, each plus one.
+_LEVEL = 9
 
 
 @lru_cache(maxsize=100_000)
@@ -97,9 +97,9 @@ def variants(wild: int, distance: int) -> tuple[tuple[int, int], ...]:
     """For the key that has left out the bits in wild, each (key, mask) of the next level: the bit that it leaves out
     besides, and the mask of all bits that it then holds."""
     segments, left, held, level = distance // 2 + 1, list(range(BITS)), 0, 0
-    table = ((wild & 255) - 1) // BITS if wild else 0
+    table = ((wild & 511) - 1) // BITS if wild else 0
     while wild >> level * _LEVEL:
-        bit = ((wild >> level * _LEVEL & 255) - 1) % BITS
+        bit = ((wild >> level * _LEVEL & 511) - 1) % BITS
         segment = next(s for s in _cut(left, segments) if bit in s)
         held |= sum(1 << b for b in segment if b != bit)
         left = [b for b in left if b not in segment]

@@ -112,7 +112,7 @@ def test_neighbours_of_odd_vectors(spark):
     rows = [(i, [rng.gauss(0, 1 + i % 5) for _ in range(6)]) for i in range(300)]
     rows = [(i, np.float32(v).tolist()) for i, v in rows]
     rows += [(400 + i, rows[0][1]) for i in range(60)]  # copies of a query: ties by the smaller id
-    rows += [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1, 1, 1, 1]), (580, [float("nan")] * 6), (600, [float("inf")] * 6), (620, [1.0, 2.0]), (None, [1.0] * 6)]
+    rows += [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (580, [float("nan")] * 6), (600, [float("inf")] * 6), (620, [1.0, 2.0]), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, VECTORS).withColumn("score", F.lit("own")).repartition(4)
     settings = ann.Settings(recall=1.0, block=50, queries=7, leaf=8, branching=4)
     found = {}

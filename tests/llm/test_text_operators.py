@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -353,11 +354,11 @@ def tokenizer():
 
 def test_words_are_encoded_as_whole_texts_are(tokenizer):
     rng = random.Random(3)
-    pieces = [" ", " ", "\n", "\t", "a", "B", "é", "中", "1", "'s", ".", "!", "\u00a0", "<|endoftext|>", "'", "ll", "\r", " \n", "  "]
+    pieces = [" ", " ", "\n", "\t", "\x1c", "\u2003", "\x85", "G\u0120", "a", "B", "é", "中", "1", "'s", ".", "!", "\u00a0", "<|endoftext|>", "'", "ll", "\r", " \n", "  "]
     encoder = packing.Encoder(q.tokenizer(), 10_000)
     for _ in range(20):
         texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(200)]
-        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(pa.array(texts))] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def check_packed(rows, ids, length):
