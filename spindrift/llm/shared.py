@@ -36,12 +36,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a path that scratch() gave."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df by checkpoint() in the shared folder."""
     shared_dir(df.sparkSession)
