@@ -165,6 +165,7 @@ def joined(separator: str, patterns: Iterable[str], values: Mapping[str, str]) -
     return separator.join(s for p in patterns if (s := _fill(_compiled(p), values)) is not None)
 
 
+# The names of templates and parameters in stated() and rule() below, and the words of their patterns.
 Rule = Callable[[Call], str | None]
 RULES: dict[str, Rule] = {}
 
