@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import fresh, unit
+from spindrift.llm.shared import fresh, short_batches, unit
 
 UNKNOWN = "und"
 
@@ -101,6 +101,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     rejected. Rows keep their number and their other columns; an empty table gives an empty one.
     """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    short_batches(docs.sparkSession)
     names = [f"{prefix}lang_pred", f"{prefix}score", f"{prefix}margin", f"{prefix}rejected"]
     kept = docs.drop(*names)
     schema = StructType([*kept.schema.fields, *[StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), DoubleType(), BooleanType()), strict=True)]])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, running, small, stored, unit
+from spindrift.llm.shared import cut, running, short_batches, small, stored, unit
 
 
 @dataclass(frozen=True)
@@ -121,6 +121,7 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs with the text replaced by _row (a number of its own), _n (ids with the closing one) and _ids (the ids without it)."""
     rest = [c for c in docs.columns if c != text]
+    short_batches(docs.sparkSession)
     schema = docs.select(*rest).withColumns({"_row": F.lit(0).cast("long"), "_n": F.lit(0).cast("long"), "_ids": F.lit(b"")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,6 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sets how many rows go to Python at once to this many, if it is more: a batch of whole texts is held several times, on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if its counted rows are within limit; without one the planner joins by a shuffle."""
     return F.broadcast(df) if rows <= limit else df

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, hidden, scratch, shown, small, stored
+from spindrift.llm.shared import components, cut, hidden, scratch, short_batches, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -76,6 +76,7 @@ def fingerprint(text: str | None, settings: Settings = Settings()) -> list[int]:
 def fingerprints(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs without the text, with fps, an array of signed longs, last (columns of that name are replaced); a narrow transformation."""
     kept = docs.drop("fps") if text != "fps" else docs
+    short_batches(docs.sparkSession)
     schema = kept.drop(text).withColumn("fps", F.array(F.lit(0).cast("long"))).schema
     at = kept.columns.index(text)
 
