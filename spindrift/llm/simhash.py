@@ -214,16 +214,22 @@ def _deeper(settings: Settings):
 def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Edges (a, b) of ids whose components are those of all linked pairs of nodes(id, fps), which must differ in fps.
 
-    Each key's group yields a link a member at most, never its pairs.
+    Of the nodes that share a fingerprint of a table only one is compared there, so a group is of different fingerprints. Each key's group yields a link a member at most, never its pairs.
     """
     spark = nodes.sparkSession
-    keys = [(t * BITS + wild, mask, t) for t in range(settings.tables) for wild, mask in variants(0, settings.distance)]
-    table = [F.array(*[F.lit(x).cast("long") for x in column]) for column in ([k for k, _, _ in keys], [_signed(m) for _, m, _ in keys], [t for *_, t in keys])]
-    i = F.col("i")
-    keyed = nodes.select("id", "fps", F.explode(F.sequence(F.lit(0), F.lit(len(keys) - 1))).alias("i"))
-    keyed = keyed.select("id", F.get("fps", F.get(table[2], i).cast("int")).alias("fp"), F.get(table[0], i).alias("wild"), F.get(table[1], i).alias("mask"))
+    keys = [[(t * BITS + wild, mask) for wild, mask in variants(0, settings.distance)] for t in range(settings.tables)]
+    table = [F.array(*[F.array(*[F.lit(k[i] if not i else _signed(k[i])).cast("long") for k in of]) for of in keys]) for i in (0, 1)]
+    # Nodes that share a fingerprint of a table stand for each other there: but for one, each has a link to that one only.
+    if settings.tables > 1:
+        each = nodes.select("id", F.posexplode("fps").alias("t", "fp"))
+        lowest = stored(each.groupBy("t", "fp").agg(F.min("id").alias("id"), F.count("*").alias("m")), "simhash-lowest")
+        shared = lowest.filter("m > 1").select("t", "fp", F.col("id").alias("b"))
+        out = cut(each.join(shared, ["t", "fp"]).select(F.col("id").alias("a"), "b").filter("a <> b").distinct())
+    else:
+        lowest, out = nodes.select("id", F.lit(0).alias("t"), F.col("fps")[0].alias("fp")), None
+    keyed = lowest.select("id", "t", "fp", F.explode(F.sequence(F.lit(0), F.lit(len(keys[0]) - 1))).alias("i"))
+    keyed = keyed.select("id", "fp", *[F.get(F.get(x, F.col("t")), F.col("i")).alias(n) for x, n in zip(table, ("wild", "mask"), strict=True)])
     keyed = keyed.select("wild", F.col("fp").bitwiseAND(F.col("mask")).alias("masked"), "id", "fp")
-    out = None
     while True:
         dealt = keyed.repartition(F.col("wild"), F.col("masked")).sortWithinPartitions("wild", "masked").mapInArrow(_compare(settings), _FOUND)
         path = scratch(spark, "simhash-links")
@@ -240,12 +246,7 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def _first(rows: DataFrame, least: Column, settings: Settings) -> DataFrame:
     """(_fps, first) of rows(fps, ...) in groups of several rows: first is the group's smallest value of least."""
     nodes = stored(rows.groupBy("fps").agg(F.min(least).alias("least"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    distinct = nodes.select("id", "fps")
-    edges = links(distinct, settings)
-    if settings.tables > 1:  # nodes may share a fingerprint in one table and differ in another
-        each = distinct.select("id", F.posexplode("fps").alias("t", "fp"))
-        lowest = each.groupBy("t", "fp").agg(F.min("id").alias("b"), F.count("*").alias("m")).filter("m > 1").drop("m")
-        edges = edges.union(each.join(lowest, ["t", "fp"]).select(F.col("id").alias("a"), "b")).filter("a <> b").distinct()
+    edges = links(nodes.select("id", "fps"), settings)
     joined = components(edges)
     root = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fps", "least", "n", F.coalesce("component", "id").alias("root"), F.col("component").isNotNull().alias("linked"))
     lowest = root.filter("linked").groupBy("root").agg(F.min("least").alias("first"))

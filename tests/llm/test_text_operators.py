@@ -300,6 +300,22 @@ def test_simhash_of_odd_rows(spark):
     assert simhash.grouped(empty(spark)).count() == simhash.deduplicated(empty(spark)).count() == 0
 
 
+def test_nodes_that_share_a_tables_fingerprint_are_compared_once(spark):
+    """More nodes than a group may hold, all of one fingerprint in the first table: no key of more bits can split them."""
+    rng = random.Random(8)
+    nodes = [[5, rng.getrandbits(62)] for _ in range(40)] + [[rng.getrandbits(62) | 1 << 62, rng.getrandbits(62)] for _ in range(5)]
+    nodes.append([nodes[42][0] ^ 6, rng.getrandbits(62)])
+    settings, seen = simhash.Settings(tables=2, group=9), []
+    deeper = simhash._deeper
+    simhash._deeper = lambda s: seen.append(s) or (deeper(s) if len(seen) < 3 else pytest.fail("the group is split without an end"))
+    try:
+        edges = simhash.links(spark.createDataFrame(list(enumerate(nodes)), "id long, fps array<long>"), settings)
+    finally:
+        simhash._deeper = deeper
+    found = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert [found.get(i, i) for i in range(len(nodes))] == plain_groups(nodes, settings.distance)
+
+
 # -- mixing
 
 
