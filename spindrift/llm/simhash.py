@@ -2,6 +2,8 @@
 
 A fingerprint is cut into so few segments that, of two within the distance, one segment differs by one bit at most.
 Each segment is indexed once for each of its bits with that bit left out; two such segments meet under an equal key.
+
+Texts that must resemble each other by their shingles are found by keys of drawn bits of wide SimHashes, and then verified.
 """
 
 from __future__ import annotations
@@ -50,27 +52,43 @@ _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bito
 _PLACES = (np.arange(8, dtype=np.int64) * 256)[None, :]
 
 
-def fingerprint(text: str | None, settings: Settings = Settings()) -> list[int]:
-    """The SimHashes of a whole text's word shingles, repeats included, one for each table; 0 for a text without words and for null."""
+def _shingles(text: str | None, k: int) -> tuple[bytes, np.ndarray, np.ndarray, int]:
+    """The text's words joined by spaces, where its shingles of k words (of all, if it has fewer) start and end there, and their number."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []  # bytes.split() cuts at ASCII white space
     if not words:
-        return [0] * settings.tables
-    joined = b" ".join(words)
+        return b"", np.empty(0, np.int64), np.empty(0, np.int64), 0
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(settings.shingle, len(words))
-    digest, seed = xxhash.xxh64_intdigest, settings.seed
+    starts, k = np.concatenate(([0], ends[:-1] + 1)), min(k, len(words))
     n = len(words) - k + 1
-    # How often each byte stands at each place of a digest gives each bit's count.
+    return b" ".join(words), starts[:n], ends[k - 1 :], n
+
+
+def _digests(joined: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[x:y], seed) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, len(starts))
+
+
+def _count(counts: np.ndarray, h: np.ndarray) -> None:
+    """Adds how often each byte stands at each place of a digest, which gives each bit's count."""
+    for t in range(len(counts)):
+        counts[t] += np.bincount((_mixed(h, t).view(np.uint8).reshape(-1, 8) + _PLACES).ravel(), minlength=2048).reshape(8, 256)
+
+
+def _majority(counts: np.ndarray, n: int) -> list[int]:
+    ones = (counts @ _BYTE_BITS).reshape(len(counts), BITS)
+    return [int.from_bytes(np.packbits(2 * x > n, bitorder="little").tobytes(), "little") for x in ones]
+
+
+def fingerprint(text: str | None, settings: Settings = Settings()) -> list[int]:
+    """The SimHashes of a whole text's word shingles, repeats included, one for each table; 0 for a text without words and for null."""
+    joined, starts, ends, n = _shingles(text, settings.shingle)
+    if not n:
+        return [0] * settings.tables
     counts = np.zeros((settings.tables, 8, 256), np.int64)
     step = 1 << 16
     for at in range(0, n, step):
-        a, b = starts[at : min(n, at + step)].tolist(), ends[at + k - 1 : min(n, at + step) + k - 1].tolist()
-        h = np.fromiter((digest(joined[x:y], seed) for x, y in zip(a, b, strict=True)), np.uint64, len(a))
-        for t in range(settings.tables):
-            counts[t] += np.bincount((_mixed(h, t).view(np.uint8).reshape(-1, 8) + _PLACES).ravel(), minlength=2048).reshape(8, 256)
-    ones = (counts @ _BYTE_BITS).reshape(settings.tables, BITS)
-    return [int.from_bytes(np.packbits(2 * x > n, bitorder="little").tobytes(), "little") for x in ones]
+        _count(counts, _digests(joined, starts[at : at + step], ends[at : at + step], settings.seed))
+    return _majority(counts, n)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -247,11 +265,15 @@ def _first(rows: DataFrame, least: Column, settings: Settings) -> DataFrame:
     """(_fps, first) of rows(fps, ...) in groups of several rows: first is the group's smallest value of least."""
     nodes = stored(rows.groupBy("fps").agg(F.min(least).alias("least"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
     edges = links(nodes.select("id", "fps"), settings)
+    return _lowest(nodes, "fps", edges).withColumnRenamed("fps", "_fps")
+
+
+def _lowest(nodes: DataFrame, by: str, edges: DataFrame) -> DataFrame:
+    """(by, first) of nodes(id, by, least, n) that are linked or of several rows: first is the smallest least of the node's component."""
     joined = components(edges)
-    root = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fps", "least", "n", F.coalesce("component", "id").alias("root"), F.col("component").isNotNull().alias("linked"))
+    root = nodes.join(joined, nodes["id"] == joined["node"], "left").select(by, "least", "n", F.coalesce("component", "id").alias("root"), F.col("component").isNotNull().alias("linked"))
     lowest = root.filter("linked").groupBy("root").agg(F.min("least").alias("first"))
-    found = root.filter("linked").join(lowest, "root").select("fps", "first").union(root.filter("NOT linked AND n > 1").select("fps", F.col("least").alias("first")))
-    return found.withColumnRenamed("fps", "_fps")
+    return root.filter("linked").join(lowest, "root").select(by, "first").union(root.filter("NOT linked AND n > 1").select(by, F.col("least").alias("first")))
 
 
 def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
@@ -279,3 +301,234 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
     wide = _first(slim, rank, settings)
     gone = cut(slim.join(wide, slim["fps"] == wide["_fps"]).filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
     return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
+
+
+@dataclass(frozen=True)
+class Resemblance:
+    """shingle: words in a shingle. similarity: Jaccard similarity of two texts' sets of shingles from which they link.
+    seed: of XXH64. tables: SimHashes of 64 bits of each set. keys, bits: two texts meet if they have all of so many drawn
+    bits alike in one of so many draws. distance, apart: of those that meet, they are compared exactly if this many bits
+    differ at most in the first SimHash and in all of them.
+
+    At similarity 0.8 a bit differs with probability acos(8 / 9) / pi = 0.151, so one key of 18 bits is alike with
+    0.849 ** 18 = 0.052, and one of 160 with 0.999 or more; as the keys share 256 bits, 0.99. distance and apart are four
+    standard deviations above that similarity's means, 9.7 and 38.8."""
+
+    shingle: int = 5
+    similarity: float = 0.8
+    seed: int = 42
+    tables: int = 4
+    keys: int = 160
+    bits: int = 18
+    distance: int = 21
+    apart: int = 62
+
+
+#: Of groups up to _FEW nodes all pairs are looked at together; _DENSE pairs a node make a group one of near copies.
+_FEW, _DENSE = 64, 4
+_ROWS = 1 << 18
+_PAIRS = "wild long, a long, b long, fp long"
+
+
+def shingle_set(text: str | None, settings: Resemblance = Resemblance()) -> np.ndarray:
+    """The digests of a whole text's different shingles, in order."""
+    joined, starts, ends, _ = _shingles(text, settings.shingle)
+    return np.unique(_digests(joined, starts, ends, settings.seed))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets in order; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def sketches(docs: DataFrame, text: str, settings: Resemblance) -> DataFrame:
+    """docs without the text, with _set, a digest of 128 bits of its shingles' set, and fps, the set's SimHashes."""
+    kept = docs.drop(text)
+    short_batches(docs.sparkSession)
+    schema = kept.withColumn("_set", F.lit(b"")).withColumn("fps", F.array(F.lit(0).cast("long"))).schema
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, prints = [], np.zeros((b.num_rows, settings.tables), np.uint64)
+            for i, t in enumerate(b.column(at)):
+                h = shingle_set(t.as_py(), settings)
+                counts = np.zeros((settings.tables, 8, 256), np.int64)
+                _count(counts, h)
+                names.append(xxhash.xxh3_128_digest(h.tobytes()))
+                prints[i] = _majority(counts, len(h))
+            rest = [c for i, c in enumerate(b.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.binary()), pa.array(list(prints.view(np.int64)), pa.list_(pa.int64()))], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _keys(settings: Resemblance):
+    """Rows (wild, id, fp) of each of (id, fps): wild is a key, fp the first SimHash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(settings.seed)
+        drawn = [rng.choice(settings.tables * BITS, settings.bits, replace=False) for _ in range(settings.keys)]
+        weight = 1 << np.arange(settings.bits, dtype=np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            prints = np.ascontiguousarray(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1))
+            ones = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+            for k, places in enumerate(drawn):
+                yield pa.RecordBatch.from_arrays([pa.array((k << settings.bits) + ones[:, places] @ weight), b.column(0), pa.array(prints[:, 0].copy())], names=["wild", "id", "fp"])
+
+    return run
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches sorted by the first, many rows at a time, with whole groups of it."""
+    held: list[list[np.ndarray]] = []
+    rows = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)])
+        rows += b.num_rows
+        if rows >= _ROWS and held[0][0][0] != held[-1][0][-1]:
+            joined = [np.concatenate(c) for c in zip(*held, strict=True)]
+            at = int(np.searchsorted(joined[0], joined[0][-1]))
+            yield [c[:at] for c in joined]
+            held = [[c[at:].copy() for c in joined]]
+            rows = len(held[0][0])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray | None, wild: np.ndarray | None = None, fp: np.ndarray | None = None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    low, high = (a, None) if b is None else (np.minimum(a, b), np.maximum(a, b))
+    return pa.RecordBatch.from_arrays([none if wild is None else pa.array(wild), pa.array(low), none if high is None else pa.array(high), none if fp is None else pa.array(fp)], names=["wild", "a", "b", "fp"])
+
+
+def _meet(settings: Resemblance):
+    """Over rows (wild, id, fp) sorted by wild: pairs (a, b) of a group within the distance. Of a group of near copies, or
+    of many nodes, only a link a node to one that leads it, and the members with b null, for _cross."""
+
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(x ^ y) <= settings.distance
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for wild, ids, signed in _whole(batches):
+            bounds = np.concatenate(([0], np.flatnonzero(wild[1:] != wild[:-1]) + 1, [len(wild)]))
+            size = np.diff(bounds)
+            group, fp = np.repeat(np.arange(len(size)), size), signed.view(np.uint64)
+            rows = np.flatnonzero((size[group] > 1) & (size[group] <= _FEW))
+            found = [np.empty((2, 0), np.int64)]
+            for step in range(1, _FEW):
+                rows = rows[rows + step < bounds[group[rows] + 1]]
+                if not len(rows):
+                    break
+                kept = rows[near(fp[rows], fp[rows + step])]
+                found.append(np.stack([kept, kept + step]))
+            a, b = np.concatenate(found, axis=1)
+            many = (np.bincount(group[a], minlength=len(size)) > _DENSE * size) | (size > _FEW)
+            plain = ~many[group[a]]
+            yield _pair_batch(ids[a[plain]], ids[b[plain]])
+            for g in np.flatnonzero(many).tolist():
+                lo, hi = int(bounds[g]), int(bounds[g + 1])
+                left = lo + np.argsort(ids[lo:hi])
+                for _ in range(_FEW):
+                    alike = near(fp[left], fp[left[0]])
+                    own = left[alike][1:]
+                    yield _pair_batch(ids[own], np.full(len(own), ids[left[0]]))
+                    left = left[~alike]
+                    if len(left) < 2:
+                        break
+                yield _pair_batch(ids[lo:hi], None, wild[lo:hi], signed[lo:hi])
+
+    return run
+
+
+def _cross(settings: Resemblance):
+    """Over rows (wild, id, fp, component) sorted by wild: all pairs within the distance that aren't in one component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for wild, ids, signed, component in _whole(batches):
+            bounds = np.concatenate(([0], np.flatnonzero(wild[1:] != wild[:-1]) + 1, [len(wild)]))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                i, f = ids[lo:hi], signed[lo:hi].view(np.uint64)
+                names, c, n = np.unique(component[lo:hi], return_inverse=True, return_counts=True)
+                if len(names) < 2:
+                    continue
+                rank = np.argsort(np.argsort(n, kind="stable"))[c]  # the largest component's nodes need no search of their own
+                order = np.argsort(rank, kind="stable")
+                i, f, rank = i[order], f[order], rank[order]
+                for at in range(int(np.searchsorted(rank, len(names) - 1))):
+                    first = int(np.searchsorted(rank, rank[at], "right"))
+                    b = first + np.flatnonzero(np.bitwise_count(f[first:] ^ f[at]) <= settings.distance)
+                    if len(b):
+                        yield _pair_batch(np.full(len(b), i[at]), i[b])
+
+    return run
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Resemblance) -> DataFrame:
+    """Those of pairs(a, b) of nodes(id, fps, row) whose texts(_row, _text) have shingles of the similarity."""
+    apart = sum((F.bit_count(F.col("fa")[t].bitwiseXOR(F.col("fb")[t])) for t in range(settings.tables)), F.lit(0))
+    pairs = pairs.join(nodes.select(F.col("id").alias("a"), F.col("fps").alias("fa"), F.col("row").alias("ra")), "a")
+    pairs = pairs.join(nodes.select(F.col("id").alias("b"), F.col("fps").alias("fb"), F.col("row").alias("rb")), "b")
+    near = stored(pairs.filter(apart <= settings.apart).select("a", "b", "ra", "rb"), "simhash-near")
+    asked = near.select(F.col("ra").alias("_row")).union(near.select(F.col("rb").alias("_row"))).distinct()
+    held = stored(texts.join(asked, "_row", "left_semi"), "simhash-texts")
+    both = near.join(held.select(F.col("_row").alias("ra"), F.col("_text").alias("ta")), "ra").join(held.select(F.col("_row").alias("rb"), F.col("_text").alias("tb")), "rb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            kept = []
+            for i in range(batch.num_rows):
+                sets = []
+                for id_, text in ((batch.column(0)[i].as_py(), 2), (batch.column(1)[i].as_py(), 3)):
+                    if id_ not in known:
+                        if len(known) >= 100:
+                            known.pop(next(iter(known)))
+                        known[id_] = shingle_set(batch.column(text)[i].as_py(), settings)
+                    sets.append(known[id_])
+                if jaccard(*sets) >= settings.similarity:
+                    kept.append(i)
+            yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+
+
+def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resemblance()) -> DataFrame:
+    """Edges (a, b) between nodes(id, fps, row), different sets of shingles, of at least the similarity.
+
+    Their components are those of all pairs that meet under a key: in groups of near copies first only the links to
+    leading nodes are verified, and then all pairs that these have left in different components.
+    """
+    spark = nodes.sparkSession
+    keyed = nodes.select("id", "fps").mapInArrow(_keys(settings), "wild long, id long, fp long")
+    found = stored(keyed.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
+    tested = stored(found.filter("b IS NOT NULL").select("a", "b").distinct(), "simhash-tested")
+    edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges")
+    many = found.filter("b IS NULL").select("wild", F.col("a").alias("id"), "fp")
+    if not many.head(1):
+        return edges
+    joined = components(edges)
+    many = many.join(joined, many["id"] == joined["node"], "left").select("wild", "id", "fp", F.coalesce("component", "id").alias("component"))
+    split = many.groupBy("wild").agg((F.min("component") < F.max("component")).alias("split")).filter("split").select("wild")
+    rest = many.join(split, "wild", "left_semi").repartition("wild").sortWithinPartitions("wild").mapInArrow(_cross(settings), _PAIRS)
+    rest = rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+    return edges.union(stored(_verified(stored(rest, "simhash-rest"), nodes, texts, settings), "simhash-edges"))
+
+
+def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Resemblance = Resemblance()) -> DataFrame:
+    """The rows of docs of which none of the same group stands before them, as deduplicated(); groups are of links by resemblance."""
+    plain, names = hidden(docs)
+    key = names[key]
+    rows = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
+    texts = rows.select("_row", F.col(names[text]).alias("_text"))
+    slim = stored(sketches(rows.select(F.col(key), "_row", F.col(names[text]).alias("_text")), "_text", settings), "simhash-sketches")
+    nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fps").alias("fps"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
+    wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
+    gone = cut(slim.join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
+    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))

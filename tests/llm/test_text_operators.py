@@ -316,6 +316,66 @@ def test_nodes_that_share_a_tables_fingerprint_are_compared_once(spark):
     assert [found.get(i, i) for i in range(len(nodes))] == plain_groups(nodes, settings.distance)
 
 
+def plain_set(text, k=5):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split(" ")
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def copies(rng, bases, of, words):
+    """Texts with copies that each differ from the first by some replaced words."""
+    out = []
+    for _ in range(bases):
+        base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        out.append(" ".join(base))
+        for _ in range(of):
+            other = list(base)
+            for _ in range(rng.randint(1, words // 35)):
+                other[rng.randrange(words)] = f"n{rng.randrange(10**6)}"
+            out.append(" ".join(other))
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("bases, of", [(150, 3), (1, 150)])
+def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of):
+    """Against all pairs by brute force; the second is one group of more nodes than are compared pair by pair."""
+    texts = copies(random.Random(3), bases, of, 210)
+    sets, linked, apart = [plain_set(t) for t in texts], [], 0
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both / len(sets[i] | sets[j]) >= 0.8:
+                linked.append((j, i, both / len(sets[i] | sets[j])))
+    near = [x for *_, x in linked if x < 0.85]
+    assert len(near) > 50
+    label = list(range(len(texts)))
+    for a, b, _ in linked:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    nodes = simhash.sketches(docs.withColumn("row", F.col("doc_id")).withColumnRenamed("doc_id", "id"), "text", simhash.Resemblance())
+    edges = simhash.resembling(nodes, docs.select(F.col("doc_id").alias("_row"), F.col("text").alias("_text")))
+    found = {(r["a"], r["b"]) for r in edges.collect()}
+    assert found <= {(a, b) for a, b, _ in linked}
+    if bases > 1:
+        share = sum((a, b) in found for a, b, x in linked if x < 0.85) / len(near)
+        print(f"{len(linked)} pairs, {len(found)} found; from 0.8 to 0.85 {len(near)}, found {share:.4f}")
+        assert share > 0.98
+    kept = {r["doc_id"] for r in simhash.without_copies(docs).collect()}
+    assert len(kept ^ set(label)) <= len(set(label)) // 100
+
+
+def test_copies_of_odd_rows(spark):
+    docs = clash(small_docs(spark), "fps", "_set", "_row", "_text", "least")
+    kept = simhash.without_copies(docs)
+    assert kept.columns == docs.columns
+    left = kept.collect()
+    assert sum(r["doc_id"] == 5 for r in left) == 1
+    assert sum(not (r["text"] or "").split() for r in left) == 1
+    assert {r["_row"] for r in left} == {"own _row"}
+    assert simhash.without_copies(empty(spark)).count() == 0
+
+
 # -- mixing
 
 
