@@ -1,8 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model's units are characters of a fixed alphabet of 64 symbols: 0 bounds a text, 1 to 62 are the characters most
-frequent in the trusted text, 63 is any other. So an n-gram is a whole number below 64 ** n, and the tables have a
-proven size whatever the corpus: at most 2 ** 24 rows for the four-grams.
+The model's units are characters: symbol 0 bounds a text, the last one is any character that the trusted text lacks, and
+those between are its characters by frequency. Documents are judged with 2 ** 15 symbols, which holds every character of
+the scripts in use side by side, so an n-gram is a whole number below 2 ** (15 * n). The tables have a row for each
+n-gram seen.
 """
 
 from __future__ import annotations
@@ -23,25 +24,26 @@ SYMBOLS, ORDER = 64, 4
 _CODES = 0x110000
 #: Texts whose characters stand in arrays at a time.
 AT_ONCE = 200
+#: Different four-grams that a task holds while it counts.
+MOST = 2_000_000
 
 
 @dataclass(frozen=True)
 class Settings:
     """quantile: of the trusted texts' perplexity in each language, above which a text is rejected. accuracy: of the
-    approximate quantile (1 / accuracy is its error in rank). slack: the threshold is raised by this share over the root
-    of the texts' number, as the quantile of a few texts is no sure one."""
+    approximate quantile (1 / accuracy is its error in rank). symbols: of the alphabet, a power of two up to 2 ** 15."""
 
     quantile: float = 0.995
     accuracy: int = 20_000
-    slack: float = 2.0
+    symbols: int = 1 << 15
 
 
 def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def alphabet(texts: DataFrame) -> dict[int, int]:
-    """Symbols 1 to 62 by code point, of texts(text): counted over all of it, ties to the smaller code point."""
+def alphabet(texts: DataFrame, symbols: int = SYMBOLS) -> dict[int, int]:
+    """Symbols 1 to symbols - 2 by code point, of texts(text): counted over all of it, ties to the smaller code point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CODES, np.int64)
@@ -52,45 +54,49 @@ def alphabet(texts: DataFrame) -> dict[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["code", "n"])
 
     per = texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return {r["code"]: i + 1 for i, r in enumerate(per.orderBy(F.desc("n"), "code").limit(SYMBOLS - 2).collect())}
+    return {r["code"]: i + 1 for i, r in enumerate(per.orderBy(F.desc("n"), "code").limit(symbols - 2).collect())}
 
 
-def _lookup(letters: dict[int, int]) -> np.ndarray:
-    table = np.full(_CODES, SYMBOLS - 1, np.uint8)
+def _lookup(letters: dict[int, int], symbols: int) -> np.ndarray:
+    table = np.full(_CODES, symbols - 1, np.uint16)
     table[list(letters)] = list(letters.values())
     return table
 
 
-def _grams(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _grams(texts: list[str], table: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """The four-grams that end at each character and at the text's end, of all texts in turn, and each text's number of them."""
     length = np.fromiter(map(len, texts), np.int64, len(texts))
     pad = ORDER - 1
-    symbols = np.zeros(int(length.sum()) + (pad + 1) * len(texts) + pad, np.int32)
+    row = np.zeros(int(length.sum()) + (pad + 1) * len(texts) + pad, np.int64)
     starts = np.cumsum(length + pad + 1) - (length + 1)  # of each text's characters
     if len(texts):
         own = np.repeat(starts - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        symbols[own] = table[_codes(texts)]
-    every = np.zeros(len(symbols) - pad, np.int32)
+        row[own] = table[_codes(texts)]
+    every = np.zeros(len(row) - pad, np.int64)
     for k in range(ORDER):
-        every = every * SYMBOLS + symbols[k : k + len(every)]
+        every = every * symbols + row[k : k + len(every)]
     n = length + 1
     ends = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     return every[ends - pad], n
 
 
-def counts(texts: DataFrame, letters: dict[int, int]) -> DataFrame:
+def counts(texts: DataFrame, letters: dict[int, int], symbols: int = SYMBOLS) -> DataFrame:
     """(fold, gram, c): four-grams over all of texts(fold, text), fold being 0 or 1. A task adds up what it has counted before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, keys, sums = _lookup(letters), np.empty(0, np.int64), np.empty(0, np.int64)
+        table, top = _lookup(letters, symbols), symbols**ORDER
+        keys, sums = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in batches:
             for at in range(0, b.num_rows, AT_ONCE):
                 rows = [(f, t) for f, t in zip(b.column(0).slice(at, AT_ONCE).to_pylist(), b.column(1).slice(at, AT_ONCE).to_pylist(), strict=True) if t]
-                grams, n = _grams([t for _, t in rows], table)
-                new, c = np.unique(grams + np.repeat(np.array([f for f, _ in rows], np.int32) * SYMBOLS**ORDER, n), return_counts=True)
+                grams, n = _grams([t for _, t in rows], table, symbols)
+                new, c = np.unique(grams + np.repeat(np.array([f for f, _ in rows], np.int64) * top, n), return_counts=True)
                 keys, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
                 sums = np.bincount(where, np.concatenate([sums, c]), len(keys)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys // SYMBOLS**ORDER), pa.array(keys % SYMBOLS**ORDER), pa.array(sums)], names=["fold", "gram", "c"])
+                if len(keys) > MOST:  # the rest of the sum is the shuffle's
+                    yield pa.RecordBatch.from_arrays([pa.array(keys // top), pa.array(keys % top), pa.array(sums)], names=["fold", "gram", "c"])
+                    keys, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys // top), pa.array(keys % top), pa.array(sums)], names=["fold", "gram", "c"])
 
     return texts.select("fold", "text").mapInArrow(run, "fold long, gram long, c long").groupBy("fold", "gram").agg(F.sum("c").alias("c"))
 
@@ -102,76 +108,86 @@ def discounts(n: list[int]) -> list[float]:
     return [min(k, max(0.01, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else min(k, 0.5 + 0.25 * k) for k in (1, 2, 3)]
 
 
-def estimate(fours: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+def estimate(fours: DataFrame, symbols: int = SYMBOLS) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1 up: (gram, p) of the n-grams seen, and (context, backoff) of the contexts seen.
 
     The four-grams keep their counts, and shorter ones have the number of symbols seen before them. Every join is by
-    gram, context or suffix, whose hash shards both sides; the largest table has 2 ** 24 rows at most.
+    gram, context or suffix, whose hash shards both sides.
     """
     levels = {ORDER: cut(fours)}
     for n in range(ORDER - 1, 0, -1):
-        levels[n] = cut(levels[n + 1].groupBy((F.col("gram") % SYMBOLS**n).alias("gram")).agg(F.count("*").alias("c")))
+        levels[n] = cut(levels[n + 1].groupBy((F.col("gram") % symbols**n).alias("gram")).agg(F.count("*").alias("c")))
     out: list[tuple[DataFrame, DataFrame]] = []
     for n in range(1, ORDER + 1):
-        level = levels[n].withColumn("context", F.floor(F.col("gram") / SYMBOLS).cast("long"))
+        level = levels[n].withColumn("context", F.shiftright("gram", symbols.bit_length() - 1))
         numbers = level.agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
         d = discounts(list(numbers))
         off = F.when(F.col("c") == 1, F.lit(d[0])).when(F.col("c") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
         contexts = cut(level.withColumn("d", off).groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("backoff")))
         joined = level.withColumn("d", off).join(contexts, "context")
         if n == 1:
-            lower = F.lit(1.0 / SYMBOLS)
+            lower = F.lit(1.0 / symbols)
         else:
             below = out[-1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-            joined, lower = joined.withColumn("suffix", F.col("gram") % SYMBOLS ** (n - 1)).join(below, "suffix"), F.col("lower")
+            joined, lower = joined.withColumn("suffix", F.col("gram") % symbols ** (n - 1)).join(below, "suffix"), F.col("lower")
         out.append((cut(joined.select("gram", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("backoff") * lower).alias("p"))), contexts.select("context", "backoff")))
     return out
 
 
 def _column(df: DataFrame, *names: str) -> list[np.ndarray]:
+    """Columns in the order of the first."""
     t = df.select(*names).toArrow()
-    return [t.column(n).to_numpy() for n in names]
+    order = np.argsort(t.column(names[0]).to_numpy())
+    return [t.column(n).to_numpy()[order] for n in names]
 
 
 @dataclass(frozen=True)
 class Model:
-    """letters and, by order, grams seen with p, contexts seen with their backoff: bounded by the alphabet, so it may be broadcast."""
+    """letters and, by order, grams seen with p, contexts seen with their backoff, both in order: what was seen, so it may be broadcast."""
 
     letters: dict[int, int]
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    symbols: int = SYMBOLS
+
+    def logs(self, fours: np.ndarray) -> np.ndarray:
+        """ln p of four-grams, seen or not."""
+        p = np.full(len(fours), 1.0 / self.symbols)
+        for n, (grams, seen, contexts, backoff) in enumerate(self.levels, 1):
+            gram = fours % self.symbols**n
+            at, found = _at(contexts, gram // self.symbols)
+            p[found] *= backoff[at[found]]
+            at, found = _at(grams, gram)
+            p[found] = seen[at[found]]
+        return np.log(p)
 
     def table(self) -> np.ndarray:
-        """ln p of every four-gram, seen or not, as 2 ** 24 floats; made in place, a first symbol at a time."""
-        low = np.full(SYMBOLS, 1.0 / SYMBOLS)
-        for n, (grams, p, contexts, backoff) in enumerate(self.levels, 1):
-            weight = np.ones(SYMBOLS ** (n - 1))
-            weight[contexts] = backoff
-            # A gram's suffix is the gram without its first symbol: p of the order below, for each first symbol again.
-            made = np.empty((1 if n == 1 else SYMBOLS, low.size), np.float32 if n == ORDER else np.float64)
-            for row, of in zip(made, weight.reshape(len(made), -1), strict=True):
-                row[:] = (low.reshape(-1, SYMBOLS) * of[:, None]).ravel()
-            low = made.ravel()
-            low[grams] = p
-        return np.log(low, out=low)
-
-
-def train(texts: DataFrame) -> list[Model | None]:
+        """ln p of every four-gram; for small alphabets."""
+        return self.logs(np.arange(self.symbols**ORDER))
+
+
+def _at(table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each asked number stands in a table in order, and whether it does."""
+    at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
+    return at, table[at] == asked
+
+
+def train(texts: DataFrame, symbols: int = SYMBOLS) -> list[Model | None]:
     """Of all of texts(text): the model; the one of half of the texts, by a hash of the text; and that of the other half.
 
     Counts add up, so the texts are counted once. None where there are no characters. A text's half is in fold.
     """
     short_batches(texts.sparkSession)
-    letters = alphabet(texts)
+    letters = alphabet(texts, symbols)
     if not letters:
         return [None, None, None]
-    every = cut(counts(texts.select(fold(F.col("text")).alias("fold"), "text"), letters))
+    every = cut(counts(texts.select(fold(F.col("text")).alias("fold"), "text"), letters, symbols))
     out: list[Model | None] = []
     for part in (every, every.filter("fold = 1"), every.filter("fold = 0")):
         if not part.head(1):
             out.append(None)
             continue
-        levels = estimate(part.groupBy("gram").agg(F.sum("c").alias("c")))
-        out.append(Model(letters, [(*_column(p, "gram", "p"), *_column(c, "context", "backoff")) for p, c in levels]))
+        levels = estimate(part.groupBy("gram").agg(F.sum("c").alias("c")), symbols)
+        out.append(Model(letters, [(*_column(p, "gram", "p"), *_column(c, "context", "backoff")) for p, c in levels], symbols))
     return out
 
 
@@ -194,15 +210,16 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        known, table = (_lookup(model.letters), model.table()) if model else (None, None)
+        known = _lookup(model.letters, model.symbols) if model else None
         for b in batches:
             for first in range(0, b.num_rows, AT_ONCE):
                 s = b.slice(first, AT_ONCE)
                 texts = [t or "" for t in s.column(at).to_pylist()]
                 out, total = [None] * len(texts), [0] * len(texts)
                 if model and texts:
-                    grams, n = _grams(texts, known)
-                    sums = np.add.reduceat(table[grams].astype(np.float64), np.cumsum(n) - n)
+                    grams, n = _grams(texts, known, model.symbols)
+                    different, where = np.unique(grams, return_inverse=True)
+                    sums = np.add.reduceat(model.logs(different)[where], np.cumsum(n) - n)
                     for i, (t, x, k) in enumerate(zip(texts, sums.tolist(), n.tolist(), strict=True)):
                         if t:
                             out[i], total[i] = math.exp(-x / k), k
@@ -229,7 +246,7 @@ def thresholds(good: DataFrame, halves: list[Model | None], lang: str, settings:
         part = perplexity(good.filter(fold(F.col("text")) == k), model).filter("perplexity IS NOT NULL").select(F.col(lang).alias("l"), "perplexity")
         scored = part if scored is None else scored.union(part)
     scored = cut(scored)
-    level = (F.percentile_approx("perplexity", settings.quantile, settings.accuracy) * (1 + settings.slack / F.sqrt(F.count("*")))).alias("x")
+    level = F.percentile_approx("perplexity", settings.quantile, settings.accuracy).alias("x")
     return {r["l"]: r["x"] for r in scored.groupBy("l").agg(level).collect()}, scored.agg(level).first()["x"]
 
 
@@ -242,7 +259,7 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "
     an empty table gives an empty one.
     """
     good = trusted(docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels, "key").select("lang", "text")
-    model, *halves = train(good)
+    model, *halves = train(good, settings.symbols)
     by, rest = thresholds(good, halves, "lang", settings) if all(halves) else ({}, None)
     level: Column = F.lit(rest).cast("double")
     named = {k: v for k, v in by.items() if k is not None}

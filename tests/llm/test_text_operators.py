@@ -208,6 +208,22 @@ def test_quality_of_odd_rows(spark):
     assert quality.judged(empty(spark), labels).count() == 0
 
 
+def test_quality_tells_junk_of_a_second_script(spark):
+    """Cyrillic beside much more Latin text, of more characters than a small alphabet holds: its junk is told from its clean text."""
+    rng = random.Random(5)
+    latin = [chr(c) for c in range(97, 123)] + [chr(c) for c in range(0xC0, 0xF7)]
+    cyrillic = [chr(c) for c in range(0x430, 0x450)]
+    words = {s: ["".join(rng.choices(a, k=rng.randint(2, 7))) for _ in range(40)] for s, a in (("la", latin), ("cy", cyrillic))}
+    text = lambda s: " ".join(rng.choices(words[s], k=60))
+    clean = [(s, text(s)) for s, n in (("la", 200), ("cy", 40)) for _ in range(n)]
+    junk = [("cy", " ".join("".join(rng.choices(cyrillic, k=rng.randint(2, 7))) for _ in range(60))) for _ in range(40)]
+    docs = spark.createDataFrame([(i, *d) for i, d in enumerate(clean + junk)], "doc_id long, lang string, text string")
+    labels = spark.range(240).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    kept = {r["doc_id"]: r["keep"] for r in quality.judged(docs, labels).collect()}
+    assert sum(kept[i] for i in range(240)) >= 237
+    assert not any(kept[i] for i in range(240, 280))
+
+
 # -- SimHash
 
 
