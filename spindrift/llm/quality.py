@@ -30,11 +30,13 @@ MOST = 2_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """quantile: of the trusted texts' perplexity in each language, above which a text is rejected. accuracy: of the
-    approximate quantile (1 / accuracy is its error in rank). symbols: of the alphabet, a power of two up to 2 ** 15."""
+    """quantile: of the trusted texts' excess in each language, above which a text is rejected. accuracy: of the
+    approximate quantile (1 / accuracy is its error in rank). weight: symbols that a text needs for half of its log
+    perplexity's distance from the language's median to count, as that of a few symbols varies far more. symbols: of the alphabet, a power of two up to 2 ** 15."""
 
     quantile: float = 0.995
     accuracy: int = 20_000
+    weight: int = 100
     symbols: int = 1 << 15
 
 
@@ -235,39 +237,51 @@ def trusted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFram
     return docs.join(small(good, good.count()).withColumnRenamed("_good", name := fresh(docs, "_good")), docs[key] == F.col(name), "left_semi")
 
 
-def thresholds(good: DataFrame, halves: list[Model | None], lang: str, settings: Settings) -> tuple[dict[str | None, float], float | None]:
-    """Of good(text, lang): each language's threshold, and that of all; one number a language reaches the driver.
+def _of(lang: Column, by: dict[str | None, float], rest: float | None) -> Column:
+    """A language's number; rest for one that has none. A null language is one."""
+    out: Column = F.lit(rest).cast("double")
+    named = {k: v for k, v in by.items() if k is not None}
+    if named:
+        out = F.coalesce(F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[lang], out)
+    return F.when(lang.isNull(), F.lit(by[None])).otherwise(out) if None in by else out
+
+
+def thresholds(good: DataFrame, halves: list[Model | None], lang: str, settings: Settings) -> list[tuple[dict[str | None, float], float | None]]:
+    """Of good(text, lang): the median of log perplexity by language and of all, and so the quantile of the excess over
+    the median, which counts by the text's length; two numbers a language reach the driver.
 
     Each text is scored by the half of the texts that it isn't of: scored by what learned it, it would seem better than
     any new text can.
     """
     scored = None
     for k, model in enumerate(halves):
-        part = perplexity(good.filter(fold(F.col("text")) == k), model).filter("perplexity IS NOT NULL").select(F.col(lang).alias("l"), "perplexity")
+        part = perplexity(good.filter(fold(F.col("text")) == k), model).filter("perplexity IS NOT NULL").select(F.col(lang).alias("l"), F.ln("perplexity").alias("x"), F.col("symbols").alias("n"))
         scored = part if scored is None else scored.union(part)
     scored = cut(scored)
-    level = F.percentile_approx("perplexity", settings.quantile, settings.accuracy).alias("x")
-    return {r["l"]: r["x"] for r in scored.groupBy("l").agg(level).collect()}, scored.agg(level).first()["x"]
+
+    def level(of: DataFrame, x: Column, quantile: float, *by: str) -> list:
+        return of.groupBy(*by).agg(F.percentile_approx(x, quantile, settings.accuracy).alias("x")).collect()
+
+    middle = {r["l"]: r["x"] for r in level(scored, F.col("x"), 0.5, "l")}, level(scored, F.col("x"), 0.5)[0]["x"]
+    counted = F.col("n") / (F.col("n") + settings.weight)
+    above = {r["l"]: r["x"] for r in level(scored, (F.col("x") - _of(F.col("l"), *middle)) * counted, settings.quantile, "l")}
+    return [middle, (above, level(scored, (F.col("x") - F.lit(middle[1])) * counted, settings.quantile)[0]["x"])]
 
 
 def judged(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """docs with perplexity, symbols, threshold and keep (replacing columns of these names).
 
     keep: the perplexity isn't above the threshold of the trusted texts of the same language (of all trusted texts, if
-    the language has none; a null language is one). A null or empty text isn't kept. Without any trusted text there is no
+    the language has none; a null language is one), which is higher for a shorter text. A null or empty text isn't kept. Without any trusted text there is no
     threshold, and every text with a character is kept. Equal texts of one language are judged alike; repeated rows stay;
     an empty table gives an empty one.
     """
     good = trusted(docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels, "key").select("lang", "text")
     model, *halves = train(good, settings.symbols)
-    by, rest = thresholds(good, halves, "lang", settings) if all(halves) else ({}, None)
-    level: Column = F.lit(rest).cast("double")
-    named = {k: v for k, v in by.items() if k is not None}
-    if named:
-        level = F.coalesce(F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[F.col(lang)], level)
-    if None in by:
-        level = F.when(F.col(lang).isNull(), F.lit(by[None])).otherwise(level)
+    middle, above = thresholds(good, halves, "lang", settings) if all(halves) else [({}, None)] * 2
     made = ["perplexity", "symbols", "threshold", "keep"]
     kept = docs.select(*[c for c in docs.columns if c not in made or c in (text, lang, key)])
-    scored = perplexity(kept, model, text).withColumn("threshold", level)
+    scored = perplexity(kept, model, text)
+    level = F.exp(_of(F.col(lang), *middle) + _of(F.col(lang), *above) * (F.col("symbols") + settings.weight) / F.col("symbols"))
+    scored = scored.withColumn("threshold", F.when(F.col("symbols") > 0, level))
     return scored.withColumn("keep", F.coalesce(F.length(text) > 0, F.lit(False)) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))

@@ -224,6 +224,15 @@ def test_quality_tells_junk_of_a_second_script(spark):
     assert not any(kept[i] for i in range(240, 280))
 
 
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_quality_rejects_nearly_all_labelled_junk(spark, sf):
+    found = q.op3_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
+    good, junk = found[(found.quality == 1) & (found.toxic == 0)], found[found.quality == 0]
+    print(f"{sf}: kept {good.keep.mean():.4f} of {len(good)} good, {junk.keep.mean():.4f} of {len(junk)} junk")
+    assert good.keep.mean() > 0.985
+    assert junk.keep.mean() < 0.1
+
+
 # -- SimHash
 
 
