@@ -278,7 +278,8 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "
     """
     good = trusted(docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels, "key").select("lang", "text")
     model, *halves = train(good, settings.symbols)
-    middle, above = thresholds(good, halves, "lang", settings) if all(halves) else [({}, None)] * 2
+    # Where all trusted texts are of one half, there is no other to score them by than the whole.
+    middle, above = thresholds(good, [h or model for h in halves], "lang", settings) if model else [({}, None)] * 2
     made = ["perplexity", "symbols", "threshold", "keep"]
     kept = docs.select(*[c for c in docs.columns if c not in made or c in (text, lang, key)])
     scored = perplexity(kept, model, text)

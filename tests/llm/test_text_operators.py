@@ -233,6 +233,12 @@ def test_quality_rejects_nearly_all_labelled_junk(spark, sf):
     assert junk.keep.mean() < 0.1
 
 
+def test_quality_with_trusted_texts_of_one_half(spark):
+    docs = spark.createDataFrame([(1, "en", "the cat sat on the mat " * 9), (2, "en", "the cat sat on the mat " * 9), (3, "en", "#@! zq% " * 20)], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert {r["doc_id"]: r["keep"] for r in quality.judged(docs, labels).collect()} == {1: True, 2: True, 3: False}
+
+
 # -- SimHash
 
 
