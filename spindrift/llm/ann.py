@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,20 +13,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import stored
-from spindrift.llm.vectors import dimension, dots, kmeans, matrix, proper, sample
+from spindrift.llm.shared import cut, small, stored
+from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample
 
 
 @dataclass(frozen=True)
 class Settings:
-    """neighbours: how many are wanted. recall: that calibration must reach. sample: vectors that the tree is fitted on.
-    branching and leaf: children of a node, and sampled vectors in a leaf, at most. rounds: of k-means. calibration:
-    queries whose exact neighbours are found to learn how many leaves must be visited. block: indexed vectors, and
-    queries, that meet in one task."""
+    """neighbours: how many are wanted. recall: that calibration must reach. sample: vectors that the tree is fitted on, or
+    a share of 1 / per_sampled of the rows if that is more, and never more than sample_bytes hold. branching and leaf:
+    children of a node, and sampled vectors in a leaf, at most. rounds: of k-means. calibration: queries whose exact
+    neighbours are found to learn how far the search must widen. block, queries: indexed vectors, and queries, that meet
+    in one task."""
 
     neighbours: int = 20
     recall: float = 0.97
     sample: int = 16_384
+    per_sampled: int = 64
+    sample_bytes: int = 32 << 20
     branching: int = 16
     leaf: int = 48
     rounds: int = 6
@@ -35,10 +38,14 @@ class Settings:
     queries: int = 8192
     seed: int = 31
 
+    def sampled(self, rows: int, dim: int) -> int:
+        return max(1, min(max(self.sample, rows // self.per_sampled), self.sample_bytes // (8 * dim)))
+
 
 @dataclass
 class Tree:
-    """centres by node, children by node (none: a leaf), the leaf's number by node, and the largest norm.
+    """centres by node, children by node (none: a leaf), the leaf's number by node, and the largest norm; means and
+    spread: of the sampled vectors below each node, and their root mean square distance from that.
 
     The largest inner product is the smallest distance once every vector has one more component, that brings it to the
     largest norm, and a query has 0 there.
@@ -46,6 +53,8 @@ class Tree:
 
     norm: float
     centres: list[np.ndarray] = field(default_factory=list)
+    means: list[np.ndarray] = field(default_factory=list)
+    spread: list[float] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     leaves: int = 0
@@ -69,23 +78,27 @@ class Tree:
                 todo += [(k, rows[near == i]) for i, k in enumerate(kids)]
         return out
 
-    def order(self, q: np.ndarray, most: int) -> np.ndarray:
-        """For each query the first leaves in the order of best-bin-first traversal, as many as most says."""
-        most = min(most, self.leaves)
-        flat = np.hstack([q, np.zeros((len(q), 1))])
-        c = np.array(self.centres)
-        far = (c * c).sum(1)[None] - 2 * flat @ c.T
-        out = np.zeros((len(q), most), np.int32)
-        for i, d in enumerate(far.tolist()):
-            heap, n = [(d[0], 0)], 0
-            while heap and n < most:
-                _, node = heapq.heappop(heap)
-                kids = self.children[node]
-                if not kids:
-                    out[i, n] = self.leaf[node]
-                    n += 1
-                for k in kids:
-                    heapq.heappush(heap, (d[k], k))
+    def visits(self, q: np.ndarray, bound: np.ndarray, slack: float, sizes: np.ndarray, least: int) -> list[list[int]]:
+        """For each query the leaves of best-bin-first traversal, best first.
+
+        A node's priority is what its vectors may score: the query's product with their mean, and slack times their
+        spread. Nodes come from a priority queue, until the next one may not reach the query's bound and the leaves
+        visited hold at least so many rows. So each query widens as far as its own bound asks.
+        """
+        may = q @ np.array(self.means).T + slack * np.linalg.norm(q, axis=1)[:, None] * np.array(self.spread)[None]
+        out = []
+        for best, floor in zip((-may).tolist(), (-bound).tolist(), strict=True):
+            heap, leaves, rows = [(best[0], 0)], [], 0
+            while heap:
+                far, node = heapq.heappop(heap)
+                if far > floor and rows >= least:
+                    break
+                for k in self.children[node]:
+                    heapq.heappush(heap, (best[k], k))
+                if not self.children[node]:
+                    leaves.append(self.leaf[node])
+                    rows += sizes[self.leaf[node]]
+            out.append(leaves)
         return out
 
 
@@ -95,8 +108,10 @@ def fit(x: np.ndarray, norm: float, settings: Settings = Settings()) -> Tree:
     y = tree.lifted(x)
 
     def grow(rows: np.ndarray, centre: np.ndarray) -> int:
-        me = len(tree.centres)
+        me, mean = len(tree.centres), x[rows].mean(0)
         tree.centres.append(centre)
+        tree.means.append(mean)
+        tree.spread.append(float(np.sqrt(((x[rows] - mean) ** 2).sum(1).mean())))
         tree.children.append([])
         tree.leaf.append(-1)
         parts = []
@@ -112,21 +127,39 @@ def fit(x: np.ndarray, norm: float, settings: Settings = Settings()) -> Tree:
         return me
 
     grow(np.arange(len(y)), y.mean(0))
+    # A leaf of few sampled vectors tells little of how far its rows lie apart.
+    ends = [i for i, kids in enumerate(tree.children) if not kids]
+    usual = float(np.median([tree.spread[i] for i in ends]))
+    for i in ends:
+        tree.spread[i] = max(tree.spread[i], usual)
     return tree
 
 
-def visits(orders: np.ndarray, leaf_of: list[list[int]], target: float) -> tuple[int, float]:
-    """How many leaves must be visited so that the mean recall of the true neighbours, whose leaves are given, reaches target; and that recall."""
-    at = [[int(np.flatnonzero(o == x)[0]) for x in leaves] for o, leaves in zip(orders, leaf_of, strict=True) if leaves]
-    if not at:
-        return 1, 1.0
-    m, most = 1, orders.shape[1]
-    while (found := float(np.mean([np.mean([x < m for x in a]) for a in at]))) < target and m < most:
-        m = min(most, max(m + 1, math.ceil(m * 1.05)))
-    return m, found
+def bounds(q: np.ndarray, q_id: np.ndarray, s: np.ndarray, s_id: np.ndarray, k: int, norm: float) -> np.ndarray:
+    """A score that each query's k-th best isn't below: the k-th best among the sampled vectors, but for rounding; none if there are fewer."""
+    score = np.where(q_id[:, None] != s_id[None], q @ s.T, -np.inf)
+    if score.shape[1] <= k:
+        return np.full(len(q), -np.inf)
+    return np.partition(score, -k, axis=1)[:, -k] - _ROUNDING * np.linalg.norm(q, axis=1) * norm
+
+
+def calibrated(tree: Tree, q: np.ndarray, bound: np.ndarray, sizes: np.ndarray, k: int, leaf_of: list[list[int]], target: float) -> float:
+    """The smallest slack of a series at which the mean recall of the true neighbours, whose leaves are given, reaches target."""
+    known = [i for i, leaves in enumerate(leaf_of) if leaves]
+    slack = 0.0
+    while known:
+        seen = tree.visits(q[known], bound[known], slack, sizes, k + 1)
+        if np.mean([np.mean(np.isin(leaf_of[i], v)) for i, v in zip(known, seen, strict=True)]) >= target:
+            break
+        if all(len(v) == tree.leaves for v in seen):
+            break
+        slack = max(0.1, slack * 1.15)
+    return slack
 
 
-_FOUND = "query_id long, vec_id long, score double"
+#: Two ways to sum an inner product differ by this share of the vectors' norms at most, and not by one of the product, which may be near 0.
+_ROUNDING = 1e-9
+_FOUND, _RANKED = "query_id long, vec_id long, score double", "query_id long, rank int, vec_id long, score double"
 
 
 def _best(q_id: np.ndarray, v_id: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -150,7 +183,8 @@ def _meet(q: np.ndarray, q_id: np.ndarray, bound: np.ndarray, x: np.ndarray, x_i
         if len(i) > 64 * k * 512:  # far more than can be among the best: those below each query's k-th are left out first
             s = np.where(hit, s, -np.inf)
             floor = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
-            i, j = np.nonzero(hit & (s >= floor[:, None] - 1e-9 * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]))
+            far = _ROUNDING * np.linalg.norm(q[at : at + 512], axis=1) * np.sqrt((x * x).sum(1).max())
+            i, j = np.nonzero(hit & (s >= (floor - far)[:, None]))
         exact = dots(q[at + i], x[j])
         keep = _best(q_id[at + i], x_id[j], exact, k)
         parts.append((q_id[at + i][keep], x_id[j][keep], exact[keep]))
@@ -161,28 +195,36 @@ def _meet(q: np.ndarray, q_id: np.ndarray, bound: np.ndarray, x: np.ndarray, x_i
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", settings: Settings = Settings()) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's nearest, by largest inner product in double precision.
 
-    The tree is fitted on a bounded sample, and every row is indexed under its leaf. Calibration finds the exact
-    neighbours of a few queries in all rows and widens the number of leaves visited until their recall is reached; the
-    search visits as many for each query, by best-bin-first traversal. Leaves are packed into blocks, and a leaf of many
-    rows is dealt to several; queries come to each block that holds one of their leaves. A block leaves out what is below
-    the k-th score of the sampled vectors in the leaves that the query visits, which can't be among its k best there.
+    The tree is fitted on a bounded sample, and every row is indexed under its leaf. A query's bound is its k-th best
+    score among the sampled vectors, and best-bin-first traversal visits the leaves that may reach it; how far a leaf's
+    rows are taken to spread is calibrated by the exact neighbours of a few queries in all rows, until their recall is
+    reached. Leaves are packed into blocks, and a leaf of many rows is dealt to several; queries come to each block that
+    holds one of their leaves, and a block that many queries visit is copied for each batch of them.
 
-    Vectors that are null, zero, of null or non-finite components, or of another length than most, and rows of null key
-    take no part. Rows of one key never are each other's neighbours, and count once, by the best score. Ties go to the
-    smaller key. A query finds all candidates if there are no more than wanted. No vectors: no rows.
+    A query's candidates are the vectors of its length, and each length that occurs is searched by a tree of its own.
+    Vectors that are null, zero or of null or non-finite components and rows of null key take no part. Rows of one key
+    never are each other's neighbours, and count once, by the best score. Ties go to the smaller key. A query finds all
+    candidates if there are no more than wanted. No vectors: no rows.
     """
-    spark, k = vectors.sparkSession, settings.neighbours
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query")).filter(proper(F.col("v")) & F.col("id").isNotNull())
-    dim = dimension(rows)
-    if dim is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("v") == dim)
+    found = [_search(rows.filter(F.size("v") == dim), dim, settings) for dim in lengths(rows)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], _RANKED)
+    return reduce(DataFrame.union, found)
+
+
+def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
+    """search() of rows(id, v, query) of one length."""
+    spark, k = rows.sparkSession, settings.neighbours
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     total, queries, norm = rows.agg(F.count("*"), F.sum(F.col("query").cast("long")), F.sqrt(F.max(square))).first()
-    picked = sample(rows.select("id", "v"), "id", settings.sample, total, settings.seed).toArrow()
-    s_id, s = picked["id"].to_numpy(), matrix(picked["v"], dim)
+    if not queries:
+        return spark.createDataFrame([], _RANKED)
+    picked = sample(rows.select("id", "v"), "id", settings.sampled(total, dim), total, settings.seed).toArrow()
+    s_id, first = np.unique(picked["id"].to_numpy(), return_index=True)  # rows of one key count once
+    s = matrix(picked["v"], dim)[first]
     tree = fit(s, norm, settings)
-    held = spark.sparkContext.broadcast((tree, s, s_id, tree.assign(s)))
+    held = spark.sparkContext.broadcast((tree, s, s_id))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -210,12 +252,12 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     leaf_of: dict[int, list[int]] = {}
     for r in true:
         leaf_of.setdefault(r["query_id"], []).append(r["leaf"])
-    wanted, _ = visits(tree.order(t, tree.leaves), [leaf_of.get(i, []) for i in t_id.tolist()], settings.recall)
-
-    # Leaves are packed into blocks in order; one of more rows than a block is dealt to several of its own.
     sizes = np.zeros(tree.leaves, np.int64)
     for r in indexed.groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
+    slack = calibrated(tree, t, bounds(t, t_id, s, s_id, k, norm), sizes, k, [leaf_of.get(i, []) for i in t_id.tolist()], settings.recall)
+
+    # Leaves are packed into blocks in order; one of more rows than a block is dealt to several of its own.
     first, parts, block, room = np.zeros(tree.leaves, np.int32), np.ones(tree.leaves, np.int32), 0, settings.block
     for i, n in enumerate(sizes.tolist()):
         if n > room and room < settings.block:
@@ -225,27 +267,19 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
             block, room = block + int(parts[i]), settings.block
         else:
             room -= n
-    turns = max(1, -(-(queries or 0) // settings.queries))
     packing = spark.sparkContext.broadcast((first, parts, sizes))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (tree, s, s_id, s_leaf), (first, parts, sizes) = held.value, packing.value
+        (tree, s, s_id), (first, parts, sizes) = held.value, packing.value
         for b in batches:
             for from_ in range(0, b.num_rows, 512):
                 c = b.slice(from_, 512)
                 ids, q = c.column(0).to_numpy(), matrix(c.column(1), dim)
-                orders = tree.order(q, wanted)
-                if (sizes[orders].sum(axis=1) <= k).any():  # then some would find fewer than there are
-                    orders = tree.order(q, tree.leaves)
-                seen = np.zeros((len(q), tree.leaves), bool)
-                np.put_along_axis(seen, orders, True, axis=1)
-                score = np.where(seen[:, s_leaf] & (ids[:, None] != s_id[None]), q @ s.T, -np.inf)
-                kth = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(q), -np.inf)
-                kth = kth - 1e-9 * (1 + np.where(np.isfinite(kth), np.abs(kth), 0))
+                kth = bounds(q, ids, s, s_id, k, norm)
                 at, to, leaves = [], [], []
-                for i, order in enumerate(orders):
+                for i, order in enumerate(tree.visits(q, kth, slack, sizes, k + 1)):
                     by: dict[int, list[int]] = {}
-                    for leaf in order.tolist():
+                    for leaf in order:
                         for p in range(int(parts[leaf])):
                             by.setdefault(int(first[leaf]) + p, []).append(leaf)
                     at += [i] * len(by)
@@ -274,9 +308,12 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
             return pa.Table.from_batches([_meet(q[:0], np.empty(0, np.int64), np.empty(0), x[:0], np.empty(0, np.int64), None, k)])
         return pa.Table.from_batches([_meet(q, right["id"].to_numpy(), right["bound"].to_numpy(), x, left["id"].to_numpy(), lambda rows: seen[rows][:, at], k)])
 
-    turn = F.pmod(F.xxhash64("id"), F.lit(turns)).cast("int")
-    probes = indexed.filter("query").select("id", "v").mapInArrow(probe, "block int, id long, v array<double>, bound double, leaves array<int>").withColumn("turn", turn)
-    blocks = indexed.select("id", "v", "leaf").mapInArrow(place, "block int, id long, v array<double>, leaf int").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    probes = stored(indexed.filter("query").select("id", "v").mapInArrow(probe, "block int, id long, v array<double>, bound double, leaves array<int>"), "ann-probes")
+    turns = cut(probes.groupBy("block").agg(F.ceil(F.count("*") / settings.queries).cast("int").alias("turns")))
+    turns = small(turns, turns.count())
+    probes = probes.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).drop("turns")
+    blocks = indexed.select("id", "v", "leaf").mapInArrow(place, "block int, id long, v array<double>, leaf int")
+    blocks = blocks.join(turns, "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
     found = blocks.groupBy("block", "turn").cogroup(probes.groupBy("block", "turn")).applyInArrow(meet, _FOUND)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -13,21 +13,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import fresh, short_batches, unit
+from spindrift.llm.shared import cut, fresh, unit
 
 UNKNOWN = "und"
+#: Texts that stand in Python at a time.
+AT_ONCE = 512
 
 
 @dataclass(frozen=True)
 class Settings:
-    """dictionary_bytes and sample_documents bound what is learned of each language, languages how many are learned
-    (the most frequent; ties by code point). chunk_bytes: a text is encoded in chunks, so that the dictionary counts
-    along the whole of a long text. level: zstandard's. margin: a text whose two best languages differ by less than this
-    share of the best size is rejected. seed: of the sample."""
+    """dictionary_bytes and sample_documents bound what is learned of each language. dictionaries_bytes: of all
+    dictionaries together; where there are so many languages that it doesn't hold, each has an equal part of it, of
+    least_bytes at least, else learning is an error. slice_chars: a longer text gives the sample a slice of so many,
+    from a place drawn by a hash. chunk_bytes: a text is encoded in chunks, so that the dictionary counts along the
+    whole of a long text. level: zstandard's. margin: a text whose two best languages differ by less than this share of
+    the best size is rejected. seed: of the sample."""
 
     dictionary_bytes: int = 110 * 1024
     sample_documents: int = 200
-    languages: int = 256
+    dictionaries_bytes: int = 32 << 20
+    least_bytes: int = 1024
+    slice_chars: int = 16 * 1024
     chunk_bytes: int = 1024
     level: int = 5
     margin: float = 0.005
@@ -40,25 +46,34 @@ def letters(text: Column) -> Column:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", settings: Settings = Settings()) -> dict[str, bytes]:
-    """Raw-content dictionaries by language, of whole texts sampled by a hash of key.
+    """Raw-content dictionaries by language, of texts sampled by a hash of key and text: each language is learned.
 
-    Rows whose text, lang or key is null teach nothing; no rows give no languages. Counts by language come first, so that
-    only about sample_documents rows of each reach the window; what the driver receives is bounded by the settings.
+    Rows whose text, lang or key is null teach nothing, equal rows teach once; no rows give no languages. Counts by
+    language come first, so that only about three times sample_documents rows of each reach the window; what the driver
+    receives is bounded by the settings. More languages than the dictionaries have room for are an error.
     """
-    rows = docs.select(F.col(key).alias("k"), F.col(lang).alias("l"), letters(F.col(text)).alias("t")).filter("k IS NOT NULL AND l IS NOT NULL AND t IS NOT NULL AND t <> ''")
-    counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(settings.languages).collect()
-    if not counts:
+    rows = docs.select(F.col(key).cast("string").alias("k"), F.col(lang).alias("l"), F.col(text).alias("t")).filter("k IS NOT NULL AND l IS NOT NULL AND t IS NOT NULL AND t <> ''")
+    per = cut(rows.groupBy("l").agg(F.count("*").alias("n")))
+    languages, most = per.count(), settings.dictionaries_bytes // settings.least_bytes
+    if not languages:
         return {}
-    share = F.coalesce(F.create_map(*[F.lit(x) for r in counts for x in (r["l"], min(1.0, 3 * settings.sample_documents / r["count"]))])[F.col("l")], F.lit(0.0))
-    near = rows.withColumn("u", unit("k", seed=settings.seed)).filter(F.col("u") < share)
+    if languages > most:
+        raise ValueError(f"{languages} languages; there is room for the dictionaries of {most}")
+    room = min(settings.dictionary_bytes, settings.dictionaries_bytes // languages)
+    share = F.least(F.lit(1.0), F.lit(3.0 * settings.sample_documents) / F.col("n"))
+    u = F.pmod(F.xxhash64(F.lit(settings.seed), "k", "t"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    near = rows.withColumn("u", u).join(F.broadcast(per), "l").filter(F.col("u") < share)
+    one = near.groupBy("l", "u").agg(F.min(F.struct("k", "t")).alias("x")).select("l", "u", "x.k", letters(F.col("x.t")).alias("t")).filter("t <> ''")
+    over_long = F.greatest(F.length("t") - settings.slice_chars, F.lit(0))
+    start = F.floor(unit("k", seed=settings.seed) * (over_long + 1)).cast("int") + 1
+    one = one.select("l", "u", "k", F.substring("t", start, F.lit(settings.slice_chars)).alias("t"))
     over = Window.partitionBy("l").orderBy("u", "k", "t")
-    # A text longer than the dictionary can't join it whole, and is left out of the sample.
-    taken = near.filter(F.octet_length("t") <= settings.dictionary_bytes).withColumn("n", F.octet_length("t")).withColumn("i", F.row_number().over(over)).filter(F.col("i") <= settings.sample_documents)
-    taken = taken.withColumn("upto", F.sum("n").over(over.rowsBetween(Window.unboundedPreceding, -1))).filter(F.coalesce(F.col("upto"), F.lit(0)) < settings.dictionary_bytes)
+    taken = one.withColumn("i", F.row_number().over(over)).filter(F.col("i") <= settings.sample_documents)
+    taken = taken.withColumn("upto", F.sum(F.octet_length("t")).over(over.rowsBetween(Window.unboundedPreceding, -1))).filter(F.coalesce(F.col("upto"), F.lit(0)) < room)
     parts: dict[str, list[tuple[int, bytes]]] = {}
     for r in taken.select("l", "i", "t").collect():
         parts.setdefault(r["l"], []).append((r["i"], r["t"].encode()))
-    return {k: b"\n".join(t for _, t in sorted(v))[-settings.dictionary_bytes :] for k, v in sorted(parts.items())}
+    return {k: b"\n".join(t for _, t in sorted(v))[-room:] for k, v in sorted(parts.items())}
 
 
 class Judge:
@@ -90,27 +105,25 @@ class Judge:
         return self.names[best], score, margin, margin < self.settings.margin
 
 
-_JUDGES: dict[int, tuple[object, Judge]] = {}
-
-
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", settings: Settings = Settings(), prefix: str = "") -> DataFrame:
     """docs with lang_pred, score, margin and rejected (each name after prefix; a column of docs of the same name is replaced).
 
-    A narrow transformation over whole texts. The dictionaries are broadcast: at most languages x dictionary_bytes, by
-    the settings. A null or empty text, one without letters, and every text when nothing was learned: und, score 0,
-    rejected. Rows keep their number and their other columns; an empty table gives an empty one.
+    A narrow transformation over whole texts, of which only the letters go to Python. The dictionaries are broadcast:
+    dictionaries_bytes at most. A null or empty text, one without letters, and every text when nothing was learned: und,
+    score 0, rejected. Rows keep their number and their other columns; an empty table gives an empty one.
     """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    short_batches(docs.sparkSession)
     names = [f"{prefix}lang_pred", f"{prefix}score", f"{prefix}margin", f"{prefix}rejected"]
-    kept = docs.drop(*names)
-    schema = StructType([*kept.schema.fields, *[StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), DoubleType(), BooleanType()), strict=True)]])
+    kinds = StringType(), DoubleType(), DoubleType(), BooleanType()
+    kept = [c for c in docs.columns if c not in names]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judge = Judge(held.value, settings)
-        for b in batches:
-            found = [judge(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            columns = [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *columns], names=[*b.schema.names[:-1], *names])
-
-    return kept.select("*", letters(docs[text]).alias(fresh(kept, "_letters"))).mapInArrow(run, schema)
+        for t in texts:
+            found = [judge(x) for at in range(0, len(t), AT_ONCE) for x in t.slice(at, AT_ONCE).to_pylist()]
+            columns = [pa.array([x[i] for x in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
+            yield pa.StructArray.from_arrays(columns, names=names)
+
+    told = F.arrow_udf(run, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)])).asNondeterministic()  # else a filter would call it again
+    made = docs.select(*[docs[c] for c in kept], told(letters(docs[text])).alias(found := fresh(docs, "_found")))
+    return made.select(*kept, *[F.col(found)[n].alias(n) for n in names])

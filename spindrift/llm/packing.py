@@ -12,9 +12,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, running, short_batches, small, stored, unit
+from spindrift.llm.shared import cut, prefixed, running, small, stored, unit
 
 
 @dataclass(frozen=True)
@@ -30,9 +29,12 @@ class Settings:
     end: int = 0
     seed: int = 23
     per_bucket: int = 5_000
-    cached: int = 96 << 20
+    cached: int = 128 << 20
 
 
+#: Bytes of text that are encoded together: the more, the fewer different words a slice has for its length.
+AT_ONCE = 16 << 20
+
 #: Two spaces in a row, or a space between other white space; in the class are all characters that any engine takes for white space.
 _CROWDED = "  |{0} {0}".format(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
@@ -62,7 +64,7 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         """Adds words, each behind a space, to the cache."""
-        joined = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        joined = [w for w in words if w and w == w.strip()]
         for at in range(0, len(joined), 512):
             some = joined[at : at + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.kind)
@@ -73,9 +75,13 @@ class Encoder:
                 raw, cuts = ids.tobytes(), [*(starts * self.kind.itemsize).tolist(), len(ids) * self.kind.itemsize]
                 found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
             self.words.update(zip(some, found, strict=True))
-        odd = list(set(words).difference(joined))
-        self.words.update(zip(odd, self.whole([" " + w for w in odd]), strict=True))
-        self.held += sum(3 * len(w) + 200 for w in words)
+        if len(joined) < len(words):
+            odd = list(set(words).difference(joined))
+            self.words.update(zip(odd, self.whole([" " + w for w in odd]), strict=True))
+        self._counted(words)
+
+    def _counted(self, words: list[str]) -> None:
+        self.held += 3 * sum(map(len, words)) + 200 * len(words)
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         texts = texts.fill_null("")
@@ -101,14 +107,16 @@ class Encoder:
         number = numbered.indices.to_numpy().copy()
         first = [words[i] for i in number[starts]]
         number[starts] = len(words) + np.arange(len(starts))
-        missing = [w for w in words if w not in self.words]
-        if again := {w: self.older[w] for w in missing if w in self.older}:
+        found = list(map(self.words.get, words))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            names = [words[i] for i in missing]
+            again = {w: self.older[w] for w in names if w in self.older}
             self.words |= again
-            self.held += sum(3 * len(w) + 200 for w in again)
-            missing = [w for w in missing if w not in again]
-        if missing:
-            self.learn(missing)
-        found = [*map(self.words.__getitem__, words), *self.whole(first)]
+            self._counted(list(again))
+            self.learn([w for w in names if w not in again])
+            for i, w in zip(missing, names, strict=True):
+                found[i] = self.words[w]
+        found += self.whole(first)
         ids = pa.array(found, pa.binary()).take(pa.array(number))
         raw, cuts = ids.buffers()[2].to_pybytes(), np.frombuffer(ids.buffers()[1], np.int32)[[*starts.tolist(), len(ids)]].tolist()
         return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -121,7 +129,6 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs with the text replaced by _row (a number of its own), _n (ids with the closing one) and _ids (the ids without it)."""
     rest = [c for c in docs.columns if c != text]
-    short_batches(docs.sparkSession)
     schema = docs.select(*rest).withColumns({"_row": F.lit(0).cast("long"), "_n": F.lit(0).cast("long"), "_ids": F.lit(b"")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +138,10 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Setti
         encoder = here._ENCODERS.get(known) or here._ENCODERS.setdefault(known, Encoder(*known))
         row = TaskContext.get().partitionId() << 40
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                s = b.slice(at, 2048)
+            slices = -(-(pc.sum(pc.binary_length(b.column(b.num_columns - 1))).as_py() or 0) // AT_ONCE) or 1
+            step = max(1, -(-b.num_rows // slices))
+            for at in range(0, b.num_rows, step):
+                s = b.slice(at, step)
                 ids = encoder(s.column(s.num_columns - 1))
                 n = np.array([len(x) // encoder.kind.itemsize + 1 for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays([*s.columns[:-1], pa.array(np.arange(row, row + len(n))), pa.array(n), pa.array(ids, pa.binary())], names=schema.names)
@@ -151,14 +160,16 @@ def positions(lengths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     are cut where a window's quantum ends. A running sum over the windows, each with its sources in turn, gives the
     places. A source whose queue has ended leaves its part of later windows to the others.
     """
-    per = lengths.groupBy("_source").agg(F.sum("_n").alias("_tokens"), F.count("*").alias("_docs"))
-    rank = F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1
-    per = per.withColumn("_rank", rank)
+    per = cut(lengths.groupBy("_source").agg(F.sum("_n").alias("_tokens"), F.count("*").alias("_docs")).withColumn("_one", F.lit(1)))
+    n = per.count()
+    per = prefixed(per, [F.col("_source").asc_nulls_last()], "_one", "_rank", n)
     weight = F.get(F.array(*[F.lit(float(w)) for w in settings.weights]), F.col("_rank") % len(settings.weights)) if settings.weights else F.col("_tokens").cast("double")
-    per = per.withColumn("_w", weight).withColumn("_quantum", F.lit(float(settings.window)) * F.col("_w") / F.sum("_w").over(Window.partitionBy()))
-    per = cut(per.select(F.col("_source").alias("_s"), "_rank", "_quantum", F.ceil(F.col("_docs") / settings.per_bucket).alias("_buckets")))
-    d = lengths.join(small(per, per.count()), F.col("_source").eqNullSafe(F.col("_s"))).select("_row", "_u", "_n", "_rank", "_quantum", "_buckets")
-    d = running(d, ["_rank"], ["_u", "_row"], "_n", "_before", bucket=F.floor(F.col("_u") * F.col("_buckets")))
+    per = cut(per.withColumn("_w", weight))
+    every = per.agg(F.sum("_w")).first()[0]
+    per = per.select(F.col("_source").alias("_s"), "_rank", (F.lit(float(settings.window)) * F.col("_w") / F.lit(every)).alias("_quantum"), F.ceil(F.col("_docs") / settings.per_bucket).alias("_buckets"))
+    d = lengths.join(small(per, n), F.col("_source").eqNullSafe(F.col("_s"))).select("_row", "_u", "_n", "_rank", "_quantum", "_buckets")
+    # Rows of one key have one _u; where they crowd a bucket, they are dealt by their own number.
+    d = running(d, ["_rank"], ["_u", "_row"], "_n", "_before", bucket=F.floor(F.col("_u") * F.col("_buckets")), salt=unit("_row", seed=settings.seed), crowd=4 * settings.per_bucket)
     q, before, after, window = F.col("_quantum"), F.col("_before"), F.col("_before") + F.col("_n"), F.col("_window")
     # One window more on either side, as a quotient of doubles may be off at a border; the borders themselves decide.
     d = d.withColumn("_window", F.explode(F.sequence(F.floor(before / q).cast("long") - 1, F.floor((after - 1) / q).cast("long") + 1)))

@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.shared import BROADCAST_ROWS, components, small, stored
-from spindrift.llm.vectors import dimension, dots, kmeans, matrix, proper, sample, squares
+from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample, squares
 
 
 @dataclass(frozen=True)
 class Settings:
-    """cosine: from which two vectors link. sample: vectors on which the lists and codes are fitted. lists: coarse ones.
-    parts: subspaces of a residual, each with codes centres. block: rows that meet in one task."""
+    """cosine: from which two vectors link. sample: vectors on which the lists and codes are fitted. lists: coarse ones, or
+    one for per_list rows if that is more, as far as the sample gives each eight vectors. parts: subspaces of a residual, each with codes centres. block: rows that meet in one task."""
 
     cosine: float = 0.98
     sample: int = 16_384
     lists: int = 64
+    per_list: int = 512
     parts: int = 8
     codes: int = 256
     rounds: int = 8
@@ -73,9 +74,9 @@ class Quantiser:
         return out
 
 
-def fit(x: np.ndarray, settings: Settings) -> Quantiser:
+def fit(x: np.ndarray, settings: Settings, rows: int = 0) -> Quantiser:
     rng = np.random.default_rng(settings.seed)
-    centres = kmeans(x, max(1, min(settings.lists, len(x) // 8)), settings.rounds, rng)
+    centres = kmeans(x, max(1, min(max(settings.lists, rows // settings.per_list), len(x) // 8)), settings.rounds, rng)
     rest = x - centres[squares(x, centres).argmin(1)]
     parts = min(settings.parts, x.shape[1])
     cuts = [x.shape[1] * i // parts for i in range(parts + 1)]
@@ -108,29 +109,49 @@ def _sets(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def grouped(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", settings: Settings = Settings()) -> DataFrame:
-    """(key, n_links, component_id, kept) for each row; only vectors of equal labels link, and none of a null label.
+    """(key, n_links, component_id, kept) for each row; only vectors of equal labels and lengths link, and none of a null label.
 
     Equal vectors of a label are one class, so that copies aren't compared. Every class is coded; a class looks into each
     list whose cell its ball of the radius reaches, keeps what the table-lookup distance less the coding error doesn't
     put outside, and takes the exact cosine of the vectors themselves in double precision. Neither step can lose a
     link, whatever the sample. Lists of a label lie together in blocks, and a block of many rows is dealt to several. A
-    block gives each class its number of links, and one edge a class; never the pairs.
+    block gives each class its number of links, and one edge a class; never the pairs. Vectors of several lengths are
+    made as long as the next power of two by zeros, which change no cosine, and there is a quantiser for each of these.
 
-    Vectors that are null, zero, of null or non-finite components or of another length than most link with nothing, and
-    form a component of their own. n_links counts rows, so copies count; rows of equal key are rows of their own. A null
-    key is never the smallest; kept is false for it. No rows: no rows.
+    Vectors that are null, zero or of null or non-finite components link with nothing, and form a component of their
+    own. n_links counts rows, so copies count; rows of equal key are rows of their own. A null key is never the
+    smallest; kept is false for it. No rows: no rows.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).cast("string").alias("label"))
-    good = rows.filter(proper(F.col("v")) & F.col("label").isNotNull())
-    dim = dimension(good)
-    if dim is None:
-        return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
-    good = good.filter(F.size("v") == dim)
+    rows = rows.withColumn("v", F.when(proper(F.col("v")), F.col("v"))).withColumn("label", F.concat(F.size("v").cast("string"), F.lit(":"), "label"))
+    good = rows.filter("v IS NOT NULL AND label IS NOT NULL")
     classes = stored(good.groupBy("label", "v").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("c", F.monotonically_increasing_id()), "pq-classes")
+    found = None
+    for dim in sorted({1 << (d - 1).bit_length() for d in lengths(classes)}):
+        own = classes.filter((F.size("v") <= dim) & (F.size("v") > dim // 2))
+        part = _links(own.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("v")))), dim, settings)
+        found = part if found is None else found.union(part)
+    if found is None:
+        return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
+    joined = components(found.filter("c <> root").select(F.col("c").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy(F.col("c").alias("_c")).agg(F.sum("links").alias("links"))
+    full = classes.join(joined, classes["c"] == joined["node"], "left").join(links, F.col("c") == F.col("_c"), "left")
+    full = full.select("label", "v", "least", "n", F.coalesce("component", "c").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.col("component").isNotNull().alias("linked"))
+    least = full.filter("linked").groupBy("root").agg(F.min("least").alias("first"))
+    # A single row without links needs no join.
+    wide = full.filter("linked").join(least, "root").select("label", "v", "links", "n", "first").union(full.filter("NOT linked AND n > 1").select("label", "v", "links", "n", F.col("least").alias("first")))
+    wide = stored(wide, "pq-wide").select(F.col("label").alias("_label"), F.col("v").alias("_v"), "links", "n", "first")
+    done = rows.join(wide, (rows["label"] == wide["_label"]) & (rows["v"] == wide["_v"]), "left")
+    done = done.select("id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"))
+    return done.select(F.col("id").alias(key), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def _links(classes: DataFrame, dim: int, settings: Settings) -> DataFrame:
+    """(c, links, root) of classes(c, label, v, n) with vectors of one length: links are rows, and root is a class that c's links lead to."""
+    spark = classes.sparkSession
     total = classes.count()
     picked = sample(classes.select("c", "v"), "c", settings.sample, total, settings.seed).toArrow()
-    held = spark.sparkContext.broadcast(fit(_unit(matrix(picked["v"], dim)), settings))
+    held = spark.sparkContext.broadcast(fit(_unit(matrix(picked["v"], dim)), settings, total))
     rooms = classes.groupBy("label").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("rooms"))
     rooms = stored(rooms, "pq-labels")
     withroom = classes.join(small(rooms, rooms.count()), "label")
@@ -188,16 +209,4 @@ def grouped(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
         return pa.table([pa.array(o) for o in out], names=["c", "links", "root"])
 
     block = [*on, "turn"]
-    found = stored(index.groupBy(*block).cogroup(asked.groupBy(*block)).applyInArrow(meet, "c long, links long, root long"), "pq-links")
-    joined = components(found.filter("c <> root").select(F.col("c").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy(F.col("c").alias("_c")).agg(F.sum("links").alias("links"))
-    full = classes.join(joined, classes["c"] == joined["node"], "left").join(links, F.col("c") == F.col("_c"), "left")
-    full = full.select("label", "v", "least", "n", F.coalesce("component", "c").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.col("component").isNotNull().alias("linked"))
-    least = full.filter("linked").groupBy("root").agg(F.min("least").alias("first"))
-    # A single row without links needs no join.
-    wide = full.filter("linked").join(least, "root").select("label", "v", "links", "n", "first").union(full.filter("NOT linked AND n > 1").select("label", "v", "links", "n", F.col("least").alias("first")))
-    wide = stored(wide, "pq-wide").select(F.col("label").alias("_label"), F.col("v").alias("_v"), "links", "n", "first")
-    right = rows.withColumn("v", F.when(proper(F.col("v")), F.col("v")))
-    done = right.join(wide, (right["label"] == wide["_label"]) & (right["v"] == wide["_v"]), "left")
-    done = done.select("id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"))
-    return done.select(F.col("id").alias(key), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return stored(index.groupBy(*block).cogroup(asked.groupBy(*block)).applyInArrow(meet, "c long, links long, root long"), "pq-links")

@@ -1,9 +1,12 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model's units are characters: symbol 0 bounds a text, the last one is any character that the trusted text lacks, and
-those between are its characters by frequency. Documents are judged with 2 ** 15 symbols, which holds every character of
-the scripts in use side by side, so an n-gram is a whole number below 2 ** (15 * n). The tables have a row for each
-n-gram seen.
+those between are its characters by frequency: 2 ** 15 symbols hold every character of the scripts in use side by side,
+so an n-gram is a whole number below 2 ** (15 * n).
+
+Counts are tables sharded by n-gram, and stay so: the model is joined of them, the n-grams of the documents are joined
+with the model, and each block of documents is joined with the probabilities of its own n-grams, which are those that
+its documents are made of. No task and not the driver ever holds the model.
 """
 
 from __future__ import annotations
@@ -14,13 +17,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from spindrift.llm.shared import cut, fresh, short_batches, small
+from spindrift.llm.shared import cut, fresh, short_batches, small, stored
 
 SYMBOLS, ORDER = 64, 4
+#: The models: of one half of the trusted texts, of the other, and of all.
+HALVES, WHOLE = (0, 1), 2
 _CODES = 0x110000
 #: Texts whose characters stand in arrays at a time.
 AT_ONCE = 200
@@ -32,12 +40,14 @@ MOST = 2_000_000
 class Settings:
     """quantile: of the trusted texts' excess in each language, above which a text is rejected. accuracy: of the
     approximate quantile (1 / accuracy is its error in rank). weight: symbols that a text needs for half of its log
-    perplexity's distance from the language's median to count, as that of a few symbols varies far more. symbols: of the alphabet, a power of two up to 2 ** 15."""
+    perplexity's distance from the language's median to count, as that of a few symbols varies far more. symbols: of the
+    alphabet, a power of two up to 2 ** 15. block: bytes of the documents that are scored together."""
 
     quantile: float = 0.995
     accuracy: int = 20_000
     weight: int = 100
     symbols: int = 1 << 15
+    block: int = 8 << 20
 
 
 def _codes(texts: list[str]) -> np.ndarray:
@@ -110,87 +120,59 @@ def discounts(n: list[int]) -> list[float]:
     return [min(k, max(0.01, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else min(k, 0.5 + 0.25 * k) for k in (1, 2, 3)]
 
 
-def estimate(fours: DataFrame, symbols: int = SYMBOLS) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1 up: (gram, p) of the n-grams seen, and (context, backoff) of the contexts seen.
+@dataclass(frozen=True)
+class Model:
+    """letters, and for each order from 1 up the tables (m, gram, p) of the n-grams seen and (m, context, backoff) of
+    their contexts; m tells the models, and models are those that have learned anything."""
+
+    letters: dict[int, int]
+    levels: list[tuple[DataFrame, DataFrame]]
+    models: set[int]
+    symbols: int = SYMBOLS
+
+
+def estimate(fours: DataFrame, letters: dict[int, int], symbols: int = SYMBOLS) -> Model:
+    """Of fours(m, gram, c): all models in the same joins.
 
     The four-grams keep their counts, and shorter ones have the number of symbols seen before them. Every join is by
-    gram, context or suffix, whose hash shards both sides.
+    gram, context or suffix, whose hash shards both sides; three numbers of each model and order reach the driver.
     """
+    bits = symbols.bit_length() - 1
     levels = {ORDER: cut(fours)}
     for n in range(ORDER - 1, 0, -1):
-        levels[n] = cut(levels[n + 1].groupBy((F.col("gram") % symbols**n).alias("gram")).agg(F.count("*").alias("c")))
+        levels[n] = cut(levels[n + 1].groupBy("m", (F.col("gram") % symbols**n).alias("gram")).agg(F.count("*").alias("c")))
     out: list[tuple[DataFrame, DataFrame]] = []
+    models: set[int] = set()
     for n in range(1, ORDER + 1):
-        level = levels[n].withColumn("context", F.shiftright("gram", symbols.bit_length() - 1))
-        numbers = level.agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-        d = discounts(list(numbers))
-        off = F.when(F.col("c") == 1, F.lit(d[0])).when(F.col("c") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
-        contexts = cut(level.withColumn("d", off).groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("backoff")))
-        joined = level.withColumn("d", off).join(contexts, "context")
+        numbers = levels[n].groupBy("m").agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).collect()
+        models |= {r["m"] for r in numbers}
+        off: Column = F.lit(None).cast("double")
+        for m, *found in numbers:
+            d = discounts(found)
+            off = F.when(F.col("m") == m, F.when(F.col("c") == 1, F.lit(d[0])).when(F.col("c") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))).otherwise(off)
+        level = levels[n].withColumn("context", F.shiftright("gram", bits)).withColumn("d", off)
+        contexts = cut(level.groupBy("m", "context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("backoff")))
+        joined = level.join(contexts, ["m", "context"])
         if n == 1:
             lower = F.lit(1.0 / symbols)
         else:
-            below = out[-1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-            joined, lower = joined.withColumn("suffix", F.col("gram") % symbols ** (n - 1)).join(below, "suffix"), F.col("lower")
-        out.append((cut(joined.select("gram", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("backoff") * lower).alias("p"))), contexts.select("context", "backoff")))
-    return out
-
-
-def _column(df: DataFrame, *names: str) -> list[np.ndarray]:
-    """Columns in the order of the first."""
-    t = df.select(*names).toArrow()
-    order = np.argsort(t.column(names[0]).to_numpy())
-    return [t.column(n).to_numpy()[order] for n in names]
-
-
-@dataclass(frozen=True)
-class Model:
-    """letters and, by order, grams seen with p, contexts seen with their backoff, both in order: what was seen, so it may be broadcast."""
-
-    letters: dict[int, int]
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    symbols: int = SYMBOLS
-
-    def logs(self, fours: np.ndarray) -> np.ndarray:
-        """ln p of four-grams, seen or not."""
-        p = np.full(len(fours), 1.0 / self.symbols)
-        for n, (grams, seen, contexts, backoff) in enumerate(self.levels, 1):
-            gram = fours % self.symbols**n
-            at, found = _at(contexts, gram // self.symbols)
-            p[found] *= backoff[at[found]]
-            at, found = _at(grams, gram)
-            p[found] = seen[at[found]]
-        return np.log(p)
-
-    def table(self) -> np.ndarray:
-        """ln p of every four-gram; for small alphabets."""
-        return self.logs(np.arange(self.symbols**ORDER))
-
-
-def _at(table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each asked number stands in a table in order, and whether it does."""
-    at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
-    return at, table[at] == asked
+            below = out[-1][0].select("m", F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+            joined, lower = joined.withColumn("suffix", F.col("gram") % symbols ** (n - 1)).join(below, ["m", "suffix"]), F.col("lower")
+        out.append((cut(joined.select("m", "gram", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("backoff") * lower).alias("p"))), contexts.select("m", "context", "backoff")))
+    return Model(letters, out, models, symbols)
 
 
-def train(texts: DataFrame, symbols: int = SYMBOLS) -> list[Model | None]:
-    """Of all of texts(text): the model; the one of half of the texts, by a hash of the text; and that of the other half.
+def train(texts: DataFrame, symbols: int = SYMBOLS) -> Model | None:
+    """Of all of texts(text): the model of them and those of their halves, by a hash of the text. None if there are no characters.
 
-    Counts add up, so the texts are counted once. None where there are no characters. A text's half is in fold.
+    The texts are counted once; a half's counts are added to the whole's.
     """
-    short_batches(texts.sparkSession)
     letters = alphabet(texts, symbols)
     if not letters:
-        return [None, None, None]
+        return None
     every = cut(counts(texts.select(fold(F.col("text")).alias("fold"), "text"), letters, symbols))
-    out: list[Model | None] = []
-    for part in (every, every.filter("fold = 1"), every.filter("fold = 0")):
-        if not part.head(1):
-            out.append(None)
-            continue
-        levels = estimate(part.groupBy("gram").agg(F.sum("c").alias("c")), symbols)
-        out.append(Model(letters, [(*_column(p, "gram", "p"), *_column(c, "context", "backoff")) for p, c in levels], symbols))
-    return out
+    each = every.select(F.explode(F.array(F.col("fold").cast("int"), F.lit(WHOLE))).alias("m"), "gram", "c")
+    return estimate(each.groupBy("m", "gram").agg(F.sum("c").alias("c")), letters, symbols)
 
 
 def fold(text: Column) -> Column:
@@ -198,36 +180,104 @@ def fold(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
 
 
-def perplexity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """docs with perplexity and symbols in the last columns (replacing columns of these names): a narrow transformation over whole texts.
+def probabilities(asked: DataFrame, model: Model) -> DataFrame:
+    """(m, gram, p) of asked(m, gram), different four-grams: of those seen the model's p, of others the backed-off one of their suffix.
 
-    A null or empty text, and every text without a model: null and 0.
+    From one symbol up, each order's n-grams meet the tables of n-grams, contexts and shorter n-grams in joins by these keys.
+    """
+    bits, known = model.symbols.bit_length() - 1, None
+    for n, (grams, contexts) in enumerate(model.levels, 1):
+        own = asked if n == ORDER else asked.select("m", (F.col("gram") % model.symbols**n).alias("gram")).distinct()
+        own = own.withColumn("context", F.shiftright("gram", bits)).join(grams, ["m", "gram"], "left").join(contexts, ["m", "context"], "left")
+        if known is None:
+            lower = F.lit(1.0 / model.symbols)
+        else:
+            own = own.withColumn("suffix", F.col("gram") % model.symbols ** (n - 1)).join(known.select("m", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["m", "suffix"])
+            lower = F.col("lower")
+        known = cut(own.select("m", "gram", F.coalesce("p", F.coalesce(F.col("backoff"), F.lit(1.0)) * lower).alias("p")))
+    return known
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], text: int, model: int, size: int) -> Iterator[tuple[int, int, list[pa.RecordBatch]]]:
+    """(model, name, batches) of blocks of about so many bytes of text of one model: the name is a digest of their texts."""
+    held: dict[int, tuple[list[pa.RecordBatch], xxhash.xxh3_64, list[int]]] = {}
+
+    def closed(m: int) -> tuple[int, int, list[pa.RecordBatch]]:
+        parts, digest, _ = held.pop(m)
+        return m, digest.intdigest() - (1 << 63), parts
+
+    for whole in batches:
+        for m in pc.unique(whole.column(model)).to_pylist():
+            own = whole.filter(pc.equal(whole.column(model), m))
+            for at in range(0, own.num_rows, AT_ONCE):
+                b = own.slice(at, AT_ONCE)
+                parts, digest, length = held.setdefault(m, ([], xxhash.xxh3_64(str(m)), [0]))
+                parts.append(b)
+                for t in _texts(b, text):
+                    digest.update(t.encode("utf-8", "surrogatepass"))
+                    digest.update(b"\0")
+                length[0] += pc.sum(pc.binary_length(b.column(text))).as_py() or 0
+                if length[0] >= size:
+                    yield closed(m)
+    for m in sorted(held):
+        yield closed(m)
+
+
+def _texts(b: pa.RecordBatch, at: int) -> list[str]:
+    return [t or "" for t in b.column(at).to_pylist()]
+
+
+def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """docs with perplexity and symbols in the last columns (replacing columns of these names), under the model that m names.
+
+    Texts are read twice. First each block of documents lists its different n-grams; all that occur are joined with the
+    model once, and the blocks' lists with what that gives. Then the blocks themselves, compressed, meet their lists. A
+    block holds a bounded number of characters, or one longer text, and a list is never longer than its block. docs must
+    read the same twice, as files do: a block that finds no list is an error. A null or empty text: null and 0.
     """
     made = ["perplexity", "symbols"]
-    kept = docs.select(*[c for c in docs.columns if c not in made or c == text])
-    at = kept.columns.index(text)
-    schema = StructType([*kept.schema.fields, StructField(made[0], DoubleType()), StructField(made[1], LongType())])
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    short_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        known = _lookup(model.letters, model.symbols) if model else None
-        for b in batches:
-            for first in range(0, b.num_rows, AT_ONCE):
-                s = b.slice(first, AT_ONCE)
-                texts = [t or "" for t in s.column(at).to_pylist()]
-                out, total = [None] * len(texts), [0] * len(texts)
-                if model and texts:
-                    grams, n = _grams(texts, known, model.symbols)
-                    different, where = np.unique(grams, return_inverse=True)
-                    sums = np.add.reduceat(model.logs(different)[where], np.cumsum(n) - n)
-                    for i, (t, x, k) in enumerate(zip(texts, sums.tolist(), n.tolist(), strict=True)):
-                        if t:
-                            out[i], total[i] = math.exp(-x / k), k
-                yield pa.RecordBatch.from_arrays([*s.columns, pa.array(out, pa.float64()), pa.array(total, pa.int64())], names=schema.names)
-
-    return kept.mapInArrow(run, schema)
+    kept = [c for c in docs.columns if c not in made or c == text]
+    ready = docs.select(*kept, m.cast("int").alias(fresh(docs, "_m")))
+    at, of, letters, symbols, size = kept.index(text), len(kept), model.letters, model.symbols, settings.block
+    schema = StructType([*docs.select(*kept).schema.fields, StructField(made[0], DoubleType()), StructField(made[1], LongType())])
+    names = schema.names
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _lookup(letters, symbols)
+        for m, name, parts in _blocks(batches, at, of, size):
+            grams = np.unique(np.concatenate([np.unique(_grams(_texts(b, at), table, symbols)[0]) for b in parts]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), m, np.int32)), pa.array(np.full(len(grams), name)), pa.array(grams)], names=["m", "block", "gram"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, name, parts in _blocks(batches, at, of, size):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for b in parts:
+                    out.write_batch(b)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams, first = np.unique(right["gram"].to_numpy(), return_index=True)
+        logs, table, out = np.log(right["p"].to_numpy()[first]), _lookup(letters, symbols), []
+        for rows in left["rows"]:  # equal blocks, if any, share a name
+            for b in pa.ipc.open_stream(rows.as_buffer()):
+                texts = _texts(b, at)
+                every, n = _grams(texts, table, symbols)
+                different, where = np.unique(every, return_inverse=True)
+                place = np.minimum(np.searchsorted(grams, different), max(0, len(grams) - 1))
+                if not len(grams) or (grams[place] != different).any():
+                    raise RuntimeError("a block of documents has no list of its n-grams: the table must read the same twice; write it first")
+                sums = np.add.reduceat(logs[place][where], np.cumsum(n) - n)
+                found = [(math.exp(-x / k), k) if t else (None, 0) for t, x, k in zip(texts, sums.tolist(), n.tolist(), strict=True)]
+                columns = [pa.array([x for x, _ in found], pa.float64()), pa.array([k for _, k in found], pa.int64())]
+                out.append(pa.RecordBatch.from_arrays([*b.columns[:of], *columns], names=names))
+        return pa.Table.from_batches(out, None if out else to_arrow_schema(schema))
+
+    pairs = stored(ready.mapInArrow(lists, "m int, block long, gram long"), "quality-lists", 1000)
+    known = probabilities(pairs.select("m", "gram").distinct(), model)
+    right = pairs.join(known, ["m", "gram"]).select("block", "gram", "p")
+    left = ready.mapInArrow(packed, "block long, rows binary")
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(judge, schema)
 
 
 def trusted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -237,52 +287,53 @@ def trusted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFram
     return docs.join(small(good, good.count()).withColumnRenamed("_good", name := fresh(docs, "_good")), docs[key] == F.col(name), "left_semi")
 
 
-def _of(lang: Column, by: dict[str | None, float], rest: float | None) -> Column:
-    """A language's number; rest for one that has none. A null language is one."""
-    out: Column = F.lit(rest).cast("double")
-    named = {k: v for k, v in by.items() if k is not None}
-    if named:
-        out = F.coalesce(F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[lang], out)
-    return F.when(lang.isNull(), F.lit(by[None])).otherwise(out) if None in by else out
-
-
-def thresholds(good: DataFrame, halves: list[Model | None], lang: str, settings: Settings) -> list[tuple[dict[str | None, float], float | None]]:
-    """Of good(text, lang): the median of log perplexity by language and of all, and so the quantile of the excess over
-    the median, which counts by the text's length; two numbers a language reach the driver.
+def thresholds(good: DataFrame, model: Model, settings: Settings = Settings()) -> tuple[DataFrame, float, float]:
+    """Of good(text, lang): a table (lang, middle, above) of the median of log perplexity by language and the quantile of
+    the excess over it, which counts by the text's length; and these two of all.
 
     Each text is scored by the half of the texts that it isn't of: scored by what learned it, it would seem better than
-    any new text can.
+    any new text can. Where all texts are of one half, by the whole.
     """
-    scored = None
-    for k, model in enumerate(halves):
-        part = perplexity(good.filter(fold(F.col("text")) == k), model).filter("perplexity IS NOT NULL").select(F.col(lang).alias("l"), F.ln("perplexity").alias("x"), F.col("symbols").alias("n"))
-        scored = part if scored is None else scored.union(part)
-    scored = cut(scored)
+    other = F.lit(WHOLE)
+    for half in HALVES:
+        if half in model.models:
+            other = F.when(fold(F.col("text")) == 1 - half, F.lit(half)).otherwise(other)
+    x = scored(good.filter("text <> ''"), model, other, "text", settings).select("lang", F.ln("perplexity").alias("x"), F.col("symbols").alias("n"))
+    x = cut(x)
 
-    def level(of: DataFrame, x: Column, quantile: float, *by: str) -> list:
-        return of.groupBy(*by).agg(F.percentile_approx(x, quantile, settings.accuracy).alias("x")).collect()
+    def level(value: Column, quantile: float) -> Column:
+        return F.percentile_approx(value, quantile, settings.accuracy)
 
-    middle = {r["l"]: r["x"] for r in level(scored, F.col("x"), 0.5, "l")}, level(scored, F.col("x"), 0.5)[0]["x"]
     counted = F.col("n") / (F.col("n") + settings.weight)
-    above = {r["l"]: r["x"] for r in level(scored, (F.col("x") - _of(F.col("l"), *middle)) * counted, settings.quantile, "l")}
-    return [middle, (above, level(scored, (F.col("x") - F.lit(middle[1])) * counted, settings.quantile)[0]["x"])]
+    middle = x.agg(level(F.col("x"), 0.5)).first()[0]
+    above = x.agg(level((F.col("x") - F.lit(middle)) * counted, settings.quantile)).first()[0]
+    by = cut(x.groupBy(F.col("lang").alias("l")).agg(level(F.col("x"), 0.5).alias("middle")))
+    each = x.join(small(by, by.count()), F.col("lang").eqNullSafe(F.col("l")))
+    return cut(each.groupBy("lang").agg(F.max("middle").alias("middle"), level((F.col("x") - F.col("middle")) * counted, settings.quantile).alias("above"))), middle, above
 
 
 def judged(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """docs with perplexity, symbols, threshold and keep (replacing columns of these names).
 
     keep: the perplexity isn't above the threshold of the trusted texts of the same language (of all trusted texts, if
-    the language has none; a null language is one), which is higher for a shorter text. A null or empty text isn't kept. Without any trusted text there is no
-    threshold, and every text with a character is kept. Equal texts of one language are judged alike; repeated rows stay;
-    an empty table gives an empty one.
+    the language has none; a null language is one), which is higher for a shorter text. A null or empty text isn't kept.
+    Without any trusted text there is no threshold, and every text with a character is kept. Equal texts of one language
+    are judged alike; repeated rows stay; an empty table gives an empty one.
     """
+    spark, made = docs.sparkSession, ["perplexity", "symbols", "threshold", "keep"]
     good = trusted(docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels, "key").select("lang", "text")
-    model, *halves = train(good, settings.symbols)
-    # Where all trusted texts are of one half, there is no other to score them by than the whole.
-    middle, above = thresholds(good, [h or model for h in halves], "lang", settings) if model else [({}, None)] * 2
-    made = ["perplexity", "symbols", "threshold", "keep"]
+    with short_batches(spark):
+        model = train(good, settings.symbols)
     kept = docs.select(*[c for c in docs.columns if c not in made or c in (text, lang, key)])
-    scored = perplexity(kept, model, text)
-    level = F.exp(_of(F.col(lang), *middle) + _of(F.col(lang), *above) * (F.col("symbols") + settings.weight) / F.col("symbols"))
-    scored = scored.withColumn("threshold", F.when(F.col("symbols") > 0, level))
-    return scored.withColumn("keep", F.coalesce(F.length(text) > 0, F.lit(False)) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
+    full = F.coalesce(F.length(text) > 0, F.lit(False))
+    if model is None:
+        return kept.withColumns({"perplexity": F.lit(None).cast("double"), "symbols": F.lit(0).cast("long"), "threshold": F.lit(None).cast("double"), "keep": full})
+    with short_batches(spark):
+        by, middle, above = thresholds(good, model, settings)
+    own = [fresh(kept, name) for name in ("_lang", "_middle", "_above")]
+    found = scored(kept, model, F.lit(WHOLE), text, settings)
+    found = found.join(small(by, by.count()).toDF(*own), F.col(lang).eqNullSafe(F.col(own[0])), "left")
+    length = (F.col("symbols") + settings.weight) / F.col("symbols")
+    level = F.exp(F.coalesce(F.col(own[1]), F.lit(middle)) + F.coalesce(F.col(own[2]), F.lit(above)) * length)
+    found = found.withColumn("threshold", F.when(F.col("symbols") > 0, level))
+    return found.withColumn("keep", full & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).select(*kept.columns, *[c for c in made if c not in kept.columns])

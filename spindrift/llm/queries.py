@@ -98,7 +98,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's part in the mix."""
-    found = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    found = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"), keep_text=False)
     return found.select("doc_id", "size", "source_size", "target", "taken", "repeats")
 
 
@@ -181,3 +181,39 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.select("doc_id", "lang", "source", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     found = sharding.shard(docs, {"lang": F.col("lang"), "source": F.col("source"), "size": F.col("size")})
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+def _curve(dims: int, bits: int) -> str:
+    """The steps of hilbert() as nested SELECTs over q, whose columns x0, x1, ... are the point; the index is h."""
+    of = lambda new: ", ".join(f"{new.get(i, f'x{i}')} AS x{i}" for i in range(dims))
+    sql = "q"
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        for i in range(dims):
+            hit, swap = f"(x{i} & {q}) <> 0", f"(xor(x0, x{i}) & {q - 1})"
+            flip = f"CASE WHEN {hit} THEN xor(x0, {q - 1}) ELSE xor(x0, {swap}) END"
+            sql = f"(SELECT * REPLACE ({of({0: flip} | ({i: f'CASE WHEN {hit} THEN x{i} ELSE xor(x{i}, {swap}) END'} if i else {}))}) FROM {sql})"
+    for i in range(1, dims):
+        sql = f"(SELECT * REPLACE ({of({i: f'xor(x{i}, x{i - 1})'})}) FROM {sql})"
+    turn = "0"
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        turn = f"xor({turn}, CASE WHEN (x{dims - 1} & {q}) <> 0 THEN {q - 1} ELSE 0 END)"
+    sql = f"(SELECT *, {turn} AS t FROM {sql})"
+    places = [f"((xor(x{i}, t) >> {b}) & 1) << {b * dims + dims - 1 - i}" for b in range(bits) for i in range(dims)]
+    return f"(SELECT *, {' + '.join(f'({p})' for p in places)} AS h FROM {sql})"
+
+
+_STEP = "CAST(coalesce(sum(n) OVER (ORDER BY {0} ASC NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 32 // sum(n) OVER () AS BIGINT)"
+_STEPS = ", ".join(f"s{i} AS (SELECT {c}, {_STEP.format(c)} AS x{i} FROM (SELECT {c}, count(*) AS n FROM d GROUP BY {c}))" for i, c in enumerate(("lang", "source", "size")))
+
+#: In a cell of the curve documents stand in the order of 52 bits of an MD5; whole numbers cut the runs. DuckDB has no CRC-32, so a table of its 256 remainders is made and each byte folded in.
+_SQL["op8_sharding"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, source, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes,
+    CAST(CAST('0x' || substr(md5('29' || chr(31) || coalesce(CAST(doc_id AS VARCHAR), chr(0))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u FROM documents),
+g(i, k, x) AS (SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END FROM g WHERE k < 8),
+f AS (SELECT list(x ORDER BY i) AS folds FROM g WHERE k = 8),
+{_STEPS},
+q AS (SELECT doc_id, d.size, u, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(bytes, lambda b: CAST('0x' || b AS BIGINT))), lambda c, b: xor(c >> 8, folds[CAST(xor(c & 255, b) AS INTEGER) + 1])), 4294967295) AS crc, x0, x1, x2
+    FROM d, f, s0, s1, s2 WHERE d.lang IS NOT DISTINCT FROM s0.lang AND d.source IS NOT DISTINCT FROM s1.source AND d.size = s2.size),
+r AS (SELECT *, row_number() OVER (ORDER BY h, u, doc_id) - 1 AS i, count(*) OVER () AS n FROM {_curve(3, 5)})
+SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(i * 16 // n AS INTEGER) AS shard, CAST(i - (i * 16 // n * n + 15) // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(h AS BIGINT) AS hilbert FROM r
+"""

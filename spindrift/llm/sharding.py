@@ -9,19 +9,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, hidden, running, shown, small, unit
+from spindrift.llm.shared import cut, hidden, prefixed, running, shown, small, stored, unit
 
 
 @dataclass(frozen=True)
 class Settings:
-    """shards: runs to cut. bits: of each dimension; 2 ** (bits x dimensions) cells at most. error: of the rank at a
-    numeric dimension's cuts, as a share. per_bucket: rows that meet in one window. seed: of the order in a cell."""
+    """shards: runs to cut. bits: of each dimension; 2 ** (bits x dimensions) cells at most. per_bucket: rows that meet in
+    one window. seed: of the order in a cell."""
 
     shards: int = 16
     bits: int = 5
-    error: float = 0.001
     per_bucket: int = 5_000
     seed: int = 29
 
@@ -65,22 +63,17 @@ def hilbert(cells: DataFrame, dims: list[str], bits: int, name: str) -> DataFram
 def quantised(df: DataFrame, dims: list[str], settings: Settings) -> DataFrame:
     """df with each column of dims made an integer below 2 ** bits, in the values' order, with about equal rows in each step.
 
-    A string dimension's steps come from the counts of its values by code point, null first; a number's from its
-    approximate quantiles, null and NaN below all. Equal values share a step.
+    A value's step is that of the rows below it, counted exactly; so equal values share a step. Strings go by code point,
+    null and NaN stand below all.
     """
     steps = 1 << settings.bits
     for d in dims:
-        if dict(df.dtypes)[d] == "string":
-            per = df.groupBy(d).agg(F.count("*").alias("_n"))
-            upto = F.coalesce(F.sum("_n").over(Window.orderBy(F.col(d).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            per = cut(per.select(F.col(d).alias("_v"), F.floor(upto * steps / F.sum("_n").over(Window.partitionBy())).alias("_q")))
-            df = df.join(small(per, per.count()), F.col(d).eqNullSafe(F.col("_v"))).withColumn(d, F.col("_q")).drop("_v", "_q")
-        else:
-            number = F.col(d).cast("double")
-            number = F.when(~F.isnan(number), number)
-            cuts = df.agg(F.percentile_approx(number, [k / steps for k in range(1, steps)], round(1 / settings.error)).alias("c")).first()["c"]
-            edges = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<double>")
-            df = df.withColumn(d, F.when(number.isNull(), F.lit(0)).otherwise(F.size(F.filter(edges, lambda e: e < number))).cast("long"))
+        if dict(df.dtypes)[d] in ("float", "double"):
+            df = df.withColumn(d, F.when(~F.isnan(d), F.col(d)))
+        per = cut(df.groupBy(d).agg(F.count("*").alias("_n")))
+        total, values = per.agg(F.sum("_n"), F.count("*")).first()
+        per = cut(prefixed(per, [F.col(d).asc_nulls_first()], "_n", "_upto", values).select(F.col(d).alias("_v"), F.floor(F.col("_upto") * steps / F.lit(total)).alias("_q")))
+        df = df.join(small(per, values), F.col(d).eqNullSafe(F.col("_v"))).withColumn(d, F.col("_q")).drop("_v", "_q")
     return df
 
 
@@ -88,21 +81,23 @@ def shard(docs: DataFrame, dims: dict[str, Column], key: str = "doc_id", setting
     """docs with hilbert, shard and slot (replacing columns of these names): counts of shards are at most one apart.
 
     Rows are ranked by their cell on the curve, and in a cell by a seeded hash of key, then key; shard s holds the ranks
-    from s x rows / shards on, slot counts from 0 in it. A cell of many rows is dealt to several windows by that hash.
+    from s x rows / shards on, slot counts from 0 in it. A cell of many rows is dealt to several windows by that hash,
+    and where one key's rows crowd a window, by their own number. The rows are written once and read for each step.
     Rows of equal key and cell are interchangeable; nulls are values; an empty table gives an empty one.
     """
     made = ["hilbert", "shard", "slot"]
     q = [f"_q{i}" for i in range(len(dims))]
     plain, names = hidden(docs)
-    d = docs.select(*docs.columns, *dims.values()).toDF(*plain.columns, *q)
+    d = stored(docs.select(*docs.columns, *dims.values()).toDF(*plain.columns, *q).withColumn("_row", F.monotonically_increasing_id()), "sharding-rows")
+    rows = d.count()
     d = quantised(d, q, settings).withColumn("_u", unit(names[key], seed=settings.seed))
     cells = hilbert(d.groupBy(*q).agg(F.count("*").alias("_n")), q, settings.bits, "_hilbert")
-    cells = cells.withColumn("_buckets", F.ceil(F.col("_n") / settings.per_bucket))
-    on = Window.orderBy("_hilbert").rowsBetween(Window.unboundedPreceding, -1)
-    # One row a cell; how many there can be is set by bits and dimensions alone.
-    cells = cut(cells.withColumn("_first", F.coalesce(F.sum("_buckets").over(on), F.lit(0))).withColumn("_rows", F.sum("_n").over(Window.partitionBy())).drop("_n"))
-    d = d.join(F.broadcast(cells) if settings.bits * len(dims) <= 17 else cells, q)
-    d = running(d.withColumn("_one", F.lit(1)), [], ["_u", names[key]], "_one", "_rank", F.col("_first") + F.floor(F.col("_u") * F.col("_buckets")), group=4096)
+    # One row a cell, and at most 2 ** (bits x dimensions) of them, in buckets of neighbours on the curve.
+    cells = cut(cells.withColumn("_buckets", F.ceil(F.col("_n") / settings.per_bucket)).drop("_n"))
+    cells = cut(running(cells, [], ["_hilbert"], "_buckets", "_first", F.floor(F.col("_hilbert") / 4096), group=4096))
+    d = d.join(small(cells, cells.count()), q).withColumn("_rows", F.lit(rows))
+    place = F.col("_first") + F.floor(F.col("_u") * F.col("_buckets"))
+    d = running(d.withColumn("_one", F.lit(1)), [], ["_u", names[key]], "_one", "_rank", place, group=4096, salt=unit("_row", seed=settings.seed), crowd=4 * settings.per_bucket)
     n = settings.shards
     d = d.withColumn("_shard", F.floor(F.col("_rank") * n / F.col("_rows")).cast("int"))
     # The quotient of doubles may fall short at a border; whole numbers decide.

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,24 +18,54 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, that driver and executors share; one under the temporary folder where none is set, as in tests."""
+    """The folder in spark.checkpoint.dir, that driver and executors share; one under the temporary folder where none is
+    set and all run in one process, as in tests. A cluster without one is an error: executors would write to their own disks."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{os.path.join(tempfile.gettempdir(), 'spindrift-checkpoints')}"
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """What this application writes to the shared folder lies here, but for checkpoints."""
+    return f"{shared_dir(spark).rstrip('/')}/spindrift/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/spindrift/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes what this application's operators have written to the shared folder: call it once their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While it is open at most this many rows go to Python at once, as a batch of whole texts is held several times, on
+    both sides; then the session's own setting is back. A plan takes the setting that holds when it runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: the plan behind it ends here and survives lost executors."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: the plan behind it ends here and survives lost
+    executors. rows: that go to Python at once meanwhile; none: as the session says."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with short_batches(spark, rows) if rows else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,15 +75,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def short_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Sets how many rows go to Python at once to this many, if it is more: a batch of whole texts is held several times, on both sides."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
-
-
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its counted rows are within limit; without one the planner joins by a shuffle."""
+    """df with a broadcast hint if its counted rows are within limit; without one the planner joins by a shuffle. For rows of a few numbers or short strings."""
     return F.broadcast(df) if rows <= limit else df
 
 
@@ -78,24 +104,54 @@ def shown(names: dict[str, str], without: list[str] = []) -> list[Column]:  # no
     return [F.col(c).alias(name) for name, c in names.items() if name not in without]
 
 
-def running(df: DataFrame, part: list[str], order: list[str], value: str, out: str, bucket: Column, group: int = 0, depth: int = 0) -> DataFrame:
+def dealt(df: DataFrame, part: list[str], value: str, bucket: Column, salt: Column | None, crowd: int, depth: int = 0) -> tuple[DataFrame, DataFrame]:
+    """df with its bucket and sub-bucket as _bucket and _sub, and the sums of value by them as _own.
+
+    The sub-bucket is 0, but in a bucket of more than crowd rows, which a key repeated often makes: there salt, a number
+    in [0, 1) of each row's own, deals the rows to so many sub-buckets that one holds about a quarter of crowd.
+    """
+    b, s, own, rows, parts = (f"_{x}{depth}" for x in ("bucket", "sub", "own", "rows", "parts"))
+
+    def sums(of: DataFrame) -> DataFrame:
+        return cut(of.groupBy(*part, b, s).agg(F.sum(value).alias(own), F.count("*").alias(rows)))
+
+    df = df.withColumn(b, bucket.cast("long")).withColumn(s, F.lit(0).cast("long"))
+    found = sums(df)
+    if salt is None or not (crowded := found.filter(F.col(rows) > crowd)).head(1):
+        return df, found.drop(rows)
+    crowded = crowded.select(*part, b, F.ceil(F.col(rows) * 4 / crowd).alias(parts))
+    df = df.join(small(crowded, crowded.count()), [*part, b], "left").withColumn(s, F.coalesce(F.floor(salt * F.col(parts)), F.lit(0)).cast("long")).drop(parts)
+    return df, sums(df).drop(rows)
+
+
+def running(df: DataFrame, part: list[str], order: list, value: str, out: str, bucket: Column, group: int = 0, depth: int = 0, salt: Column | None = None, crowd: int = 20_000) -> DataFrame:
     """Adds out: the sum of value over the rows of the same part that come before in the order of (bucket, *order).
 
     A window over a whole part would put a hot part in one task. Here bucket, an integer that never falls along the
     order wanted, deals the rows; the buckets' sums are summed over a table of one row a bucket (with group, by groups
-    of so many buckets first), and only a bucket's own rows meet in a window. part's columns must not be null.
+    of so many buckets first), and only a bucket's own rows meet in a window. With salt, in buckets of more than crowd
+    rows its order comes first, and deals them again (see dealt()). part's columns must not be null.
     """
-    b, own, base = (f"_{x}{depth}" for x in ("bucket", "own", "base"))
-    df = df.withColumn(b, bucket.cast("long"))
-    sums = df.groupBy(*part, b).agg(F.sum(value).alias(own))
+    b, s, own, base = (f"_{x}{depth}" for x in ("bucket", "sub", "own", "base"))
+    df, sums = dealt(df, part, value, bucket, salt, crowd, depth)
     if group:
-        sums = running(sums, part, [b], own, base, F.floor(F.col(b) / group), depth=depth + 1)
+        sums = running(sums, part, [b, s], own, base, F.floor(F.col(b) / group), depth=depth + 1)
     else:
-        over = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+        over = Window.partitionBy(*part).orderBy(b, s).rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn(base, F.coalesce(F.sum(own).over(over), F.lit(0)))
-    inner = Window.partitionBy(*part, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*part, b, s).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = df.withColumn(own, F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    return within.join(sums.select(*part, b, base), [*part, b]).withColumn(out, F.col(own) + F.col(base)).drop(b, own, base)
+    return within.join(sums.select(*part, b, s, base), [*part, b, s]).withColumn(out, F.col(own) + F.col(base)).drop(b, s, own, base)
+
+
+def prefixed(df: DataFrame, order: list[Column], value: str, out: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """df, of so many rows that differ in order, with out: the sum of value over the rows before. Up to limit rows meet in
+    one window; more are dealt by ranges of the order, and the ranges' sums are summed."""
+    if rows <= limit:
+        over = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(value).over(over), F.lit(0)))
+    ranges = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    return running(ranges, [], order, value, out, F.col("_range"), group=4096).drop("_range")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -3,7 +3,9 @@
 A fingerprint is cut into so few segments that, of two within the distance, one segment differs by one bit at most.
 Each segment is indexed once for each of its bits with that bit left out; two such segments meet under an equal key.
 
-Texts that must resemble each other by their shingles are found by keys of drawn bits of wide SimHashes, and then verified.
+Fingerprints so near are of texts that are nearly equal. Texts whose sets of shingles have a similarity of 0.8 differ in
+some ten bits, where neither few segments nor keys of few bits tell them from strangers; so resembling() finds
+candidates by bands of least digests of the shingles, sorts out strangers by SimHash, and verifies the rest exactly.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, hidden, scratch, short_batches, shown, small, stored
+from spindrift.llm.shared import components, cut, hidden, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -94,7 +96,6 @@ def fingerprint(text: str | None, settings: Settings = Settings()) -> list[int]:
 def fingerprints(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs without the text, with fps, an array of signed longs, last (columns of that name are replaced); a narrow transformation."""
     kept = docs.drop("fps") if text != "fps" else docs
-    short_batches(docs.sparkSession)
     schema = kept.drop(text).withColumn("fps", F.array(F.lit(0).cast("long"))).schema
     at = kept.columns.index(text)
 
@@ -234,7 +235,6 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Of the nodes that share a fingerprint of a table only one is compared there, so a group is of different fingerprints. Each key's group yields a link a member at most, never its pairs.
     """
-    spark = nodes.sparkSession
     keys = [[(t * BITS + wild, mask) for wild, mask in variants(0, settings.distance)] for t in range(settings.tables)]
     table = [F.array(*[F.array(*[F.lit(k[i] if not i else _signed(k[i])).cast("long") for k in of]) for of in keys]) for i in (0, 1)]
     # Nodes that share a fingerprint of a table stand for each other there: but for one, each has a link to that one only.
@@ -250,9 +250,7 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     keyed = keyed.select("wild", F.col("fp").bitwiseAND(F.col("mask")).alias("masked"), "id", "fp")
     while True:
         dealt = keyed.repartition(F.col("wild"), F.col("masked")).sortWithinPartitions("wild", "masked").mapInArrow(_compare(settings), _FOUND)
-        path = scratch(spark, "simhash-links")
-        dealt.write.parquet(path)
-        found = spark.read.schema(dealt.schema).parquet(path)
+        found = stored(dealt, "simhash-links")
         edges = found.filter("b IS NOT NULL").select("a", "b")
         out = edges if out is None else out.union(edges)
         large = found.filter("b IS NULL")
@@ -282,7 +280,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", settings:
     Rows of equal fingerprints are one node; nulls in text count as no words; a null key is never the smallest, and
     where no key is left component_id is null. Repeated rows stay; an empty table gives an empty one.
     """
-    rows = stored(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", settings), "simhash-prints")
+    rows = stored(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", settings), "simhash-prints", 1000)
     wide = _first(rows, F.col("key"), settings)
     # A single row without links keeps its own key; only the others meet in the join.
     return rows.join(wide, rows["fps"] == wide["_fps"], "left").select(F.col("key").alias(key), "fps", F.when(F.col("_fps").isNull(), F.col("key")).otherwise(F.col("first")).alias("component_id"))
@@ -295,7 +293,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
     """
     plain, names = hidden(docs)
     key = names[key]
-    rows = stored(fingerprints(plain.withColumn("_text", F.col(names[text])), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    rows = stored(fingerprints(plain.withColumn("_text", F.col(names[text])), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows", 1000)
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     slim = rows.select(key, "_row", "fps")
     wide = _first(slim, rank, settings)
@@ -306,22 +304,20 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
 @dataclass(frozen=True)
 class Resemblance:
     """shingle: words in a shingle. similarity: Jaccard similarity of two texts' sets of shingles from which they link.
-    seed: of XXH64. tables: SimHashes of 64 bits of each set. keys, bits: two texts meet if they have all of so many drawn
-    bits alike in one of so many draws. distance, apart: of those that meet, they are compared exactly if this many bits
-    differ at most in the first SimHash and in all of them.
+    seed: of XXH64. bands, rows: two texts meet if in one of so many bands all of so many permutations of the digests
+    have the same least one in both sets. distance: of those that meet, they are compared exactly if this many bits of
+    their sets' SimHashes differ at most.
 
-    At similarity 0.8 a bit differs with probability acos(8 / 9) / pi = 0.151, so one key of 18 bits is alike with
-    0.849 ** 18 = 0.052, and one of 160 with 0.999 or more; as the keys share 256 bits, 0.99. distance and apart are four
-    standard deviations above that similarity's means, 9.7 and 38.8."""
+    At similarity 0.8 a band is alike with 0.8 ** 7 = 0.21, and one of 20 with 0.991 (at 0.85 with 0.9996); of texts that
+    share a tenth, one pair in 500,000 meets. At 0.8 a bit differs with probability acos(8 / 9) / pi = 0.151, so distance is
+    four standard deviations above the mean of 9.7."""
 
     shingle: int = 5
     similarity: float = 0.8
     seed: int = 42
-    tables: int = 4
-    keys: int = 160
-    bits: int = 18
+    bands: int = 20
+    rows: int = 7
     distance: int = 21
-    apart: int = 62
 
 
 #: Of groups up to _FEW nodes all pairs are looked at together; _DENSE pairs a node make a group one of near copies.
@@ -342,46 +338,44 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
+@lru_cache(maxsize=8)
+def _odd(settings: Resemblance) -> np.ndarray:
+    return np.random.default_rng(settings.seed).integers(0, 1 << 63, settings.bands * settings.rows, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def bands(h: np.ndarray, settings: Resemblance = Resemblance()) -> np.ndarray:
+    """A key for each band of a set of digests; none for an empty set. The permutations are products with drawn odd numbers."""
+    if not len(h):
+        return np.empty(0, np.int64)
+    odd = _odd(settings)
+    least = np.full(len(odd), ~np.uint64(0))
+    for at in range(0, len(h), 512):
+        np.minimum(least, (h[at : at + 512, None] * odd[None]).min(axis=0), out=least)
+    return np.array([xxhash.xxh3_64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(settings.bands, settings.rows))], np.uint64).view(np.int64)
+
+
 def sketches(docs: DataFrame, text: str, settings: Resemblance) -> DataFrame:
-    """docs without the text, with _set, a digest of 128 bits of its shingles' set, and fps, the set's SimHashes."""
+    """docs without the text, with _set, a digest of 128 bits of its shingles' set, fp, the set's SimHash, and keys, its bands."""
     kept = docs.drop(text)
-    short_batches(docs.sparkSession)
-    schema = kept.withColumn("_set", F.lit(b"")).withColumn("fps", F.array(F.lit(0).cast("long"))).schema
+    schema = kept.withColumns({"_set": F.lit(b""), "fp": F.lit(0).cast("long"), "keys": F.array(F.lit(0).cast("long"))}).schema
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, prints = [], np.zeros((b.num_rows, settings.tables), np.uint64)
+            names, prints, keys = [], np.zeros(b.num_rows, np.uint64), []
             for i, t in enumerate(b.column(at)):
                 h = shingle_set(t.as_py(), settings)
-                counts = np.zeros((settings.tables, 8, 256), np.int64)
+                counts = np.zeros((1, 8, 256), np.int64)
                 _count(counts, h)
                 names.append(xxhash.xxh3_128_digest(h.tobytes()))
-                prints[i] = _majority(counts, len(h))
+                prints[i] = _majority(counts, len(h))[0]
+                keys.append(bands(h, settings))
             rest = [c for i, c in enumerate(b.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.binary()), pa.array(list(prints.view(np.int64)), pa.list_(pa.int64()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.binary()), pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def _keys(settings: Resemblance):
-    """Rows (wild, id, fp) of each of (id, fps): wild is a key, fp the first SimHash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(settings.seed)
-        drawn = [rng.choice(settings.tables * BITS, settings.bits, replace=False) for _ in range(settings.keys)]
-        weight = 1 << np.arange(settings.bits, dtype=np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            prints = np.ascontiguousarray(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1))
-            ones = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
-            for k, places in enumerate(drawn):
-                yield pa.RecordBatch.from_arrays([pa.array((k << settings.bits) + ones[:, places] @ weight), b.column(0), pa.array(prints[:, 0].copy())], names=["wild", "id", "fp"])
-
-    return run
-
-
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Columns of batches sorted by the first, many rows at a time, with whole groups of it."""
     held: list[list[np.ndarray]] = []
@@ -470,11 +464,9 @@ def _cross(settings: Resemblance):
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Resemblance) -> DataFrame:
-    """Those of pairs(a, b) of nodes(id, fps, row) whose texts(_row, _text) have shingles of the similarity."""
-    apart = sum((F.bit_count(F.col("fa")[t].bitwiseXOR(F.col("fb")[t])) for t in range(settings.tables)), F.lit(0))
-    pairs = pairs.join(nodes.select(F.col("id").alias("a"), F.col("fps").alias("fa"), F.col("row").alias("ra")), "a")
-    pairs = pairs.join(nodes.select(F.col("id").alias("b"), F.col("fps").alias("fb"), F.col("row").alias("rb")), "b")
-    near = stored(pairs.filter(apart <= settings.apart).select("a", "b", "ra", "rb"), "simhash-near")
+    """Those of pairs(a, b) of nodes(id, row, ...) whose texts(_row, _text) have shingles of the similarity."""
+    near = pairs.join(nodes.select(F.col("id").alias("a"), F.col("row").alias("ra")), "a")
+    near = stored(near.join(nodes.select(F.col("id").alias("b"), F.col("row").alias("rb")), "b").select("a", "b", "ra", "rb"), "simhash-near")
     asked = near.select(F.col("ra").alias("_row")).union(near.select(F.col("rb").alias("_row"))).distinct()
     held = stored(texts.join(asked, "_row", "left_semi"), "simhash-texts")
     both = near.join(held.select(F.col("_row").alias("ra"), F.col("_text").alias("ta")), "ra").join(held.select(F.col("_row").alias("rb"), F.col("_text").alias("tb")), "rb")
@@ -499,13 +491,12 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Re
 
 
 def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resemblance()) -> DataFrame:
-    """Edges (a, b) between nodes(id, fps, row), different sets of shingles, of at least the similarity.
+    """Edges (a, b) between nodes(id, fp, keys, row), different sets of shingles, of at least the similarity.
 
     Their components are those of all pairs that meet under a key: in groups of near copies first only the links to
     leading nodes are verified, and then all pairs that these have left in different components.
     """
-    spark = nodes.sparkSession
-    keyed = nodes.select("id", "fps").mapInArrow(_keys(settings), "wild long, id long, fp long")
+    keyed = nodes.select(F.explode("keys").alias("wild"), "id", "fp")
     found = stored(keyed.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
     tested = stored(found.filter("b IS NOT NULL").select("a", "b").distinct(), "simhash-tested")
     edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges")
@@ -527,8 +518,8 @@ def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", set
     rows = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     texts = rows.select("_row", F.col(names[text]).alias("_text"))
-    slim = stored(sketches(rows.select(F.col(key), "_row", F.col(names[text]).alias("_text")), "_text", settings), "simhash-sketches")
-    nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fps").alias("fps"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
+    slim = stored(sketches(rows.select(F.col(key), "_row", F.col(names[text]).alias("_text")), "_text", settings), "simhash-sketches", 1000)
+    nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
     wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
-    gone = cut(slim.join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
+    gone = cut(slim.select(key, "_row", "_set").join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
     return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from spindrift.llm.shared import fresh, shared_dir
+from spindrift.llm.shared import fresh, scratch_root
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ def packed(rules: Iterable[Rule]) -> bytes:
     # host and path are told apart by a character that neither holds, so that they can't run into each other.
     rows = sorted((xxhash.xxh64_intdigest(f"{h}\n{p}".encode()), f"{h}\n{p}".encode(), v == "block") for (h, p), v in table.items())
     strings = [s for _, s, _ in rows]
-    header = json.dumps({"n": len(rows), "lengths": sorted({len(p) for _, p in table})}).encode()
+    header = json.dumps({"n": len(rows), "lengths": sorted({len(p) for _, p in table}), "labels": sorted({h.count(".") + 1 for h, _ in table})}).encode()
     header += b" " * (-(len(header) + 8) % 8)
     out = b"".join([len(header).to_bytes(8, "little"), header, np.array([k for k, _, _ in rows], "<u8").tobytes(), np.cumsum([0, *map(len, strings)], dtype="<u8").tobytes(), np.array([b for *_, b in rows], "u1").tobytes(), *strings])
     if len(out) > MOST_BYTES:
@@ -64,7 +64,7 @@ class Array:
         size = int.from_bytes(raw[:8].tobytes(), "little")
         header = json.loads(raw[8 : 8 + size].tobytes())
         n, at = header["n"], 8 + size
-        self.lengths, self.keys = header["lengths"], raw[at : at + 8 * n].view("<u8")
+        self.lengths, self.labels, self.keys = header["lengths"], header["labels"], raw[at : at + 8 * n].view("<u8")
         self.ends = raw[at + 8 * n : at + 8 * (2 * n + 1)].view("<u8")
         at += 8 * (2 * n + 1)
         self.block, self.strings = raw[at : at + n], raw[at + n :]
@@ -89,13 +89,17 @@ class Array:
         return out
 
     def judge(self, hosts: list[str], paths: list[str]) -> list[tuple[str | None, bool]]:
-        """The longest rule that fits each (host, path), and whether it blocks; of equal length, the longer host's."""
+        """The longest rule that fits each (host, path), and whether it blocks; of equal length, the longer host's.
+
+        A host is probed by its last labels, as many as some rule has, and a path by its first characters, as many as some
+        rule has: so a long url makes no more probes than the rules have lengths.
+        """
         probes, owners, lengths = [], [], []
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             if not host:
                 continue
-            labels = host.split(".")
-            tails = [".".join(labels[k:]) for k in range(len(labels))]
+            labels = host.rsplit(".", self.labels[-1]) if self.labels else []
+            tails = [".".join(labels[-k:]) for k in self.labels if k < len(labels) or k == host.count(".") + 1]
             for size in self.lengths:
                 if size > len(path):
                     break
@@ -117,7 +121,7 @@ def published(spark: SparkSession, rules: Iterable[Rule]) -> str:
     """The rules' file in the shared folder, from where Spark hands it to each executor, later ones included; its name there."""
     raw = packed(rules)
     name = f"url-rules-{xxhash.xxh3_128_hexdigest(raw)}.bin"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/spindrift/{name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{name}")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{os.getpid()}.part")

@@ -16,10 +16,9 @@ def proper(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def dimension(rows: DataFrame, vector: str = "v") -> int | None:
-    """The most frequent length, ties to the smaller; None without rows."""
-    found = rows.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return found["d"] if found else None
+def lengths(rows: DataFrame, vector: str = "v") -> list[int]:
+    """The lengths that occur, in order."""
+    return [r["d"] for r in rows.select(F.size(vector).alias("d")).distinct().orderBy("d").collect()]
 
 
 def sample(rows: DataFrame, key: str, most: int, total: int, seed: int) -> DataFrame:

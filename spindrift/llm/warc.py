@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spindrift.llm.shared import cut, short_batches, small, stored
+from spindrift.llm.shared import cut, small, stored
 
 MAGIC = b"WARC/1."
 END = "\r\n\r\n"
@@ -205,8 +205,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     if not spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
         raise FileNotFoundError(path)
-    short_batches(spark)
-    found = stored(_pieces(spark, path).mapInArrow(_scan, _CANDIDATE), "warc-candidates")
+    found = stored(_pieces(spark, path).mapInArrow(_scan, _CANDIDATE), "warc-candidates", 1000)
     ranges = cut(_based(found.filter("off IS NULL")))
     n = ranges.count()
     c = found.filter("off IS NOT NULL").join(small(ranges, n), ["file", "block"])

@@ -156,6 +156,47 @@ def test_recall_against_all_pairs(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def test_neighbours_are_of_a_querys_own_length(spark):
+    rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 0.5]), (20, [1.0, 0.0, 0.0]), (21, [2.0, 5.0, 1.0]), (22, [1.0, 1.0, 1.0]), (23, [4.0, 0.0, 0.0]), (40, [7.0])]
+    found = sorted(map(tuple, ann.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect()))
+    assert found == [(0, 1, 1, 5.0), (0, 2, 2, 1.5), (20, 1, 23, 4.0), (20, 2, 21, 2.0), (20, 3, 22, 1.0)]
+
+
+def test_a_bound_is_no_score_that_rounding_may_miss():
+    """Large norms and products near 0: the bound stands below what any order of summing may give."""
+    q = np.array([[1e8, 1e8, 1.0]])
+    s = np.array([[1e8, -1e8, x] for x in np.linspace(0, 1, 40)])
+    floor = ann.bounds(q, np.array([-1]), s, np.arange(40), 20, 2e8)
+    assert floor[0] < np.sort(ann.dots(np.repeat(q, 40, 0), s))[-20]
+
+
+def test_a_query_visits_a_part_of_clustered_rows():
+    """Of 40,000 vectors in 400 clusters fewer than a third are compared, at a recall of 0.9 or more; an odd query widens by itself."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(400, 32))
+    x = centres[rng.integers(0, 400, 40_000)] + 0.2 * rng.normal(size=(40_000, 32))
+    ids, settings = np.arange(len(x)), ann.Settings(sample=4000)
+    picked = rng.permutation(len(x))[:4000]
+    norm = float(np.linalg.norm(x, axis=1).max())
+    tree = ann.fit(x[picked], norm, settings)
+    leaf = tree.assign(x)
+    sizes = np.bincount(leaf, minlength=tree.leaves)
+
+    def true(rows):
+        s = x[rows] @ x.T
+        s[np.arange(len(rows)), rows] = -np.inf
+        return np.argsort(-s, axis=1)[:, :20]
+
+    tried, asked = ids[:100], ids[100:300]
+    floor = lambda rows: ann.bounds(x[rows], rows, x[picked], picked, 20, norm)
+    slack = ann.calibrated(tree, x[tried], floor(tried), sizes, 20, [leaf[t].tolist() for t in true(tried)], 0.95)
+    visited = tree.visits(x[asked], floor(asked), slack, sizes, 21)
+    recall = np.mean([np.isin(leaf[t], v).mean() for t, v in zip(true(asked), visited, strict=True)])
+    assert recall >= 0.9
+    assert np.mean([sizes[v].sum() for v in visited]) < len(x) / 3
+    assert len({len(v) for v in visited}) > 1
+
+
 # -- vector duplicates
 
 
@@ -194,6 +235,12 @@ def test_vector_duplicates_of_no_and_of_repeated_rows(spark):
     assert found == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False), (2, 1, 1, False), (1, 1, 1, True)], key=repr)
 
 
+def test_vectors_of_every_length_link(spark):
+    rows = [(1, [1.0, 2.0], 1), (2, [1.0, 2.0], 1), (3, [2.0, 4.1], 1), *[(10 + i, [float(i), 1.0, 0.0], 1) for i in range(5)], (20, [1.0, 2.0, 0.0], 1), (21, [5.0], 1), (22, [2.0], 1), (23, [-2.0], 1)]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pqdedup.grouped(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert [found[i] for i in (1, 2, 3, 20, 21, 22, 23)] == [(2, 1), (2, 1), (2, 1), (0, 20), (1, 21), (1, 21), (0, 23)]
+
+
 # -- URL filters
 
 
@@ -229,6 +276,17 @@ def test_urls_are_judged_as_by_trying_all_rules(spark):
     assert {r["verdict"] for r in urlfilter.judged(df, [], default="block").collect()} == {"block"}
 
 
+def test_a_long_host_makes_few_probes(tmp_path, monkeypatch):
+    """A host of a megabyte, of half a million labels: as many probes as the rules have numbers of labels."""
+    (tmp_path / "rules").write_bytes(urlfilter.packed([urlfilter.Rule("com", "/", "block"), urlfilter.Rule("b.example.com", "/x", "allow")]))
+    array, asked = urlfilter.Array(str(tmp_path / "rules")), []
+    find = urlfilter.Array.find
+    monkeypatch.setattr(urlfilter.Array, "find", lambda self, probes: (asked.extend(probes), find(self, probes))[1])
+    long = "a." * 500_000
+    assert array.judge([long + "com", long + "b.example.com", "com", "b.example.com", "xb.example.com", "org"], ["/", "/xy", "/", "/x", "/x", "/"]) == [("com/", True), ("b.example.com/x", False), ("com/", True), ("b.example.com/x", False), ("com/", True), (None, False)]
+    assert sum(map(len, asked)) < 1000
+
+
 def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
     monkeypatch.setattr(urlfilter.xxhash, "xxh64_intdigest", lambda s: len(s) % 2)
     rules = [urlfilter.Rule(f"h{i}.com", "/" + "x" * (i % 4), "block" if i % 3 else "allow") for i in range(40)]
@@ -257,6 +315,41 @@ def test_query(spark, sf_dir, name):
     compare(spark, sf_dir, q.queries()[name], q.oracle_sql()[name])
 
 
+def test_a_query_leaves_the_session_as_it_was(spark, sf_dir):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    for run in q.queries().values():
+        run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        assert spark.conf.get(name) == before
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from spindrift.llm.shared import shared_dir
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+    for master, ok in (("local[4]", True), ("local", True), ("local[*]", True), ("spark://x:7077", False), ("local-cluster[3,2,1024]", False), ("yarn", False)):
+        context.master = master
+        session = SimpleNamespace(conf=conf, sparkContext=context)
+        if ok:
+            assert shared_dir(session).startswith("file://")
+        else:
+            with pytest.raises(RuntimeError, match="checkpoint"):
+                shared_dir(session)
+
+
+def test_clear_removes_what_was_written(spark):
+    from spindrift.llm.shared import clear, scratch_root, stored
+
+    kept = stored(spark.range(3), "x")
+    assert kept.count() == 3
+    clear(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
     from spindrift.llm import simhash

@@ -8,13 +8,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spindrift.llm import langid, mixing, packing, quality, sharding, simhash
 from spindrift.llm import queries as q
-from spindrift.llm.shared import components, running
+from spindrift.llm.shared import components, dealt, prefixed, running, unit
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -75,6 +76,33 @@ def test_running_sums(spark, group):
     assert found.count() == 1000
 
 
+def test_rows_of_one_key_fill_all_buckets(spark):
+    """60,000 null keys have one hash: they are dealt by their own number, and the running sums are still those of an order."""
+    rows = spark.range(60_000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("_row"), F.lit(0).alias("p"), (F.col("id") % 7).alias("n"))
+    rows = rows.withColumn("_u", unit("k"))
+    bucket, salt = F.floor(F.col("_u") * 12), unit("_row")
+    of, sums = dealt(rows, ["p"], "n", bucket, salt, 20_000)
+    sizes = [r["count"] for r in of.groupBy("_bucket0", "_sub0").count().collect()]
+    assert len(sizes) == 12
+    assert max(sizes) < 6000
+    assert sums.count() == 12
+    found = running(rows, ["p"], ["_u", "_row"], "n", "s", bucket, salt=salt).select("n", "s").collect()
+    at = 0
+    for r in sorted(found, key=lambda r: (r["s"], r["n"])):
+        assert r["s"] == at
+        at += r["n"]
+
+
+@pytest.mark.parametrize("limit", [1000, 10])
+def test_prefix_sums_by_ranges(spark, limit):
+    rng = random.Random(2)
+    rows = [(None if i == 0 else f"s{i:03}", rng.randint(0, 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "s string, n long").repartition(5)
+    for order, first in ((F.col("s").asc_nulls_last(), rows[1:] + rows[:1]), (F.col("s").asc_nulls_first(), rows)):
+        found = {r["s"]: r["o"] for r in prefixed(df, [order], "n", "o", 200, limit).collect()}
+        assert found == {s: sum(n for _, n in first[:i]) for i, (s, _) in enumerate(first)}
+
+
 # -- language
 
 
@@ -123,6 +151,51 @@ def test_dictionaries_are_bounded(spark):
     assert all(len(v) <= 500 for v in langid.learn(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), settings=settings).values())
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    """A text longer than a dictionary gives it a slice, so that its language isn't lost."""
+    rng = random.Random(3)
+    words = {"es": ["perro", "gato", "noche", "ventana", "hermano", "siempre"], "en": ["dog", "night", "window", "brother", "always", "cat"]}
+    text = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    docs = spark.createDataFrame([(i, "es", text("es", 20_000)) for i in range(5)] + [(10 + i, "en", text("en", 60)) for i in range(5)], "doc_id long, lang string, text string")
+    learned = langid.learn(docs)
+    assert set(learned) == {"en", "es"}
+    assert all(r["lang_pred"] == r["lang"] for r in langid.identify(docs, learned).collect())
+
+
+def test_all_of_many_languages_are_learned(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id")).alias("lang"), F.concat(F.lit("word"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit(" text")).alias("text"))
+    assert len(langid.learn(docs)) == 400
+    assert max(map(len, langid.learn(docs, settings=langid.Settings(dictionaries_bytes=4000, least_bytes=10)).values())) <= 10
+    with pytest.raises(ValueError, match="room"):
+        langid.learn(docs, settings=langid.Settings(dictionaries_bytes=4000, least_bytes=100))
+
+
+def test_language_query_against_plain_zstandard(spark):
+    """Every row of the query, by zstandard alone: each chunk of the letters under each language's dictionary."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned = langid.learn(docs.filter(~q.held_out()))
+    found = {r["doc_id"]: r for r in q.op4_language_id(spark, sf).collect()}
+    assert len(found) == docs.count()
+    for r in docs.collect():
+        raw = " ".join("".join(c if c.isalpha() else " " for c in (r["text"] or "").lower()).split()).encode()
+        if not raw:
+            assert found[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        size = {}
+        for lang, words in learned.items():
+            d = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=5)
+            coder = zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False, write_checksum=False)
+            size[lang] = sum(len(coder.compress(raw[i : i + 1024])) for i in range(0, len(raw), 1024))
+        best = min(size, key=lambda k: (size[k], k))
+        margin = (sorted(size.values())[1] - size[best]) / size[best]
+        got = found[r["doc_id"]]
+        assert (got["lang_pred"], got["rejected"]) == (best, margin < 0.005)
+        assert got["margin"] == pytest.approx(margin)
+        assert got["score"] == pytest.approx(1 / sum(math.exp(-min(50, 100 * (x - size[best]) / size[best])) for x in size.values()))
+
+
 # -- quality
 
 
@@ -162,18 +235,60 @@ def kneser_ney(texts, letters):
 def test_perplexity_is_that_of_the_definition(spark):
     texts = [r["text"][:400] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(30).collect()]
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    model, *halves = quality.train(df)
-    plain = kneser_ney(texts, model.letters)
-    asked = [*texts[:5], "something ELSE zzz 中", "a", "", None]
-    got = [r["perplexity"] for r in quality.perplexity(spark.createDataFrame(list(enumerate(asked)), "i int, text string"), model).orderBy("i").collect()]
-    for t, x in zip(asked, got, strict=True):
-        assert x is None if not t else x == pytest.approx(plain(t), rel=1e-4)
-    assert np.exp(model.table().astype(float)).reshape(-1, 64).sum(1) == pytest.approx(1, abs=1e-4)
+    model = quality.train(df)
     folds = {r["text"]: r["f"] for r in df.select("text", quality.fold(F.col("text")).alias("f")).collect()}
-    for k, half in enumerate(halves):
-        other = kneser_ney([t for t in texts if folds[t] != k], half.letters)
-        got = quality.perplexity(spark.createDataFrame([(texts[0],)], "text string"), half).first()["perplexity"]
-        assert got == pytest.approx(other(texts[0]), rel=1e-4)
+    asked = [*texts[:5], "something ELSE zzz 中", "a", "", None] * 2
+    rows = spark.createDataFrame(list(enumerate(asked)), "i int, text string")
+    for m in (quality.WHOLE, *quality.HALVES):
+        plain = kneser_ney([t for t in texts if m in (folds[t], quality.WHOLE)], model.letters)
+        for settings in (quality.Settings(), quality.Settings(block=300)):
+            got = [r["perplexity"] for r in quality.scored(rows, model, F.lit(m), settings=settings).orderBy("i").collect()]
+            for t, x in zip(asked, got, strict=True):
+                assert x is None if not t else x == pytest.approx(plain(t), rel=1e-9)
+
+
+def test_probabilities_of_what_may_follow_sum_to_one(spark):
+    model = quality.train(spark.createDataFrame([("the cat sat on the mat",), ("a cat that sat",), ("mats",)], "text string"))
+    contexts = [0, model.letters[ord("t")], (model.letters[ord("a")] << 6) + model.letters[ord("t")], (3 << 12) + (5 << 6) + 7, (1 << 18) - 1]
+    asked = spark.createDataFrame([(quality.WHOLE, (c << 6) + x) for c in contexts for x in range(64)], "m int, gram long")
+    total = quality.probabilities(asked, model).groupBy(F.shiftright("gram", 6).alias("c")).agg(F.sum("p").alias("p")).collect()
+    assert len(total) == len(contexts)
+    assert all(r["p"] == pytest.approx(1, abs=1e-9) for r in total)
+
+
+def test_quality_against_its_definition(spark):
+    """Perplexity, threshold and keep of every row, by the plain model and plain quantiles."""
+    every = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", F.substring("text", 1, 300).alias("text")).orderBy("doc_id").limit(150).collect()
+    rows = [(r["doc_id"], r["lang"] if r["doc_id"] % 11 else None, r["text"]) for r in every] + [(5000, "en", None), (5001, "xx", "of no trusted language"), (5002, "en", "")]
+    good = {d for d, *_ in rows if d % 3 == 0}
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(2).cache()
+    labels = spark.createDataFrame([(d, 1, 0) for d in good], "doc_id long, quality int, toxic int")
+    settings = quality.Settings(symbols=64, quantile=0.9, block=2000)
+    found = {r["doc_id"]: r for r in quality.judged(docs, labels, settings=settings).collect()}
+
+    folds = {r["doc_id"]: r["f"] for r in docs.select("doc_id", quality.fold(F.col("text")).alias("f")).collect()}
+    trusted = [(d, lang, t) for d, lang, t in rows if d in good and t]
+    code = {c: n for c, n in Counter(c for *_, t in trusted for c in t).items()}
+    letters = {ord(c): i + 1 for i, c in enumerate(sorted(code, key=lambda c: (-code[c], ord(c)))[:62])}
+    plain = {m: kneser_ney([t for d, _, t in trusted if m in (folds[d], 2)], letters) for m in (0, 1, 2)}
+    at = lambda values, quantile: sorted(values)[max(0, math.ceil(quantile * len(values)) - 1)]
+    logs = [(lang, math.log(plain[1 - folds[d]](t)), len(t) + 1) for d, lang, t in trusted]
+
+    def level(own, of):
+        middle = at([x for _, x, _ in of], 0.5)
+        return middle, at([(x - middle) * n / (n + 100) for _, x, n in own], 0.9)
+
+    levels = {lang: level(own, own) for lang in {x[0] for x in logs} if (own := [x for x in logs if x[0] == lang])}
+    rest = level(logs, logs)
+    for d, lang, t in rows:
+        if not t:
+            assert (found[d]["perplexity"], found[d]["symbols"], found[d]["threshold"], found[d]["keep"]) == (None, 0, None, False)
+            continue
+        middle, above = levels.get(lang, rest)
+        threshold = math.exp(middle + above * (len(t) + 101) / (len(t) + 1))
+        assert found[d]["perplexity"] == pytest.approx(plain[2](t), rel=1e-9)
+        assert found[d]["threshold"] == pytest.approx(threshold, rel=1e-9)
+        assert found[d]["keep"] == (found[d]["perplexity"] <= found[d]["threshold"])
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
