@@ -1,16 +1,20 @@
 """Wikitext markup to plain text.
 
-Alternatives are tried in a fixed order and fall back to a literal character, as in a parsing expression grammar. Two
-things keep that from taking exponential time: what a construct yields at a place is remembered, and a scan that ran
-to the end of the text without its closer marks every place it passed, so that no later scan of the kind passes there.
+Alternatives are tried in a fixed order and fall back to a literal character, as in a parsing expression grammar. Three
+things keep the time in proportion to the text: what a construct yields at a place is remembered, a scan that ran to
+the end of the text without its closer marks every place it passed, so that no later scan of the kind passes there, and
+a search that found nothing isn't repeated behind its start.
+
+Constructs that hold others are generators that yield those they wait for, and run() keeps the stack; so nesting may be
+of any depth.
 """
 
 from __future__ import annotations
 
 import html
 import re
-import sys
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Generator, Mapping
+from types import GeneratorType
 
 from spindrift.functions.templates import COUNTRIES, expand
 from spindrift.functions.text import lines, trim
@@ -39,63 +43,102 @@ DROPPED_ELEMENTS = ["imagemap", "gallery", "math", "score", "code", "references"
 BARE_TAGS = ["div", "br", "onlyinclude", "section"]
 
 _FLAGS = re.DOTALL | re.IGNORECASE
-_COMMENT = re.compile(r"<!--.*?-->", re.DOTALL)
-_BARE = re.compile(rf"</?[ \t]*(?:{'|'.join(BARE_TAGS)})[^>]*>", re.DOTALL)
-_VOID = re.compile(r"<(ref|nowiki)([^>]*)>", re.DOTALL)
-_ELEMENT = re.compile(rf"<({'|'.join(KEPT_ELEMENTS + DROPPED_ELEMENTS)})[^>]*>", re.DOTALL)
-_CLOSERS = {t: re.compile(rf"</{t}[^>]*>", re.DOTALL) for t in KEPT_ELEMENTS + DROPPED_ELEMENTS}
-_REFBEGIN = re.compile(r"\{\{refbegin.*?(?:\{\{refend[^{}]*\}\}|(?=\n==))", _FLAGS)
+_BARE = re.compile(rf"</?[ \t]*(?:{'|'.join(BARE_TAGS)})")
+_VOID = re.compile(r"<(ref|nowiki)")
+_ELEMENT = re.compile(rf"<({'|'.join(KEPT_ELEMENTS + DROPPED_ELEMENTS)})")
+_REFBEGIN, _REFEND = re.compile(r"\{\{refbegin", re.IGNORECASE), re.compile(r"\{\{refend[^{}]*\}\}|(?=\n==)", _FLAGS)
 _BRACKETED = re.compile(r"\{\{[^{}]+\}\}[^{}]*\{\{(?:s-)?end[^{}]*\}\}", _FLAGS)
-_SQUAD = re.compile(r"\{\{fs start[^{}]*\}\}.*?\{\{fs end[^{}]*\}\}", _FLAGS)
+_SQUAD, _SQUAD_END = re.compile(r"\{\{fs start[^{}]*\}\}", _FLAGS), re.compile(r"\{\{fs end[^{}]*\}\}", _FLAGS)
 _OPENING = re.compile("|".join([rf"\{{\{{(?:{'|'.join(map(re.escape, TABLE_TEMPLATES))})", r"\{\{(?:[^\W_]|\s)*?(?:start|header|table)[ \t]*(?:\||\}\})"]), _FLAGS)
-_MATH, _MATH_END = re.compile(r"<math[^>]*>", re.DOTALL), re.compile(r"</math[^>]*>", re.DOTALL)
-_TABLE_END = re.compile(r"\n(?:<!--.*?-->|[ \t\r])*\|(?:<!--.*?-->)*\}(?=[^}])|(?=\n==[^=])", re.DOTALL)
 _BULLET = re.compile(r"\n[*:;#]+")
 _HEADER = re.compile(r"\n==(?=[^=])", re.DOTALL)
-_LINE_END = re.compile(r"(?=\n)")
 _PLAIN = re.compile(r"[^\n{\[<']+")
 _IN_TEMPLATE, _IN_LINK, _IN_ELEMENT, _IN_LIST, _IN_TABLE, _IN_SECTION = (re.compile(x) for x in (r"[^{}<]+", r"[^\[\]]+", r"[^<]+", r"[^{<\n]+", r"[^\n{<]+", r"[^\n<]+"))
 
 Found = tuple[int, str] | None
-_DEEPEST = 60_000
+Reading = Generator["Reading", Found, Found]
+
+
+def run(first: Reading) -> Found:
+    """The value of a generator that yields other generators for their values; the stack is a list."""
+    stack, value = [first], None
+    while stack:
+        try:
+            waits_for = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(waits_for)
+            value = None
+    return value
 
 
 class _Reader:
-    """One text being read. templates: whether a template may stand at the top level, which it may not in a template's own body."""
+    """One text being read. templates: whether a template may stand at the top level, which it may not in a template's own body.
+
+    A reader of a construct gives what it found at a place, or None, or a generator whose value that is.
+    """
 
     def __init__(self, s: str, countries: Mapping[str, str], templates: bool = True):
         self.s, self.n, self.countries, self.templates = s, len(s), countries, templates
         self.known: dict[tuple[str, int], Found] = {}
         self.dead: dict[str, set[int]] = {}
+        self.absent: dict[str, int] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """str.find; where there was none, nothing behind is searched again."""
+        if at >= self.absent.get(what, self.n):
+            return -1
+        to = self.s.find(what, at)
+        if to < 0:
+            self.absent[what] = at
+        return to
+
+    def search(self, what: re.Pattern, at: int) -> re.Match | None:
+        if at >= self.absent.get(what.pattern, self.n):
+            return None
+        m = what.search(self.s, at)
+        if not m:
+            self.absent[what.pattern] = at
+        return m
 
-    def once(self, kind: str, at: int, read: Callable[[int], Found]) -> Found:
+    def once(self, kind: str, at: int, read: Callable[[int], Reading]) -> Reading | Found:
         key = (kind, at)
-        if key not in self.known:
-            self.known[key] = read(at)
-        return self.known[key]
+        return self.known[key] if key in self.known else self._once(key, read)
+
+    def _once(self, key: tuple[str, int], read: Callable[[int], Reading]) -> Reading:
+        found = self.known[key] = yield read(key[1])
+        return found
 
-    def until(self, kind: str, at: int, closer: re.Pattern, plain: re.Pattern, *inner: Callable[[int], Found]) -> Found:
+    def until(self, kind: str, at: int, closer: Callable[[int], int | None], plain: re.Pattern, *inner: Callable[[int], Reading | Found]) -> Reading:
         """What is read from at up to a closer, each place by the first of inner that reads there, else as text."""
         out, passed, dead = [], [], self.dead.setdefault(kind, set())
         while True:
-            if m := closer.match(self.s, at):
-                return m.end(), "".join(out)
+            if (end := closer(at)) is not None:
+                return end, "".join(out)
             if at >= self.n or at in dead:
                 dead.update(passed)
                 return None
             passed.append(at)
-            found = next((f for read in inner if (f := read(at))), None)
-            if found is None:
+            found = None
+            for read in inner:
+                found = read(at)
+                if isinstance(found, GeneratorType):
+                    found = yield found
+                if found:
+                    break
+            if not found:
                 m = plain.match(self.s, at)
                 found = (m.end(), m[0]) if m else (at + 1, self.s[at])
             at = found[0]
             out.append(found[1])
 
-    def again(self, s: str) -> str:
+    def again(self, s: str) -> Reading:
         return _Reader(s, self.countries).text()
 
-    def text(self) -> str:
-        """The whole text; never fails, as any character may stand for itself."""
+    def text(self) -> Reading:
+        """The whole text with its length; never fails, as any character may stand for itself."""
         out, at = [], 0
         by_first = {
             "\n": (self.table, self.section, self.items),
@@ -109,72 +152,104 @@ class _Reader:
                 out.append(m[0])
                 at = m.end()
                 continue
-            found = next((f for read in by_first[self.s[at]] if (f := read(at))), None)
+            found = None
+            for read in by_first[self.s[at]]:
+                found = read(at)
+                if isinstance(found, GeneratorType):
+                    found = yield found
+                if found:
+                    break
             at, piece = found or (at + 1, self.s[at])
             out.append(piece)
-        return "".join(out)
+        return self.n, "".join(out)
 
-    def _gone(self, pattern: re.Pattern, at: int) -> Found:
-        m = pattern.match(self.s, at)
-        return (m.end(), "") if m else None
+    def tag_end(self, head: re.Pattern, at: int) -> tuple[int, re.Match] | None:
+        """Where the tag that begins with head ends, and the head."""
+        m = head.match(self.s, at)
+        to = self.find(">", m.end()) if m else -1
+        return (to + 1, m) if to >= 0 else None
+
+    def closing(self, name: str) -> Callable[[int], int | None]:
+        head = f"</{name}"
+
+        def closer(at: int) -> int | None:
+            to = self.find(">", at + len(head)) if self.s.startswith(head, at) else -1
+            return to + 1 if to >= 0 else None
+
+        return closer
+
+    def literal(self, closer: str) -> Callable[[int], int | None]:
+        return lambda at: at + len(closer) if self.s.startswith(closer, at) else None
 
     def comment(self, at: int) -> Found:
-        return self._gone(_COMMENT, at)
+        to = self.find("-->", at + 4) if self.s.startswith("<!--", at) else -1
+        return (to + 3, "") if to >= 0 else None
 
     def bare(self, at: int) -> Found:
-        return self._gone(_BARE, at)
+        found = self.tag_end(_BARE, at)
+        return (found[0], "") if found else None
 
     def void(self, at: int) -> Found:
-        m = _VOID.match(self.s, at)
-        if not m or trim(m[2]).endswith("/"):
-            return (m.end(), "") if m else None
-        end = f"</{m[1]}>"
-        to = self.s.find(end, m.end())
+        found = self.tag_end(_VOID, at)
+        if not found or trim(self.s[found[1].end() : found[0] - 1]).endswith("/"):
+            return (found[0], "") if found else None
+        end = f"</{found[1][1]}>"
+        to = self.find(end, found[0])
         return (to + len(end), "") if to >= 0 else None
 
-    def element(self, at: int) -> Found:
+    def element(self, at: int) -> Reading | Found:
         return self.once("element", at, self._element) if self.s.startswith("<", at) else None
 
-    def _element(self, at: int) -> Found:
-        m = _ELEMENT.match(self.s, at)
-        found = m and self.until(m[1], m.end(), _CLOSERS[m[1]], _IN_ELEMENT, self.element)
-        if not found:
+    def _element(self, at: int) -> Reading:
+        head = self.tag_end(_ELEMENT, at)
+        if not head:
             return None
-        return (found[0], trim(self.again("\n" + found[1]))) if m[1] in KEPT_ELEMENTS else (found[0], "")
-
-    def template(self, at: int) -> Found:
+        name = head[1][1]
+        found = yield self.until(name, head[0], self.closing(name), _IN_ELEMENT, self.element)
+        if not found or name not in KEPT_ELEMENTS:
+            return found and (found[0], "")
+        _, inner = yield self.again("\n" + found[1])
+        return found[0], trim(inner)
+
+    def template(self, at: int) -> Reading | Found:
         return self.once("template", at, self._template) if self.s.startswith("{{", at) else None
 
-    def _template(self, at: int) -> Found:
-        found = self.until("template", at + 2, _CLOSE_TEMPLATE, _IN_TEMPLATE, self.element, self.template)
+    def _template(self, at: int) -> Reading:
+        found = yield self.until("template", at + 2, self.literal("}}"), _IN_TEMPLATE, self.element, self.template)
         if not found:
             return None
-        body = _Reader(found[1], self.countries, templates=False).text()
+        _, body = yield _Reader(found[1], self.countries, templates=False).text()
         return found[0], expand(body, self.countries) or ""
 
-    def link(self, at: int) -> Found:
+    def link(self, at: int) -> Reading | Found:
         return self.once("link", at, self._link) if self.s.startswith("[[", at) else None
 
-    def _link(self, at: int) -> Found:
-        found = self.until("link", at + 2, _CLOSE_LINK, _IN_LINK, self.link)
+    def _link(self, at: int) -> Reading:
+        found = yield self.until("link", at + 2, self.literal("]]"), _IN_LINK, self.link)
         if not found:
             return None
-        s = self.again(found[1])
-        if s.lower().startswith(DROPPED_LINKS):
+        _, s = yield self.again(found[1])
+        if s[:_LONGEST].lower().startswith(DROPPED_LINKS):
             return found[0], ""
         head, bar, tail = s.partition("|")
         return found[0], tail if bar else head
 
-    def items(self, at: int) -> Found:
+    def items(self, at: int) -> Reading | None:
         m = _BULLET.match(self.s, at)
-        found = m and self.until("items", m.end(), _LINE_END, _IN_LIST, self.element, self.template)
-        return (found[0], self.again("\n" + found[1])) if found else None
+        return self._items(m.end()) if m else None
+
+    def _items(self, at: int) -> Reading:
+        found = yield self.until("items", at, lambda at: at if self.s.startswith("\n", at) else None, _IN_LIST, self.element, self.template)
+        if not found:
+            return None
+        _, inner = yield self.again("\n" + found[1])
+        return found[0], inner
 
     def heading(self, at: int) -> tuple[int, str] | None:
         """A second-level heading: where it ends, and its name in lower case."""
         if not _HEADER.match(self.s, at):
             return None
-        to = self.s.find("==", at + 3)
+        to = self.find("==", at + 3)
         if to < 0 or to + 2 >= self.n or self.s[to + 2] == "=":
             return None
         return to + 2, trim(self.s[at + 3 : to]).lower()
@@ -185,48 +260,62 @@ class _Reader:
             return None
         at = found[0]
         while at < self.n and not self.heading(at):
-            m = _IN_SECTION.match(self.s, at) or _COMMENT.match(self.s, at)
-            at = m.end() if m else at + 1
+            m = _IN_SECTION.match(self.s, at)
+            passed = self.comment(at)
+            at = m.end() if m else passed[0] if passed else at + 1
         return at, ""
 
-    def quote(self, at: int) -> Found:
-        if not self.s.startswith("''", at):
-            return None
+    def quote(self, at: int) -> Reading | None:
+        return self._quote(at) if self.s.startswith("''", at) else None
+
+    def _quote(self, at: int) -> Reading:
         for width in (5, 3, 2):
-            if self.s.startswith("'" * width, at) and (found := self.emphasis(width, at + width)):
-                return found[0], self.again(found[1])
+            if self.s.startswith("'" * width, at) and (found := (yield self.emphasis(width, at + width))):
+                parts, end = [], found
+                while isinstance(end, tuple):
+                    end, part, rest = end
+                    parts.append(part)
+                    end = rest or end
+                _, inner = yield self.again("".join(parts))
+                return end, inner
         return None
 
-    def emphasis(self, width: int, at: int) -> Found:
-        return self.once(f"emphasis {width}", at, lambda at: self._emphasis(width, at))
+    def emphasis(self, width: int, at: int) -> Reading:
+        key = (f"emphasis {width}", at)
+        if key not in self.known:
+            self.known[key] = yield self._emphasis(width, at)
+        return self.known[key]
 
-    def _emphasis(self, width: int, at: int) -> Found:
-        """From inside of quotes of a width to their end, on one line: each run of quotes ends it or leads to another width."""
-        to = self.s.find("''", at)
-        line = self.s.find("\n", at, to if to >= 0 else self.n)
+    def _emphasis(self, width: int, at: int) -> Reading:
+        """From inside of quotes of a width to their end, on one line: each run of quotes ends it or leads to another
+        width. As (end, text, what follows): end counts in the last of this chain only."""
+        to = self.find("''", at)
+        line = self.s.find("\n", at, to) if to >= 0 else -1
         if to < 0 or line >= 0:
             return None
         for quotes, then in _QUOTES[width]:
             if self.s.startswith("'" * quotes, to):
-                rest = self.emphasis(then, to + quotes) if then else (to + quotes, "")
-                if rest:
-                    return rest[0], self.s[at:to] + rest[1]
+                rest = (yield self.emphasis(then, to + quotes)) if then else None
+                if rest or not then:
+                    return to + quotes, self.s[at:to], rest
         return None
 
-    def table(self, at: int) -> Found:
+    def table(self, at: int) -> Reading | Found:
         return self.once("table", at, self._table) if self.s[at] in "\n{" else None
 
-    def _table(self, at: int) -> Found:
-        for pattern in (_REFBEGIN, _BRACKETED, _SQUAD):
-            if m := pattern.match(self.s, at):
+    def _table(self, at: int) -> Reading:
+        for head, end in ((_REFBEGIN, _REFEND), (_SQUAD, _SQUAD_END)):
+            if (m := head.match(self.s, at)) and (m := self.search(end, m.end())):
                 return m.end(), ""
-        start = self._table_start(at)
+            if head is _REFBEGIN and (m := _BRACKETED.match(self.s, at)):
+                return m.end(), ""
+        start = yield self._table_start(at)
         if start is None:
             return None
-        found = self.until("table", start, _TABLE_END, _IN_TABLE, self.table, self.formula)
+        found = yield self.until("table", start, self.table_end, _IN_TABLE, self.table, self.formula)
         return found[0] if found else self.n, ""
 
-    def _table_start(self, at: int) -> int | None:
+    def _table_start(self, at: int) -> Reading:
         if self.s[at] == "{":
             m = _OPENING.match(self.s, at)
             return m.end() if m else None
@@ -236,23 +325,49 @@ class _Reader:
                 at += 1
                 continue
             found = self.bare(at) or self.comment(at) or self.template(at)
+            if isinstance(found, GeneratorType):
+                found = yield found
             if not found or found[1]:
                 break
             at = found[0]
         if not self.s.startswith("{", at):
             return None
-        at += 1
-        while m := _COMMENT.match(self.s, at):
-            at = m.end()
+        at = self.comments(at + 1)
         return at + 1 if self.s.startswith("|", at) else None
 
-    def formula(self, at: int) -> Found:
-        m = _MATH.match(self.s, at)
-        found = m and self.until("formula", m.end(), _MATH_END, _IN_ELEMENT, self.element)
+    def comments(self, at: int, blank: str = "") -> int:
+        """Where comments, and the blank characters between them, end."""
+        while at < self.n:
+            if self.s[at] in blank:
+                at += 1
+            elif found := self.comment(at):
+                at = found[0]
+            else:
+                break
+        return at
+
+    def table_end(self, at: int) -> int | None:
+        """Behind the bar and brace that close a table at the start of a line, before another character than a brace; or where a second-level heading begins."""
+        if not self.s.startswith("\n", at):
+            return None
+        to = self.comments(at + 1, " \t\r")
+        if self.s.startswith("|", to):
+            to = self.comments(to + 1)
+            if self.s.startswith("}", to) and to + 1 < self.n and self.s[to + 1] != "}":
+                return to + 1
+        return at if self.s.startswith("\n==", at) and at + 3 < self.n and self.s[at + 3] != "=" else None
+
+    def formula(self, at: int) -> Reading | None:
+        head = self.tag_end(_MATH, at)
+        return self._formula(head[0]) if head else None
+
+    def _formula(self, at: int) -> Reading:
+        found = yield self.until("formula", at, self.closing("math"), _IN_ELEMENT, self.element)
         return (found[0], "") if found else None
 
 
-_CLOSE_TEMPLATE, _CLOSE_LINK = re.compile(r"\}\}"), re.compile(r"\]\]")
+_MATH = re.compile(r"<math")
+_LONGEST = max(map(len, DROPPED_LINKS))
 
 #: For each width the closers in order: how many quotes, and the width that goes on behind them (0: the end).
 _QUOTES = {2: ((3, 5), (2, 0)), 3: ((3, 0), (2, 5)), 5: ((5, 0), (3, 2), (2, 3))}
@@ -260,19 +375,20 @@ _QUOTES = {2: ((3, 5), (2, 0)), 3: ((3, 0), (2, 5)), 5: ((5, 0), (3, 2), (2, 3))
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 # Entities that are still replaced in text that was decoded once already.
 LEFT_ENTITIES = {"&ndash;": "–", "&nbsp;": "\xa0", "&minus;": "-"}
-_EMPTY_PARENS, _SPACES = re.compile(r"\([^a-zA-Z0-9]*\)"), re.compile(r"  +")
+_SIGNS, _SPACES = re.compile(r"[^a-zA-Z0-9]+"), re.compile(r"  +")
+
+
+def _without_parentheses(m: re.Match) -> str:
+    """A run without letters and digits less what stands from its first opening parenthesis to its last closing one."""
+    head, opening, rest = m[0].partition("(")
+    _, closing, tail = rest.rpartition(")")
+    return head + tail if opening and closing else m[0]
+
 
 
 def parsed(s: str, countries: Mapping[str, str] = COUNTRIES) -> str:
     """The markup resolved, before the clean-up."""
-    limit = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(limit, _DEEPEST))  # deep nesting is in the text, and takes no stack of the process
-    try:
-        return _Reader(s, countries).text()
-    except RecursionError:
-        return s
-    finally:
-        sys.setrecursionlimit(limit)
+    return run(_Reader(s, countries).text())[1]
 
 
 def plain_text(wikitext: str | bytes | None, decode_entities: bool = True, countries: Mapping[str, str] = COUNTRIES) -> str | None:
@@ -288,4 +404,4 @@ def plain_text(wikitext: str | bytes | None, decode_entities: bool = True, count
     for entity, to in LEFT_ENTITIES.items():
         s = s.replace(entity, to)
     kept = [x for x in lines(parsed("\n" + s, countries)) if (t := trim(x)) and t[0] not in "|!"]
-    return _SPACES.sub(" ", _EMPTY_PARENS.sub("", trim("\n".join(kept))))
+    return _SPACES.sub(" ", _SIGNS.sub(_without_parentheses, trim("\n".join(kept))))

@@ -64,15 +64,30 @@ NO_UNITS = ["precision", "frac", "abbr", "wiki", "out"]
 
 # Olympic codes and English short names of countries (public lists of the IOC and of ISO 3166). Others can be given to expand().
 COUNTRIES = {
-    "arg": "Argentina", "aus": "Australia", "aut": "Austria", "aze": "Azerbaijan", "bah": "Bahamas", "bel": "Belgium", "blr": "Belarus", "bra": "Brazil", "bul": "Bulgaria", "can": "Canada",
-    "chi": "Chile", "chn": "China", "civ": "Côte d'Ivoire", "cmr": "Cameroon", "col": "Colombia", "cro": "Croatia", "cub": "Cuba", "cyp": "Cyprus", "cze": "Czechia", "den": "Denmark",
-    "ecu": "Ecuador", "egy": "Egypt", "esp": "Spain", "est": "Estonia", "eth": "Ethiopia", "fij": "Fiji", "fin": "Finland", "fra": "France", "geo": "Georgia", "ger": "Germany",
-    "gha": "Ghana", "gre": "Greece", "hun": "Hungary", "ina": "Indonesia", "ind": "India", "irl": "Ireland", "isl": "Iceland", "isr": "Israel", "ita": "Italy", "jam": "Jamaica",
-    "jor": "Jordan", "jpn": "Japan", "kaz": "Kazakhstan", "ken": "Kenya", "kos": "Kosovo", "ksa": "Saudi Arabia", "kuw": "Kuwait", "lat": "Latvia", "lie": "Liechtenstein", "ltu": "Lithuania",
-    "lux": "Luxembourg", "mar": "Morocco", "mas": "Malaysia", "mex": "Mexico", "mgl": "Mongolia", "mne": "Montenegro", "mon": "Monaco", "ngr": "Nigeria", "nor": "Norway", "nzl": "New Zealand",
-    "pak": "Pakistan", "pan": "Panama", "per": "Peru", "pol": "Poland", "por": "Portugal", "pur": "Puerto Rico", "qat": "Qatar", "rou": "Romania", "rsa": "South Africa", "sen": "Senegal",
-    "sgp": "Singapore", "slo": "Slovenia", "smr": "San Marino", "srb": "Serbia", "sui": "Switzerland", "svk": "Slovakia", "swe": "Sweden", "tha": "Thailand", "tun": "Tunisia", "uga": "Uganda",
-    "ukr": "Ukraine", "uru": "Uruguay", "uzb": "Uzbekistan", "zam": "Zambia", "zim": "Zimbabwe",
+    "afg": "Afghanistan", "alb": "Albania", "alg": "Algeria", "and": "Andorra", "ang": "Angola", "ant": "Antigua and Barbuda", "arg": "Argentina", "arm": "Armenia", "aru": "Aruba",
+    "asa": "American Samoa", "aus": "Australia", "aut": "Austria", "aze": "Azerbaijan", "bah": "Bahamas", "ban": "Bangladesh", "bar": "Barbados", "bdi": "Burundi", "bel": "Belgium", "ben": "Benin",
+    "ber": "Bermuda", "bhu": "Bhutan", "bih": "Bosnia and Herzegovina", "biz": "Belize", "blr": "Belarus", "bol": "Bolivia (Plurinational State of)", "bot": "Botswana", "bra": "Brazil",
+    "brn": "Bahrain", "bru": "Brunei Darussalam", "bul": "Bulgaria", "bur": "Burkina Faso", "caf": "Central African Republic", "cam": "Cambodia", "can": "Canada", "cay": "Cayman Islands",
+    "cgo": "Congo", "cha": "Chad", "chi": "Chile", "chn": "China", "civ": "Côte d'Ivoire", "cmr": "Cameroon", "cod": "Congo (Democratic Republic of the)", "cok": "Cook Islands", "col": "Colombia",
+    "com": "Comoros", "cpv": "Cabo Verde", "crc": "Costa Rica", "cro": "Croatia", "cub": "Cuba", "cyp": "Cyprus", "cze": "Czechia", "den": "Denmark", "dji": "Djibouti", "dma": "Dominica",
+    "dom": "Dominican Republic", "ecu": "Ecuador", "egy": "Egypt", "eri": "Eritrea", "esa": "El Salvador", "esp": "Spain", "est": "Estonia", "eth": "Ethiopia", "fij": "Fiji", "fin": "Finland",
+    "fra": "France", "fsm": "Micronesia (Federated States of)", "gab": "Gabon", "gam": "Gambia", "gbr": "United Kingdom of Great Britain and Northern Ireland", "gbs": "Guinea-Bissau",
+    "geo": "Georgia", "geq": "Equatorial Guinea", "ger": "Germany", "gha": "Ghana", "gre": "Greece", "grn": "Grenada", "gua": "Guatemala", "gui": "Guinea", "gum": "Guam", "guy": "Guyana",
+    "hai": "Haiti", "hkg": "Hong Kong", "hon": "Honduras", "hun": "Hungary", "ina": "Indonesia", "ind": "India", "iri": "Iran (Islamic Republic of)", "irl": "Ireland", "irq": "Iraq", "isl": "Iceland",
+    "isr": "Israel", "isv": "Virgin Islands (U.S.)", "ita": "Italy", "ivb": "Virgin Islands (British)", "jam": "Jamaica", "jor": "Jordan", "jpn": "Japan", "kaz": "Kazakhstan", "ken": "Kenya",
+    "kgz": "Kyrgyzstan", "kir": "Kiribati", "kor": "Korea (Republic of)", "kos": "Kosovo", "ksa": "Saudi Arabia", "kuw": "Kuwait", "lao": "Lao People's Democratic Republic", "lat": "Latvia",
+    "lba": "Libya", "lbn": "Lebanon", "lbr": "Liberia", "lca": "Saint Lucia", "les": "Lesotho", "lie": "Liechtenstein", "ltu": "Lithuania", "lux": "Luxembourg", "mad": "Madagascar", "mar": "Morocco",
+    "mas": "Malaysia", "maw": "Malawi", "mda": "Moldova (Republic of)", "mdv": "Maldives", "mex": "Mexico", "mgl": "Mongolia", "mhl": "Marshall Islands", "mkd": "North Macedonia", "mli": "Mali",
+    "mlt": "Malta", "mne": "Montenegro", "mon": "Monaco", "moz": "Mozambique", "mri": "Mauritius", "mtn": "Mauritania", "mya": "Myanmar", "nam": "Namibia", "nca": "Nicaragua", "ned": "Netherlands",
+    "nep": "Nepal", "ngr": "Nigeria", "nig": "Niger", "nor": "Norway", "nru": "Nauru", "nzl": "New Zealand", "oma": "Oman", "pak": "Pakistan", "pan": "Panama", "par": "Paraguay", "per": "Peru",
+    "phi": "Philippines", "ple": "Palestine, State of", "plw": "Palau", "png": "Papua New Guinea", "pol": "Poland", "por": "Portugal", "prk": "Korea (Democratic People's Republic of)",
+    "pur": "Puerto Rico", "qat": "Qatar", "rou": "Romania", "rsa": "South Africa", "rus": "Russian Federation", "rwa": "Rwanda", "sam": "Samoa", "sen": "Senegal", "sey": "Seychelles",
+    "sgp": "Singapore", "skn": "Saint Kitts and Nevis", "sle": "Sierra Leone", "slo": "Slovenia", "smr": "San Marino", "sol": "Solomon Islands", "som": "Somalia", "srb": "Serbia", "sri": "Sri Lanka",
+    "ssd": "South Sudan", "stp": "Sao Tome and Principe", "sud": "Sudan", "sui": "Switzerland", "sur": "Suriname", "svk": "Slovakia", "swe": "Sweden", "swz": "Eswatini", "syr": "Syrian Arab Republic",
+    "tan": "Tanzania, United Republic of", "tga": "Tonga", "tha": "Thailand", "tjk": "Tajikistan", "tkm": "Turkmenistan", "tls": "Timor-Leste", "tog": "Togo", "tpe": "Taiwan, Province of China",
+    "tto": "Trinidad and Tobago", "tun": "Tunisia", "tur": "Türkiye", "tuv": "Tuvalu", "uae": "United Arab Emirates", "uga": "Uganda", "ukr": "Ukraine", "uru": "Uruguay",
+    "usa": "United States of America", "uzb": "Uzbekistan", "van": "Vanuatu", "ven": "Venezuela (Bolivarian Republic of)", "vie": "Viet Nam", "vin": "Saint Vincent and the Grenadines", "yem": "Yemen",
+    "zam": "Zambia", "zim": "Zimbabwe",
 }
 
 

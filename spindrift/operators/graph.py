@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindrift.session import checkpoints
+
 DOCUMENTED, AS_COMPUTED = "documented", "as_computed"
 
 
@@ -32,12 +32,6 @@ def out_degree(graph: DataFrame) -> DataFrame:
     return graph.groupBy("src").agg(F.count("*").alias("degree"))
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    """Rounds are cut off in the folder that the cluster names; one in the temporary folder where it names none."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"file://{os.path.join(tempfile.gettempdir(), 'spindrift-checkpoints')}")
-
-
 def root_of(index: DataFrame, title: str) -> int:
     """The root's idx; ValueError if there is no such page."""
     found = index.filter(F.col("title") == title).agg(F.max("idx")).first()[0]
@@ -65,7 +59,7 @@ def within_depth(graph: DataFrame, root: int, depth: float, mode: str = DOCUMENT
         return graph.select(F.col("dst").alias("node")).limit(0)
     if mode == AS_COMPUTED or hops == 1:
         return _direct(graph, root)
-    _checkpoints(graph.sparkSession)
+    checkpoints(graph.sparkSession)
     pairs = graph.select("src", "dst").distinct().checkpoint()
     frontier = _direct(pairs, root).checkpoint()
     visited = frontier
@@ -90,7 +84,7 @@ def within_budget(graph: DataFrame, root: int, depth: float, fanout: float, mode
         return graph.select(F.col("dst").alias("node")).limit(0)
     if mode == AS_COMPUTED:
         return _direct(graph, root)
-    _checkpoints(graph.sparkSession)
+    checkpoints(graph.sparkSession)
     graph = graph.select("src", "dst").checkpoint()
     costs = graph.distinct().join(out_degree(graph), "src").select("src", "dst", (F.col("degree") / F.lit(float(fanout))).alias("cost")).checkpoint()
     spark = graph.sparkSession

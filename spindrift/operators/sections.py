@@ -1,80 +1,101 @@
-"""Articles as sections: a flat table by column expressions, or a nested tree as JSON."""
+"""Articles as sections: a flat table, or a nested tree as JSON."""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from spindrift.functions.text import WHITE, lines, trim
+from spindrift.functions.text import lines, trim
 
-_EDGES = "".join(f"\\x{{{ord(c):04X}}}" for c in WHITE)
+_SECTION = ArrayType(StructType([*[StructField(n, IntegerType()) for n in ("idx", "parent_idx", "depth")], StructField("section_name", StringType()), StructField("text", StringType())]))
+_ARROW = pa.list_(pa.struct([("idx", pa.int32()), ("parent_idx", pa.int32()), ("depth", pa.int32()), ("section_name", pa.string()), ("text", pa.string())]))
 
 
-def _trimmed(value: Column) -> Column:
-    return F.regexp_replace(value, f"^[{_EDGES}]+|[{_EDGES}]+$", "")
+def listed(title: str | None, text: str | None, prune: bool = True) -> list[dict]:
+    """The sections of an article in their order, the article itself as idx 0 of depth 1; without those that hold no text,
+    nor any below them, if prune is set.
 
+    A section belongs to the nearest one before it of less depth: a stack holds those that are open, so a line is looked
+    at once, however many sections there are and however deep they lie.
+    """
+    rows = [{"idx": 0, "parent_idx": None, "depth": 1, "section_name": title, "text": []}]
+    open_ = [0]
+    for line in filter(None, map(trim, lines(text or ""))):
+        if line.startswith("=="):
+            depth = len(line) - len(line.lstrip("="))
+            while len(open_) > 1 and rows[open_[-1]]["depth"] >= depth:
+                open_.pop()
+            name = trim(line[depth : len(line) - depth]) if len(line) > 2 * depth else "Unknown"
+            rows.append({"idx": len(rows), "parent_idx": open_[-1], "depth": depth, "section_name": name, "text": []})
+            open_.append(len(rows) - 1)
+        else:
+            rows[open_[-1]]["text"].append(line + "\n")
+    holds = [bool(r["text"]) for r in rows]
+    for r in reversed(rows[1:]):
+        if holds[r["idx"]]:
+            holds[r["parent_idx"]] = True
+    return [r | {"text": "".join(r["text"])} for r in rows if not prune or holds[r["idx"]] or not r["idx"]]
+
+
+@F.arrow_udf(_SECTION)
+def _listed(titles: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for title, text in titles:
+        yield pa.array([listed(a, b) for a, b in zip(title.to_pylist(), text.to_pylist(), strict=True)], _ARROW)
 
-def _header(line: Column) -> Column:
-    """struct(depth, section_name) of a line that begins with ==; as many characters go at its end as it has = at its start."""
-    depth = F.length(F.regexp_extract(line, "^(=+)", 1))
-    inner = F.length(line) - 2 * depth
-    return F.struct(depth.alias("depth"), F.when(inner > 0, _trimmed(F.substring(line, depth + 1, inner))).otherwise("Unknown").alias("section_name"))
+
+@F.arrow_udf(_SECTION)
+def _listed_whole(titles: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for title, text in titles:
+        yield pa.array([listed(a, b, prune=False) for a, b in zip(title.to_pylist(), text.to_pylist(), strict=True)], _ARROW)
 
 
 def sections(docs: DataFrame, key: str, title: str, text: str, prune: bool = True) -> DataFrame:
-    """(key, title, idx, parent_idx, depth, section_name, text): a row a section, the article itself as idx 0 of depth 1.
+    """(key, title, idx, parent_idx, depth, section_name, text): a row a section, as listed() gives them.
 
-    A section belongs to the nearest one before it of less depth. With prune, sections go that have no text, nor any
-    below them; the article's own row stays. All of a document is worked on in its own row: no shuffle.
+    All of a document is worked on in its own row: no shuffle.
     """
-    every = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), _trimmed), lambda x: x != "")
-    d = docs.select(F.col(key).alias("key"), F.col(title).alias("title"), every.alias("l"))
-    d = d.withColumn("at", F.filter(F.sequence(F.lit(1), F.greatest(F.size("l"), F.lit(1))), lambda i: F.get("l", i - 1).startswith("==")))
-    whole = F.concat(F.array(F.lit(0)), F.col("at"))
-    d = d.withColumn("starts", whole)
-    body = F.transform("starts", lambda x, i: F.slice("l", x + 1, F.coalesce(F.get(F.col("starts"), i + 1), F.size("l") + 1) - x - 1))
-    d = d.withColumn("texts", F.transform(body, lambda b: F.concat_ws("", F.transform(b, lambda x: F.concat(x, F.lit("\n"))))))
-    root = F.struct(F.lit(1).alias("depth"), F.col("title").alias("section_name"))
-    d = d.withColumn("heads", F.concat(F.array(root), F.transform("at", lambda i: _header(F.get("l", i - 1))))).withColumn("depths", F.col("heads.depth"))
-    n = F.size("depths")
-    d = d.withColumn("parents", F.transform("depths", lambda x, i: F.when(i > 0, F.array_max(F.filter(F.sequence(F.lit(0), F.greatest(i - 1, F.lit(0))), lambda j: F.get("depths", j) < x)))))
-    # A section's subtree ends before the next one that isn't deeper.
-    last = F.transform("depths", lambda x, i: F.coalesce(F.array_min(F.filter(F.sequence(i, n), lambda j: (j > i) & (j < n) & (F.get("depths", j) <= x))), n))
-    d = d.withColumn("ends", last)
-    kept = F.transform("ends", lambda e, i: F.exists(F.slice("texts", i + 1, e - i), lambda t: t != "") | (i == 0)) if prune else F.transform("ends", lambda e, i: F.lit(True))
-    rows = F.arrays_zip(F.col("heads").alias("head"), F.col("texts").alias("text"), F.col("parents").alias("parent"), kept.alias("kept"))
-    d = d.select("key", "title", F.posexplode(rows).alias("idx", "s")).filter("s.kept")
-    return d.select(F.col("key").alias(key), "title", "idx", F.col("s.parent").alias("parent_idx"), F.col("s.head.depth").alias("depth"), F.col("s.head.section_name").alias("section_name"), F.col("s.text").alias("text"))
+    made = (_listed if prune else _listed_whole)(F.col(title), F.col(text))
+    d = docs.select(F.col(key).alias("key"), F.col(title).alias("title"), F.explode(made).alias("s"))
+    return d.select(F.col("key").alias(key), "title", "s.idx", "s.parent_idx", "s.depth", "s.section_name", "s.text")
 
 
 def tree(title: str, text: str) -> dict:
     """The nested sections of one article: section_name, text, children."""
-    root: dict = {"section_name": title, "text": "", "children": []}
-    path = [(1, root)]
-    for line in filter(None, map(trim, lines(text))):
-        if line.startswith("=="):
-            depth = len(line) - len(line.lstrip("="))
-            name = trim(line[depth : len(line) - depth]) if len(line) > 2 * depth else "Unknown"
-            while path[-1][0] >= depth:
-                path.pop()
-            path[-1][1]["children"].append(node := {"section_name": name, "text": "", "children": []})
-            path.append((depth, node))
-        else:
-            path[-1][1]["text"] += line + "\n"
-
-    def pruned(node: dict) -> dict:
-        node["children"] = [c for c in map(pruned, node["children"]) if c["text"] or c["children"]]
-        return node
-
-    return pruned(root)
+    nodes: dict[int, dict] = {}
+    for r in listed(title, text):
+        nodes[r["idx"]] = {"section_name": r["section_name"], "text": r["text"], "children": []}
+        if r["idx"]:
+            nodes[r["parent_idx"]]["children"].append(nodes[r["idx"]])
+    return nodes[0]
 
 
 def tree_json(title: str, text: str) -> str:
-    return json.dumps(tree(title, text), indent=2, ensure_ascii=False)
+    """The tree as JSON, indented by two; written from the flat list, so that nesting may be of any depth. Of a section d
+    levels down each line begins with 4 d spaces, which the form asks for."""
+    rows = listed(title, text)
+    level = {0: 0}
+    for r in rows[1:]:
+        level[r["idx"]] = level[r["parent_idx"]] + 1
+    out, quoted = [], lambda s: json.dumps(s, ensure_ascii=False)
+    for i, r in enumerate(rows):
+        at = level[r["idx"]]
+        pad, after = "  " * (2 * at), level[rows[i + 1]["idx"]] if i + 1 < len(rows) else -1
+        out.append(f'{pad}{{\n{pad}  "section_name": {quoted(r["section_name"])},\n{pad}  "text": {quoted(r["text"])},\n{pad}  "children": [')
+        if after > at:
+            out.append("\n")
+            continue
+        out.append("]\n" + pad + "}")
+        for k in range(at - 1, max(after, 0) - 1, -1):  # those that end with this section
+            out.append("\n" + "  " * (2 * k + 1) + "]\n" + "  " * (2 * k) + "}")
+        if after > 0:
+            out.append(",\n")
+    return "".join(out)
 
 
 @F.pandas_udf(StringType())

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +9,8 @@ from spindrift.functions.namespaces import is_shortcut, namespace
 from spindrift.operators import graph as g
 from spindrift.operators.links import extract_links, page_links
 from spindrift.plans.catalog import query
-from spindrift.sources.dump import articles, find_page, read_dump, read_index
+from spindrift.session import scratch
+from spindrift.sources.dump import articles, find_page, read_dump, read_index, read_page, read_slices
 from spindrift.sources.sinks import offsets, write_indexed
 
 
@@ -21,12 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path that executors share, or one in the temporary folder where the cluster names none."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'spindrift-checkpoints')}"
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 _LINK_TEXT = "concat('[[', n_name, '|', n_name, ' land|x]] [[', n_name, ']] [[F{{a|', n_name, '}}|z]] [[A}|b]] [[|]] [[]] [[[', n_name, ']]] [[open ', n_name)"
 
 
@@ -78,7 +69,7 @@ def page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ordered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page a customer, linking to a page for each order; some of them don't exist, and many are linked twice."""
-    text = F.concat_ws(" ", F.array_sort(F.collect_list(F.concat(F.lit("[[Page "), F.expr("o_orderkey * 7 % 2000").cast("string"), F.lit("|order]]")))))
+    text = F.concat_ws(" ", F.array_sort(F.collect_list(F.concat(F.lit("[[Page "), F.expr(f"o_orderkey * 7 % {table(spark, sf_dir, 'customer').count() * 4 // 3}").cast("string"), F.lit("|order]]")))))
     linked = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(text.alias("text"))
     pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("idx"), F.concat(F.lit("Page "), F.col("c_custkey").cast("string")).alias("title"))
     return pages.join(linked, pages["idx"] == linked["o_custkey"], "left").select("idx", "title", "text")
@@ -90,7 +81,7 @@ def ordered_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return g.edges(pages.select("idx", extract_links(F.col("text")).alias("links")), index), index
 
 
-_EDGES = "SELECT o_custkey AS src, c_custkey AS dst FROM orders JOIN customer ON o_orderkey * 7 % 2000 = c_custkey WHERE o_custkey IN (SELECT c_custkey FROM customer)"
+_EDGES = "SELECT o_custkey AS src, c_custkey AS dst FROM (SELECT *, o_orderkey * 7 % (SELECT count(*) * 4 // 3 FROM customer) AS linked FROM orders) JOIN customer ON linked = c_custkey WHERE o_custkey IN (SELECT c_custkey FROM customer)"
 
 
 @query("page_links", "SELECT 'Page ' || c.c_custkey AS title, CAST(count(o_orderkey) AS INTEGER) AS n FROM customer c LEFT JOIN orders ON o_custkey = c.c_custkey GROUP BY c.c_custkey")
@@ -154,39 +145,61 @@ def subgraph_nation_khop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "subgraph_budget",
-    f"WITH RECURSIVE {_NATIONS}, d AS (SELECT src, count(*) AS n FROM e GROUP BY src), r(n, b) AS (SELECT 0, 1.5::DOUBLE UNION SELECT e.dst, b - d.n / 4.0::DOUBLE FROM r JOIN e ON r.n = e.src JOIN d ON d.src = e.src WHERE b > 0), x AS (SELECT n, row_number() OVER () AS i, b FROM r) SELECT DISTINCT 'Nation ' || n AS title FROM r WHERE b < 1.5",
+    f"WITH RECURSIVE {_GRAPH}, d AS (SELECT src, count(*) AS n FROM e GROUP BY src), r(n, b) AS (SELECT {_ROOT}, 1.5::DOUBLE UNION SELECT e.dst, b - d.n / 16.0::DOUBLE FROM r JOIN e ON r.n = e.src JOIN d ON d.src = e.src WHERE b > 0) SELECT DISTINCT 'Page ' || n AS title FROM r WHERE b < 1.5",
 )
 def subgraph_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    graph, index = nation_graph(spark, sf_dir)
-    return g.subgraph(graph, index, "Nation 0", 1.5, method="depth-limited-with-fan-out-factor", fanout=4.0)
+    """What a budget of 1.5 reaches where each page's links cost a sixteenth of their number; sixteenths are exact in either engine."""
+    return _neighbourhood(spark, sf_dir, 1.5, method="depth-limited-with-fan-out-factor", fanout=16.0)
 
 
 @query("index_offsets", "SELECT doc_id, source, CAST(coalesce(sum(n) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, CAST(sum(n) OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS end_offset FROM (SELECT doc_id, source, strlen(text) AS n FROM documents)")
 def index_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte offsets of records in data files, one file a source."""
-    return offsets(table(spark, sf_dir, "documents"), F.octet_length("text"), ["source"], ["doc_id"]).select("doc_id", "source", "start_offset", "end_offset")
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", F.octet_length("text").alias("n"))
+    return offsets(sized, F.col("n"), ["source"], ["doc_id"]).select("doc_id", "source", "start_offset", "end_offset")
 
 
-@query("index_round_trip", "WITH r AS (SELECT n_name AS title, strlen('{\"k\":' || n_nationkey || '}') + 1 AS n FROM nation) SELECT count(*) AS records, CAST(sum(n) AS BIGINT) AS bytes FROM r")
-def index_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records written with their index, and the index read back: as many entries, whose sizes add up to the data's."""
-    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("title"), F.to_json(F.struct(F.col("n_nationkey").alias("k"))).alias("record"))
+_RECORD = "'{\"k\":' || c_custkey || ',\"name\":\"' || c_name || '\"}'"
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A record a customer, written with its index."""
     data, index = scratch(spark, "data"), scratch(spark, "index")
-    write_indexed(rows, data, index, files=3)
+    write_indexed(table(spark, sf_dir, "customer").select(F.col("c_name").alias("title"), F.expr(_RECORD).alias("record")), data, index, files=3)
+    return data, index
+
+
+@query("index_round_trip", f"SELECT count(*) AS records, CAST(sum(strlen({_RECORD}) + 1) AS BIGINT) AS bytes FROM customer")
+def index_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written with their index, and the index read back: as many entries, and the bytes of the data."""
+    data, index = _indexed(spark, sf_dir)
     written = spark.read.text(data).agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
     return read_index(spark, index).agg(F.count("*").alias("records")).crossJoin(written)
 
 
-@query("dump_scan", "SELECT n_name AS title, chr(10) || 'The nation ' || n_name || ' & <ref>' || n_nationkey || '</ref>' AS text FROM nation WHERE n_nationkey % 5 <> 0")
+@query("slice_scan", f"SELECT c_name AS title, {_RECORD} AS record FROM customer")
+def slice_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record by the offsets of its index."""
+    return read_slices(spark, *_indexed(spark, sf_dir))
+
+
+@query("page_by_offset", f"SELECT c_name AS title, {_RECORD} AS record FROM customer WHERE c_name = (SELECT max(c_name) FROM customer)")
+def page_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record by a seek to its offset."""
+    title = table(spark, sf_dir, "customer").agg(F.max("c_name")).first()[0]
+    return spark.createDataFrame([(title, read_page(spark, *_indexed(spark, sf_dir), title))], "title string, record string")
+
+
+@query("dump_scan", "SELECT c_name AS title, chr(10) || 'The customer ' || c_name || ' & <ref>' || c_custkey || '</ref>' AS text FROM customer WHERE c_custkey % 5 <> 0")
 def dump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dump written and scanned: of two revisions the last counts, redirects and meta pages drop out, a leading line feed stays."""
     path = scratch(spark, "dump")
     text = lambda t: F.struct(F.struct(F.expr(t).alias("_VALUE"), F.lit("7").alias("_bytes")).alias("text"))
-    page = table(spark, sf_dir, "nation").select(
-        F.expr("CASE WHEN n_nationkey % 10 = 5 THEN 'Help:' ELSE '' END || n_name").alias("title"),
+    page = table(spark, sf_dir, "customer").select(
+        F.expr("CASE WHEN c_custkey % 10 = 5 THEN 'Help:' ELSE '' END || c_name").alias("title"),
         F.lit(0).alias("ns"),
-        F.when(F.col("n_nationkey") % 10 == 0, F.struct(F.lit("Elsewhere").alias("_title"))).alias("redirect"),
-        F.array(text("'old'"), text("concat('\\n', 'The nation ', n_name, ' & <ref>', n_nationkey, '</ref>')")).alias("revision"),
+        F.when(F.col("c_custkey") % 10 == 0, F.struct(F.lit("Elsewhere").alias("_title"))).alias("redirect"),
+        F.array(text("'old'"), text("concat('\\n', 'The customer ', c_name, ' & <ref>', c_custkey, '</ref>')")).alias("revision"),
     )
     page.write.format("xml").options(rowTag="page", rootTag="mediawiki", declaration="").save(path)
     return read_dump(spark, path)

@@ -34,6 +34,7 @@ MARKUP = [
     ("lists", f"'intro' || {_NL} || '*' || c_name || {_NL} || '##' || c_custkey || {_NL} || 'end'", f"'intro' || {_NL} || c_name || {_NL} || c_custkey || {_NL} || 'end'"),
     ("tables", f"'before' || {_NL} || '{{| class=w' || {_NL} || '|-' || {_NL} || '| ' || c_name || {_NL} || '|}}' || {_NL} || 'after ' || c_custkey", f"'before' || {_NL} || 'after ' || c_custkey"),
     ("table_templates", f"'a ' || c_custkey || {_NL} || '{{{{col-begin}}}}' || c_name || {_NL} || '== H' || c_custkey || ' ==' || {_NL} || 'z' || {_NL} || '{{{{refbegin}}}}' || c_name || '{{{{refend}}}}q{{{{box}}}}' || c_custkey || '{{{{end}}}}r'", f"'a ' || c_custkey || {_NL} || '== H' || c_custkey || ' ==' || {_NL} || 'z' || {_NL} || 'qr'"),
+    ("squads", "'{{fs start}}{{fs player|no=' || c_custkey || '|name=' || c_name || '}}{{fs end}}kept ' || c_custkey", "'kept ' || c_custkey"),
     ("dropped_sections", f"c_name || {_NL} || '== See also ==' || {_NL} || '* ' || c_name || {_NL} || '== Kept ' || c_custkey || ' ==' || {_NL} || 'text' || {_NL} || '==References==' || {_NL} || 'x'", f"c_name || {_NL} || '== Kept ' || c_custkey || ' ==' || {_NL} || 'text'"),
     ("remnant_lines", f"c_name || {_NL} || '| left ' || c_custkey || {_NL} || {_NL} || '! head' || {_NL} || c_mktsegment", f"c_name || {_NL} || c_mktsegment"),
     ("parentheses_spaces", "c_name || ' (…; –) is   ' || c_custkey || ' (a)'", "c_name || ' is ' || c_custkey || ' (a)'"),
@@ -85,8 +86,8 @@ TEMPLATES = [
     ("t42_inflation", "'{{inflation|US|' || p_size || '|1990}}'", "'US ' || p_size || ' (1990)'"),
     ("t43_birth", "'{{birth date|' || p_partkey || '|' || (p_size % 12 + 1) || '|4}}'", "['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', 'November', 'December'][p_size % 12 + 1] || ' 4, ' || p_partkey"),
     ("t44_abbr", "'{{abbr|' || p_brand || '|' || p_size || '}}'", "p_brand || ' (' || p_size || ')'"),
-    ("t45_olympic_athlete", "'{{flagIOCathlete|' || p_brand || '|GER}}'", "p_brand || ' (GER)'"),
-    ("t46_olympic_country", "'{{flagIOC|GER}}{{flagIOC|' || p_brand || '}}'", "'Germany' || p_brand"),
+    ("t45_olympic_athlete", "'{{flagIOCathlete|' || p_brand || '|GER}}, {{flagIOCmedalist|' || p_size || '|USA}}'", "p_brand || ' (GER), ' || p_size || ' (USA)'"),
+    ("t46_olympic_country", "'{{flagIOC|GER}}, {{flagIOC|usa}}, {{flagIOC|GBR}}, {{flagIOC|NED}}, {{flagIOC|KOR}}, {{flagIOC|' || p_brand || '}}'", "'Germany, United States of America, United Kingdom of Great Britain and Northern Ireland, Netherlands, Korea (Republic of), ' || p_brand"),
     ("t47_color_box", "'{{color box|red|' || p_brand || '}}'", "p_brand"),
     ("t48_nihongo", "'{{nihongo|' || p_brand || '|東京|r|' || p_size || '|x}}'", "p_brand || '(東京, ' || p_size || ') x'"),
     ("t49_zh", "'{{zh|s=' || p_size || '|t=' || p_brand || '}}'", "p_brand || '; ' || p_size"),
@@ -128,9 +129,9 @@ def section_tree_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("s_suppkey", at("$.section_name").alias("name"), F.json_array_length(at("$.children")).alias("sections"), at("$.children[0].children[0].text").alias("deep"), at("$.children[1].children[0].section_name").alias("sub"), F.json_array_length(at("$.children[2].children")).alias("leaves"))
 
 
-@query("article_pipeline", "SELECT n_nationkey, idx, section_name, text FROM (SELECT n_nationkey, 0 AS idx, n_name AS section_name, n_name || ' is a land.' || chr(10) AS text FROM nation UNION ALL SELECT n_nationkey, 1, 'Past ' || n_regionkey, 'Founded in May ' || n_nationkey || '.' || chr(10) FROM nation)")
+@query("article_pipeline", "SELECT c_custkey, idx, section_name, text FROM (SELECT c_custkey, 0 AS idx, c_name AS section_name, c_name || ' is a land.' || chr(10) AS text FROM customer UNION ALL SELECT c_custkey, 1, 'Past ' || c_nationkey, 'Founded in May ' || c_custkey || '.' || chr(10) FROM customer)")
 def article_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wikitext to plain text to sections in one plan."""
-    wikitext = "'''''''' || n_name || ''''''' is a [[Country|land]].<ref>x</ref>' || chr(10) || '== Past ' || n_regionkey || ' ==' || chr(10) || 'Founded in {{start date|' || n_nationkey || '|5}}.' || chr(10) || '== See also ==' || chr(10) || '* x'"
-    docs = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", raw_to_plain_text(F.expr(wikitext)).alias("text"))
-    return sections(docs, "n_nationkey", "n_name", "text").select("n_nationkey", "idx", "section_name", "text")
+    wikitext = "'' || c_name || ' is a [[Country|land]].<ref>x</ref>' || chr(10) || '== Past ' || c_nationkey || ' ==' || chr(10) || 'Founded in {{start date|' || c_custkey || '|5}}.' || chr(10) || '== See also ==' || chr(10) || '* x'"
+    docs = table(spark, sf_dir, "customer").select("c_custkey", "c_name", raw_to_plain_text(F.expr(wikitext)).alias("text"))
+    return sections(docs, "c_custkey", "c_name", "text").select("c_custkey", "idx", "section_name", "text")

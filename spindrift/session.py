@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +28,20 @@ def local_session(cpus: int | None = None, name: str = "spindrift", **conf: str)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def checkpoints(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, that driver and executors share; one in the temporary folder where none is set
+    and all run in one process. A cluster without one is an error: executors would write to their own disks."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = f"file://{os.path.join(tempfile.gettempdir(), 'spindrift-checkpoints')}"
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoints(spark).rstrip('/')}/spindrift-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import urllib.request
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -58,17 +60,61 @@ def read_dump_stream(spark: SparkSession, path: str) -> DataFrame:
     return articles(_projected(spark.readStream.format("xml").options(**XML_OPTIONS).schema(PAGE_XML).load(path))).select("title", "text")
 
 
-def with_ends(index: DataFrame, part: list[str] | None = None) -> DataFrame:
-    """index(title, start_offset, ...) with idx and end_offset, the next record's start: null for the last."""
-    over = Window.partitionBy(*(part or [])).orderBy("start_offset")
-    return index.withColumn("idx", (F.row_number().over(over) - 1).cast("long")).withColumn("end_offset", F.lead("start_offset").over(over))
-
-
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """An index's lines `offset: title` as (file, title, idx, start_offset, end_offset), by file, so that files are independent."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value").filter("value <> ''")
-    split = F.split("value", ":", 2)
-    return with_ends(lines.select("file", F.trim(split[1]).alias("title"), split[0].cast("long").alias("start_offset")), ["file"]).select("file", "title", "idx", "start_offset", "end_offset")
+    """An index's lines `offset: title` as (file, title, idx, start_offset, end_offset), by file, so that files are
+    independent. end_offset is the next record's start, null for a file's last. file is n for a file in a folder `file=n`, else its name.
+
+    Lines of one split of a file meet in a window; what goes over from split to split comes from a table of one row a split.
+    """
+    meta = F.col("_metadata")
+    number = F.regexp_extract(meta["file_path"], r"/file=(\d+)/[^/]*$", 1)
+    file = F.when(number != "", number).otherwise(meta["file_name"])
+    rows = spark.read.text(path).select(file.alias("file"), meta["file_block_start"].alias("block"), F.split("value", ":", 2).alias("s")).filter("size(s) = 2")
+    rows = rows.select("file", "block", F.trim(F.col("s")[1]).alias("title"), F.col("s")[0].cast("long").alias("start_offset"))
+    of_file = Window.partitionBy("file").orderBy("block")
+    splits = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("start_offset").alias("first"))
+    splits = splits.select("file", "block", F.coalesce(F.sum("n").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.lead("first").over(of_file).alias("next"))
+    over = Window.partitionBy("file", "block").orderBy("start_offset")
+    found = rows.withColumn("i", F.row_number().over(over)).withColumn("end", F.lead("start_offset").over(over)).join(splits, ["file", "block"])
+    return found.select("file", "title", (F.col("base") + F.col("i") - 1).cast("long").alias("idx"), "start_offset", F.coalesce("end", "next").alias("end_offset"))
+
+
+def read_slices(spark: SparkSession, data_path: str, index_path: str) -> DataFrame:
+    """(title, record) of data files `file=n` by the offsets of their indexes: each record is the bytes from its start to the next one's, less a line feed at its end.
+
+    A file is cut where it is read, by the entries of its own index; files are of the size that write_indexed() gives them, and 2 GB at most.
+    """
+    entry = F.struct("start_offset", "end_offset", "title")
+    entries = read_index(spark, index_path).groupBy(F.col("file").alias("_file")).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    files = spark.read.format("binaryFile").load(data_path).select(F.regexp_extract("path", r"/file=(\d+)/[^/]*$", 1).alias("_file"), "content")
+
+    def cut(e: Column) -> Column:
+        size = (F.coalesce(e["end_offset"], F.octet_length("content")) - e["start_offset"]).cast("int")
+        return F.struct(e["title"].alias("title"), F.regexp_replace(F.substring("content", (e["start_offset"] + 1).cast("int"), size).cast("string"), "\n$", "").alias("record"))
+
+    return files.join(entries, "_file").select(F.explode(F.transform("entries", cut)).alias("r")).select("r.*")
+
+
+def read_page(spark: SparkSession, data_path: str, index_path: str, title: str) -> str | None:
+    """The record of a title, read by a seek to its place in its file; None without one. Of records of one title the last counts."""
+    found = read_index(spark, index_path).filter(F.col("title") == title).orderBy(F.col("file").cast("int").desc(), F.desc("start_offset")).first()
+    if found is None:
+        return None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{data_path}/file={found['file']}/part-*")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = fs.globStatus(folder)[0]
+    stream = fs.open(status.getPath())
+    try:
+        stream.seek(found["start_offset"])
+        end = found["end_offset"] if found["end_offset"] is not None else status.getLen()
+        return bytes(stream.readNBytes(end - found["start_offset"])).decode().removesuffix("\n")
+    finally:
+        stream.close()
+
+
+def page_record(value: Column) -> Column:
+    """A record of extracted links from its JSON; anything else is an error."""
+    return F.from_json(value, PAGE_LINKS, {"mode": "FAILFAST"})
 
 
 def read_page_links(spark: SparkSession, path: str) -> DataFrame:
@@ -76,6 +122,21 @@ def read_page_links(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_LINKS).option("mode", "FAILFAST").json(path)
 
 
+def fetch(spark: SparkSession, url: str, path: str, piece: int = 4 << 20) -> int:
+    """Downloads a dump as it is to path in any file system that Spark knows, and gives its bytes. Spark reads a .bz2 in splits, so it isn't unpacked."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    fs, size = target.getFileSystem(spark._jsc.hadoopConfiguration()), 0
+    with urllib.request.urlopen(url) as source:
+        out = fs.create(part, True)
+        while raw := source.read(piece):
+            out.write(bytearray(raw))
+            size += len(raw)
+        out.close()
+    fs.rename(part, target)
+    return size
+
+
 def find_page(pages: DataFrame, title: str) -> DataFrame:
     """The page of a title; the filter reaches the scan."""
     return pages.filter(F.col("title") == title)

@@ -1,5 +1,6 @@
 import bz2
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,10 @@ from spindrift.functions.progress import Progress, progress_line
 from spindrift.operators import graph as g
 from spindrift.operators.extract import extract
 from spindrift.operators.links import extract_links
-from spindrift.operators.sections import as_variant, section_tree, sections, tree
+from spindrift.operators.ordered import running_sum
+from spindrift.operators.sections import as_variant, section_tree, sections, tree, tree_json
 from spindrift.plans import engine
-from spindrift.sources.dump import read_dump, read_index, read_page_links, read_pages
+from spindrift.sources.dump import read_dump, read_index, read_page, read_page_links, read_pages, read_slices
 from spindrift.sources.sinks import write_indexed, write_json_lines, write_titles
 from spindrift.streaming.extract import run_extraction
 
@@ -90,21 +92,87 @@ def test_command_line(spark, dump, tmp_path, capsys):
     assert read_page_links(spark, data).count() == 6
     assert engine.main(["subgraph", "--input-data", data, "-r", "Plain", "-d", "2", "-o", out]) == 0
     assert {r[0] for r in spark.read.text(out).collect()} == {"Two", "Plain"}
+    assert engine.main(["page", "--input-data", data, "--input-index", index, "-t", "Two"]) == 0
+    assert json.loads(capsys.readouterr().out)["links"][0] == {"target": "Plain", "label": "p"}
     assert engine.main(["subgraph", "--input-data", data, "-r", "None such", "-d", "2", "-o", str(tmp_path / "none")]) == 0
     assert "None such" in capsys.readouterr().err
     assert engine.main(["subgraph", "--input-data", data, "-r", "Plain", "-d", "2", "-m", "depth-limited-with-fan-out-factor", "-o", str(tmp_path / "none")]) == 2
 
 
 def test_index_leads_to_its_records(spark, tmp_path):
-    rows = [(f"T{i}: é", json.dumps({"i": i}) * (i % 5 + 1)) for i in range(40)]
+    rows = [(f"T{i}: é", json.dumps({"i": i}) * (i % 5 + 1)) for i in range(40)] + [("T1: é", "again"), ("empty", "")]
     data, index = str(tmp_path / "data"), str(tmp_path / "index")
-    write_indexed(spark.createDataFrame(rows, "title string, record string"), data, index, files=3)
-    files = {p.parent.name: p.read_bytes() for p in (tmp_path / "data").glob("file=*/part-*")}
-    found = {}
-    for folder in (tmp_path / "index").glob("file=*"):
-        for r in read_index(spark, str(folder)).collect():
-            found[r["title"]] = files[folder.name][r["start_offset"] : r["end_offset"]].decode().rstrip("\n")
-    assert found == dict(rows)
+    for k, files in enumerate((3, None)):
+        write_indexed(spark.createDataFrame(rows, "title string, record string").repartition(2), f"{data}{k}", f"{index}{k}", files=files)
+        assert len(list((tmp_path / f"data{k}").glob("file=*"))) == (files or 2)
+        assert sorted(map(tuple, read_slices(spark, f"{data}{k}", f"{index}{k}").collect())) == sorted(rows)
+        numbered = read_index(spark, f"{index}{k}").collect()
+        for file in {r["file"] for r in numbered}:
+            own = sorted((r for r in numbered if r["file"] == file), key=lambda r: r["idx"])
+            assert [r["idx"] for r in own] == list(range(len(own)))
+            assert [r["end_offset"] for r in own] == [r["start_offset"] for r in own[1:]] + [None]
+        assert read_page(spark, f"{data}{k}", f"{index}{k}", "T7: é") == dict(rows)["T7: é"]
+        assert read_page(spark, f"{data}{k}", f"{index}{k}", "empty") == ""
+        assert read_page(spark, f"{data}{k}", f"{index}{k}", "none") is None
+
+
+def test_an_index_of_several_splits(spark, tmp_path):
+    """Ends and numbers go over from split to split of one index file."""
+    (tmp_path / "index").write_text("".join(f"{10 * i}: title {i}\n" for i in range(500)))
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        found = sorted(map(tuple, read_index(spark, str(tmp_path / "index")).select("idx", "title", "start_offset", "end_offset").collect()))
+    finally:
+        spark.conf.set(name, before)
+    assert found == [(i, f"title {i}", 10 * i, 10 * i + 10 if i < 499 else None) for i in range(500)]
+
+
+def test_running_sums_of_a_hot_part(spark):
+    rows = [("hot" if i % 5 else None, i, i % 9) for i in range(2000)]
+    df = spark.createDataFrame(rows, "p string, i int, n long").repartition(6)
+    found = {r["i"]: r["s"] for r in running_sum(df, F.col("n"), ["p"], ["i"], "s").collect()}
+    sums = {}
+    for p, i, n in rows:
+        assert found[i] == sums.get(p, 0)
+        sums[p] = sums.get(p, 0) + n
+
+
+def test_download(spark, dump, tmp_path):
+    packed = tmp_path / "packed.xml.bz2"
+    packed.write_bytes(bz2.compress(dump.read_bytes()))
+    assert engine.main(["fetch", "-u", packed.as_uri(), "-o", str(tmp_path / "got.xml.bz2")]) == 0
+    assert read_dump(spark, str(tmp_path / "got.xml.bz2")).count() == 6
+
+
+def test_a_broken_dump_is_an_error(spark, tmp_path):
+    (tmp_path / "d.xml").write_text(DUMP.replace("META", "<page><title>x</revision></page>"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_dump(spark, str(tmp_path / "d.xml")).collect()
+
+
+def test_links_of_texts_that_never_close(spark):
+    """A megabyte of openings, and a link of half a megabyte with braces."""
+    texts = ["[[" * 500_000, "[[a]]" + "[[" * 400_000, "[[" + "{a|}" * 100_000 + "|b]]"]
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(1)
+    began = time.perf_counter()
+    found = {r["i"]: r["l"] for r in d.select("i", extract_links(F.col("t")).alias("l")).collect()}
+    assert [len(found[i]) for i in range(3)] == [0, 1, 1]
+    assert tuple(found[2][0]) == ("{a|}" * 100_000, "b")
+    assert time.perf_counter() - began < 60
+
+
+def test_sections_of_any_number_and_depth(spark):
+    flat = "".join(f"== h{i} ==\nt{i}\n" for i in range(20_000))
+    deep = "".join(f"{'=' * i} h{i} {'=' * i}\n" for i in range(2, 3000)) + "end"
+    d = spark.createDataFrame([(0, "T", flat), (1, "T", deep)], "i int, t string, x string")
+    began = time.perf_counter()
+    assert {r["i"]: r["count"] for r in sections(d, "i", "t", "x").groupBy("i").count().collect()} == {0: 20_001, 1: 2999}
+    assert time.perf_counter() - began < 60
+    assert len(tree_json("T", deep)) > 3000 * 3000
+    for article in ARTICLES:
+        assert tree_json("T é", article) == json.dumps(tree("T é", article), indent=2, ensure_ascii=False)
 
 
 def test_writers(spark, tmp_path):
