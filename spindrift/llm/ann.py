@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spindrift.llm.shared import cut, small, stored
-from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample
+from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample, split, squares
 
 
 @dataclass(frozen=True)
@@ -198,8 +198,9 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     The tree is fitted on a bounded sample, and every row is indexed under its leaf. A query's bound is its k-th best
     score among the sampled vectors, and best-bin-first traversal visits the leaves that may reach it; how far a leaf's
     rows are taken to spread is calibrated by the exact neighbours of a few queries in all rows, until their recall is
-    reached. Leaves are packed into blocks, and a leaf of many rows is dealt to several; queries come to each block that
-    holds one of their leaves, and a block that many queries visit is copied for each batch of them.
+    reached. Leaves are packed into blocks, and one of many rows is cut to cells by trees of their own, as often as it
+    takes, with the same rule for queries: so blocks stay of one size as rows grow in number. Queries come to each block
+    that holds one of their leaves, and a block that many queries visit is copied for each batch of them.
 
     A query's candidates are the vectors of its length, and each length that occurs is searched by a tree of its own.
     Vectors that are null, zero or of null or non-finite components and rows of null key take no part. Rows of one key
@@ -257,20 +258,16 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
         sizes[r["leaf"]] = r["count"]
     slack = calibrated(tree, t, bounds(t, t_id, s, s_id, k, norm), sizes, k, [leaf_of.get(i, []) for i in t_id.tolist()], settings.recall)
 
-    # Leaves are packed into blocks in order; one of more rows than a block is dealt to several of its own.
-    first, parts, block, room = np.zeros(tree.leaves, np.int32), np.ones(tree.leaves, np.int32), 0, settings.block
+    # Leaves are packed into blocks in order; one of more rows than a block has its own.
+    first, block, room = np.zeros(tree.leaves, np.int64), 0, settings.block
     for i, n in enumerate(sizes.tolist()):
         if n > room and room < settings.block:
             block, room = block + 1, settings.block
-        first[i], parts[i] = block, max(1, -(-n // settings.block))
-        if parts[i] > 1:
-            block, room = block + int(parts[i]), settings.block
-        else:
-            room -= n
-    packing = spark.sparkContext.broadcast((first, parts, sizes))
+        first[i], room = block, room - n
+    packing = spark.sparkContext.broadcast((first, sizes))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (tree, s, s_id), (first, parts, sizes) = held.value, packing.value
+        (tree, s, s_id), (first, sizes) = held.value, packing.value
         for b in batches:
             for from_ in range(0, b.num_rows, 512):
                 c = b.slice(from_, 512)
@@ -280,21 +277,34 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
                 for i, order in enumerate(tree.visits(q, kth, slack, sizes, k + 1)):
                     by: dict[int, list[int]] = {}
                     for leaf in order:
-                        for p in range(int(parts[leaf])):
-                            by.setdefault(int(first[leaf]) + p, []).append(leaf)
+                        by.setdefault(int(first[leaf]), []).append(leaf)
                     at += [i] * len(by)
                     to += by.keys()
                     leaves += by.values()
                 take = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), c.column(0).take(take), c.column(1).take(take), pa.array(kth[at] if at else [], pa.float64()), pa.array(leaves, pa.list_(pa.int32()))], names=["block", "id", "v", "bound", "leaves"])
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), c.column(0).take(take), c.column(1).take(take), pa.array(kth[at] if at else [], pa.float64()), pa.array(leaves, pa.list_(pa.int32()))], names=["block", "id", "v", "bound", "leaves"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, parts, _ = packing.value
+        first = packing.value[0]
         for b in batches:
-            leaf, ids = b.column(2).to_numpy(), b.column(0).to_numpy()
-            mixed = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            to = first[leaf] + (mixed % parts[leaf].astype(np.uint64)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), *b.columns], names=["block", "id", "v", "leaf"])
+            yield pa.RecordBatch.from_arrays([pa.array(first[b.column(2).to_numpy()]), *b.columns], names=["block", "id", "v", "leaf"])
+
+    def cells(x: np.ndarray, k: int) -> np.ndarray:
+        """A row a cell: its centre, the mean of its vectors, their spread."""
+        c = kmeans(x, k, settings.rounds, np.random.default_rng(settings.seed))
+        near = squares(x, c).argmin(1)
+        held = [x[near == i] for i in range(len(c)) if (near == i).any()]
+        c, means = c[np.unique(near)], np.array([h.mean(0) for h in held])
+        spread = np.array([np.sqrt(((h - m) ** 2).sum(1).mean()) for h, m in zip(held, means, strict=True)])
+        return np.hstack([c, means, np.maximum(spread, np.median(spread))[:, None]])
+
+    def reach(made: np.ndarray, rows: pa.Table) -> np.ndarray:
+        """As in the tree: the cells that may hold what reaches a query's bound, and the likeliest one in any case."""
+        q, bound = matrix(rows["v"], dim), rows["bound"].to_numpy()
+        may = q @ made[:, dim : 2 * dim].T + slack * np.linalg.norm(q, axis=1)[:, None] * made[None, :, -1]
+        out = may >= bound[:, None]
+        out[np.arange(len(q)), may.argmax(1)] = True
+        return out
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         x, q, leaf = matrix(left["v"], dim), matrix(right["v"], dim), left["leaf"].to_numpy()
@@ -308,12 +318,16 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
             return pa.Table.from_batches([_meet(q[:0], np.empty(0, np.int64), np.empty(0), x[:0], np.empty(0, np.int64), None, k)])
         return pa.Table.from_batches([_meet(q, right["id"].to_numpy(), right["bound"].to_numpy(), x, left["id"].to_numpy(), lambda rows: seen[rows][:, at], k)])
 
-    probes = stored(indexed.filter("query").select("id", "v").mapInArrow(probe, "block int, id long, v array<double>, bound double, leaves array<int>"), "ann-probes")
-    turns = cut(probes.groupBy("block").agg(F.ceil(F.count("*") / settings.queries).cast("int").alias("turns")))
+    probes = indexed.filter("query").select("id", "v").mapInArrow(probe, "block long, id long, v array<double>, bound double, leaves array<int>")
+    blocks = indexed.select("id", "v", "leaf").mapInArrow(place, "block long, id long, v array<double>, leaf int")
+    blocks, probes = split(blocks, stored(probes, "ann-probes"), ["block"], "id", dim, settings.block, cells, lambda made, x: squares(x, made[:, :dim]).argmin(1), reach, settings.seed)
+    # What can't be cut, of equal vectors, is dealt by a hash; a block that many queries visit is copied for each batch of them.
+    parts = cut(blocks.groupBy("block").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts")))
+    turns = cut(probes.groupBy("block").agg(F.ceil(F.count("*") / settings.queries).cast("int").alias("turns")).join(small(parts, parts.count()), "block"))
     turns = small(turns, turns.count())
-    probes = probes.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).drop("turns")
-    blocks = indexed.select("id", "v", "leaf").mapInArrow(place, "block int, id long, v array<double>, leaf int")
-    blocks = blocks.join(turns, "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
-    found = blocks.groupBy("block", "turn").cogroup(probes.groupBy("block", "turn")).applyInArrow(meet, _FOUND)
+    probes = probes.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("turns", "parts")
+    blocks = blocks.join(turns, "block").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int")).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns", "parts")
+    on = ["block", "part", "turn"]
+    found = blocks.groupBy(*on).cogroup(probes.groupBy(*on)).applyInArrow(meet, _FOUND)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.shared import BROADCAST_ROWS, components, small, stored
-from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample, squares
+from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample, split, squares
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,21 @@ class Settings:
     seed: int = 37
 
 
+def reaches(x: np.ndarray, centres: np.ndarray, radius: float) -> np.ndarray:
+    """Which cells may hold a vector within the radius of each vector: those that its ball reaches.
+
+    A vector nearer to centre c than to c' lies on c's side of the plane between them, and the ball reaches that
+    side only if the plane is no farther than the radius. That holds for vectors of any other cell above these, too.
+    """
+    d = squares(x, centres)
+    own = d.argmin(1)
+    between = np.sqrt(squares(centres, centres))[own]
+    plane = (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * between, 1e-12)
+    out = plane <= radius + 1e-6
+    out[np.arange(len(x)), own] = True
+    return out
+
+
 @dataclass
 class Quantiser:
     """Fitted on unit vectors. Distances are between unit vectors: cosine c is distance sqrt(2 - 2 c)."""
@@ -53,18 +68,7 @@ class Quantiser:
         return near.astype(np.int32), codes, np.sqrt(((rest - made) ** 2).sum(1)), (made * made).sum(1) + 2 * (self.centres[near] * made).sum(1)
 
     def probes(self, x: np.ndarray) -> np.ndarray:
-        """Which lists may hold a vector within the radius of each unit vector: those whose cell its ball reaches.
-
-        A vector nearer to centre c than to c' lies on c's side of the plane between them, and the ball reaches that
-        side only if the plane is no farther than the radius.
-        """
-        d = squares(x, self.centres)
-        own = d.argmin(1)
-        between = np.sqrt(squares(self.centres, self.centres))[own]
-        plane = (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * between, 1e-12)
-        out = plane <= self.radius + 1e-6
-        out[np.arange(len(x)), own] = True
-        return out
+        return reaches(x, self.centres, self.radius)
 
     def distances(self, x: np.ndarray, near: np.ndarray, codes: np.ndarray, constant: np.ndarray) -> np.ndarray:
         """Asymmetric squared distances of unit vectors to coded ones, by table lookup."""
@@ -114,8 +118,8 @@ def grouped(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     Equal vectors of a label are one class, so that copies aren't compared. Every class is coded; a class looks into each
     list whose cell its ball of the radius reaches, keeps what the table-lookup distance less the coding error doesn't
     put outside, and takes the exact cosine of the vectors themselves in double precision. Neither step can lose a
-    link, whatever the sample. Lists of a label lie together in blocks, and a block of many rows is dealt to several. A
-    block gives each class its number of links, and one edge a class; never the pairs. Vectors of several lengths are
+    link, whatever the sample. Lists of a label lie together in blocks; one of many rows is cut to lists of its own, so
+    that blocks stay of one size as rows grow in number. A block gives each class its number of links, and one edge a class; never the pairs. Vectors of several lengths are
     made as long as the next power of two by zeros, which change no cosine, and there is a quantiser for each of these.
 
     Vectors that are null, zero or of null or non-finite components link with nothing, and form a component of their
@@ -167,13 +171,21 @@ def _links(classes: DataFrame, dim: int, settings: Settings) -> DataFrame:
                 room = near.astype(np.int64) * np.minimum(rooms, lists) // lists
                 reach = quantiser.probes(x)
                 to = [np.unique(np.flatnonzero(r) * min(k, lists) // lists).tolist() for r, k in zip(reach, rooms.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(near), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(constant), pa.array(room.astype(np.int32)), pa.array(to, pa.list_(pa.int32()))], names=["label", "c", "n", "v", "list", "codes", "error", "constant", "room", "to"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(near), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(constant), pa.array(room), pa.array(to, pa.list_(pa.int64()))], names=["label", "c", "n", "v", "list", "codes", "error", "constant", "room", "to"])
+
+    coded = stored(withroom.select("label", "c", "n", "v", "rooms").mapInArrow(code, "label string, c long, n long, v array<double>, list int, codes binary, error double, constant double, room long, to array<long>"), "pq-codes")
+    index, asked = coded.drop("to"), coded.select("label", "c", "v", F.explode("to").alias("room"))
+    radius = math.sqrt(max(0.0, 2 - 2 * settings.cosine))
+
+    def cells(x: np.ndarray, k: int) -> np.ndarray:
+        return kmeans(_unit(x), k, settings.rounds, np.random.default_rng(settings.seed))
 
-    coded = stored(withroom.select("label", "c", "n", "v", "rooms").mapInArrow(code, "label string, c long, n long, v array<double>, list int, codes binary, error double, constant double, room int, to array<int>"), "pq-codes")
-    parts = stored(coded.groupBy("label", "room").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts")), "pq-blocks")
+    # Lists of more rows than a block are cut to lists of their own, as often as it takes.
+    index, asked = split(index, asked, ["label", "room"], "c", dim, settings.block, cells, lambda c, x: squares(_unit(x), c).argmin(1), lambda c, rows: reaches(_unit(matrix(rows["v"], dim)), c, radius), settings.seed)
+    parts = stored(index.groupBy("label", "room").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts")), "pq-blocks")
     parts = small(parts, parts.count(), BROADCAST_ROWS)
-    index = coded.join(parts, ["label", "room"]).withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).select("label", "room", "part", "c", "n", "v", "list", "codes", "error", "constant")
-    asked = coded.select("label", "c", "v", F.explode("to").alias("room")).join(parts, ["label", "room"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    index = index.join(parts, ["label", "room"]).withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).select("label", "room", "part", "c", "n", "v", "list", "codes", "error", "constant")
+    asked = asked.join(parts, ["label", "room"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     # As a block's rows are bounded, what asks it is dealt to several tasks too, each with a copy of the block.
     turns = stored(asked.groupBy("label", "room", "part").agg(F.ceil(F.count("*") / (4 * settings.block)).cast("int").alias("turns")), "pq-turns")
     turns = small(turns, turns.count(), BROADCAST_ROWS)
