@@ -306,7 +306,7 @@ class Resemblance:
     """shingle: words in a shingle. similarity: Jaccard similarity of two texts' sets of shingles from which they link.
     seed: of XXH64. bands, rows: two texts meet if in one of so many bands all of so many permutations of the digests
     have the same least one in both sets. distance: of those that meet, they are compared exactly if this many bits of
-    their sets' SimHashes differ at most.
+    their sets' SimHashes differ at most. group: rows of one band's key that are looked at in one task; more are dealt.
 
     At similarity 0.8 a band is alike with 0.8 ** 7 = 0.21, and one of 20 with 0.991 (at 0.85 with 0.9996); of texts that
     share a tenth, one pair in 500,000 meets. At 0.8 a bit differs with probability acos(8 / 9) / pi = 0.151, so distance is
@@ -318,6 +318,7 @@ class Resemblance:
     bands: int = 20
     rows: int = 7
     distance: int = 21
+    group: int = 1 << 16
 
 
 #: Of groups up to _FEW nodes all pairs are looked at together; _DENSE pairs a node make a group one of near copies.
@@ -494,23 +495,65 @@ def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resem
     """Edges (a, b) between nodes(id, fp, keys, row), different sets of shingles, of at least the similarity.
 
     Their components are those of all pairs that meet under a key: in groups of near copies first only the links to
-    leading nodes are verified, and then all pairs that these have left in different components.
+    leading nodes are verified, and then all pairs that these have left in different components. A key of more rows than
+    a task may hold is dealt to several groups, whose members are besides compared with the key's first node.
     """
-    keyed = nodes.select(F.explode("keys").alias("wild"), "id", "fp")
-    found = stored(keyed.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
-    tested = stored(found.filter("b IS NOT NULL").select("a", "b").distinct(), "simhash-tested")
+    keyed = stored(nodes.select(F.explode("keys").alias("wild"), "id", "fp"), "simhash-keys")
+    crowded = cut(keyed.groupBy("wild").agg(F.count("*").alias("n"), F.min(F.struct("id", "fp")).alias("lead")).filter(F.col("n") > settings.group))
+    crowded = crowded.select("wild", "lead", F.ceil(F.col("n") * 2 / settings.group).cast("int").alias("parts"))
+    hot = crowded.count()
+    plain, lead = keyed, None
+    if hot:
+        members = keyed.join(small(crowded, hot), "wild").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        alike = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))) <= settings.distance
+        lead = members.filter(alike & (F.col("id") > F.col("lead.id"))).select(F.col("lead.id").alias("a"), F.col("id").alias("b"))
+        plain = keyed.join(small(crowded, hot), "wild", "left_anti").union(members.select(F.xxhash64("wild", "part"), "id", "fp"))
+    found = stored(plain.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
+    first = found.filter("b IS NOT NULL").select("a", "b")
+    tested = stored((first.union(lead) if hot else first).distinct(), "simhash-tested")
     edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges")
     many = found.filter("b IS NULL").select("wild", F.col("a").alias("id"), "fp")
-    if not many.head(1):
+    if not many.head(1) and not hot:
         return edges
     joined = components(edges)
-    many = many.join(joined, many["id"] == joined["node"], "left").select("wild", "id", "fp", F.coalesce("component", "id").alias("component"))
+
+    def told(rows: DataFrame) -> DataFrame:
+        return rows.join(joined, rows["id"] == joined["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
+
+    many = told(many).select("wild", "id", "fp", "component")
     split = many.groupBy("wild").agg((F.min("component") < F.max("component")).alias("split")).filter("split").select("wild")
-    rest = many.join(split, "wild", "left_semi").repartition("wild").sortWithinPartitions("wild").mapInArrow(_cross(settings), _PAIRS)
-    rest = rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+    rest = many.join(split, "wild", "left_semi").repartition("wild").sortWithinPartitions("wild").mapInArrow(_cross(settings), _PAIRS).select("a", "b")
+    if hot:
+        rest = rest.union(_across(told(members.select("wild", "part", "parts", "id", "fp")), settings))
+    rest = rest.distinct().join(tested, ["a", "b"], "left_anti")
     return edges.union(stored(_verified(stored(rest, "simhash-rest"), nodes, texts, settings), "simhash-edges"))
 
 
+def _across(members: DataFrame, settings: Resemblance) -> DataFrame:
+    """Pairs (a, b) within the distance of members(wild, part, parts, id, fp, component) of one wild and different
+    components. One of two is outside of the key's largest component; those go to every part of their key, in batches."""
+    members = stored(members, "simhash-members")
+    largest = members.groupBy("wild", "component").agg(F.count("*").alias("n")).groupBy("wild").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    outside = stored(members.join(small(largest, largest.count()), "wild").filter("component <> largest").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "simhash-outside")
+    turns = cut(outside.groupBy("wild", "part").agg(F.ceil(F.count("*") / settings.group).cast("int").alias("turns")))
+    turns = small(turns, turns.count())
+    on = ["wild", "part", "turn"]
+    left = members.join(turns, on[:2]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).select(*on, "id", "fp", "component")
+    right = outside.join(turns, on[:2]).withColumn("turn", F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")).cast("int")).select(*on, "id", "fp", "component")
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        (i, f, c), (j, g, d) = ([t[n].to_numpy() for n in ("id", "fp", "component")] for t in (x, y))
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for at in range(0, len(j), 128):
+            near = (np.bitwise_count(g[at : at + 128, None].view(np.uint64) ^ f[None].view(np.uint64)) <= settings.distance) & (d[at : at + 128, None] != c[None])
+            p, q = np.nonzero(near)
+            a.append(np.minimum(j[at + p], i[q]))
+            b.append(np.maximum(j[at + p], i[q]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(meet, "a long, b long")
+
+
 def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Resemblance = Resemblance()) -> DataFrame:
     """The rows of docs of which none of the same group stands before them, as deduplicated(); groups are of links by resemblance."""
     plain, names = hidden(docs)

@@ -197,11 +197,12 @@ def _based(ranges: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of uncompressed archives at path, one row each: file, offset, length, type, record_id, target_uri,
+    """The records of archives at path, plain or of gzip members (.gz, each read by one task), one row each: file, offset, length, type, record_id, target_uri,
     refers_to, stated_digest, payload_bytes, payload_digest (base32 SHA-1 of the payload there) and stated_bytes (HTTP's
     Content-Length).
 
-    An archive whose chain doesn't end at its last byte is an error. An empty folder has no records.
+    Offsets of a packed archive count its unpacked bytes. An archive whose chain doesn't end at its last byte is an error.
+    An empty folder has no records.
     """
     if not spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
         raise FileNotFoundError(path)
@@ -225,7 +226,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     flagged = c.join(small(doors, doors.count()), ["file", "off"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
     kept = flagged.select("file", "block", "size", "off", "next", "whole", *_NAMES[8:], "entry")
     records = stored(kept.groupBy("file", "block").applyInArrow(_walk, kept.drop("entry").schema), "warc-records")
-    sizes = found.select("file", "size").distinct()
+    # Of a packed file the pieces and their magics tell the size; behind the last piece there is no magic.
+    unpacked = F.when(F.col("file").endswith(".gz"), F.sum("used") - len(MAGIC)).otherwise(F.max("size"))
+    sizes = found.filter("off IS NULL").groupBy("file").agg(unpacked.alias("size"))
     torn = sizes.join(records.groupBy("file").agg(F.max("next").alias("end")), "file", "left").filter("size > 0 AND (end IS NULL OR end <> size)").first()
     if torn:
         raise ValueError(f"the chain of records in {torn['file']} ends at {torn['end']} of {torn['size']} bytes")

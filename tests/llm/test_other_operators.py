@@ -1,6 +1,7 @@
 """WARC, nearest neighbours, vector duplicates, URL filters, the pipeline."""
 
 import base64
+import gzip
 import hashlib
 import math
 import random
@@ -85,6 +86,20 @@ def test_other_archives_are_read(spark, tmp_path):
         warc.read(spark, str(tmp_path / "a")).collect()
 
 
+def test_packed_archives_are_read(spark, tmp_path):
+    """A gzip member a record, as public archives have, and one of all; the same records as unpacked, and a torn one is an error."""
+    records = [record("one"), record("two" + record("inner"), 2), record("é" * 9000, 3)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc.gz").write_bytes(b"".join(gzip.compress(r.encode()) for r in records))
+    (tmp_path / "a" / "y.warc.gz").write_bytes(gzip.compress("".join(records).encode()))
+    rows = warc.read(spark, str(tmp_path / "a")).orderBy("file", "offset").collect()
+    starts = [sum(len(r.encode()) for r in records[:i]) for i in range(3)]
+    assert [(r["offset"], r["payload_digest"]) for r in rows] == [*zip(starts, [digest(b"one"), digest(("two" + record("inner")).encode()), digest(("é" * 9000).encode())], strict=True)] * 2
+    (tmp_path / "a" / "z.warc.gz").write_bytes(gzip.compress(records[0].encode()[:-9]))
+    with pytest.raises(ValueError, match="ends at"):
+        warc.read(spark, str(tmp_path / "a")).collect()
+
+
 def test_archives_of_no_pages_and_of_repeated_ones(spark, tmp_path):
     warc.write(spark.createDataFrame([], PAGES), str(tmp_path / "none"))
     assert warc.read(spark, str(tmp_path / "none")).count() == 0

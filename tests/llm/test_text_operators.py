@@ -482,9 +482,9 @@ def copies(rng, bases, of, words):
     return out
 
 
-@pytest.mark.parametrize("bases, of", [(150, 3), (1, 150)])
-def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of):
-    """Against all pairs by brute force; the second is one group of more nodes than are compared pair by pair."""
+@pytest.mark.parametrize("bases, of, settings", [(150, 3, simhash.Resemblance()), (1, 150, simhash.Resemblance()), (20, 12, simhash.Resemblance(group=4))])
+def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of, settings):
+    """Against all pairs by brute force; the second is one group of more nodes than are compared pair by pair, in the third keys are dealt to several groups."""
     texts = copies(random.Random(3), bases, of, 210)
     sets, linked, apart = [plain_set(t) for t in texts], [], 0
     for i in range(len(sets)):
@@ -499,15 +499,15 @@ def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of):
         old, new = max(label[a], label[b]), min(label[a], label[b])
         label = [new if x == old else x for x in label]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    nodes = simhash.sketches(docs.withColumn("row", F.col("doc_id")).withColumnRenamed("doc_id", "id"), "text", simhash.Resemblance())
-    edges = simhash.resembling(nodes, docs.select(F.col("doc_id").alias("_row"), F.col("text").alias("_text")))
+    nodes = simhash.sketches(docs.withColumn("row", F.col("doc_id")).withColumnRenamed("doc_id", "id"), "text", settings)
+    edges = simhash.resembling(nodes, docs.select(F.col("doc_id").alias("_row"), F.col("text").alias("_text")), settings)
     found = {(r["a"], r["b"]) for r in edges.collect()}
     assert found <= {(a, b) for a, b, _ in linked}
-    if bases > 1:
+    if bases > 100:
         share = sum((a, b) in found for a, b, x in linked if x < 0.85) / len(near)
         print(f"{len(linked)} pairs, {len(found)} found; from 0.8 to 0.85 {len(near)}, found {share:.4f}")
         assert share > 0.98
-    kept = {r["doc_id"] for r in simhash.without_copies(docs).collect()}
+    kept = {r["doc_id"] for r in simhash.without_copies(docs, settings=settings).collect()}
     assert len(kept ^ set(label)) <= len(set(label)) // 100
 
 
