@@ -241,9 +241,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # Payloads with a magic inside: their pieces are brought together, a record at a time.
     numbered = _pieces(spark, path).mapInArrow(_numbered, "file string, block long, at long, raw binary").join(small(ranges, n), ["file", "block"])
     numbered = numbered.select("file", (F.col("at") + F.col("base")).alias("at"), "raw")
-    held = small(rest.select(F.col("file").alias("f"), "off", "next", *_NAMES[8:-3]), broken)
+    held = small(rest.select(F.col("file").alias("f"), "off", "next"), broken)
     met = numbered.join(held, (numbered["file"] == held["f"]) & (F.col("at") >= F.col("off")) & (F.col("at") < F.col("next")))
-    return whole.union(met.select("file", "off", "next", "at", "raw", *_NAMES[8:-3]).groupBy("file", "off").applyInArrow(_joined, whole.schema))
+    told = met.select("file", "off", "at", "raw").groupBy("file", "off").applyInArrow(_joined, "file string, off long, payload_bytes long, payload_digest string, stated_bytes string")
+    return whole.union(rest.drop(*_NAMES[-3:]).join(told, ["file", "off"]).select(*names))
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,12 +261,10 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _joined(group: pa.Table) -> pa.Table:
+    """What is told of the payload of one record, of all its pieces."""
     rows = sorted(zip(group["at"].to_pylist(), group["raw"].to_pylist(), strict=True))
     raw = MAGIC.join(r for _, r in rows)
-    first = group.slice(0, 1).to_pylist()[0]
     cut_at = raw.find(b"\r\n\r\n")
     fields = _fields(raw[:cut_at])
     told = _described(fields, raw[cut_at + 4 : cut_at + 4 + int(fields["content-length"])])
-    row = [first["file"], first["off"], first["next"] - first["off"], *[first[n] for n in _NAMES[8:-3]], *told]
-    kinds = [pa.string(), pa.int64(), pa.int64(), *_TYPES[8:]]
-    return pa.table([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=["file", "offset", "length", *_NAMES[8:]])
+    return group.select(["file", "off"]).slice(0, 1).append_column("payload_bytes", pa.array([told[0]], pa.int64())).append_column("payload_digest", pa.array([told[1]])).append_column("stated_bytes", pa.array([told[2]], pa.string()))
