@@ -189,7 +189,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", source: str = "sou
     """
     if any(w <= 0 for w in settings.weights):
         raise ValueError("weights must be above 0")
-    tokens = stored(encoded(docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.col(text).alias("_text")), tokenizer, "_text", settings), "packing-ids")
+    tokens = stored(encoded(docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.col(text).alias("_text")), tokenizer, "_text", settings), "packing-ids", 4000)
     places = positions(tokens.select("_row", unit("_key", seed=settings.seed).alias("_u"), "_source", "_n"), settings)
     placed = tokens.join(places, "_row").select("_key", "_source", "_n", "_ids", "_runs")
     schema = placed.select(F.col("_key").alias(key), F.col("_source").alias(source), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("doc_tokens"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema

@@ -33,7 +33,7 @@ _CODES = 0x110000
 #: Texts whose characters stand in arrays at a time.
 AT_ONCE = 200
 #: Different four-grams that a task holds while it counts.
-MOST = 2_000_000
+MOST = 1_000_000
 
 
 @dataclass(frozen=True)

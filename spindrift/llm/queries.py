@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.llm import ann, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
-from spindrift.llm.shared import scratch
+from spindrift.llm.shared import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -76,7 +76,7 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text's perplexity under the model of the documents labelled good, and whether its language's threshold keeps it."""
     docs, labels = table(spark, sf_dir, "documents", "doc_id", "lang", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return quality.judged(docs, labels).select("doc_id", "lang", "perplexity", "symbols", "threshold", "keep")
+    return stored(quality.judged(docs, labels).select("doc_id", "lang", "perplexity", "symbols", "threshold", "keep"), "quality", 1000)
 
 
 @query
@@ -85,7 +85,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     learned = langid.learn(docs.filter(~held_out()))
     found = langid.identify(docs.select("doc_id", "text"), learned)
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+    return stored(found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected"), "languages", 1000)
 
 
 @query
