@@ -29,11 +29,11 @@ class Settings:
     end: int = 0
     seed: int = 23
     per_bucket: int = 5_000
-    cached: int = 128 << 20
+    cached: int = 80 << 20
 
 
 #: Bytes of text that are encoded together: the more, the fewer different words a slice has for its length.
-AT_ONCE = 16 << 20
+AT_ONCE = 8 << 20
 
 #: Two spaces in a row, or a space between other white space; in the class are all characters that any engine takes for white space.
 _CROWDED = "  |{0} {0}".format(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
@@ -146,6 +146,7 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", settings: Setti
                 n = np.array([len(x) // encoder.kind.itemsize + 1 for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays([*s.columns[:-1], pa.array(np.arange(row, row + len(n))), pa.array(n), pa.array(ids, pa.binary())], names=schema.names)
                 row += len(n)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     return docs.select(*rest, F.col(text)).mapInArrow(run, schema)
 

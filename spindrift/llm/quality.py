@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from spindrift.llm.shared import cut, fresh, short_batches, small, stored
+from spindrift.llm.shared import cut, fresh, passing, short_batches, small, stored
 
 SYMBOLS, ORDER = 64, 4
 #: The models: of one half of the trusted texts, of the other, and of all.
@@ -328,7 +328,7 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "
     full = F.coalesce(F.length(text) > 0, F.lit(False))
     if model is None:
         return kept.withColumns({"perplexity": F.lit(None).cast("double"), "symbols": F.lit(0).cast("long"), "threshold": F.lit(None).cast("double"), "keep": full})
-    with short_batches(spark):
+    with short_batches(spark), passing(spark):
         by, middle, above = thresholds(good, model, settings)
     own = [fresh(kept, name) for name in ("_lang", "_middle", "_above")]
     found = scored(kept, model, F.lit(WHOLE), text, settings)

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,23 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("_PASSING", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What stored() writes meanwhile is removed at the end: for steps whose result stands by itself by then, as cut() or an action makes it."""
+    paths: list[str] = []
+    token = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """While it is open at most this many rows go to Python at once, as a batch of whole texts is held several times, on
@@ -66,6 +84,8 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     path = scratch(spark, name)
     with short_batches(spark, rows) if rows else nullcontext():
         df.write.parquet(path)
+    if (paths := _PASSING.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, hidden, shown, small, stored
+from spindrift.llm.shared import components, cut, hidden, passing, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -561,8 +561,9 @@ def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", set
     rows = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     texts = rows.select("_row", F.col(names[text]).alias("_text"))
-    slim = stored(sketches(rows.select(F.col(key), "_row", F.col(names[text]).alias("_text")), "_text", settings), "simhash-sketches", 1000)
-    nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
-    gone = cut(slim.select(key, "_row", "_set").join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
+    with passing(docs.sparkSession):  # only the rows that go are needed from here on
+        slim = stored(sketches(rows.select(F.col(key), "_row", F.col(names[text]).alias("_text")), "_text", settings), "simhash-sketches", 1000)
+        nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
+        wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
+        gone = cut(slim.select(key, "_row", "_set").join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
     return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
