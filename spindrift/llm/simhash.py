@@ -298,7 +298,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
     slim = rows.select(key, "_row", "fps")
     wide = _first(slim, rank, settings)
     gone = cut(slim.join(wide, slim["fps"] == wide["_fps"]).filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
-    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
+    return rows.join(small(gone, gone.count(), _NUMBERS), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
 
 
 @dataclass(frozen=True)
@@ -325,6 +325,8 @@ class Resemblance:
 _FEW, _DENSE = 64, 4
 _ROWS = 1 << 18
 _PAIRS = "wild long, a long, b long, fp long"
+#: Rows of one long that may be broadcast: 16 MB of them.
+_NUMBERS = 2_000_000
 
 
 def shingle_set(text: str | None, settings: Resemblance = Resemblance()) -> np.ndarray:
@@ -468,8 +470,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Re
     """Those of pairs(a, b) of nodes(id, row, ...) whose texts(_row, _text) have shingles of the similarity."""
     near = pairs.join(nodes.select(F.col("id").alias("a"), F.col("row").alias("ra")), "a")
     near = stored(near.join(nodes.select(F.col("id").alias("b"), F.col("row").alias("rb")), "b").select("a", "b", "ra", "rb"), "simhash-near")
-    asked = near.select(F.col("ra").alias("_row")).union(near.select(F.col("rb").alias("_row"))).distinct()
-    held = stored(texts.join(asked, "_row", "left_semi"), "simhash-texts")
+    asked = cut(near.select(F.col("ra").alias("_row")).union(near.select(F.col("rb").alias("_row"))).distinct())
+    held = stored(texts.join(small(asked, asked.count(), _NUMBERS), "_row", "left_semi"), "simhash-texts")  # else all texts would be shuffled for some
     both = near.join(held.select(F.col("_row").alias("ra"), F.col("_text").alias("ta")), "ra").join(held.select(F.col("_row").alias("rb"), F.col("_text").alias("tb")), "rb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -566,4 +568,4 @@ def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", set
         nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
         wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
         gone = cut(slim.select(key, "_row", "_set").join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
-    return rows.join(small(gone, gone.count()), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
+    return rows.join(small(gone, gone.count(), _NUMBERS), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
