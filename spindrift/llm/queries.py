@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import ann, dimension, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
+from spindrift.llm import alignment, ann, dimension, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
 from spindrift.llm.shared import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,3 +253,19 @@ SELECT v.client_id, CAST(version AS INTEGER) AS version, v.moment // 1000000 AS
 FROM v LEFT JOIN c ON c.client_id IS NOT DISTINCT FROM v.client_id AND c.moment >= v.moment AND (until IS NULL OR c.moment < until)
 GROUP BY ALL
 """
+
+
+def pieces() -> str:
+    """The public model file of pieces that the alignment and the rules on tokens read."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies, linked where they stand for the same bytes, with the digest of its groups."""
+    rows = alignment.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", tokenizer(), pieces())
+    groups = F.col("groups")
+    rows = rows.withColumn("groups", F.when(groups == "", "").otherwise(F.sha2(groups, 256))).withColumnRenamed("groups", "groups_sha256")
+    return alignment.counted(rows, "doc_id")
