@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrift.llm import alignment, ann, dimension, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
+from spindrift.llm import alignment, ann, dimension, fertility, langid, mixing, packing, pqdedup, quality, sharding, simhash, urlfilter, warc
 from spindrift.llm.shared import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,3 +269,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = F.col("groups")
     rows = rows.withColumn("groups", F.when(groups == "", "").otherwise(F.sha2(groups, 256))).withColumnRenamed("groups", "groups_sha256")
     return alignment.counted(rows, "doc_id")
+
+
+@query
+def op12_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's base counts, and whether what its tokens tell lies in the bands of its language."""
+    found = fertility.judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), tokenizer(), pieces())
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*base, "n_tokens_a", "n_tokens_b", *fertility.MEASURES, "outside")
