@@ -127,8 +127,8 @@ def _measured(texts: pa.Array, a: BytePairs, b: Pieces) -> list[pa.Array]:
     points = np.fromiter(map(len, listed), np.int64, len(listed))
     with np.errstate(divide="ignore", invalid="ignore"):
         found["characters_a"], found["characters_b"] = points / found["n_tokens_a"], points / found["n_tokens_b"]
-    found["script"] = list(map(_script, listed))
-    return [pa.array(found[c], mask=found["n_tokens_b"] == 0) if c in MEASURES else pa.array(found[c]) for c in (x.split()[0] for x in _COUNTED.split(", "))]
+    out = [pa.array(found[c], mask=found["n_tokens_b"] == 0 if c in MEASURES else None) for c in (x.split()[0] for x in _COUNTED.split(", ")) if c != "script"]
+    return [*out, pa.array(list(map(_script, listed)), pa.string())]
 
 
 _KNOWN: dict[tuple[str, str], tuple[BytePairs, Pieces]] = {}
