@@ -21,7 +21,7 @@ class Settings:
     """slice_bytes: of text that are encoded together, a block. crowd: postings of a pair that meet in one task at least;
     heavy: and that so many pairs at most may exceed. full: links of a group that are listed one by one."""
 
-    slice_bytes: int = 12 << 20
+    slice_bytes: int = 5 << 20
     crowd: int = 20_000
     heavy: int = 10_000
     full: int = 256
