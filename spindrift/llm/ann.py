@@ -200,7 +200,8 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     rows are taken to spread is calibrated by the exact neighbours of a few queries in all rows, until their recall is
     reached. Leaves are packed into blocks, and one of many rows is cut to cells by trees of their own, as often as it
     takes, with the same rule for queries: so blocks stay of one size as rows grow in number. Queries come to each block
-    that holds one of their leaves, and a block that many queries visit is copied for each batch of them.
+    that holds one of their leaves, and a block that many queries visit is copied for each batch of them. The sampled
+    vectors that set a query's bound are candidates in any case, so every list has as many as are wanted.
 
     A query's candidates are the vectors of its length, and each length that occurs is searched by a tree of its own.
     Vectors that are null, zero or of null or non-finite components and rows of null key take no part. Rows of one key
@@ -239,6 +240,7 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
     t_id, t = tried["id"].to_numpy(), matrix(tried["v"], dim)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the best so far of all that the task has seen
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 c = b.slice(at, 4096)
@@ -246,7 +248,12 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
                 found = _meet(t, t_id, np.full(len(t), -np.inf), matrix(c.column(1), dim), ids, None, k)
                 order = np.argsort(ids, kind="stable")
                 where = order[np.searchsorted(ids[order], found.column(1).to_numpy())]
-                yield pa.RecordBatch.from_arrays([*found.columns, pa.array(leaf[where])], names=["query_id", "vec_id", "score", "leaf"])
+                new = [*(x.to_numpy() for x in found.columns), leaf[where]]
+                held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
+                keep = _best(*held[:3], k)
+                held = [x[keep] for x in held]
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names=["query_id", "vec_id", "score", "leaf"])
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     true = indexed.select("id", "v", "leaf").mapInArrow(exact, _FOUND + ", leaf int").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "leaf").collect()
@@ -266,6 +273,13 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
         first[i], room = block, room - n
     packing = spark.sparkContext.broadcast((first, sizes))
 
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, s, s_id = held.value
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                c = b.slice(at, 512)
+                yield _meet(matrix(c.column(1), dim), c.column(0).to_numpy(), np.full(c.num_rows, -np.inf), s, s_id, None, k)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (tree, s, s_id), (first, sizes) = held.value, packing.value
         for b in batches:
@@ -329,5 +343,7 @@ def _search(rows: DataFrame, dim: int, settings: Settings) -> DataFrame:
     blocks = blocks.join(turns, "block").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int")).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns", "parts")
     on = ["block", "part", "turn"]
     found = blocks.groupBy(*on).cogroup(probes.groupBy(*on)).applyInArrow(meet, _FOUND)
+    # The sampled vectors that set a query's bound are found with it, and lie in leaves that it needn't visit.
+    found = found.union(indexed.filter("query").select("id", "v").mapInArrow(sampled, _FOUND))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -175,6 +175,22 @@ def test_recall_against_all_pairs(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_every_list_is_complete(spark, sf):
+    found = q.op2_ann(spark, f"/root/testdata/{sf}").groupBy("query_id").agg(F.sort_array(F.collect_list("rank")).alias("ranks")).collect()
+    ids = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").filter("vec_id % 20 = 0").count()
+    assert len(found) == ids and all(r["ranks"] == list(range(1, 21)) for r in found)
+
+
+def test_a_list_is_complete_where_the_bound_ends_the_search_at_once(spark):
+    """The vectors that set the bound are far apart, and leaves that don't hold them are visited first."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 12)) * rng.choice([0.1, 1, 5], size=(3000, 1))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], VECTORS)
+    found = ann.search(df, F.col("vec_id") % 100 == 0, settings=ann.Settings(recall=0.0, sample=300, leaf=8, branching=4, block=200)).groupBy("query_id").count().collect()
+    assert len(found) == 30 and {r["count"] for r in found} == {20}
+
+
 def test_neighbours_are_of_a_querys_own_length(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 0.5]), (20, [1.0, 0.0, 0.0]), (21, [2.0, 5.0, 1.0]), (22, [1.0, 1.0, 1.0]), (23, [4.0, 0.0, 0.0]), (40, [7.0])]
     found = sorted(map(tuple, ann.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect()))
