@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from spindrift.sources import indexed
+
 #: What is read of a page; all else in the file is skipped.
 PAGE_XML = StructType(
     [
@@ -60,56 +62,61 @@ def read_dump_stream(spark: SparkSession, path: str) -> DataFrame:
     return articles(_projected(spark.readStream.format("xml").options(**XML_OPTIONS).schema(PAGE_XML).load(path))).select("title", "text")
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """An index's lines `offset: title` as (file, title, idx, start_offset, end_offset), by file, so that files are
-    independent. end_offset is the next record's start, null for a file's last. file is n for a file in a folder `file=n`, else its name.
+def index_lines(spark: SparkSession, path: str) -> DataFrame:
+    """An index's lines `offset: title` as (file, title, idx, start_offset, end_offset, line_offset), by file, so that files
+    are independent. end_offset is the next record's start, null for a file's last; line_offset is where the line starts in
+    the index. file is n for a file `part-n`, else its name.
 
     Lines of one split of a file meet in a window; what goes over from split to split comes from a table of one row a split.
     """
     meta = F.col("_metadata")
-    number = F.regexp_extract(meta["file_path"], r"/file=(\d+)/[^/]*$", 1)
-    file = F.when(number != "", number).otherwise(meta["file_name"])
-    rows = spark.read.text(path).select(file.alias("file"), meta["file_block_start"].alias("block"), F.split("value", ":", 2).alias("s")).filter("size(s) = 2")
-    rows = rows.select("file", "block", F.trim(F.col("s")[1]).alias("title"), F.col("s")[0].cast("long").alias("start_offset"))
+    digits = F.regexp_extract(meta["file_name"], r"^part-(\d+)$", 1)
+    file = F.when(digits != "", digits.cast("long").cast("string")).otherwise(meta["file_name"])
+    lines = spark.read.text(path).select(file.alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    told = F.regexp_extract("value", r"^\s*(\d+)\s*:", 1)
+    rows = lines.select("file", "block", "row", told.try_cast("long").alias("start_offset"), F.regexp_extract("value", r"^[^:]*: ?(.*)$", 1).alias("title"), (F.octet_length("value") + 1).alias("size"))
+    valid = F.col("start_offset").isNotNull()
     of_file = Window.partitionBy("file").orderBy("block")
-    splits = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("start_offset").alias("first"))
-    splits = splits.select("file", "block", F.coalesce(F.sum("n").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.lead("first").over(of_file).alias("next"))
-    over = Window.partitionBy("file", "block").orderBy("start_offset")
-    found = rows.withColumn("i", F.row_number().over(over)).withColumn("end", F.lead("start_offset").over(over)).join(splits, ["file", "block"])
-    return found.select("file", "title", (F.col("base") + F.col("i") - 1).cast("long").alias("idx"), "start_offset", F.coalesce("end", "next").alias("end_offset"))
+    earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
+    splits = rows.groupBy("file", "block").agg(F.count_if(valid).alias("n"), F.min("start_offset").alias("first"), F.sum("size").alias("bytes"))
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    behind = F.first("first", ignorenulls=True).over(of_file.rowsBetween(1, Window.unboundedFollowing))
+    splits = splits.select("file", "block", before("n").alias("base"), before("bytes").alias("line_base"), behind.alias("next"))
+    over = Window.partitionBy("file", "block").orderBy("row")
+    to_here = over.rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("i", F.sum(valid.cast("int")).over(to_here)).withColumn("line", F.sum("size").over(to_here) - F.col("size"))
+    found = found.filter(valid).withColumn("end", F.lead("start_offset").over(over)).join(splits, ["file", "block"])
+    return found.select("file", "title", (F.col("base") + F.col("i") - 1).cast("long").alias("idx"), "start_offset", F.coalesce("end", "next").alias("end_offset"), (F.col("line_base") + F.col("line")).alias("line_offset"))
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """(file, title, idx, start_offset, end_offset) of an index's lines, as index_lines() tells; titles without spaces around."""
+    return index_lines(spark, path).withColumn("title", F.trim("title")).drop("line_offset")
 
 
-def read_slices(spark: SparkSession, data_path: str, index_path: str) -> DataFrame:
-    """(title, record) of data files `file=n` by the offsets of their indexes: each record is the bytes from its start to the next one's, less a line feed at its end.
+def read_slices(spark: SparkSession, data_path: str, index_path: str, task_bytes: int = indexed.RANGE) -> DataFrame:
+    """(title, record) of data files by the offsets of their indexes: each record is the bytes from its start to the next one's, less a line feed at its end.
 
-    A file is cut where it is read, by the entries of its own index; files are of the size that write_indexed() gives them, and 2 GB at most.
+    A task is a range of index lines, which lead to about task_bytes of a data file; it seeks there and reads in pieces,
+    so it holds a few megabytes of records, however large files are.
     """
-    entry = F.struct("start_offset", "end_offset", "title")
-    entries = read_index(spark, index_path).groupBy(F.col("file").alias("_file")).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    files = spark.read.format("binaryFile").load(data_path).select(F.regexp_extract("path", r"/file=(\d+)/[^/]*$", 1).alias("_file"), "content")
+    indexed.register(spark)
+    found = spark.read.format(indexed.RECORDS).options(path=indexed.qualified(spark, data_path), index=indexed.qualified(spark, index_path))
+    return found.option("range", str(task_bytes)).load()
 
-    def cut(e: Column) -> Column:
-        size = (F.coalesce(e["end_offset"], F.octet_length("content")) - e["start_offset"]).cast("int")
-        return F.struct(e["title"].alias("title"), F.regexp_replace(F.substring("content", (e["start_offset"] + 1).cast("int"), size).cast("string"), "\n$", "").alias("record"))
 
-    return files.join(entries, "_file").select(F.explode(F.transform("entries", cut)).alias("r")).select("r.*")
+def title_hash(title: Column) -> Column:
+    """By what look-up tables are sorted."""
+    return F.xxhash64(title)
 
 
 def read_page(spark: SparkSession, data_path: str, index_path: str, title: str) -> str | None:
-    """The record of a title, read by a seek to its place in its file; None without one. Of records of one title the last counts."""
-    found = read_index(spark, index_path).filter(F.col("title") == title).orderBy(F.col("file").cast("int").desc(), F.desc("start_offset")).first()
-    if found is None:
-        return None
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{data_path}/file={found['file']}/part-*")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    status = fs.globStatus(folder)[0]
-    stream = fs.open(status.getPath())
-    try:
-        stream.seek(found["start_offset"])
-        end = found["end_offset"] if found["end_offset"] is not None else status.getLen()
-        return bytes(stream.readNBytes(end - found["start_offset"])).decode().removesuffix("\n")
-    finally:
-        stream.close()
+    """The record of a title; None without one. Of records of one title the last counts.
+
+    The look-up table is probed by seeks: a sparse index, a block of it, the line, the record: a number of reads that
+    doesn't grow with the records."""
+    hashed = spark.createDataFrame([(title,)], "title string").select(title_hash(F.col("title"))).first()[0]
+    return indexed.Lookup(indexed.qualified(spark, data_path), indexed.qualified(spark, index_path)).record(title, hashed)
 
 
 def page_record(value: Column) -> Column:

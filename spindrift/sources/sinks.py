@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.operators.ordered import running_sum
-from spindrift.session import checkpoints
+from spindrift.sources import indexed
+from spindrift.sources.dump import index_lines, title_hash
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -30,24 +25,34 @@ def offsets(records: DataFrame, size: Column, part: list[str], order: list[str])
     return placed.withColumn("start_offset", F.col("start_offset").cast("long")).withColumn("end_offset", (F.col("start_offset") + F.col("_size")).cast("long")).drop("_size")
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    file, at = TaskContext.get().partitionId(), 0
-    for b in batches:
-        size = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        starts = at + np.cumsum(size) - size
-        at += int(size.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), file, np.int32)), pa.array(starts), *b.columns], names=["file", "start_offset", "title", "record"])
-
-
 def write_indexed(records: DataFrame, data_path: str, index_path: str, files: int | None = None) -> None:
-    """records(title, record) as data files of a record a line, and index files of lines `offset: title`.
+    """records(title, record) as data files of a record a line, index files of lines `offset: title`, and a table by which a title is looked up.
 
-    A partition is a file, so files are as large as the input's splits, or as many as files says. Offsets are summed as a
-    file's records go by: no shuffle, no window, and the records are made once. Data file `file=n` and its index are in one order.
+    A partition is a file, so files are as large as the input's splits, or as many as files says. A task writes both files
+    as its records go by: records are made and written once, without a shuffle or a sort. Attempts write to folders of
+    their own, and the commit moves those that counted; failed ones leave nothing. Data and index have files of one name.
+    The look-up table is sorted by a hash of the title, from the index alone.
     """
-    checkpoints(records.sparkSession)
+    spark = records.sparkSession
+    indexed.register(spark)
+    data, index = indexed.qualified(spark, data_path), indexed.qualified(spark, index_path)
+    for path in (data, index):
+        if indexed.files(path):
+            raise FileExistsError(f"{path} has files already")
     rows = records.select(F.coalesce("title", F.lit("")).alias("title"), F.coalesce("record", F.lit("")).alias("record"))
     rows = rows.repartition(files) if files else rows
-    placed = rows.mapInArrow(_placed, "file int, start_offset long, title string, record string").checkpoint().sortWithinPartitions("file", "start_offset")
-    placed.select("file", F.col("record").alias("value")).write.partitionBy("file").text(data_path)
-    placed.select("file", F.concat(F.col("start_offset").cast("string"), F.lit(": "), F.col("title")).alias("value")).write.partitionBy("file").text(index_path)
+    rows.write.format(indexed.RECORDS).options(path=data, index=index).mode("append").save()
+    write_lookup(spark, data, index)
+
+
+def write_lookup(spark: SparkSession, data_path: str, index_path: str) -> None:
+    """The look-up table of index files: a row of 40 bytes a record, dealt by ranges of the title's hash."""
+    indexed.register(spark)
+    data, index = indexed.qualified(spark, data_path), indexed.qualified(spark, index_path)
+    sizes = spark.createDataFrame([(str(indexed.number(f.base_name)), f.size) for f in indexed.files(data)], "file string, size long")
+    rows = index_lines(spark, index).join(sizes, "file")
+    end = F.coalesce("end_offset", "size")
+    rows = rows.select(title_hash(F.col("title")).alias("hash"), F.col("file").cast("long").alias("file"), F.col("start_offset").alias("start"), end.alias("end"), F.col("line_offset").alias("line"))
+    order = ["hash", "file", "start"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.format(indexed.LOOKUP).option("path", f"{index}/_lookup").mode("append").save()
+

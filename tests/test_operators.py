@@ -104,7 +104,8 @@ def test_index_leads_to_its_records(spark, tmp_path):
     data, index = str(tmp_path / "data"), str(tmp_path / "index")
     for k, files in enumerate((3, None)):
         write_indexed(spark.createDataFrame(rows, "title string, record string").repartition(2), f"{data}{k}", f"{index}{k}", files=files)
-        assert len(list((tmp_path / f"data{k}").glob("file=*"))) == (files or 2)
+        assert len(list((tmp_path / f"data{k}").glob("part-*"))) == (files or 2)
+        assert sorted(f.name for f in (tmp_path / f"data{k}").iterdir()) == sorted(f.name for f in (tmp_path / f"index{k}").glob("part-*"))
         assert sorted(map(tuple, read_slices(spark, f"{data}{k}", f"{index}{k}").collect())) == sorted(rows)
         numbered = read_index(spark, f"{index}{k}").collect()
         for file in {r["file"] for r in numbered}:
