@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from spindrift.operators import graph as g
 from spindrift.operators.extract import EXTRACTORS, Extractor, extract
 from spindrift.session import checkpoints, local_session
-from spindrift.sources.dump import fetch, page_record, read_dump, read_page
+from spindrift.sources.dump import fetch, located, page_record, read_dump, read_page
 from spindrift.sources.sinks import write_indexed, write_titles
 
 
 def parse(spark: SparkSession, dump: str, data: str, index: str, extractor: str | Extractor = "links", files: int | None = None) -> None:
     """Scans, filters and extracts a dump into data files with indexes."""
-    write_indexed(extract(read_dump(spark, dump), extractor), data, index, files)
+    with located(spark, dump):
+        write_indexed(extract(read_dump(spark, dump), extractor), data, index, files)
 
 
 def numbered_links(spark: SparkSession, data: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,24 +12,32 @@ from spindrift.plans import engine
 from spindrift.plans.catalog import query
 from spindrift.plans.graph_queries import table
 from spindrift.session import scratch
-from spindrift.sources.dump import page_record, read_dump
+from spindrift.sources.dump import DumpError, broken_pages, located, page_record, read_dump
 from spindrift.sources.sinks import write_titles
 
 _NL = "chr(10)"
 
 
-@query("xml_error", "SELECT true AS failed")
+_WIDTH = 160
+
+
+@query("xml_error", "SELECT c_custkey, CAST(strlen('<mediawiki>' || c_custkey) AS BIGINT) AS place, true AS located FROM customer WHERE c_custkey % 40 = 7")
 def xml_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a dump in which an element isn't closed is an error."""
+    """Pages of which an element isn't closed: where each begins in its line, as all lines are of one width, and whether an action on the dump's pages fails with the position of one of them."""
     path = scratch(spark, "broken")
-    page = "'<page><title>' || c_name || '</title><revision><text>x</revision></page>'"
-    table(spark, sf_dir, "customer").select(F.expr(page).alias("value")).write.text(path)
+    title = "CASE WHEN c_custkey % 40 = 7 THEN '<title>' || c_name ELSE '<title>' || c_name || '</title>' END"
+    page = f"'<mediawiki>' || c_custkey || '<page>' || {title} || '<revision><text>' || c_custkey || '</text></revision></page></mediawiki>'"
+    table(spark, sf_dir, "customer").select(F.expr(f"rpad({page}, {_WIDTH - 1}, ' ')").alias("value")).write.text(path)
+    broken = broken_pages(spark, path)
     try:
-        read_dump(spark, path).write.format("noop").mode("overwrite").save()
-        failed = False
-    except PySparkException:
-        failed = True
-    return spark.range(1).select(F.lit(failed).alias("failed"))
+        with located(spark, path):
+            read_dump(spark, path).write.format("noop").mode("overwrite").save()
+        told = "nothing"
+    except DumpError as e:
+        told = str(e)
+    found = broken.select(F.regexp_extract("page", r"<text>(\d+)<", 1).cast("long").alias("c_custkey"), (F.col("position") % _WIDTH).alias("place"), F.concat(F.lit("error at position "), "position", F.lit(" of "), "file").alias("where"))
+    one = found.filter(F.lit(told).startswith(F.col("where"))).count() == 1
+    return found.select("c_custkey", "place", F.lit(one).alias("located"))
 
 
 @query("page_decode", "SELECT c_custkey, c_name AS title, 2 AS n, 'T' || c_nationkey AS target, c_mktsegment AS label FROM customer")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import urllib.request
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -43,12 +48,89 @@ def articles(pages: DataFrame) -> DataFrame:
 
 
 def _projected(raw: DataFrame) -> DataFrame:
+    """A page without a title, or with an empty one, is an error, but for a redirect."""
     text = F.coalesce(F.try_element_at("revision", F.lit(-1))["text"]["_VALUE"], F.lit(""))
-    return raw.select("title", "redirect", text.alias("text"))
+    named = (F.coalesce("title", F.lit("")) != "") | F.col("redirect").isNotNull()
+    title = F.when(named, F.col("title")).otherwise(F.raise_error(F.lit("a page has no title")))
+    return raw.select(title.alias("title"), "redirect", text.alias("text"))
+
+
+class DumpError(ValueError):
+    """A dump that is not one, or a page in it that is broken: the message says where."""
+
+
+def check_root(spark: SparkSession, path: str) -> None:
+    """DumpError where a file's first element isn't mediawiki. Of each file the head is read, unpacked by its ending as Spark does."""
+    hadoop, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    fs = found.getFileSystem(hadoop)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop)
+    for at in fs.globStatus(found) or []:
+        for status in fs.listStatus(at.getPath()) if at.isDirectory() else [at]:
+            if status.isDirectory() or status.getPath().getName()[0] in "_." or not status.getLen():
+                continue
+            stream = fs.open(status.getPath())
+            try:
+                codec = codecs.getCodec(status.getPath())
+                head = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(_HEAD))
+            finally:
+                stream.close()
+            root = _ROOT.match(head)
+            if not root or root[1] != b"mediawiki":
+                raise DumpError(f"{status.getPath().toString()}: the root is {root[1].decode('utf-8', 'replace') if root else 'missing'}, not mediawiki")
+
+
+#: Bytes in which a file's root begins, and what may stand before it: a byte order mark, declarations, comments.
+_HEAD = 4096
+_ROOT = re.compile(rb"(?:\xef\xbb\xbf)?(?:\s|<\?.*?\?>|<!--.*?-->|<![A-Za-z][^>]*>)*<([^\s/>!?]+)", re.DOTALL)
+
+
+def broken_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(file, position, page): pages that can't be parsed, with the byte at which each begins in its file (unpacked), and the text that was read as it.
+
+    The file is read in pieces that end with a page, split by split; the bytes before a piece are summed within its
+    split, and over the splits in a table of one row a split. No text is shuffled but that of broken pages.
+    """
+    end = "</page>"
+    meta = F.col("_metadata")
+    pieces = spark.read.option("lineSep", end).text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    lead = F.regexp_extract("value", r"(?s)^(.*?)<page[\s>]", 1)
+    begins = F.col("value").rlike(r"<page[\s>]")
+    page = F.concat(F.expr("substr(value, length(lead) + 1)"), F.lit(end))
+    schema = StructType([*PAGE_XML.fields, StructField("_broken", StringType())])
+    read = F.from_xml(page, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreSurroundingSpaces": "false"})
+    found = pieces.withColumn("lead", lead).withColumn("begins", begins)
+    found = found.withColumn("page", F.when(F.col("begins") & read["_broken"].isNotNull(), page))
+    found = found.select("file", "block", "row", (F.octet_length("value") + len(end)).alias("size"), F.octet_length("lead").alias("lead"), "page")
+    blocks = found.groupBy("file", "block").agg(F.sum("size").alias("size"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
+    before = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).filter("page IS NOT NULL").join(blocks, ["file", "block"])
+    return found.select("file", (F.col("base") + F.col("before") + F.col("lead")).alias("position"), "page")
+
+
+@contextmanager
+def located(spark: SparkSession, path: str) -> Iterator[None]:
+    """Around an action on a dump's pages: where it fails for a broken page, DumpError with the first one's file and byte position.
+
+    Only then the dump is read once more, to find them. Any other error goes on as it is."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as e:
+        if not re.search(r"MALFORMED_RECORD|a page has no title", str(e)):
+            raise
+        if "a page has no title" in str(e):
+            raise DumpError(f"{path}: a page has no title") from e
+        first = broken_pages(spark, path).select("file", "position").orderBy("file", "position").first()
+        raise DumpError(f"error at position {first['position']} of {first['file']}: the page that begins there is broken" if first else f"{path}: a page is broken") from e
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """All pages of a dump (plain or compressed): title, redirect, and the last revision's text, empty if it has none."""
+    """All pages of a dump (plain or compressed): title, redirect, and the last revision's text, empty if it has none.
+
+    A root other than mediawiki is a DumpError at once; a broken page, or one without a title, is an error of the action that comes to it, which located() explains."""
+    check_root(spark, path)
     return _projected(spark.read.format("xml").options(**XML_OPTIONS).schema(PAGE_XML).load(path))
 
 

@@ -1,4 +1,5 @@
 import bz2
+import gzip
 import json
 import time
 
@@ -13,7 +14,7 @@ from spindrift.operators.links import extract_links
 from spindrift.operators.ordered import running_sum
 from spindrift.operators.sections import as_variant, section_tree, sections, tree, tree_json
 from spindrift.plans import engine
-from spindrift.sources.dump import read_dump, read_index, read_page, read_page_links, read_pages, read_slices
+from spindrift.sources.dump import DumpError, broken_pages, located, read_dump, read_index, read_page, read_page_links, read_pages, read_slices
 from spindrift.sources.sinks import write_indexed, write_json_lines, write_titles
 from spindrift.streaming.extract import run_extraction
 
@@ -147,10 +148,48 @@ def test_download(spark, dump, tmp_path):
     assert read_dump(spark, str(tmp_path / "got.xml.bz2")).count() == 6
 
 
-def test_a_broken_dump_is_an_error(spark, tmp_path):
-    (tmp_path / "d.xml").write_text(DUMP.replace("META", "<page><title>x</revision></page>"))
-    with pytest.raises(Exception, match="(?i)malformed"):
-        read_dump(spark, str(tmp_path / "d.xml")).collect()
+@pytest.mark.parametrize("split", ["100", "1000", "128m"])
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_broken_page_is_told_with_its_position(spark, tmp_path, split, packed):
+    """Positions count bytes from the file's start, whatever its splits, and of packed files the bytes unpacked."""
+    raw = DUMP.replace("META", "<page><title>é x</title></page>" * 30 + "<page><title>x</revision></page>\n<page id='2'><title>y</title></page>" + "<page ><title>z</text></page>").encode()
+    path = tmp_path / ("d.xml.gz" if packed else "d.xml")
+    path.write_bytes(gzip.compress(raw) if packed else raw)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, split)
+    try:
+        with pytest.raises(DumpError, match=f"error at position {raw.index(b'<page><title>x</rev')} of file:.*d.xml"), located(spark, str(path)):
+            read_dump(spark, str(path)).collect()
+        found = sorted(r["position"] for r in broken_pages(spark, str(path)).collect())
+    finally:
+        spark.conf.set(name, before)
+    assert found == [raw.index(b"<page><title>x</rev"), raw.index(b"<page ><title>z")]
+
+
+def test_other_errors_are_left_alone(spark, dump):
+    with pytest.raises(Exception, match="own error"), located(spark, str(dump)):
+        read_dump(spark, str(dump)).select(F.raise_error(F.lit("own error"))).collect()
+
+
+@pytest.mark.parametrize("title", ["<title></title>", "<title />", ""])
+def test_a_page_without_a_title_is_an_error(spark, tmp_path, title):
+    path = tmp_path / "d.xml"
+    path.write_text(DUMP.replace("META", f"<page>{title}<revision><text>x</text></revision></page>"))
+    with pytest.raises(DumpError, match="no title"), located(spark, str(path)):
+        read_dump(spark, str(path)).collect()
+    path.write_text(DUMP.replace("META", f"<page>{title}<redirect title='Plain' /><revision><text>x</text></revision></page>"))
+    assert read_dump(spark, str(path)).count() == 6
+
+
+def test_another_root_is_refused(spark, tmp_path):
+    path = tmp_path / "d.xml"
+    for raw in (DUMP.replace("mediawiki", "wiki"), "", "<page><title>x</title></page>"):
+        path.write_text("<?xml version='1.0'?>\n<!-- <mediawiki> -->\n" + raw.replace("META", ""))
+        with pytest.raises(DumpError, match="root is"):
+            read_dump(spark, str(path))
+    (tmp_path / "d.xml.bz2").write_bytes(bz2.compress(b"\xef\xbb\xbf<?xml version='1.0'?><!DOCTYPE x>" + DUMP.replace("META", "").encode()))
+    assert read_dump(spark, str(tmp_path / "d.xml.bz2")).count() == 6
 
 
 def test_links_of_texts_that_never_close(spark):
