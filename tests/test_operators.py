@@ -1,6 +1,9 @@
 import bz2
 import gzip
+import heapq
 import json
+import math
+import random
 import time
 
 import pytest
@@ -259,6 +262,93 @@ def test_subgraphs(small_graph, root, depth, how, computed, documented):
         assert {r[0] for r in g.subgraph(*small_graph, root, depth, mode=mode, **how).collect()} == set(titles)
 
 
+def exchanges(df):
+    """The shuffles of a plan with what is below each, down to the scans, by indentation."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def random_graph(spark, n=300, links=1500, seed=3):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(n), min(rng.randrange(n), rng.randrange(n))) for _ in range(links)]
+    return rows, spark.createDataFrame(rows, "src long, dst long")
+
+
+def test_a_hop_shuffles_what_it_finds_only(spark):
+    """Neither edges nor visited nodes are below an exchange, but for the join of the frontier, whose result is shuffled."""
+    _, graph = random_graph(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs, visited = g.Bucketed(spark, "pairs", "src", n), g.Bucketed(spark, "visited", "node", n)
+    pairs.add(pairs.dealt(graph).distinct())
+    visited.add(visited.dealt(spark.range(5).withColumnRenamed("id", "node")).withColumn("round", F.lit(0)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        count, plan = exchanges(g.hop(pairs, visited, 0))
+        assert count == 1 and plan.count("Bucketed: true") == 3
+        joins = [i for i, line in enumerate(plan.splitlines()) if "SortMergeJoin" in line]
+        shuffle = next(i for i, line in enumerate(plan.splitlines()) if "Exchange" in line)
+        assert joins[0] < shuffle < joins[1]  # below the outer join, above the one with the edges
+        walk = g.BudgetWalk(graph, 0, 3.0, 8.0)
+        assert exchanges(walk.step(0.0))[0] == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+@pytest.mark.parametrize("depth", [2, 3, 50])
+def test_nodes_within_a_depth_are_those_of_a_walk(spark, depth, buckets):
+    rows, graph = random_graph(spark)
+    frontier, reached = {7}, set()
+    for _ in range(depth):
+        frontier = {d for s, d in rows if s in frontier} - reached
+        reached |= frontier
+    assert {r["node"] for r in g.within_depth(graph, 7, depth, buckets=buckets).collect()} == reached
+
+
+@pytest.mark.parametrize("depth,fanout", [(4.0, 8.0), (2.5, 16.0), (1.0, 3.0)])
+def test_nodes_within_a_budget_are_those_of_a_walk_and_expanded_once(spark, depth, fanout):
+    rows, graph = random_graph(spark)
+    out = {s: [d for x, d in rows if x == s] for s, _ in rows}
+    best, queue, reached = {7: depth}, [(-depth, 7)], set()
+    while queue:
+        b, node = heapq.heappop(queue)
+        if -b < best[node] or b >= 0:
+            continue
+        for d in out.get(node, []):
+            left = -b - len(out[node]) / fanout
+            reached.add(d)
+            if left > best.get(d, -math.inf):
+                best[d] = left
+                heapq.heappush(queue, (-left, d))
+    walk = g.BudgetWalk(graph, 7, depth, fanout).run()
+    log = walk.log.read().filter("expanded IS NOT NULL").groupBy("node").count().collect()
+    assert {r["node"] for r in walk.state().filter("reached").collect()} == reached == {r["node"] for r in walk.nodes().collect()}
+    assert {r["node"]: r["count"] for r in log} == {n: 1 for n, b in best.items() if b > 0 and n in out}
+
+
+def test_a_hub_of_half_of_all_links_stays_where_they_are_read(spark):
+    n = 40_000
+    target = F.when(F.col("id") % 2 == 0, F.lit("Hub")).otherwise(F.concat(F.lit("P"), (F.col("id") * 7 % 5003).cast("string")))
+    links = spark.range(n, numPartitions=4).select(F.col("id").alias("idx"), F.array(F.struct(target.alias("target"), F.lit("x").alias("label"))).alias("links"))
+    index = spark.range(5003).select(F.concat(F.lit("P"), "id").alias("title"), "id").union(spark.createDataFrame([("Hub", 9999)], "t string, i long")).toDF("title", "idx")
+    assert g.heavy_targets(links)[0] == "Hub" and len(g.heavy_targets(links)) <= 1000
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, ("-1", "false"), strict=True):
+        spark.conf.set(name, value)
+    try:
+        found = g.edges(links, index, ["Hub"])
+        tasks = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(tasks) == n and tasks[-1] <= 2 * tasks[len(tasks) // 2 - 1] <= 12_000
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert found.filter("dst = 9999").count() == n // 2
+    key = lambda df: sorted(map(tuple, df.groupBy("src", "dst").count().collect()))
+    assert key(found) == key(g.edges(links, index, [])) == key(g.edges(links, index))
+
+
 def test_subgraph_refuses(small_graph):
     with pytest.raises(ValueError, match="no page"):
         g.subgraph(*small_graph, "Q", 1)
