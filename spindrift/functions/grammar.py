@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Generator, Mapping
 from types import GeneratorType
 
@@ -85,24 +86,60 @@ class _Reader:
         self.known: dict[tuple[str, int], Found] = {}
         self.dead: dict[str, set[int]] = {}
         self.absent: dict[str, int] = {}
+        self.ahead: dict[str, tuple[int, int]] = {}
+        self.matched: dict[str, tuple[int, re.Match]] = {}
+        self.closing_from: dict[str, tuple[list[int], list[int]]] = {}
 
     def find(self, what: str, at: int) -> int:
-        """str.find; where there was none, nothing behind is searched again."""
+        """str.find; the last place found is remembered with where the search began, and so is that there was none."""
         if at >= self.absent.get(what, self.n):
             return -1
+        since, to = self.ahead.get(what, (0, -1))
+        if since <= at <= to:
+            return to
         to = self.s.find(what, at)
         if to < 0:
             self.absent[what] = at
+        else:
+            self.ahead[what] = (at, to)
         return to
 
     def search(self, what: re.Pattern, at: int) -> re.Match | None:
         if at >= self.absent.get(what.pattern, self.n):
             return None
+        since, m = self.matched.get(what.pattern, (0, None))
+        if m and since <= at <= m.start():
+            return m
         m = what.search(self.s, at)
-        if not m:
+        if m:
+            self.matched[what.pattern] = (at, m)
+        else:
             self.absent[what.pattern] = at
         return m
 
+    def never_closes(self, pair: str, at: int) -> bool:
+        """Whether the opener at a place has no closer: none is left behind it, or later openers take them all.
+
+        For a pair of brackets between which nothing else is read. One pass from the end counts the closers that are left
+        for each run of opening characters; in a run the last openers get them, also those at odd places of a run, where
+        one fewer stands behind. So it is known for each run from which place on openers close.
+        """
+        opener, closer = pair[:2], pair[2:]
+        if self.find(closer, at + 2) < 0:
+            return True
+        if pair not in self.closing_from:
+            left, found = 0, []
+            for m in reversed(list(_PAIRS[pair].finditer(self.s))):
+                if m[0][0] == closer[0]:
+                    left += len(m[0]) // 2
+                else:
+                    found.append((m.start(), m.end() - 2 * left - 1))
+                    left -= min(left, len(m[0]) // 2)
+            found.reverse()
+            self.closing_from[pair] = [f for f, _ in found], [f for _, f in found]
+        starts, first = self.closing_from[pair]
+        return at < first[bisect_right(starts, at) - 1]
+
     def once(self, kind: str, at: int, read: Callable[[int], Reading]) -> Reading | Found:
         key = (kind, at)
         return self.known[key] if key in self.known else self._once(key, read)
@@ -212,7 +249,11 @@ class _Reader:
         return found[0], trim(inner)
 
     def template(self, at: int) -> Reading | Found:
-        return self.once("template", at, self._template) if self.s.startswith("{{", at) else None
+        if not self.s.startswith("{{", at) or self.find("}}", at + 2) < 0:
+            return None
+        if not self.search(_ELEMENT, at) and self.never_closes("{{}}", at):  # an element may hide braces
+            return None
+        return self.once("template", at, self._template)
 
     def _template(self, at: int) -> Reading:
         found = yield self.until("template", at + 2, self.literal("}}"), _IN_TEMPLATE, self.element, self.template)
@@ -222,7 +263,9 @@ class _Reader:
         return found[0], expand(body, self.countries) or ""
 
     def link(self, at: int) -> Reading | Found:
-        return self.once("link", at, self._link) if self.s.startswith("[[", at) else None
+        if not self.s.startswith("[[", at) or self.never_closes("[[]]", at):
+            return None
+        return self.once("link", at, self._link)
 
     def _link(self, at: int) -> Reading:
         found = yield self.until("link", at + 2, self.literal("]]"), _IN_LINK, self.link)
@@ -301,7 +344,12 @@ class _Reader:
         return None
 
     def table(self, at: int) -> Reading | Found:
-        return self.once("table", at, self._table) if self.s[at] in "\n{" else None
+        if self.s[at] == "{":
+            if not any(head.match(self.s, at) for head in (_OPENING, _REFBEGIN, _SQUAD, _BRACKETED)):
+                return None
+        elif self.s[at] != "\n":
+            return None
+        return self.once("table", at, self._table)
 
     def _table(self, at: int) -> Reading:
         for head, end in ((_REFBEGIN, _REFEND), (_SQUAD, _SQUAD_END)):
@@ -367,6 +415,7 @@ class _Reader:
 
 
 _MATH = re.compile(r"<math")
+_PAIRS = {"[[]]": re.compile(r"\[\[+|\]\]+"), "{{}}": re.compile(r"\{\{+|\}\}+")}
 _LONGEST = max(map(len, DROPPED_LINKS))
 
 #: For each width the closers in order: how many quotes, and the width that goes on behind them (0: the end).

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -46,3 +46,22 @@ EXTRACTORS: dict[str, Extractor] = {"links": links, "contents": contents}
 def extract(articles: DataFrame, extractor: str | Extractor) -> DataFrame:
     """By a name of EXTRACTORS, or any function of a DataFrame of articles; each is a narrow transformation."""
     return (EXTRACTORS[extractor] if isinstance(extractor, str) else extractor)(articles)
+
+
+def register_extractor(spark: SparkSession, name: str, f: Callable[[str, str | None], Iterable[tuple]], schema: str) -> None:
+    """Makes f(title, text), which gives rows of schema, a table function of SQL, called for each article by a lateral join:
+
+        SELECT p.title, e.* FROM pages p, LATERAL headings(p.title, p.text) e
+    """
+
+    class Extractor:
+        def eval(self, title: str, text: str) -> Iterator[tuple]:
+            yield from f(title, text)
+
+    spark.udtf.register(name, F.udtf(Extractor, returnType=schema))
+
+
+def register_functions(spark: SparkSession) -> None:
+    """plain_text(text) and raw_plain_text(text) as functions of SQL: of decoded text, and of text whose entities are still to decode."""
+    spark.udf.register("plain_text", to_plain_text)
+    spark.udf.register("raw_plain_text", raw_to_plain_text)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.functions.progress import Progress, progress_line
 from spindrift.operators import graph as g
-from spindrift.operators.extract import extract
+from spindrift.operators.extract import extract, register_extractor, register_functions
 from spindrift.plans import engine
 from spindrift.plans.catalog import query
 from spindrift.plans.graph_queries import table
@@ -79,6 +82,22 @@ def extract_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_articles(spark, sf_dir, "'see ' || c_mktsegment"), lambda d: d.select("title", F.length("text").alias("n")))
 
 
+def _headings(title: str, text: str | None) -> Iterator[tuple[int, str]]:
+    """The second-level headings of an article, numbered."""
+    found = re.findall(r"^==([^=].*?)==\s*$", text or "", re.MULTILINE)
+    yield from ((i, h.strip()) for i, h in enumerate(found))
+
+
+@query("extract_table_function", "SELECT c_name AS title, i AS n, CASE i WHEN 0 THEN c_mktsegment ELSE 'Nation ' || c_nationkey END AS heading, 'bold ' || c_custkey AS lead FROM customer, range(2) AS r(i) WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_name, 0, c_mktsegment, 'bold ' || c_custkey FROM customer WHERE c_custkey % 3 = 0")
+def extract_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extractor of the caller's as a table function of SQL, beside plain text as a function."""
+    register_extractor(spark, "headings", _headings, "n int, heading string")
+    register_functions(spark)
+    text = r"concat('\'\'\'bold\'\'\' ', c_custkey, '\n== ', c_mktsegment, ' ==\nx\n=== deeper ===\n', CASE WHEN c_custkey % 3 <> 0 THEN concat('== Nation ', c_nationkey, ' ==\ny') ELSE '' END)"
+    _articles(spark, sf_dir, text).createOrReplaceTempView("spindrift_articles")
+    return spark.sql("SELECT a.title, CAST(h.n AS BIGINT) AS n, h.heading, split_part(plain_text(a.text), '\n', 1) AS lead FROM spindrift_articles a, LATERAL headings(a.title, a.text) h")
+
+
 @query("title_list", "SELECT c_name AS title FROM customer")
 def title_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles written a line each, and read again."""

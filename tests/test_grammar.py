@@ -3,7 +3,7 @@ import time
 
 import pytest
 
-from spindrift.functions.grammar import plain_text
+from spindrift.functions.grammar import parsed, plain_text
 
 NL = "\n"
 
@@ -172,6 +172,35 @@ def test_time_grows_as_the_text(opener):
     assert seconds(200_000) < 30 * max(seconds(20_000), 0.05)
 
 
+@pytest.mark.parametrize("text", ["[[" * 500_000, "{{" * 500_000, "{{refbegin " * 90_000, "[[" * 500_000 + "]]", "{{" * 500_000 + "}}", "[[{{" * 250_000, "[[a " * 250_000])
+def test_a_megabyte_of_openers_takes_seconds(text):
+    began = time.process_time()
+    plain_text(text)
+    assert time.process_time() - began < 15  # 2 to 5 on a machine that does nothing else
+
+
+RUNS = {
+    "[[[[x]]": "[[x",
+    "[[[[[x]]": "[[[x",
+    "[[a[[[b]]]]": "a[b",
+    "[[[[[[a]]]]]": "[[a]",
+    "a [[b [[c|d]] e": "a [[b d e",
+    "{{{{refend}}]": "{]",
+    "{{{{{{lang|a|b}}": "{{{",
+    "[[a {{b [[c]] d": "[[a {{b c d",
+    "{{a<ref>{{</ref> }} z": "{{a }} z",
+    "]][[a]]]]": "]]a]]",
+    "[[[": "[[[",
+    "{{{{{a}}}": "{{}",
+}
+
+
+@pytest.mark.parametrize("text", RUNS)
+def test_which_openers_of_a_run_close(text):
+    """The last ones; an opener may overlap the one before it, that doesn't close."""
+    assert parsed("\n" + text)[1:] == RUNS[text]
+
+
 @pytest.mark.parametrize(("opener", "closer"), [("[[", "]]"), ("{{", "}}"), ("<small>", "</small>"), ("{{nowrap|", "}}"), ("\n{|", "\n|}")])
 def test_nesting_may_be_of_any_depth(opener, closer):
     depth = 12_000
