@@ -21,7 +21,8 @@ class Settings:
     """length: tokens in a sequence. window: tokens in a round of the queues. weights: the proportion of each source's
     code-point rank in a window, repeating; none: each source's share of all tokens, so that all queues end together.
     end: the id that closes a document. seed: of the queues' order. per_bucket: documents that meet in one task of a
-    running sum. cached: bytes of encoded words that a worker keeps."""
+    running sum. cached: bytes of encoded words that a worker keeps. least: tokens of a window that a source's documents
+    are cut for; one that gets fewer sends whole documents, each when its deficit covers it."""
 
     length: int = 1024
     window: int = 64 * 1024
@@ -30,6 +31,7 @@ class Settings:
     seed: int = 23
     per_bucket: int = 5_000
     cached: int = 80 << 20
+    least: float = 32.0
 
 
 #: Bytes of text that are encoded together: the more, the fewer different words a slice has for its length.
@@ -158,8 +160,10 @@ def positions(lengths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     Deficit round-robin with tokens as its packets: each window gives a queue its quantum, of which whole tokens are
     sent and the fraction is carried to the next; so token t of a queue goes out in window t / quantum. With running
     sums of the queues the windows are known without a turn being played, in all partitions at once, and documents
-    are cut where a window's quantum ends. A running sum over the windows, each with its sources in turn, gives the
-    places. A source whose queue has ended leaves its part of later windows to the others.
+    are cut where a window's quantum ends. A source of a quantum below least would be cut to single tokens: its packets
+    are documents, and one waits until the deficit that is carried from window to window covers it. A running sum over
+    the windows, each with its sources in turn, gives the places. A source whose queue has ended leaves its part of later
+    windows to the others. So there are no more runs than documents and, for the others, sources of a window.
     """
     per = cut(lengths.groupBy("_source").agg(F.sum("_n").alias("_tokens"), F.count("*").alias("_docs")).withColumn("_one", F.lit(1)))
     n = per.count()
@@ -173,8 +177,10 @@ def positions(lengths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     d = running(d, ["_rank"], ["_u", "_row"], "_n", "_before", bucket=F.floor(F.col("_u") * F.col("_buckets")), salt=unit("_row", seed=settings.seed), crowd=4 * settings.per_bucket)
     q, before, after, window = F.col("_quantum"), F.col("_before"), F.col("_before") + F.col("_n"), F.col("_window")
     # One window more on either side, as a quotient of doubles may be off at a border; the borders themselves decide.
-    d = d.withColumn("_window", F.explode(F.sequence(F.floor(before / q).cast("long") - 1, F.floor((after - 1) / q).cast("long") + 1)))
-    d = d.select("_row", "_rank", "_window", F.greatest(before, F.ceil(window * q)).alias("_start"), F.least(after, F.ceil((window + 1) * q)).alias("_end"), "_before")
+    rare, last = q < settings.least, F.floor((after - 1) / q).cast("long")
+    d = d.withColumn("_window", F.explode(F.when(rare, F.array(F.ceil(after / q).cast("long") - 1)).otherwise(F.sequence(F.floor(before / q).cast("long") - 1, last + 1))))
+    start, end = F.when(rare, before).otherwise(F.greatest(before, F.ceil(window * q))), F.when(rare, after).otherwise(F.least(after, F.ceil((window + 1) * q)))
+    d = d.select("_row", "_rank", "_window", start.alias("_start"), end.alias("_end"), "_before")
     d = d.filter("_end > _start").select("_row", "_rank", F.greatest("_window", F.lit(0)).cast("long").alias("_window"), "_start", (F.col("_end") - F.col("_start")).alias("_size"), (F.col("_start") - F.col("_before")).alias("_from"))
     d = running(d, [], ["_rank", "_start"], "_size", "_at", bucket=F.col("_window"), group=4096)
     return d.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(F.col("_from").alias("from"), F.col("_size").alias("size"), F.col("_at").alias("at")))).alias("_runs"))

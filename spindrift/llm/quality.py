@@ -209,15 +209,18 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int, model: int, size: int)
     for whole in batches:
         for m in pc.unique(whole.column(model)).to_pylist():
             own = whole.filter(pc.equal(whole.column(model), m))
-            for at in range(0, own.num_rows, AT_ONCE):
-                b = own.slice(at, AT_ONCE)
+            at = 0
+            for i, t in enumerate(_texts(own, text)):
                 parts, digest, length = held.setdefault(m, ([], xxhash.xxh3_64(str(m)), [0]))
-                parts.append(b)
-                for t in _texts(b, text):
-                    digest.update(t.encode("utf-8", "surrogatepass"))
-                    digest.update(b"\0")
-                length[0] += pc.sum(pc.binary_length(b.column(text))).as_py() or 0
-                if length[0] >= size:
+                raw = t.encode("utf-8", "surrogatepass")
+                digest.update(raw)
+                digest.update(b"\0")
+                length[0] += len(raw)
+                full = length[0] >= size  # known by the rows so far, however they come in batches
+                if full or i + 1 - at == AT_ONCE or i + 1 == own.num_rows:
+                    parts.append(own.slice(at, i + 1 - at))
+                    at = i + 1
+                if full:
                     yield closed(m)
     for m in sorted(held):
         yield closed(m)

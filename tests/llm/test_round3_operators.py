@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from spindrift.llm import alignment, dimension, fertility, subwords
+from spindrift.llm import alignment, dimension, fertility, packing, quality, subwords
 from spindrift.llm import queries as q
 
 CHANGES = "change_id long, client_id long, seq long, op string, at long, segment string, balance long, version string, slice int"
@@ -311,3 +311,36 @@ def test_rules_query_against_plain_counting(spark, sf_dir, vocabularies):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     good = [found[i] for i, quality in labels.items() if quality == 1 and i in found and not found[i]["base_failed"]]
     assert sum(r["kept"] for r in good) >= 0.98 * len(good)
+
+
+# -- Packing and quality
+
+
+def test_a_rare_source_sends_whole_documents(spark):
+    """Beside 10 ** 11 tokens of another source: each when its deficit covers it, in no more runs than documents and windows."""
+    big = [(i, (i % 97) / 97, "big", 10**8) for i in range(1000)]
+    rare = [(2000 + i, i / 10, "rare", 1000 - i) for i in range(5)]
+    found = {r["_row"]: r["_runs"] for r in packing.positions(spark.createDataFrame(big + rare, "_row long, _u double, _source string, _n long")).filter("_row >= 2000 OR _row < 3").collect()}
+    total = 10**11 + sum(r[3] for r in rare)
+    sent = 0
+    for row, _, _, n in rare:
+        assert [(x["from"], x["size"]) for x in found[row]] == [(0, n)]
+        sent += n
+        share = found[row][0]["at"] / total  # the share of the stream that has gone by is that of the source, to a window
+        assert abs(share - sent / (total - 10**11)) < 1e-5
+    assert len(found[0]) <= 10**8 // 65_000 + 2
+
+
+@pytest.mark.parametrize("rows", [1, 700, 1500, 10_000])
+def test_blocks_do_not_depend_on_batches(spark, rows):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    docs = docs.union(docs).coalesce(1)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality", "toxic")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        found = quality.judged(docs, labels, settings=quality.Settings(block=256 << 10)).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("perplexity").alias("low"), F.max("perplexity").alias("high")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == 1000 and all(r["n"] == 2 and (r["low"] is None or r["low"] == pytest.approx(r["high"])) for r in found)
