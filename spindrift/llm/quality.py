@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from spindrift.llm.shared import cut, fresh, passing, short_batches, small, stored
+from spindrift.llm.shared import cut, fresh, passing, release, short_batches, small, stored
 
 SYMBOLS, ORDER = 64, 4
 #: The models: of one half of the trusted texts, of the other, and of all.
@@ -250,6 +250,7 @@ def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", setting
         for m, name, parts in _blocks(batches, at, of, size):
             grams = np.unique(np.concatenate([np.unique(_grams(_texts(b, at), table, symbols)[0]) for b in parts]))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), m, np.int32)), pa.array(np.full(len(grams), name)), pa.array(grams)], names=["m", "block", "gram"])
+        release()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, name, parts in _blocks(batches, at, of, size):
@@ -258,6 +259,7 @@ def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", setting
                 for b in parts:
                     out.write_batch(b)
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
+        release()
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         grams, first = np.unique(right["gram"].to_numpy(), return_index=True)
@@ -274,6 +276,7 @@ def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", setting
                 found = [(math.exp(-x / k), k) if t else (None, 0) for t, x, k in zip(texts, sums.tolist(), n.tolist(), strict=True)]
                 columns = [pa.array([x for x, _ in found], pa.float64()), pa.array([k for _, k in found], pa.int64())]
                 out.append(pa.RecordBatch.from_arrays([*b.columns[:of], *columns], names=names))
+        release()
         return pa.Table.from_batches(out, None if out else to_arrow_schema(schema))
 
     pairs = stored(ready.mapInArrow(lists, "m int, block long, gram long"), "quality-lists", 1000)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -77,6 +79,14 @@ def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def release() -> None:
+    """Gives what a task's Python worker no longer uses back to the system: the worker stays for other tasks, and stages of a pipeline share it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written as Parquet to the shared folder and read again: the plan behind it ends here and survives lost
     executors. rows: that go to Python at once meanwhile; none: as the session says."""

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, hidden, passing, shown, small, stored
+from spindrift.llm.shared import components, cut, hidden, passing, release, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -375,6 +375,7 @@ def sketches(docs: DataFrame, text: str, settings: Resemblance) -> DataFrame:
                 keys.append(bands(h, settings))
             rest = [c for i, c in enumerate(b.columns) if i != at]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.binary()), pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=schema.names)
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -489,6 +490,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Re
                 if jaccard(*sets) >= settings.similarity:
                     kept.append(i)
             yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+        known.clear()
+        release()
 
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
