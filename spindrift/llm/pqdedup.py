@@ -17,11 +17,12 @@ from spindrift.llm.vectors import dots, kmeans, lengths, matrix, proper, sample,
 
 @dataclass(frozen=True)
 class Settings:
-    """cosine: from which two vectors link. sample: vectors on which the lists and codes are fitted. lists: coarse ones, or
+    """cosine: from which two vectors link. sample: vectors on which the lists and codes are fitted, and never more than sample_bytes hold. lists: coarse ones, or
     one for per_list rows if that is more, as far as the sample gives each eight vectors. parts: subspaces of a residual, each with codes centres. block: rows that meet in one task."""
 
     cosine: float = 0.98
     sample: int = 16_384
+    sample_bytes: int = 16 << 20
     lists: int = 64
     per_list: int = 512
     parts: int = 8
@@ -30,6 +31,9 @@ class Settings:
     block: int = 2048
     seed: int = 37
 
+    def sampled(self, dim: int) -> int:
+        return max(1, min(self.sample, self.sample_bytes // (8 * dim)))
+
 
 def reaches(x: np.ndarray, centres: np.ndarray, radius: float) -> np.ndarray:
     """Which cells may hold a vector within the radius of each vector: those that its ball reaches.
@@ -154,7 +158,7 @@ def _links(classes: DataFrame, dim: int, settings: Settings) -> DataFrame:
     """(c, links, root) of classes(c, label, v, n) with vectors of one length: links are rows, and root is a class that c's links lead to."""
     spark = classes.sparkSession
     total = classes.count()
-    picked = sample(classes.select("c", "v"), "c", settings.sample, total, settings.seed).toArrow()
+    picked = sample(classes.select("c", "v"), "c", settings.sampled(dim), total, settings.seed).toArrow()
     held = spark.sparkContext.broadcast(fit(_unit(matrix(picked["v"], dim)), settings, total))
     rooms = classes.groupBy("label").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("rooms"))
     rooms = stored(rooms, "pq-labels")

@@ -244,7 +244,7 @@ def test_vector_links_are_those_of_all_pairs(spark):
     rows += [(1000 + i, rows[1][1], 1) for i in range(70)] + [(2000, rows[1][1], None), (2001, rows[1][1], 0)]
     bad = [(3000, None, 1), (3001, [0.0] * 8, 1), (3002, [float("nan")] * 8, 1), (3003, [float("inf")] + [0.0] * 7, 1), (3004, [1.0, None] + [0.0] * 6, 1), (3005, [1.0], 1), (3006, [], 1)]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int").withColumn("n_links", F.lit("own")).repartition(4)
-    for settings in (pqdedup.Settings(), pqdedup.Settings(block=16, lists=5, sample=50, parts=3, codes=9)):
+    for settings in (pqdedup.Settings(), pqdedup.Settings(block=16, lists=5, sample=50, parts=3, codes=9), pqdedup.Settings(sample_bytes=8 * 8 * 20)):
         found = {r["vec_id"]: tuple(r)[1:] for r in pqdedup.grouped(df, settings=settings).collect()}
         x = np.array([r[1] for r in rows], float)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -261,6 +261,11 @@ def test_vector_links_are_those_of_all_pairs(spark):
         assert sum(n for n, *_ in want.values()) > 4000
 
 
+def test_a_sample_of_long_vectors_is_bounded_in_bytes():
+    assert [pqdedup.Settings().sampled(d) * d * 8 <= 16 << 20 for d in (1, 64, 4096, 1 << 22)] == [True, True, True, False]
+    assert (pqdedup.Settings().sampled(64), pqdedup.Settings().sampled(4096), pqdedup.Settings().sampled(1 << 22)) == (16_384, 512, 1)
+
+
 def test_vector_duplicates_of_no_and_of_repeated_rows(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert pqdedup.grouped(spark.createDataFrame([], schema)).count() == 0
