@@ -66,17 +66,20 @@ def passing(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """While it is open at most this many rows go to Python at once, as a batch of whole texts is held several times, on
-    both sides; then the session's own setting is back. A plan takes the setting that holds when it runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(name, str(rows))
+def short_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> Iterator[None]:
+    """While it is open at most this many rows, and bytes unless a row has more, go to Python at once, as a batch of whole
+    texts is held several times, on both sides; then the session's own settings are back. A plan takes the settings that hold when it runs."""
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = [spark.conf.get(name) for name in names]
+    if not 0 < int(before[0]) <= rows:
+        spark.conf.set(names[0], str(rows))
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[1]) <= size:
+        spark.conf.set(names[1], str(size))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
 
 
 def release() -> None:
@@ -99,6 +102,19 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """df, shuffled once by a column into as many buckets as a shuffle has partitions, written to the shared folder and read
+    again: what is joined with it by that column comes to its buckets, and it isn't shuffled again, however large either is."""
+    spark = df.sparkSession
+    n, path, table = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark, name), f"spindrift_{uuid.uuid4().hex}"
+    df.repartition(n, by).write.format("parquet").bucketBy(n, by).option("path", path).saveAsTable(table)
+    if (paths := _PASSING.get()) is not None:
+        paths.append(path)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and found knows of its buckets
+    return found
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df by checkpoint() in the shared folder."""
     shared_dir(df.sparkSession)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut, hidden, passing, release, shown, small, stored
+from spindrift.llm.shared import bucketed, components, cut, hidden, passing, release, short_batches, shown, small, stored
 
 BITS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -293,12 +293,13 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
     """
     plain, names = hidden(docs)
     key = names[key]
-    rows = stored(fingerprints(plain.withColumn("_text", F.col(names[text])), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows", 1000)
+    with short_batches(docs.sparkSession):
+        rows = bucketed(fingerprints(plain.withColumn("_text", F.col(names[text])), "_text", settings).withColumn("_row", F.monotonically_increasing_id()), "simhash-rows", "_row")
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     slim = rows.select(key, "_row", "fps")
     wide = _first(slim, rank, settings)
     gone = cut(slim.join(wide, slim["fps"] == wide["_fps"]).filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
-    return rows.join(small(gone, gone.count(), _NUMBERS), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
+    return rows.join(gone.hint("shuffle_hash"), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
 
 
 @dataclass(frozen=True)
@@ -325,8 +326,8 @@ class Resemblance:
 _FEW, _DENSE = 64, 4
 _ROWS = 1 << 18
 _PAIRS = "wild long, a long, b long, fp long"
-#: Rows of one long that may be broadcast: 16 MB of them.
-_NUMBERS = 2_000_000
+#: Pairs of one text that are verified in one task, about, and that go to Python at once.
+_SHARE, _BATCH = 256, 100
 
 
 def shingle_set(text: str | None, settings: Resemblance = Resemblance()) -> np.ndarray:
@@ -468,12 +469,19 @@ def _cross(settings: Resemblance):
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Resemblance) -> DataFrame:
-    """Those of pairs(a, b) of nodes(id, row, ...) whose texts(_row, _text) have shingles of the similarity."""
+    """Those of pairs(a, b) of nodes(id, row, ...) whose texts(_row, _text) have shingles of the similarity.
+
+    texts stay where they are, if they are in buckets by _row: pairs come to the texts of b, which go on to a's. A text that
+    is a of many pairs goes to several tasks, which share its pairs.
+    """
     near = pairs.join(nodes.select(F.col("id").alias("a"), F.col("row").alias("ra")), "a")
     near = stored(near.join(nodes.select(F.col("id").alias("b"), F.col("row").alias("rb")), "b").select("a", "b", "ra", "rb"), "simhash-near")
-    asked = cut(near.select(F.col("ra").alias("_row")).union(near.select(F.col("rb").alias("_row"))).distinct())
-    held = stored(texts.join(small(asked, asked.count(), _NUMBERS), "_row", "left_semi"), "simhash-texts")  # else all texts would be shuffled for some
-    both = near.join(held.select(F.col("_row").alias("ra"), F.col("_text").alias("ta")), "ra").join(held.select(F.col("_row").alias("rb"), F.col("_text").alias("tb")), "rb")
+    leads = cut(near.groupBy("ra").agg(F.ceil(F.count("*") / _SHARE).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("rb"), F.col("parts")).cast("int")
+    near = near.join(leads, "ra").select("a", "b", "rb", F.col("ra").alias("lead"), part.alias("part"))
+    lead = texts.join(leads.hint("shuffle_hash"), texts["_row"] == leads["ra"]).select(F.col("ra").alias("lead"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("_text").alias("ta"))
+    follow = texts.join(near.hint("shuffle_hash"), texts["_row"] == near["rb"]).select("lead", "part", "a", "b", F.col("_text").alias("tb"))
+    both = follow.join(lead.hint("merge"), ["lead", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -516,7 +524,7 @@ def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resem
     found = stored(plain.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
     first = found.filter("b IS NOT NULL").select("a", "b")
     tested = stored((first.union(lead) if hot else first).distinct(), "simhash-tested")
-    edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges")
+    edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges", _BATCH)
     many = found.filter("b IS NULL").select("wild", F.col("a").alias("id"), "fp")
     if not many.head(1) and not hot:
         return edges
@@ -531,7 +539,7 @@ def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resem
     if hot:
         rest = rest.union(_across(told(members.select("wild", "part", "parts", "id", "fp")), settings))
     rest = rest.distinct().join(tested, ["a", "b"], "left_anti")
-    return edges.union(stored(_verified(stored(rest, "simhash-rest"), nodes, texts, settings), "simhash-edges"))
+    return edges.union(stored(_verified(stored(rest, "simhash-rest"), nodes, texts, settings), "simhash-edges", _BATCH))
 
 
 def _across(members: DataFrame, settings: Resemblance) -> DataFrame:
@@ -563,7 +571,7 @@ def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", set
     """The rows of docs of which none of the same group stands before them, as deduplicated(); groups are of links by resemblance."""
     plain, names = hidden(docs)
     key = names[key]
-    rows = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    rows = bucketed(plain.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows", "_row")
     rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     texts = rows.select("_row", F.col(names[text]).alias("_text"))
     with passing(docs.sparkSession):  # only the rows that go are needed from here on
@@ -571,4 +579,4 @@ def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", set
         nodes = stored(slim.groupBy("_set").agg(F.min(rank).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("_row").alias("row")).withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
         wide = _lowest(nodes, "_set", resembling(nodes, texts, settings))
         gone = cut(slim.select(key, "_row", "_set").join(wide, "_set").filter(~rank.eqNullSafe(F.col("first"))).select(F.col("_row").alias("_gone")))
-    return rows.join(small(gone, gone.count(), _NUMBERS), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
+    return rows.join(gone.hint("shuffle_hash"), rows["_row"] == F.col("_gone"), "left_anti").select(*shown(names))
