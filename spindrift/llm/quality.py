@@ -1,8 +1,8 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model's units are characters: symbol 0 bounds a text, the last one is any character that the trusted text lacks, and
-those between are its characters by frequency: 2 ** 15 symbols hold every character of the scripts in use side by side,
-so an n-gram is a whole number below 2 ** (15 * n).
+those between are its most frequent characters, 32,766 at the most, so an n-gram is a whole number below 2 ** (15 * n).
+Han and Hangul together have more characters than that: where all occur, the rarest share the last symbol.
 
 Counts are tables sharded by n-gram, and stay so: the model is joined of them, the n-grams of the documents are joined
 with the model, and each block of documents is joined with the probabilities of its own n-grams, which are those that

@@ -511,6 +511,20 @@ def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of,
     assert len(kept ^ set(label)) <= len(set(label)) // 100
 
 
+def test_pairs_of_a_text_that_most_resemble_are_shared(spark, monkeypatch):
+    """Texts aren't shuffled for the pairs they are in, nor for the rows that go; one text's pairs go to several tasks."""
+    monkeypatch.setattr(simhash, "_SHARE", 3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(30)] + [" ".join(f"v{i}x{k}" for k in range(40)) for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = simhash.without_copies(docs)
+    assert {r["doc_id"] for r in kept.collect()} == {0, *range(30, 40)}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    above = plan[: plan.index("Bucketed: true")].splitlines()[:-1]
+    assert not any("Exchange" in line for line in above)
+
+
 def test_copies_of_odd_rows(spark):
     docs = clash(small_docs(spark), "fps", "_set", "_row", "_text", "least")
     kept = simhash.without_copies(docs)
