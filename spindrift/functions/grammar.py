@@ -51,17 +51,21 @@ _REFBEGIN, _REFEND = re.compile(r"\{\{refbegin", re.IGNORECASE), re.compile(r"\{
 _BRACKETED = re.compile(r"\{\{[^{}]+\}\}[^{}]*\{\{(?:s-)?end[^{}]*\}\}", _FLAGS)
 _SQUAD, _SQUAD_END = re.compile(r"\{\{fs start[^{}]*\}\}", _FLAGS), re.compile(r"\{\{fs end[^{}]*\}\}", _FLAGS)
 _OPENING = re.compile("|".join([rf"\{{\{{(?:{'|'.join(map(re.escape, TABLE_TEMPLATES))})", r"\{\{(?:[^\W_]|\s)*?(?:start|header|table)[ \t]*(?:\||\}\})"]), _FLAGS)
+_TABLE = re.compile("|".join(x.pattern for x in (_OPENING, _REFBEGIN, _SQUAD, _BRACKETED)), _FLAGS)
 _BULLET = re.compile(r"\n[*:;#]+")
 _HEADER = re.compile(r"\n==(?=[^=])", re.DOTALL)
-_PLAIN = re.compile(r"[^\n{\[<']+")
+#: What is no markup at the top level: neither a doubled bracket, brace or quote, nor a line that begins as lists, headings and tables do.
+_PLAIN = re.compile(r"(?:[^\n{\[<']++|\n(?![: ]*+[<{]|[:=*;#])|\[(?!\[)|\{(?!\{)|'(?!'))++")
+#: Links, templates and items that hold no markup: one match reads them.
+_PLAIN_LINK, _PLAIN_TEMPLATE, _PLAIN_ITEM = re.compile(r"\[\[([^\[\]\n{<']*+)\]\]"), re.compile(r"\{\{([^{}\n\[<']*+)\}\}"), re.compile(r"\n[*:;#]++([^{<\n]*+)(?=\n)")
 _IN_TEMPLATE, _IN_LINK, _IN_ELEMENT, _IN_LIST, _IN_TABLE, _IN_SECTION = (re.compile(x) for x in (r"[^{}<]+", r"[^\[\]]+", r"[^<]+", r"[^{<\n]+", r"[^\n{<]+", r"[^\n<]+"))
 
 Found = tuple[int, str] | None
-Reading = Generator["Reading", Found, Found]
+Reading = Generator["Reading | Found", Found, Found]
 
 
 def run(first: Reading) -> Found:
-    """The value of a generator that yields other generators for their values; the stack is a list."""
+    """The value of a generator that yields other generators for their values, or values as they are; the stack is a list."""
     stack, value = [first], None
     while stack:
         try:
@@ -70,8 +74,11 @@ def run(first: Reading) -> Found:
             stack.pop()
             value = end.value
         else:
-            stack.append(waits_for)
             value = None
+            if isinstance(waits_for, GeneratorType):
+                stack.append(waits_for)
+            else:
+                value = waits_for
     return value
 
 
@@ -171,8 +178,11 @@ class _Reader:
             at = found[0]
             out.append(found[1])
 
-    def again(self, s: str) -> Reading:
-        return _Reader(s, self.countries).text()
+    def again(self, s: str, templates: bool = True) -> Reading | Found:
+        m = _PLAIN.match(s)
+        if (m.end() if m else 0) == len(s):
+            return len(s), s
+        return _Reader(s, self.countries, templates).text()
 
     def text(self) -> Reading:
         """The whole text with its length; never fails, as any character may stand for itself."""
@@ -249,7 +259,11 @@ class _Reader:
         return found[0], trim(inner)
 
     def template(self, at: int) -> Reading | Found:
-        if not self.s.startswith("{{", at) or self.find("}}", at + 2) < 0:
+        if not self.s.startswith("{{", at):
+            return None
+        if m := _PLAIN_TEMPLATE.match(self.s, at):
+            return m.end(), expand(m[1], self.countries) or ""
+        if self.find("}}", at + 2) < 0:
             return None
         if not self.search(_ELEMENT, at) and self.never_closes("{{}}", at):  # an element may hide braces
             return None
@@ -259,28 +273,40 @@ class _Reader:
         found = yield self.until("template", at + 2, self.literal("}}"), _IN_TEMPLATE, self.element, self.template)
         if not found:
             return None
-        _, body = yield _Reader(found[1], self.countries, templates=False).text()
+        _, body = yield self.again(found[1], templates=False)
         return found[0], expand(body, self.countries) or ""
 
     def link(self, at: int) -> Reading | Found:
-        if not self.s.startswith("[[", at) or self.never_closes("[[]]", at):
+        if not self.s.startswith("[[", at):
             return None
-        return self.once("link", at, self._link)
+        if m := _PLAIN_LINK.match(self.s, at):
+            return m.end(), self.shown(m[1])
+        return None if self.never_closes("[[]]", at) else self.once("link", at, self._link)
 
     def _link(self, at: int) -> Reading:
         found = yield self.until("link", at + 2, self.literal("]]"), _IN_LINK, self.link)
         if not found:
             return None
         _, s = yield self.again(found[1])
-        if s[:_LONGEST].lower().startswith(DROPPED_LINKS):
-            return found[0], ""
-        head, bar, tail = s.partition("|")
-        return found[0], tail if bar else head
-
-    def items(self, at: int) -> Reading | None:
+        return found[0], self.shown(s)
+
+    def shown(self, link: str) -> str:
+        if link[:_LONGEST].lower().startswith(DROPPED_LINKS):
+            return ""
+        head, bar, tail = link.partition("|")
+        return tail if bar else head
+
+    def items(self, at: int) -> Reading | Found:
+        if m := _PLAIN_ITEM.match(self.s, at):
+            inner = self.again("\n" + m[1])
+            return self._item(m.end(), inner) if isinstance(inner, GeneratorType) else (m.end(), inner[1])
         m = _BULLET.match(self.s, at)
         return self._items(m.end()) if m else None
 
+    def _item(self, end: int, content: Reading) -> Reading:
+        _, inner = yield content
+        return end, inner
+
     def _items(self, at: int) -> Reading:
         found = yield self.until("items", at, lambda at: at if self.s.startswith("\n", at) else None, _IN_LIST, self.element, self.template)
         if not found:
@@ -345,9 +371,9 @@ class _Reader:
 
     def table(self, at: int) -> Reading | Found:
         if self.s[at] == "{":
-            if not any(head.match(self.s, at) for head in (_OPENING, _REFBEGIN, _SQUAD, _BRACKETED)):
+            if not _TABLE.match(self.s, at):
                 return None
-        elif self.s[at] != "\n":
+        elif self.s[at] != "\n" or not self.s.startswith(_AFTER_LINE, at + 1):
             return None
         return self.once("table", at, self._table)
 
@@ -416,6 +442,8 @@ class _Reader:
 
 _MATH = re.compile(r"<math")
 _PAIRS = {"[[]]": re.compile(r"\[\[+|\]\]+"), "{{}}": re.compile(r"\{\{+|\}\}+")}
+#: What a table at the start of a line can begin with: spaces, a tag, a comment, a template or its own brace.
+_AFTER_LINE = (":", " ", "<", "{")
 _LONGEST = max(map(len, DROPPED_LINKS))
 
 #: For each width the closers in order: how many quotes, and the width that goes on behind them (0: the end).
@@ -424,15 +452,12 @@ _QUOTES = {2: ((3, 5), (2, 0)), 3: ((3, 0), (2, 5)), 5: ((5, 0), (3, 2), (2, 3))
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 # Entities that are still replaced in text that was decoded once already.
 LEFT_ENTITIES = {"&ndash;": "–", "&nbsp;": "\xa0", "&minus;": "-"}
-_SIGNS, _SPACES = re.compile(r"[^a-zA-Z0-9]+"), re.compile(r"  +")
+_SIGNS, _SPACES = re.compile(r"\([^a-zA-Z0-9]*"), re.compile(r"  +")
 
 
 def _without_parentheses(m: re.Match) -> str:
-    """A run without letters and digits less what stands from its first opening parenthesis to its last closing one."""
-    head, opening, rest = m[0].partition("(")
-    _, closing, tail = rest.rpartition(")")
-    return head + tail if opening and closing else m[0]
-
+    """A run without letters and digits, from its first opening parenthesis on, less what stands up to its last closing one."""
+    return m[0].rpartition(")")[2]
 
 
 def parsed(s: str, countries: Mapping[str, str] = COUNTRIES) -> str:

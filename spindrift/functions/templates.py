@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from spindrift.functions.text import trim, whole
 
@@ -98,6 +98,9 @@ class Call:
         self.parts = [trim(p) for p in source.split("|")]
         self.written = self.parts[0]
         self.name = trim(" ".join(w for w in self.written.split(" ") if w).lower())
+
+    @cached_property
+    def params(self) -> dict[str, str]:
         named: dict[str, str] = {}
         loose: list[str] = []
         for part in self.parts[1:]:
@@ -111,7 +114,7 @@ class Call:
             while str(free) in named:
                 free += 1
             named[str(free)] = value
-        self.params = named
+        return named
 
     def numbered(self) -> list[str]:
         """Values of whole-number keys, by number; of equal numbers the last by key."""

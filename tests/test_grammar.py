@@ -1,8 +1,10 @@
 import random
+import re
 import time
 
 import pytest
 
+from spindrift.functions import grammar
 from spindrift.functions.grammar import parsed, plain_text
 
 NL = "\n"
@@ -206,3 +208,18 @@ def test_nesting_may_be_of_any_depth(opener, closer):
     depth = 12_000
     inner = "x" if opener in ("[[", "<small>", "{{nowrap|") else ""
     assert plain_text("good [[a|b]] " + opener * depth + "x" + closer * depth + " z") == " ".join(w for w in ("good b", inner, "z") if w)
+
+
+def test_plain_constructs_are_read_as_others_are(monkeypatch):
+    """Links, templates, items and lines that one match reads give what the grammar gives for them place by place."""
+    pieces = ["[[", "]]", "[", "]", "{{", "}}", "{", "}", "|", "{|", "\n{|", "|}", "\n", "\n*", "\n==", "==", "''", "'''", "'", "<", "<ref>", "</ref>", "<small>", "</small>", "<!--", "-->", "<br>"]
+    pieces += ["a", "bc", "File:x", "(", ")", "\n ", "\n:", "\n : ", "start", "end", "{{refbegin", "{{refend}}", "circa|1900", "lang|fr|x", "See also", "{{small|", "fs start", " "]
+    chosen = random.Random(5)
+    texts = ["".join(chosen.choice(pieces) for _ in range(chosen.choice([4, 12, 30, 90]))) for _ in range(3000)]
+    found = [grammar.plain_text(t) for t in texts]
+    monkeypatch.setattr(grammar, "_PLAIN", re.compile(r"[^\n{\[<']+"))
+    for name in ("_PLAIN_LINK", "_PLAIN_TEMPLATE", "_PLAIN_ITEM"):
+        monkeypatch.setattr(grammar, name, re.compile(r"(?!)"))
+    monkeypatch.setattr(grammar, "_AFTER_LINE", "")
+    for t, f in zip(texts, found, strict=True):
+        assert grammar.plain_text(t) == f, t
