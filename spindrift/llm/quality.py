@@ -1,8 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model's units are characters: symbol 0 bounds a text, the last one is any character that the trusted text lacks, and
-those between are its most frequent characters, 32,766 at the most, so an n-gram is a whole number below 2 ** (15 * n).
-Han and Hangul together have more characters than that: where all occur, the rarest share the last symbol.
+those between are its characters, so an n-gram is a whole number below 2 ** (15 * n). Where the trusted text has more
+than 32,766 characters, as Han and Hangul together may, its rarest are two symbols each, both of a set kept for such
+pairs; so each character has a code of its own, and its probability is the product of its symbols'.
 
 Counts are tables sharded by n-gram, and stay so: the model is joined of them, the n-grams of the documents are joined
 with the model, and each block of documents is joined with the probabilities of its own n-grams, which are those that
@@ -41,7 +42,7 @@ class Settings:
     """quantile: of the trusted texts' excess in each language, above which a text is rejected. accuracy: of the
     approximate quantile (1 / accuracy is its error in rank). weight: symbols that a text needs for half of its log
     perplexity's distance from the language's median to count, as that of a few symbols varies far more. symbols: of the
-    alphabet, a power of two up to 2 ** 15. block: bytes of the documents that are scored together."""
+    alphabet, a power of two up to 2 ** 15, at which every character of Unicode can have a code of its own. block: bytes of the documents that are scored together."""
 
     quantile: float = 0.995
     accuracy: int = 20_000
@@ -54,8 +55,22 @@ def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def coded(characters: list[int], symbols: int) -> dict[int, int]:
+    """Symbols by character, of characters that differ, the frequent ones first: 1 to symbols - 2, one each. If these are
+    too few, the last of them are kept for pairs, no more than are needed, and the characters that are left have one pair
+    each, as first * symbols + second."""
+    paired = 0
+    while (single := symbols - 2 - paired) + paired**2 < len(characters):
+        paired += 1
+        if paired > symbols - 2:
+            raise ValueError(f"{len(characters)} characters are more than {symbols} symbols can tell apart, singly and in pairs")
+    found = {c: i + 1 for i, c in enumerate(characters[:single])}
+    return found | {c: (single + 1 + i // paired) * symbols + single + 1 + i % paired for i, c in enumerate(characters[single:])}
+
+
 def alphabet(texts: DataFrame, symbols: int = SYMBOLS) -> dict[int, int]:
-    """Symbols 1 to symbols - 2 by code point, of texts(text): counted over all of it, ties to the smaller code point."""
+    """Symbols by code point (see coded()) of texts(text): all its characters, by their number over all of it, ties to the
+    smaller code point. The driver gets a row a character that occurs, so no more than Unicode has code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CODES, np.int64)
@@ -66,24 +81,32 @@ def alphabet(texts: DataFrame, symbols: int = SYMBOLS) -> dict[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["code", "n"])
 
     per = texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return {r["code"]: i + 1 for i, r in enumerate(per.orderBy(F.desc("n"), "code").limit(symbols - 2).collect())}
+    return coded([r["code"] for r in per.orderBy(F.desc("n"), "code").collect()], symbols)
 
 
 def _lookup(letters: dict[int, int], symbols: int) -> np.ndarray:
-    table = np.full(_CODES, symbols - 1, np.uint16)
+    table = np.full(_CODES, symbols - 1, np.uint16 if max(letters.values()) < symbols else np.uint32)
     table[list(letters)] = list(letters.values())
     return table
 
 
 def _grams(texts: list[str], table: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """The four-grams that end at each character and at the text's end, of all texts in turn, and each text's number of them."""
-    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    """The four-grams that end at each symbol and at the text's end, of all texts in turn, and each text's number of them."""
+    length, values = np.fromiter(map(len, texts), np.int64, len(texts)), table[_codes(texts)]
+    pairs = values >= symbols
+    if pairs.any():
+        to = np.cumsum(1 + pairs)
+        first = to[pairs] - 2
+        length = np.diff(np.concatenate([[0], to])[np.concatenate([[0], np.cumsum(length)])])
+        halves = np.repeat(values % symbols, 1 + pairs)
+        halves[first] = values[pairs] // symbols
+        values = halves
     pad = ORDER - 1
     row = np.zeros(int(length.sum()) + (pad + 1) * len(texts) + pad, np.int64)
     starts = np.cumsum(length + pad + 1) - (length + 1)  # of each text's characters
     if len(texts):
         own = np.repeat(starts - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        row[own] = table[_codes(texts)]
+        row[own] = values
     every = np.zeros(len(row) - pad, np.int64)
     for k in range(ORDER):
         every = every * symbols + row[k : k + len(every)]
@@ -235,8 +258,9 @@ def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", setting
 
     Texts are read twice. First each block of documents lists its different n-grams; all that occur are joined with the
     model once, and the blocks' lists with what that gives. Then the blocks themselves, compressed, meet their lists. A
-    block holds a bounded number of characters, or one longer text, and a list is never longer than its block. docs must
-    read the same twice, as files do: a block that finds no list is an error. A null or empty text: null and 0.
+    block holds a bounded number of characters, or one longer text, and a list is at most twice as long as its block. docs
+    must read the same twice, as files do: a block that finds no list is an error. symbols counts a text's characters and
+    its end, which the perplexity is by. A null or empty text: null and 0.
     """
     made = ["perplexity", "symbols"]
     kept = [c for c in docs.columns if c not in made or c == text]
@@ -273,7 +297,7 @@ def scored(docs: DataFrame, model: Model, m: Column, text: str = "text", setting
                 if not len(grams) or (grams[place] != different).any():
                     raise RuntimeError("a block of documents has no list of its n-grams: the table must read the same twice; write it first")
                 sums = np.add.reduceat(logs[place][where], np.cumsum(n) - n)
-                found = [(math.exp(-x / k), k) if t else (None, 0) for t, x, k in zip(texts, sums.tolist(), n.tolist(), strict=True)]
+                found = [(math.exp(-x / (len(t) + 1)), len(t) + 1) if t else (None, 0) for t, x in zip(texts, sums.tolist(), strict=True)]
                 columns = [pa.array([x for x, _ in found], pa.float64()), pa.array([k for _, k in found], pa.int64())]
                 out.append(pa.RecordBatch.from_arrays([*b.columns[:of], *columns], names=names))
         release()

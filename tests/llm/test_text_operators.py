@@ -1,5 +1,6 @@
 """Language, quality, SimHash, mixing, packing, sharding: against plain versions, and on odd rows."""
 
+import itertools
 import math
 import random
 import zlib
@@ -199,9 +200,18 @@ def test_language_query_against_plain_zstandard(spark):
 # -- quality
 
 
+def plain_letters(texts):
+    """64 symbols by code point, the rarest in pairs where there are more characters than 62."""
+    n = Counter(c for t in texts for c in t)
+    order = sorted(map(ord, n), key=lambda c: (-n[chr(c)], c))
+    kept = next(r for r in range(63) if 62 - r + r * r >= len(order))
+    pairs = itertools.product(range(63 - kept, 63), repeat=2)
+    return {c: (k,) for k, c in enumerate(order[: 62 - kept], 1)} | dict(zip(order[62 - kept :], pairs, strict=False))
+
+
 def kneser_ney(texts, letters):
-    """p(symbol | three before), from the definition."""
-    code = lambda t: [0, 0, 0, *[letters.get(ord(c), 63) for c in t], 0]
+    """p(symbol | three before), from the definition; perplexity a character."""
+    code = lambda t: [0, 0, 0, *[x for c in t for x in letters.get(ord(c), (63,))], 0]
     counts = {4: Counter()}
     for t in texts:
         s = code(t)
@@ -227,7 +237,7 @@ def kneser_ney(texts, letters):
 
     def perplexity(t):
         s = code(t)
-        return math.exp(-sum(math.log(p(tuple(s[i - 3 : i + 1]))) for i in range(3, len(s))) / (len(s) - 3))
+        return math.exp(-sum(math.log(p(tuple(s[i - 3 : i + 1]))) for i in range(3, len(s))) / (len(t) + 1))
 
     return perplexity
 
@@ -240,7 +250,7 @@ def test_perplexity_is_that_of_the_definition(spark):
     asked = [*texts[:5], "something ELSE zzz 中", "a", "", None] * 2
     rows = spark.createDataFrame(list(enumerate(asked)), "i int, text string")
     for m in (quality.WHOLE, *quality.HALVES):
-        plain = kneser_ney([t for t in texts if m in (folds[t], quality.WHOLE)], model.letters)
+        plain = kneser_ney([t for t in texts if m in (folds[t], quality.WHOLE)], plain_letters(texts))
         for settings in (quality.Settings(), quality.Settings(block=300)):
             got = [r["perplexity"] for r in quality.scored(rows, model, F.lit(m), settings=settings).orderBy("i").collect()]
             for t, x in zip(asked, got, strict=True):
@@ -256,6 +266,41 @@ def test_probabilities_of_what_may_follow_sum_to_one(spark):
     assert all(r["p"] == pytest.approx(1, abs=1e-9) for r in total)
 
 
+def test_perplexity_with_more_characters_than_symbols(spark):
+    """Of 64 symbols some are kept for pairs: perplexity a character, of the definition over texts written in symbols."""
+    rng = random.Random(9)
+    often, seldom = [chr(c) for c in range(97, 123)], [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    texts = ["".join(rng.choice(often if rng.random() < 0.8 else seldom) for _ in range(rng.randrange(1, 120))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model = quality.train(df)
+    letters = plain_letters(texts)
+    assert len(letters) > 200 and {c: x[0] if len(x) == 1 else 64 * x[0] + x[1] for c, x in letters.items()} == model.letters
+
+    folds = {r["text"]: r["f"] for r in df.select("text", quality.fold(F.col("text")).alias("f")).collect()}
+    asked = [*texts[:10], seldom[0] * 5, often[0] + seldom[7] + "中", "\U0001f600", ""]
+    rows = spark.createDataFrame(list(enumerate(asked)), "i int, text string")
+    for m in (quality.WHOLE, *quality.HALVES):
+        plain = kneser_ney([t for t in texts if m in (folds[t], quality.WHOLE)], letters)
+        for block in (300, 1 << 20):
+            got = quality.scored(rows, model, F.lit(m), settings=quality.Settings(block=block)).orderBy("i").collect()
+            for t, r in zip(asked, got, strict=True):
+                assert (r["perplexity"], r["symbols"]) == ((pytest.approx(plain(t), rel=1e-9), len(t) + 1) if t else (None, 0))
+
+
+def test_every_character_has_a_code_of_its_own(spark):
+    """40,000 different characters, and all of Unicode, in 2 ** 15 symbols."""
+    texts = [("".join(map(chr, range(0x3400, 0x9FFF))),), ("".join(map(chr, range(0xAC00, 0xD7A4))) * 2,), ("".join(map(chr, range(0x20000, 0x21000))),)]
+    letters = quality.alphabet(spark.createDataFrame(texts, "text string"), quality.Settings().symbols)
+    assert len(letters) > 40_000
+    for found in (letters, quality.coded(list(range(0x110000)), 1 << 15)):
+        assert len(set(found.values())) == len(found)
+        pairs = [divmod(x, 1 << 15) for x in found.values()]
+        assert {y for x, y in pairs if not x}.isdisjoint(z for pair in pairs if pair[0] for z in pair)
+        assert all(0 < y < 32767 and x < 32767 for x, y in pairs)
+    with pytest.raises(ValueError, match="symbols"):
+        quality.coded(list(range(5000)), 64)
+
+
 def test_quality_against_its_definition(spark):
     """Perplexity, threshold and keep of every row, by the plain model and plain quantiles."""
     every = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", F.substring("text", 1, 300).alias("text")).orderBy("doc_id").limit(150).collect()
@@ -268,8 +313,7 @@ def test_quality_against_its_definition(spark):
 
     folds = {r["doc_id"]: r["f"] for r in docs.select("doc_id", quality.fold(F.col("text")).alias("f")).collect()}
     trusted = [(d, lang, t) for d, lang, t in rows if d in good and t]
-    code = {c: n for c, n in Counter(c for *_, t in trusted for c in t).items()}
-    letters = {ord(c): i + 1 for i, c in enumerate(sorted(code, key=lambda c: (-code[c], ord(c)))[:62])}
+    letters = plain_letters(t for *_, t in trusted)
     plain = {m: kneser_ney([t for d, _, t in trusted if m in (folds[d], 2)], letters) for m in (0, 1, 2)}
     at = lambda values, quantile: sorted(values)[max(0, math.ceil(quantile * len(values)) - 1)]
     logs = [(lang, math.log(plain[1 - folds[d]](t)), len(t) + 1) for d, lang, t in trusted]
