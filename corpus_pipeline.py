@@ -9,7 +9,8 @@ from spindrift.llm import langid, mixing, packing, quality, simhash
 from spindrift.llm.queries import held_out, tokenizer
 from spindrift.llm.shared import stored
 
-#: Documents link from a Jaccard similarity of 0.8 of their five-word shingles, which is verified.
+#: Documents that SimHash's deletion variants, or for those farther apart bands, bring together link from a Jaccard
+#: similarity of 0.8 of their five-word shingles, which is verified.
 NEAR = simhash.Resemblance(shingle=5, similarity=0.8)
 
 

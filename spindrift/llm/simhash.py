@@ -4,8 +4,9 @@ A fingerprint is cut into so few segments that, of two within the distance, one
 Each segment is indexed once for each of its bits with that bit left out; two such segments meet under an equal key.
 
 Fingerprints so near are of texts that are nearly equal. Texts whose sets of shingles have a similarity of 0.8 differ in
-some ten bits, where neither few segments nor keys of few bits tell them from strangers; so resembling() finds
-candidates by bands of least digests of the shingles, sorts out strangers by SimHash, and verifies the rest exactly.
+some ten bits, where neither few segments nor keys of few bits tell them from strangers; so resembling() takes the pairs
+of the same variants, adds to them those that bands of least digests of the shingles find farther apart, of which it
+sorts out strangers by SimHash, and verifies all of them exactly.
 """
 
 from __future__ import annotations
@@ -305,9 +306,10 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", setti
 @dataclass(frozen=True)
 class Resemblance:
     """shingle: words in a shingle. similarity: Jaccard similarity of two texts' sets of shingles from which they link.
-    seed: of XXH64. bands, rows: two texts meet if in one of so many bands all of so many permutations of the digests
-    have the same least one in both sets. distance: of those that meet, they are compared exactly if this many bits of
-    their sets' SimHashes differ at most. group: rows of one band's key that are looked at in one task; more are dealt.
+    seed: of XXH64. bits: two texts meet, by deletion variants, if so many bits of their sets' SimHashes differ at most.
+    bands, rows: they meet besides if in one of so many bands all of so many permutations of the digests
+    have the same least one in both sets. distance: of those that meet so, they are compared exactly if this many bits of
+    their sets' SimHashes differ at most. group: rows of one key that are looked at in one task; more are dealt.
 
     At similarity 0.8 a band is alike with 0.8 ** 7 = 0.21, and one of 20 with 0.991 (at 0.85 with 0.9996); of texts that
     share a tenth, one pair in 500,000 meets. At 0.8 a bit differs with probability acos(8 / 9) / pi = 0.151, so distance is
@@ -316,6 +318,7 @@ class Resemblance:
     shingle: int = 5
     similarity: float = 0.8
     seed: int = 42
+    bits: int = 3
     bands: int = 20
     rows: int = 7
     distance: int = 21
@@ -406,41 +409,78 @@ def _pair_batch(a: np.ndarray, b: np.ndarray | None, wild: np.ndarray | None = N
     return pa.RecordBatch.from_arrays([none if wild is None else pa.array(wild), pa.array(low), none if high is None else pa.array(high), none if fp is None else pa.array(fp)], names=["wild", "a", "b", "fp"])
 
 
-def _meet(settings: Resemblance):
-    """Over rows (wild, id, fp) sorted by wild: pairs (a, b) of a group within the distance. Of a group of near copies, or
+def _met(wild: np.ndarray, ids: np.ndarray, signed: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (wild, id, fp) sorted by wild: pairs (a, b) of a group within the distance. Of a group of near copies, or
     of many nodes, only a link a node to one that leads it, and the members with b null, for _cross."""
 
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(x ^ y) <= settings.distance
+        return np.bitwise_count(x ^ y) <= distance
+
+    bounds = np.concatenate(([0], np.flatnonzero(wild[1:] != wild[:-1]) + 1, [len(wild)]))
+    size = np.diff(bounds)
+    group, fp = np.repeat(np.arange(len(size)), size), signed.view(np.uint64)
+    rows = np.flatnonzero((size[group] > 1) & (size[group] <= _FEW))
+    found = [np.empty((2, 0), np.int64)]
+    for step in range(1, _FEW):
+        rows = rows[rows + step < bounds[group[rows] + 1]]
+        if not len(rows):
+            break
+        kept = rows[near(fp[rows], fp[rows + step])]
+        found.append(np.stack([kept, kept + step]))
+    a, b = np.concatenate(found, axis=1)
+    many = (np.bincount(group[a], minlength=len(size)) > _DENSE * size) | (size > _FEW)
+    plain = ~many[group[a]]
+    yield _pair_batch(ids[a[plain]], ids[b[plain]])
+    for g in np.flatnonzero(many).tolist():
+        lo, hi = int(bounds[g]), int(bounds[g + 1])
+        left = lo + np.argsort(ids[lo:hi])
+        for _ in range(_FEW):
+            alike = near(fp[left], fp[left[0]])
+            own = left[alike][1:]
+            yield _pair_batch(ids[own], np.full(len(own), ids[left[0]]))
+            left = left[~alike]
+            if len(left) < 2:
+                break
+        yield _pair_batch(ids[lo:hi], None, wild[lo:hi], signed[lo:hi])
+
+
+def _meet(settings: Resemblance):
+    """Over rows (wild, id, fp) sorted by wild, the keys of bands or variants: what _met() finds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for wild, ids, signed in _whole(batches):
-            bounds = np.concatenate(([0], np.flatnonzero(wild[1:] != wild[:-1]) + 1, [len(wild)]))
-            size = np.diff(bounds)
-            group, fp = np.repeat(np.arange(len(size)), size), signed.view(np.uint64)
-            rows = np.flatnonzero((size[group] > 1) & (size[group] <= _FEW))
-            found = [np.empty((2, 0), np.int64)]
-            for step in range(1, _FEW):
-                rows = rows[rows + step < bounds[group[rows] + 1]]
-                if not len(rows):
-                    break
-                kept = rows[near(fp[rows], fp[rows + step])]
-                found.append(np.stack([kept, kept + step]))
-            a, b = np.concatenate(found, axis=1)
-            many = (np.bincount(group[a], minlength=len(size)) > _DENSE * size) | (size > _FEW)
-            plain = ~many[group[a]]
-            yield _pair_batch(ids[a[plain]], ids[b[plain]])
-            for g in np.flatnonzero(many).tolist():
-                lo, hi = int(bounds[g]), int(bounds[g + 1])
-                left = lo + np.argsort(ids[lo:hi])
-                for _ in range(_FEW):
-                    alike = near(fp[left], fp[left[0]])
-                    own = left[alike][1:]
-                    yield _pair_batch(ids[own], np.full(len(own), ids[left[0]]))
-                    left = left[~alike]
-                    if len(left) < 2:
-                        break
-                yield _pair_batch(ids[lo:hi], None, wild[lo:hi], signed[lo:hi])
+        for rows in _whole(batches):
+            yield from _met(*rows, settings.distance)
+
+    return run
+
+
+def halves(bits: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """For each half of each segment its mask, and those of variants(), as (wild, mask), that leave out a bit of the
+    segment's other half: what such a variant holds tells the half, so all that share it have one key by the half."""
+    found = []
+    for segment in _cut(list(range(BITS)), bits // 2 + 1):
+        first, second = _cut(segment, 2)
+        found += [(sum(1 << b for b in own), [v for v in variants(0, bits) if v[0] - 1 in other]) for own, other in ((first, second), (second, first))]
+    return found
+
+
+def _meet_variants(settings: Resemblance):
+    """Over rows (wild, id, fp, half) sorted by wild, a key by the half: what _met() finds under each of its variants."""
+    parts = halves(settings.bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids, signed, half in _whole(batches):
+            for h in np.unique(half).tolist():
+                of, fps = ids[half == h], signed[half == h]
+                for wild, mask in parts[h][1]:
+                    keys = _mixed(fps.view(np.uint64) & np.uint64(mask), wild).view(np.int64)
+                    order = np.argsort(keys)
+                    keys = keys[order]
+                    again = keys[1:] == keys[:-1]
+                    shared = np.concatenate((again, [False])) | np.concatenate(([False], again))
+                    order, keys = order[shared], keys[shared]
+                    if len(keys):
+                        yield from _met(keys, of[order], fps[order], settings.bits)
 
     return run
 
@@ -504,14 +544,33 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Re
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _nth(i: Column, of: list[Column]) -> Column:
+    out = of[0]
+    for k, value in enumerate(of[1:], 1):
+        out = F.when(i == k, value).otherwise(out)
+    return out
+
+
 def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resemblance()) -> DataFrame:
     """Edges (a, b) between nodes(id, fp, keys, row), different sets of shingles, of at least the similarity.
 
-    Their components are those of all pairs that meet under a key: in groups of near copies first only the links to
+    Two meet by the variants of their fingerprints, as in links(), or by a band. A variant isn't shuffled by itself: nodes
+    are by the half of the segment that it holds whole, and have their variants made there.
+    The edges' components are those of all pairs that meet under a key: in groups of near copies first only the links to
     leading nodes are verified, and then all pairs that these have left in different components. A key of more rows than
     a task may hold is dealt to several groups, whose members are besides compared with the key's first node.
     """
-    keyed = stored(nodes.select(F.explode("keys").alias("wild"), "id", "fp"), "simhash-keys")
+    parts = halves(settings.bits)
+    half = F.explode(F.array(*[F.struct(F.lit(i).alias("half"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(mask)))).alias("wild")) for i, (mask, _) in enumerate(parts)]))
+    halved = nodes.select("id", "fp", half.alias("h")).select("h.wild", "id", "fp", "h.half")
+    keyed = nodes.select(F.explode("keys").alias("wild"), "id", "fp")
+    # A half that very many share is no key to deal by: its nodes are dealt by their variants themselves.
+    common = cut(halved.groupBy("wild").agg(F.count("*").alias("n")).filter(F.col("n") > settings.group).select("wild"))
+    if n := common.count():
+        each = [F.array(*[F.xxhash64(F.lit(wild), F.col("fp").bitwiseAND(F.lit(_signed(mask)))) for wild, mask in own]) for _, own in parts]
+        keyed = keyed.union(halved.join(small(common, n), "wild", "left_semi").select(F.explode(_nth(F.col("half"), each)).alias("wild"), "id", "fp"))
+        halved = halved.join(small(common, n), "wild", "left_anti")
+    keyed = stored(keyed, "simhash-keys")
     crowded = cut(keyed.groupBy("wild").agg(F.count("*").alias("n"), F.min(F.struct("id", "fp")).alias("lead")).filter(F.col("n") > settings.group))
     crowded = crowded.select("wild", "lead", F.ceil(F.col("n") * 2 / settings.group).cast("int").alias("parts"))
     hot = crowded.count()
@@ -521,7 +580,8 @@ def resembling(nodes: DataFrame, texts: DataFrame, settings: Resemblance = Resem
         alike = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))) <= settings.distance
         lead = members.filter(alike & (F.col("id") > F.col("lead.id"))).select(F.col("lead.id").alias("a"), F.col("id").alias("b"))
         plain = keyed.join(small(crowded, hot), "wild", "left_anti").union(members.select(F.xxhash64("wild", "part"), "id", "fp"))
-    found = stored(plain.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS), "simhash-pairs")
+    varied = halved.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet_variants(settings), _PAIRS)
+    found = stored(varied.union(plain.repartition("wild").sortWithinPartitions("wild").mapInArrow(_meet(settings), _PAIRS)), "simhash-pairs")
     first = found.filter("b IS NOT NULL").select("a", "b")
     tested = stored((first.union(lead) if hot else first).distinct(), "simhash-tested")
     edges = stored(_verified(tested, nodes, texts, settings), "simhash-edges", _BATCH)

@@ -555,6 +555,25 @@ def test_texts_from_a_similarity_of_point_eight_are_one_group(spark, bases, of,
     assert len(kept ^ set(label)) <= len(set(label)) // 100
 
 
+@pytest.mark.parametrize("group", [1 << 16, 3])
+def test_resembling_texts_meet_by_variants_of_their_fingerprints(spark, group):
+    """Under a band that only equal sets share; with small groups the nodes are dealt by their variants themselves."""
+    rng, texts = random.Random(12), []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(1500)]
+        for i in range(4):
+            texts.append(" ".join([*words[:i], f"n{rng.randrange(10**6)}", *words[i + 1 :]]))
+    settings = simhash.Resemblance(bands=1, rows=2000, group=group)
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    nodes = simhash.sketches(docs.withColumn("row", F.col("id")), "text", settings)
+    edges = simhash.resembling(nodes, docs.select(F.col("id").alias("_row"), F.col("text").alias("_text")), settings)
+    fps = {r["id"]: [r["fp"] % (1 << 64)] for r in nodes.collect()}
+    found = {r["node"]: r["component"] for r in components(edges).collect()}
+    expected = plain_groups([fps[i] for i in range(len(texts))], settings.bits)
+    assert [found.get(i, i) for i in range(len(texts))] == expected
+    assert len(set(expected)) < len(texts) // 2
+
+
 def test_pairs_of_a_text_that_most_resemble_are_shared(spark, monkeypatch):
     """Texts aren't shuffled for the pairs they are in, nor for the rows that go; one text's pairs go to several tasks."""
     monkeypatch.setattr(simhash, "_SHARE", 3)
