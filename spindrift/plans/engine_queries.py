@@ -13,7 +13,7 @@ from spindrift.operators import graph as g
 from spindrift.operators.extract import extract, register_extractor, register_functions
 from spindrift.plans import engine
 from spindrift.plans.catalog import query
-from spindrift.plans.graph_queries import table
+from spindrift.plans.graph_queries import spread, table
 from spindrift.session import scratch
 from spindrift.sources.dump import DumpError, broken_pages, located, page_record, read_dump
 from spindrift.sources.sinks import write_titles
@@ -52,7 +52,7 @@ def page_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _articles(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("title"), F.expr(text).alias("text"))
+    return spread(spark, sf_dir, "customer").select(F.col("c_name").alias("title"), F.expr(text).alias("text"))
 
 
 @query("extract_links_records", "SELECT c_name AS title, '{\"title\":\"' || c_name || '\",\"links\":[{\"target\":\"A\",\"label\":\"' || c_mktsegment || '\"},{\"target\":\"' || c_custkey || '\",\"label\":\"' || c_custkey || '\"}]}' AS record FROM customer")

@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows go to Python or to files: dealt to as many tasks as a shuffle has, as a scan has no more than the file has row groups, often one."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 _LINK_TEXT = "concat('[[', n_name, '|', n_name, ' land|x]] [[', n_name, ']] [[F{{a|', n_name, '}}|z]] [[A}|b]] [[|]] [[]] [[[', n_name, ']]] [[open ', n_name)"
 
 

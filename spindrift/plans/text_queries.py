@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spindrift.operators.extract import raw_to_plain_text
 from spindrift.operators.sections import section_tree, sections
 from spindrift.plans.catalog import query
-from spindrift.plans.graph_queries import table
+from spindrift.plans.graph_queries import spread
 
 
 def _text_query(name: str, source: str, key: str, wikitext: str, expected: str) -> None:
@@ -16,7 +16,7 @@ def _text_query(name: str, source: str, key: str, wikitext: str, expected: str)
 
     @query(name, f"SELECT {key}, {expected} AS plain FROM {source}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        made = table(spark, sf_dir, source).select(key, F.expr(wikitext).alias("wikitext"))
+        made = spread(spark, sf_dir, source).select(key, F.expr(wikitext).alias("wikitext"))
         return made.select(key, raw_to_plain_text("wikitext").alias("plain"))
 
 
@@ -117,14 +117,14 @@ _ROWS = [
 @query("sections_flat", " UNION ALL ".join(f"SELECT s_suppkey, s_name AS title, {i} AS idx, CAST({p} AS INTEGER) AS parent_idx, {d} AS depth, {n} AS section_name, {t} AS text FROM supplier" for i, p, d, n, t in _ROWS))
 def sections_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sections of an article a supplier, without those that hold no text."""
-    docs = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.expr(_ARTICLE).alias("text"))
+    docs = spread(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.expr(_ARTICLE).alias("text"))
     return sections(docs, "s_suppkey", "s_name", "text")
 
 
 @query("section_tree_json", "SELECT s_suppkey, s_name AS name, 3 AS sections, 'x' || chr(10) || 'y' || chr(10) AS deep, 'Sub' AS sub, 0 AS leaves FROM supplier")
 def section_tree_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested form, and what JSON paths find in it."""
-    docs = table(spark, sf_dir, "supplier").select("s_suppkey", section_tree("s_name", F.expr(_ARTICLE)).alias("tree"))
+    docs = spread(spark, sf_dir, "supplier").select("s_suppkey", section_tree("s_name", F.expr(_ARTICLE)).alias("tree"))
     at = lambda path: F.get_json_object("tree", path)
     return docs.select("s_suppkey", at("$.section_name").alias("name"), F.json_array_length(at("$.children")).alias("sections"), at("$.children[0].children[0].text").alias("deep"), at("$.children[1].children[0].section_name").alias("sub"), F.json_array_length(at("$.children[2].children")).alias("leaves"))
 
@@ -133,5 +133,5 @@ def section_tree_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wikitext to plain text to sections in one plan."""
     wikitext = "'' || c_name || ' is a [[Country|land]].<ref>x</ref>' || chr(10) || '== Past ' || c_nationkey || ' ==' || chr(10) || 'Founded in {{start date|' || c_custkey || '|5}}.' || chr(10) || '== See also ==' || chr(10) || '* x'"
-    docs = table(spark, sf_dir, "customer").select("c_custkey", "c_name", raw_to_plain_text(F.expr(wikitext)).alias("text"))
+    docs = spread(spark, sf_dir, "customer").select("c_custkey", "c_name", raw_to_plain_text(F.expr(wikitext)).alias("text"))
     return sections(docs, "c_custkey", "c_name", "text").select("c_custkey", "idx", "section_name", "text")

@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from spindrift.plans import queries as plan
 
@@ -38,6 +39,14 @@ def test_query(spark, sf_dir, tables, name):
     assert rows(df.columns, map(tuple, df.collect())) == rows(columns, cursor.fetchall())
 
 
+@pytest.mark.parametrize("name", ["plain_text_nested_templates", "plain_text_kept_elements", "template_t39_moments", "extract_contents_records", "article_pipeline"])
+def test_rows_of_one_row_group_go_to_python_in_many_tasks(spark, sf_dir, name):
+    df = plan.queries()[name](spark, sf_dir)
+    per_task = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 4
+    assert max(r["count"] for r in per_task) < 0.5 * df.count()
+
+
 def test_entry(spark):
     import __spark_entry__
 
