@@ -200,7 +200,7 @@ def dump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dump written and scanned: of two revisions the last counts, redirects and meta pages drop out, a leading line feed stays."""
     path = scratch(spark, "dump")
     text = lambda t: F.struct(F.struct(F.expr(t).alias("_VALUE"), F.lit("7").alias("_bytes")).alias("text"))
-    page = table(spark, sf_dir, "customer").select(
+    page = spread(spark, sf_dir, "customer").select(
         F.expr("CASE WHEN c_custkey % 10 = 5 THEN 'Help:' ELSE '' END || c_name").alias("title"),
         F.lit(0).alias("ns"),
         F.when(F.col("c_custkey") % 10 == 0, F.struct(F.lit("Elsewhere").alias("_title"))).alias("redirect"),

@@ -85,23 +85,30 @@ _HEAD = 4096
 _ROOT = re.compile(rb"(?:\xef\xbb\xbf)?(?:\s|<\?.*?\?>|<!--.*?-->|<![A-Za-z][^>]*>)*<([^\s/>!?]+)", re.DOTALL)
 
 
+_END = "</page>"
+
+
+def _pieces(spark: SparkSession, path: str, *cols: Column) -> DataFrame:
+    """(cols, value, lead, begins, page): a file's text in pieces that end with a page, read split by split; begins: a page
+    begins in the piece; lead: what stands before it; page: its text with its end."""
+    pieces = spark.read.option("lineSep", _END).text(path).select(*cols, "value")
+    found = pieces.withColumn("lead", F.regexp_extract("value", r"(?s)^(.*?)<page[\s>]", 1)).withColumn("begins", F.col("value").rlike(r"<page[\s>]"))
+    return found.withColumn("page", F.concat(F.expr("substr(value, length(lead) + 1)"), F.lit(_END)))
+
+
 def broken_pages(spark: SparkSession, path: str) -> DataFrame:
     """(file, position, page): pages that can't be parsed, with the byte at which each begins in its file (unpacked), and the text that was read as it.
 
     The file is read in pieces that end with a page, split by split; the bytes before a piece are summed within its
     split, and over the splits in a table of one row a split. No text is shuffled but that of broken pages.
     """
-    end = "</page>"
     meta = F.col("_metadata")
-    pieces = spark.read.option("lineSep", end).text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"), "value")
-    lead = F.regexp_extract("value", r"(?s)^(.*?)<page[\s>]", 1)
-    begins = F.col("value").rlike(r"<page[\s>]")
-    page = F.concat(F.expr("substr(value, length(lead) + 1)"), F.lit(end))
+    found = _pieces(spark, path, meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+    page = F.col("page")
     schema = StructType([*PAGE_XML.fields, StructField("_broken", StringType())])
     read = F.from_xml(page, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreSurroundingSpaces": "false"})
-    found = pieces.withColumn("lead", lead).withColumn("begins", begins)
     found = found.withColumn("page", F.when(F.col("begins") & read["_broken"].isNotNull(), page))
-    found = found.select("file", "block", "row", (F.octet_length("value") + len(end)).alias("size"), F.octet_length("lead").alias("lead"), "page")
+    found = found.select("file", "block", "row", (F.octet_length("value") + len(_END)).alias("size"), F.octet_length("lead").alias("lead"), "page")
     blocks = found.groupBy("file", "block").agg(F.sum("size").alias("size"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
@@ -129,9 +136,18 @@ def located(spark: SparkSession, path: str) -> Iterator[None]:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """All pages of a dump (plain or compressed): title, redirect, and the last revision's text, empty if it has none.
 
+    A file is read split by split, those packed by bzip2 too, in pieces that end with a page; Spark's own reader of XML
+    takes a file as a whole. So no comment or CDATA section may hold a page's tags, which dumps escape: one that does is an error.
+
     A root other than mediawiki is a DumpError at once; a broken page, or one without a title, is an error of the action that comes to it, which located() explains."""
     check_root(spark, path)
-    return _projected(spark.read.format("xml").options(**XML_OPTIONS).schema(PAGE_XML).load(path))
+    other = F.when(F.col("begins"), F.col("lead")).otherwise(F.col("value"))
+    untitled = F.col("other").rlike(r"<page\s*/>")
+    found = _pieces(spark, path).withColumn("other", other).filter(F.col("begins") | untitled)
+    page = F.when(F.col("other").rlike(r"(?s)<!(?:--(?!.*?-->)|\[CDATA\[(?!.*?\]\]>))"), F.raise_error(F.lit("MALFORMED_RECORD: a comment holds a page")))
+    page = page.when(untitled, F.raise_error(F.lit("a page has no title"))).otherwise(F.col("page"))
+    read = F.from_xml(page, PAGE_XML, XML_OPTIONS)
+    return _projected(found.select(F.inline(F.array(read))))  # a generator reads a page once, whatever is asked of it
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:

@@ -170,6 +170,34 @@ def test_a_broken_page_is_told_with_its_position(spark, tmp_path, split, packed)
     assert found == [raw.index(b"<page><title>x</rev"), raw.index(b"<page ><title>z")]
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_dump_of_one_file_is_read_in_splits(spark, tmp_path, packed):
+    rng = random.Random(2)
+    titles = [f"é {i} {rng.getrandbits(256):x}" for i in range(8000)]
+    raw = DUMP.replace("META", "".join(f"<page id='1'><title>{t}</title><revision><text>\n a &lt;b&gt; {t}{rng.getrandbits(1200):x}</text></revision></page>\n" for t in titles)).encode()
+    path = tmp_path / ("d.xml.bz2" if packed else "d.xml")
+    path.write_bytes(bz2.compress(raw, 1) if packed else raw)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "300000")
+    try:
+        found = read_dump(spark, str(path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(r["title"] for r in found if r["title"].startswith("é")) == sorted(titles)
+    assert len(found) == len(titles) + 6
+    assert all(r["text"].startswith(f"\n a <b> {r['title']}") for r in found if r["title"].startswith("é"))
+    assert len({r["task"] for r in found}) > 4
+
+
+@pytest.mark.parametrize("meta, message", [("<page/>", "no title"), ("<!-- <page><title>x</title></page> -->", "comment"), ("<page><title>x</title><revision><text><![CDATA[</page>]]></text></revision></page>", "MALFORMED")])
+def test_odd_places_of_a_pages_tags_are_errors(spark, tmp_path, meta, message):
+    path = tmp_path / "d.xml"
+    path.write_text(DUMP.replace("META", meta))
+    with pytest.raises(Exception, match=message):
+        read_dump(spark, str(path)).collect()
+
+
 def test_other_errors_are_left_alone(spark, dump):
     with pytest.raises(Exception, match="own error"), located(spark, str(dump)):
         read_dump(spark, str(dump)).select(F.raise_error(F.lit("own error"))).collect()
