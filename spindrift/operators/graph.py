@@ -20,22 +20,36 @@ def page_index(pages: DataFrame) -> DataFrame:
     return pages.groupBy("title").agg(F.max("idx").alias("idx"))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: what several actions read is made once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def heavy_targets(links: DataFrame, most: int = 1000, tracked: int = 20_000) -> list[str]:
     """At most so many targets, each of a ten-thousandth of all links or more by a frequent-items sketch: tasks sketch their own links, and sketches of bounded size are merged."""
-    targets = links.select(F.explode("links.target").alias("target")).filter("target IS NOT NULL")
-    found = targets.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(target, {most}, {tracked})").alias("top")).first()
+    return _heavy(links.select(F.explode("links.target").alias("target")), most, tracked)
+
+
+def _heavy(targets: DataFrame, most: int = 1000, tracked: int = 20_000) -> list[str]:
+    found = targets.filter("target IS NOT NULL").agg(F.count("*").alias("n"), F.expr(f"approx_top_k(target, {most}, {tracked})").alias("top")).first()
     return [t["item"] for t in found["top"] or [] if t["count"] * 10_000 >= found["n"] and t["count"] > 1]
 
 
 def edges(links: DataFrame, index: DataFrame, heavy: list[str] | None = None) -> DataFrame:
     """links(idx, links) as (src, dst): a row a link whose target is a page, repeated links included.
 
-    heavy: targets of very many links; none given: heavy_targets() finds them. Their pages, of which there are a bounded
+    heavy: targets of very many links; none given: they are found as heavy_targets() does, for which the links are written
+    to the shared folder, so that they are extracted once for all that reads them. Their pages, of which there are a bounded
     number, are broadcast, so a hub's links stay in the tasks that read them; the others are joined as the planner chooses.
     """
-    heavy = heavy_targets(links) if heavy is None else heavy
     titles = index.select(F.col("title").alias("target"), F.col("idx").alias("dst"))
-    targets = links.select(F.col("idx").alias("src"), F.explode("links.target").alias("target"))
+    # explode_outer, as for explode the planner asks beforehand whether there are links, which extracts them once more.
+    targets = links.select(F.col("idx").alias("src"), F.explode_outer("links.target").alias("target")).filter("target IS NOT NULL")
+    if heavy is None:
+        targets = written(targets, "links")
+        heavy = _heavy(targets)
     if not heavy:
         return targets.join(titles, "target").select("src", "dst")
     known = F.broadcast(index.sparkSession.createDataFrame([(t,) for t in heavy], "target string"))

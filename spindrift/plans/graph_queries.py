@@ -117,6 +117,7 @@ _GRAPH = f"e AS ({_EDGES})"
 
 def _neighbourhood(spark: SparkSession, sf_dir: str, depth: float, **how) -> DataFrame:
     graph, index = ordered_graph(spark, sf_dir)
+    graph = g.written(graph, "graph")
     root = graph.agg(F.min("src")).first()[0]
     return g.subgraph(graph, index, f"Page {root}", depth, **how)
 

@@ -430,3 +430,17 @@ def test_progress():
     assert "| 10.0 rows/s (10.0 rows/s)" in p.line(60, 6.0)
     assert "| 20.0 rows/s (" in p.line(80, 7.0)
     assert progress_line(0, 0, 0).startswith("0.00%")
+
+
+def test_links_are_extracted_once_for_all_that_reads_edges(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<struct<target:string,label:string>>")
+    def extracted(i):
+        calls.add(1)
+        return [(f"P{i % 7}", ""), (f"P{i % 3}", "")]
+
+    links = spark.range(40).select(F.col("id").alias("idx"), extracted("id").alias("links"))
+    graph = g.edges(links, spark.range(9).select(F.concat(F.lit("P"), "id").alias("title"), F.col("id").alias("idx")))
+    assert graph.count() == 80 and graph.filter("src = 8 AND dst = 1").count() == 1
+    assert calls.value == 40
