@@ -344,3 +344,26 @@ def test_blocks_do_not_depend_on_batches(spark, rows):
     finally:
         spark.conf.set(name, before)
     assert len(found) == 1000 and all(r["n"] == 2 and (r["low"] is None or r["low"] == pytest.approx(r["high"])) for r in found)
+
+
+def test_shuffle_files_of_finished_steps_go(spark):
+    import os
+    import time
+
+    from spindrift.llm.shared import passing
+
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {f for d in dirs for *_, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = shuffled()
+    with passing(spark):
+        spark.range(50_000).repartition(5, "id").groupBy(F.col("id") % 100).count().collect()
+        made = shuffled() - before
+        assert made
+    for _ in range(100):
+        if not made & shuffled():
+            break
+        time.sleep(0.1)
+    assert not made & shuffled()
