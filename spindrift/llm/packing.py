@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.shared import cut, prefixed, running, small, stored, unit
+from spindrift.llm.subwords import BytePairs, by_rank, flat
 
 
 @dataclass(frozen=True)
@@ -21,8 +22,9 @@ class Settings:
     """length: tokens in a sequence. window: tokens in a round of the queues. weights: the proportion of each source's
     code-point rank in a window, repeating; none: each source's share of all tokens, so that all queues end together.
     end: the id that closes a document. seed: of the queues' order. per_bucket: documents that meet in one task of a
-    running sum. cached: bytes of encoded words that a worker keeps. least: tokens of a window that a source's documents
-    are cut for; one that gets fewer sends whole documents, each when its deficit covers it."""
+    running sum. cached: bytes of encoded words that a worker keeps, of a vocabulary that tiktoken can't encode by. least:
+    tokens of a window that a source's documents are cut for; one that gets fewer sends whole documents, each when its
+    deficit covers it."""
 
     length: int = 1024
     window: int = 64 * 1024
@@ -42,26 +44,34 @@ _CROWDED = "  |{0} {0}".format(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}
 
 
 class Encoder:
-    """Ids of whole texts, with a cache of what stands between single spaces.
+    """Ids of whole texts, by what stands between single spaces.
 
     The pre-tokenizer of byte-level vocabularies starts a token at every space that stands alone, and lets none reach
     over it; so a text without two spaces in a row, or one between other white space, is the ids of its words, each
-    with the space before it. A batch's words are numbered by Arrow, and each different word is encoded once; new ones
-    go to the tokenizer in one string, whose ids are told apart by the spaces that they start with. Any other text is
-    encoded as it is.
+    with the space before it. A batch's words are numbered by Arrow, and each different word is encoded once; they go
+    to the tokenizer in one string, whose ids are told apart by the spaces that they start with. Any other text is
+    encoded as it is. Vocabularies that tell pairs apart by rank are encoded by tiktoken, a batch at once; for others
+    tokenizers is asked, and words are cached.
     """
 
     def __init__(self, path: str, cached: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        pairs = BytePairs(path) if by_rank(path) else None
+        self.pairs = pairs if pairs and pairs.fast else None
+        if self.pairs:
+            self.tokenizer = self.pairs.tokenizer
+        else:
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.tokenizer.get_vocab_size())])
         self.cached, self.held, self.words, self.older = cached, 0, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        if self.pairs:
+            return [np.array(ids, self.kind).tobytes() for ids in self.pairs.whole(texts, "")]
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
@@ -99,16 +109,28 @@ class Encoder:
         return out
 
     def _by_word(self, texts: pa.Array) -> list[bytes]:
-        if self.held > self.cached // 2:  # what is used again comes over from the older half
-            self.words, self.older, self.held = {}, self.words, 0
         split = pc.split_pattern(texts, " ")
         starts = np.asarray(split.offsets)[:-1] - split.offsets[0].as_py()
         numbered = split.flatten().dictionary_encode()
-        words = numbered.dictionary.to_pylist()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         # A text's first word has no space before it, and is encoded by itself.
         number = numbered.indices.to_numpy().copy()
         first = [words[i] for i in number[starts]]
         number[starts] = len(words) + np.arange(len(starts))
+        ids = (self._at_once if self.pairs else self._kept)(words, first).take(pa.array(number))
+        raw, cuts = ids.buffers()[2].to_pybytes(), np.frombuffer(ids.buffers()[1], np.int32)[[*starts.tolist(), len(ids)]].tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _at_once(self, words: list[str], first: list[str]) -> pa.Array:
+        """The ids of words, each behind a space, and then of those that are first in a text."""
+        (ids, n), (more, m) = self.pairs.words(words), flat(self.pairs.whole(first, ""))
+        ids, ends = np.concatenate([ids, more]).astype(self.kind), np.cumsum(np.concatenate([[0], n, m])) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+
+    def _kept(self, words: list[str], first: list[str]) -> pa.Array:
+        """The same by the cache."""
+        if self.held > self.cached // 2:  # what is used again comes over from the older half
+            self.words, self.older, self.held = {}, self.words, 0
         found = list(map(self.words.get, words))
         if missing := [i for i, ids in enumerate(found) if ids is None]:
             names = [words[i] for i in missing]
@@ -118,10 +140,7 @@ class Encoder:
             self.learn([w for w in names if w not in again])
             for i, w in zip(missing, names, strict=True):
                 found[i] = self.words[w]
-        found += self.whole(first)
-        ids = pa.array(found, pa.binary()).take(pa.array(number))
-        raw, cuts = ids.buffers()[2].to_pybytes(), np.frombuffer(ids.buffers()[1], np.int32)[[*starts.tolist(), len(ids)]].tolist()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.array(found + self.whole(first), pa.binary())
 
 
 #: A worker's encoders by vocabulary: the next task of the worker finds the cache as the last one left it.

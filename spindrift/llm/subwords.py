@@ -16,9 +16,26 @@ _WHITE = r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{20
 #: Where tokens may reach over a space: a space at an end or beside another, one between other white space, or the mark that pieces have for a space.
 CROWDED = f"^ | $|  |{_WHITE} {_WHITE}|▁"
 
-#: A run of so many characters without white space goes to the tokenizer whose time doesn't grow with its square.
+#: A run of so many characters without white space, or of it, goes to the tokenizer whose time doesn't grow with its square, nor its stack with the run.
 LONG = 1000
-_LONG = re.compile(rf"\S{{{LONG}}}")
+_LONG = re.compile("[{0}]{{{1}}}|[^{0}]{{{1}}}".format(r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000", LONG))
+
+
+def by_rank(path: str) -> bool:
+    """Whether a vocabulary file of tokenizers is of the kind that BytePairs reads: byte-level pairs without settings of their own."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    model, split = told["model"], told.get("pre_tokenizer") or {}
+    own = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    return (
+        model.get("type") == "BPE"
+        and not any(model.get(x) for x in own)
+        and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space", True)
+        and not any(told.get(x) for x in ("normalizer", "truncation", "padding"))
+        and all(t.get("special") for t in told.get("added_tokens", []))
+    )
 
 
 class BytePairs:
@@ -49,31 +66,36 @@ class BytePairs:
         self.spaced = np.array([b.startswith(b" ") for b in entries])
         self.bytes, self.size, self.told = _tables(entries)
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text behind a space."""
+    def whole(self, texts: list[str], ahead: str = " ") -> list[list[int]]:
+        """The ids of each text behind a space, or what else is put ahead."""
         out: list[list[int]] = []
         for t in texts:
-            if self.fast is None or _LONG.search(t):
-                out.append(self.tokenizer.encode_batch_fast([" " + t], add_special_tokens=False)[0].ids)
+            if self.fast is None or len(t) >= LONG and _LONG.search(t):
+                out.append(self._slow(ahead + t))
             else:
-                out.append(self.fast.encode_ordinary(" " + t))
+                out.append(self.fast.encode_ordinary(ahead + t))
         return out
 
+    def _slow(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, each behind a space, and how many each has; no word is empty or holds a space.
+        """The ids of all words, each behind a space, and how many each has; no word holds a space.
 
         Most are encoded as one string, whose tokens are told apart by the spaces that they start with."""
-        easy = np.array([len(w) < LONG and w == w.strip() for w in words], bool)
-        joined, odd = [w for w, e in zip(words, easy, strict=True) if e], [w for w, e in zip(words, easy, strict=True) if not e]
-        ids = np.array(self.whole([" ".join(joined)])[0] if joined else [], np.int64)
+        odd = [i for i, w in enumerate(words) if not 0 < len(w) < LONG or w != w.strip()]
+        of = np.delete(np.arange(len(words)), odd)
+        joined = " " + " ".join(np.array(words, object)[of].tolist() if odd else words)  # without a long run, as no word has one or ends in white space
+        ids = np.array((self.fast.encode_ordinary(joined) if self.fast else self._slow(joined)) if len(of) else [], np.int64)
         starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(joined):  # not a vocabulary of this kind after all
-            return _flat(self.whole(words))
-        more, counts = _flat(self.whole(odd))
-        counts = np.concatenate([np.diff(np.append(starts, len(ids))), counts])
-        of = np.empty(len(words), np.int64)
-        of[easy], of[~easy] = np.arange(len(joined)), len(joined) + np.arange(len(odd))
-        return np.concatenate([ids, more])[spread(of, counts)[0]], counts[of]
+        if len(starts) != len(of):  # not a vocabulary of this kind after all
+            return flat(self.whole(words))
+        counts = np.diff(np.append(starts, len(ids)))
+        if not odd:
+            return ids, counts
+        more, n = flat(self.whole([words[i] for i in odd]))
+        counts, place = np.concatenate([counts, n]), np.argsort(np.concatenate([of, odd]))
+        return np.concatenate([ids, more])[spread(place, counts)[0]], counts[place]
 
 
 class Pieces:
@@ -92,7 +114,7 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _flat(self.whole(words))
+        return flat(self.whole(words))
 
 
 def _tables(entries: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -100,7 +122,7 @@ def _tables(entries: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.array(entries, pa.binary()), np.array([len(b) for b in entries], np.int64), np.array([str(i) for i in range(len(entries))], object)
 
 
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
     return np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum())), counts
 
@@ -162,7 +184,7 @@ class Words:
 
     def encode(self, by: BytePairs | Pieces) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units, and how many each has."""
-        words, wholes = by.words(self.plain), _flat(by.whole(self.wholes))
+        words, wholes = by.words(self.plain), flat(by.whole(self.wholes))
         return np.concatenate([words[0], wholes[0]]), np.concatenate([words[1], wholes[1]])
 
 

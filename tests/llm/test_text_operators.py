@@ -1,6 +1,7 @@
 """Language, quality, SimHash, mixing, packing, sharding: against plain versions, and on odd rows."""
 
 import itertools
+import json
 import math
 import random
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 import xxhash
@@ -673,6 +675,60 @@ def test_words_are_encoded_as_whole_texts_are(tokenizer):
         assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(pa.array(texts))] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ordinary_texts_cost_tokenizers_nothing(monkeypatch, tokenizer):
+    """It takes several times as long for a word as tiktoken does."""
+    import tokenizers
+
+    asked = []
+
+    class Counted:
+        def __init__(self, path):
+            self.__dict__["own"] = tokenizer.__class__.from_file(path)
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.own, name, value)
+
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return self.own.encode_batch_fast(texts, **how)
+
+        from_file = classmethod(lambda cls, path: cls(path))
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].combine_chunks()
+    encoder = packing.Encoder(q.tokenizer(), 80 << 20)
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(texts)] == [e.ids for e in tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+    assert not asked
+    encoder(pa.array(["x" * 2000]))
+    assert "x" * 2000 in asked
+
+
+def test_long_runs_are_encoded(tokenizer):
+    encoder = packing.Encoder(q.tokenizer(), 10_000)
+    texts = ["\n" * 1_000_000, "a" + "\u3000" * 5_000, "!\x1c" * 2_000, "x y " + "\n" * 5_000 + " z", "ab" * 2_000 + " c"]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(pa.array(texts))] == [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.pairs.whole(texts) == [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}]}}, {"added_tokens": [{"id": 50256, "content": "aB", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}]}])
+def test_vocabularies_of_other_settings_are_left_to_tokenizers(tmp_path, change):
+    from tokenizers import Tokenizer
+
+    with open(q.tokenizer(), encoding="utf-8") as f:
+        told = json.load(f)
+    path = tmp_path / "own.json"
+    path.write_text(json.dumps(told | change))
+    own, encoder, rng = Tokenizer.from_file(str(path)), packing.Encoder(str(path), 1_000), random.Random(5)
+    own.encode_special_tokens = True
+    assert encoder.pairs is None and packing.Encoder(q.tokenizer(), 1_000).pairs is not None
+    for _ in range(5):
+        texts = ["".join(rng.choice([" ", " ", "\n", "aB", "é", "12", ".", "  "]) for _ in range(rng.randint(0, 14))) for _ in range(100)]
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(pa.array(texts))] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def check_packed(rows, ids, length):
     """Each id in one piece, sequences gapless and full but the last."""
     by, filled = defaultdict(list), defaultdict(list)
